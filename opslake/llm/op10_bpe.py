@@ -25,8 +25,21 @@ KEPT_WORDS = 200_000
 NONE = np.int64(1 << 40)
 
 
+# Ranges that are letters or digits for this regex module and neither for the tokenizer's own, whose Unicode tables are older.
+NEWER = """
+558-558 58b-58c 88f-88f c5c-c5c cdc-cdc 208f-208f 209d-209f a7ce-a7cf a7d2-a7d2 a7d4-a7d4 a7dd-a7dd a7e2-a7e2 a7f1-a7f1 ab6c-ab6d
+107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee 11b0a-11b0a 11db0-11ddb 11de0-11de9 11df1-11df1 1246f-1246f 12475-1247f 12550-12686
+16ea0-16eb8 16ebb-16ed3 16ff2-16ff6 187f8-187ff 18cd6-18cda 18d09-18d20 18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 1b168-1b168
+1d6a6-1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff
+2b73a-2b73f 2b81e-2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f
+"""
+
+
 class WordBpe:
-    """A lower-casing word BPE with word ends, read from a tokenizer file."""
+    """A lower-casing word BPE with word ends, read from a tokenizer file.
+
+    Capital letters that Unicode got after version 15.1 stay as they are; all else is as the tokenizers library has it.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -39,6 +52,8 @@ class WordBpe:
         self.tokens: dict[int, str] = {v: k for k, v in (self.ids | special).items()}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+        newer = "".join("-".join(f"\\U{x:0>8}" for x in r.split("-")) for r in NEWER.split())
+        self.rare_words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|(?:(?![{newer}])\p{{L}})+|(?![{newer}])\p{{N}}|(?:[{newer}]|[^\p{{White_Space}}\p{{L}}\p{{N}}])+")
         # Bytes that stand for themselves in byte-level vocabularies; the others follow from 256 on in order.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(plain))}
@@ -93,7 +108,7 @@ class WordBpe:
                 continue
             part = unicodedata.normalize("NFC", part)
             low = part.lower() if "Σ" not in part else "".join(c.lower() for c in part)
-            yield from self.words.findall(low)
+            yield from (self.words if latin(low) else self.rare_words).findall(low)
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; null and empty texts have none."""
@@ -113,6 +128,15 @@ class WordBpe:
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+def latin(text: str) -> bool:
+    """Whether all characters are below U+0100, where the tables agree."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)

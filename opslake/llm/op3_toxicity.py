@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,6 +31,8 @@ COST_LEET, COST_SIGN, COST_HIDDEN, COST_DROP, COST_KEEP, COST_REPEAT, COST_THIRD
 BEAM = 80
 #: Labelled documents that the word weights are counted on, as expected number; documents that a feature needs.
 SAMPLE, LEAST = 12_000, 5
+#: Kinds of preceding words that a feature needs in toxic documents, of 63; share of toxic documents that a word's beginning needs.
+CONTEXTS, PURE = 8, 0.97
 PREFIXES = (3, 4, 5, 6)
 
 _sign = re.escape("".join(LEET))
@@ -168,25 +171,33 @@ def fit(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "
     some = rows.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < min(1.0, sample / max(n, 1)) * (1 << 20))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer, sides = Restorer(cost), (Counter(), Counter())
+        restorer, sides, after = Restorer(cost), (Counter(), Counter()), Counter()
         for b in batches:
             for t, y in zip(b["t"], b["y"], strict=True):
-                found = {f for w in set(WORD.findall(restorer.text(t))) for f in features(w)}
+                words = WORD.findall(restorer.text(t))
+                found = {f for w in set(words) for f in features(w)}
                 sides[y > 0].update(found)
                 sides[y > 0][""] += 1  # documents
+                if y > 0:
+                    for before, w in set(zip(["", *words], words)):
+                        bit = 1 << zlib.crc32(before.encode()) % 63
+                        for f in features(w):
+                            after[f] |= bit
         every = list(sides[0].keys() | sides[1].keys())
-        yield pd.DataFrame({"f": every, "pos": [sides[1][x] for x in every], "neg": [sides[0][x] for x in every]})
-
-    counted = some.select("t", "y").mapInPandas(count, "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    told = counted.where(f"pos >= {LEAST} and pos > neg").toPandas() if n else pd.DataFrame({"f": [], "pos": [], "neg": []})
-    # The documents' own row may have fewer toxic than clean ones, so it comes by itself.
-    sizes = counted.where("f = ''").first() if n else None
-    prior = (sizes["pos"] + 1) / (sizes["pos"] + sizes["neg"] + 2) if sizes else 0.1
+        yield pd.DataFrame({"f": every, "pos": [sides[1][x] for x in every], "neg": [sides[0][x] for x in every], "after": [after[x] for x in every]}, dtype=object).astype({"pos": "int64", "neg": "int64", "after": "int64"})
+
+    counted = some.select("t", "y").mapInPandas(count, "f string, pos long, neg long, after long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.bit_count(F.bit_or("after")).alias("contexts"))
+    # The row of the documents themselves, and features that follow many different words: copies of one text repeat one context.
+    told = counted.where(f"f = '' or (pos >= {LEAST} and pos > 4 * neg and contexts >= {CONTEXTS})").toPandas() if n else pd.DataFrame({"f": [], "pos": [], "neg": []})
+    sizes = {f: (pos, neg) for f, pos, neg in zip(told["f"], told["pos"], told["neg"], strict=True)}
+    pos, neg = sizes.pop("", (0, 0))
+    prior = (pos + 1) / (pos + neg + 2) if pos + neg else 0.1
     weight = {}
-    for f, pos, neg in zip(told["f"], told["pos"], told["neg"], strict=True):
+    for f, (pos, neg) in sizes.items():
         share = pos / (pos + neg)
-        gain = pos * math.log(share / prior) + (neg * math.log((1 - share) / (1 - prior)) if neg else 0.0)
-        if f and share > prior and gain > 16:  # chance alone brings about one such among ten million features
+        gain = pos * math.log(share / prior) + (neg * math.log((1 - share) / (1 - prior)) if neg else 0.0) if share > prior else 0.0
+        # Chance alone brings about one such among ten million features. A beginning has to be as good as always toxic.
+        if gain > 20 and (f.endswith("$") or share >= PURE):
             weight[f] = pos / (pos + neg + 2)
     return Model(cost, weight, min(0.1, prior / 3))
 
