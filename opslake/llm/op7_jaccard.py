@@ -11,6 +11,7 @@ that most pairs need no text.
 
 from __future__ import annotations
 
+import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -21,11 +22,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import bounded_batches, labelled, written
+from opslake.llm.common import BROADCAST_IDS, bounded_batches, labelled, written
 
 WORDS, PERCENT = 5, 80
 #: Hash classes of shingles; members of a region that is joined directly; divisions before a region is joined whatever its size.
-CLASSES, SMALL, DIVISIONS, PIVOTS = 32, 48, 3, 6
+CLASSES, SMALL, DIVISIONS, PIVOTS = 32, 12, 2, 4
 #: A shingle in so many prefixes, and at least this share of all, goes last in the order. The list of them has at most 1 / share entries.
 COMMON, COMMON_SHARE = 20, 1 / 400_000
 RADIUS = 1 - PERCENT / 100
@@ -55,84 +56,99 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
 
 
 def described(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n, c1, c2, counts, prefix): size, fingerprint, counts by hash class, and the first shingles by hash value."""
+    """(id, n, c1, c2, counts, common, times): size, fingerprint and counts by hash class of each document.
+
+    Each partition adds a row without size, with the shingles that several of its prefixes hold and how many do.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = []
         for b in batches:
             out = []
             for i, t in zip(b["id"], b["t"], strict=True):
                 s = shingles(t)
                 mixed = (s ^ (s >> np.uint64(29))) * _MUL[1]
-                c1, c2 = (int(np.bitwise_xor.reduce(mixed)), int(np.add.reduce(mixed ^ (mixed >> np.uint64(32)), dtype=np.uint64))) if len(s) else (0, 0)
+                c1, c2 = (np.bitwise_xor.reduce(mixed), np.add.reduce(mixed ^ (mixed >> np.uint64(32)), dtype=np.uint64)) if len(s) else (np.uint64(0), np.uint64(0))
                 counts = np.bincount((mixed >> np.uint64(59)).astype(np.int64), minlength=CLASSES).astype(np.int32).tobytes()
-                out.append((i, len(s), np.uint64(c1).astype(np.int64), np.uint64(c2).astype(np.int64), counts, s[: prefix_size(len(s))].astype(np.int64) if len(s) else np.zeros(0, np.int64)))
-            yield pd.DataFrame(out, columns=["id", "n", "c1", "c2", "counts", "prefix"])
+                out.append((i, len(s), c1.astype(np.int64), c2.astype(np.int64), counts, [], []))
+                held.append(s[: prefix_size(len(s))] if len(s) else s)
+            yield pd.DataFrame(out, columns=["id", "n", "c1", "c2", "counts", "common", "times"]).astype({"id": "Int64"})
+        tok, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+        yield pd.DataFrame({"id": [None], "n": [-1], "c1": [0], "c2": [0], "counts": [b""], "common": [tok[n > 1].astype(np.int64)], "times": [n[n > 1]]}).astype({"id": "Int64"})
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, c1 long, c2 long, counts binary, prefix array<long>")
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, c1 long, c2 long, counts binary, common array<long>, times array<long>")
 
 
 def common_shingles(described_: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles that very many prefixes hold, and how many hold them. A bounded list; it only sets the order."""
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [np.concatenate(b["prefix"].tolist()) for b in batches if len(b)]
-        tok, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.int64), return_counts=True)
-        yield pd.DataFrame({"tok": tok[n > 1], "n": n[n > 1]})
-
-    total = described_.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0)).alias("n")).first()["n"]
+    total = described_.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] * RADIUS
     least = max(COMMON, total * COMMON_SHARE)
-    hot = described_.select("prefix").mapInPandas(local, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas().sort_values("tok")
-    return hot["tok"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)
+    each = described_.where("n < 0").select(F.explode(F.arrays_zip("common", "times")).alias("x")).select("x.common", "x.times")
+    hot = each.groupBy("common").agg(F.sum("times").alias("times")).where(F.col("times") >= least).toPandas().sort_values("common")
+    return hot["common"].to_numpy(np.int64), hot["times"].to_numpy(np.int64)
 
 
 def prefixes(docs: DataFrame, described_: DataFrame, key: str, text: str) -> DataFrame:
-    """(tok, id): each document's first shingles in the order that puts common ones last."""
-    tok, times = common_shingles(described_)
-    plain = described_.select("id", F.explode("prefix").alias("tok")).select("tok", "id")
-    if not len(tok):
-        return plain
-    hot = docs.sparkSession.sparkContext.broadcast((tok, times))
-
-    def has_common(p: np.ndarray) -> bool:
-        t = hot.value[0]
-        return bool((t[np.minimum(np.searchsorted(t, p), len(t) - 1)] == p).any())
-
-    def untouched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b[[not has_common(p) for p in b["prefix"]]]
+    """(tok, id): each document's first shingles in the order of their hashes that puts common ones last."""
+    hot = docs.sparkSession.sparkContext.broadcast(common_shingles(described_))
 
-    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t, n = hot.value
         for b in batches:
             out = []
             for i, x in zip(b["id"], b["t"], strict=True):
                 s = shingles(x)
-                size = prefix_size(len(s)) if len(s) else 0
-                if size and has_common(s[:size].astype(np.int64)):
-                    at = np.minimum(np.searchsorted(t, s.astype(np.int64)), len(t) - 1)
-                    last = np.where(t[at] == s.astype(np.int64), n[at], 0)
-                    out.append((i, s[np.lexsort((s, last))[:size]].astype(np.int64)))
+                if len(s):
+                    last = np.zeros(len(s), np.int64)
+                    if len(t):
+                        at = np.minimum(np.searchsorted(t, s.astype(np.int64)), len(t) - 1)
+                        last = np.where(t[at] == s.astype(np.int64), n[at], 0)
+                    out.append((i, s[np.lexsort((s, last))[: prefix_size(len(s))]].astype(np.int64)))
             yield pd.DataFrame(out, columns=["id", "prefix"])
 
-    kept = described_.select("id", "prefix").mapInPandas(untouched, "id long, prefix array<long>")
-    redone = written(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(again, "id long, prefix array<long>"), "reordered")
-    return kept.unionByName(redone).select(F.explode("prefix").alias("tok"), "id")
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    return written(rows.mapInPandas(run, "id long, prefix array<long>"), "prefixes").select(F.explode("prefix").alias("tok"), "id")
+
+
+class Metric:
+    """Distances between representatives: bounds from the hash classes, and exact ones from the texts where a link is possible."""
+
+    def __init__(self, docs: DataFrame, sizes: DataFrame, key: str, text: str):
+        self.docs, self.sizes = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")), sizes
+
+    def bounds(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(a, b, lo): the least distance that the counts by hash class leave for distinct pairs (a, b)."""
 
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for g in batches:
+                if len(g):
+                    x = np.frombuffer(b"".join(g["ca"]), np.int32).reshape(len(g), CLASSES)
+                    y = np.frombuffer(b"".join(g["cb"]), np.int32).reshape(len(g), CLASSES)
+                    apart, total = np.abs(x - y).sum(1), x.sum(1) + y.sum(1)
+                    # The triangle inequality of the symmetric difference; with it, union = (total + difference) / 2.
+                    yield pd.DataFrame({"a": g["a"], "b": g["b"], "lo": 2 * apart / (total + apart)})
+
+        side = lambda x: self.sizes.select(F.col("id").alias(x), F.col("counts").alias(f"c{x}"))
+        return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ca", "cb").mapInPandas(run, "a long, b long, lo double"), name)
 
-class Joiner:
-    """Exact distances of pairs of representatives, whose texts are kept packed."""
+    def texts(self, pairs: DataFrame) -> DataFrame:
+        """(id, z): packed texts of the pairs' documents, bucketed by id, so that the joins that follow move the pairs alone."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, key: str, text: str):
         def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             z = zstandard.ZstdCompressor(level=3)
             for b in batches:
                 yield pd.DataFrame({"id": b["id"], "z": [z.compress((t or "").encode("utf-8", "surrogatepass").lower()) for t in b["t"]]})
 
-        packed = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(pack, "id long, z binary")
-        self.texts = written(packed.join(nodes.select("id"), "id", "left_semi").dropDuplicates(["id"]), "texts")
+        spark = pairs.sparkSession
+        ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+        few = ids.count() <= BROADCAST_IDS
+        n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"llm_pairs_{uuid.uuid4().hex}"
+        rows = self.docs.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInPandas(pack, "id long, z binary")
+        rows.repartition(n, "id").dropDuplicates(["id"]).write.option("compression", "uncompressed").bucketBy(n, "id").sortBy("id").saveAsTable(name)
+        return spark.table(name)
 
-    def distances(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(a, b, d, linked) for distinct pairs (a, b)."""
+    def exact(self, bounded: DataFrame, name: str) -> DataFrame:
+        """(a, b, lo, hi, linked): bounds of the distance; both are the distance itself where a link is possible at all."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             z, kept = zstandard.ZstdDecompressor(), OrderedDict()
@@ -150,28 +166,34 @@ class Joiner:
                     x, y = of(a, za), of(b, zb)
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     either = len(x) + len(y) - both
-                    out.append((a, b, 1 - both / either, 100 * both >= PERCENT * either))
-                yield pd.DataFrame(out, columns=["a", "b", "d", "linked"])
+                    out.append((a, b, 1 - both / either, 1 - both / either, 100 * both >= PERCENT * either))
+                yield pd.DataFrame(out, columns=["a", "b", "lo", "hi", "linked"])
 
-        t = self.texts
-        rows = pairs.join(t.select(F.col("id").alias("a"), F.col("z").alias("za")), "a").join(t.select(F.col("id").alias("b"), F.col("z").alias("zb")), "b")
-        return written(rows.select("a", "b", "za", "zb").mapInPandas(run, "a long, b long, d double, linked boolean"), name)
+        near, far = bounded.where(F.col("lo") <= RADIUS + 1e-9), bounded.where(F.col("lo") > RADIUS + 1e-9)
+        t = self.texts(near)
+        rows = near.join(t.select(F.col("id").alias("a"), F.col("z").alias("za")), "a").join(t.select(F.col("id").alias("b"), F.col("z").alias("zb")), "b")
+        known = written(rows.select("a", "b", "za", "zb").mapInPandas(run, "a long, b long, lo double, hi double, linked boolean"), name)
+        return known.unionByName(far.select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked")))
 
 
-def near_enough(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sizes and distances to the hash classes allow a link."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in batches:
-            if len(g):
-                x = np.frombuffer(b"".join(g["ca"]), np.int32).reshape(len(g), CLASSES)
-                y = np.frombuffer(b"".join(g["cb"]), np.int32).reshape(len(g), CLASSES)
-                apart, total = np.abs(x - y).sum(1), x.sum(1) + y.sum(1)
-                # The symmetric difference is at least `apart`; a link needs (100 - P) * union >= 100 * difference, and union = (total + difference) / 2.
-                yield g.loc[100 * apart * 2 <= (100 - PERCENT) * (total + apart), ["a", "b"]]
+def cross_pairs(regions: DataFrame, name: str) -> DataFrame:
+    """(a, b): distinct pairs of one region that differ in component and that sizes and distances to the region's pivot allow.
 
-    side = lambda x: sizes.select(F.col("id").alias(x), F.col("counts").alias(f"c{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ca", "cb").mapInPandas(run, "a long, b long")
+    Members outside the region's largest component meet all others; those inside it meet no one of their own. regions:
+    (region, node, component_id, n, lo, hi).
+    """
+    per = regions.groupBy("region", "component_id").agg(F.count("*").alias("c"))
+    most = per.groupBy("region").agg(F.max(F.struct("c", "component_id")).getField("component_id").alias("main"))
+    marked = written(regions.join(most, "region"), f"{name}-marked")
+    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("node", "component_id", "n", "lo", "hi")]
+    a = marked.where("component_id <> main").select("region", "main", *side(1))
+    b = marked.select("region", *side(2))
+    allowed = (
+        (F.col("component_id1") != F.col("component_id2")) & ((F.col("component_id2") == F.col("main")) | (F.col("node1") < F.col("node2")))
+        & (100 * F.col("n1") >= PERCENT * F.col("n2")) & (100 * F.col("n2") >= PERCENT * F.col("n1"))
+        & (F.col("lo1") <= F.col("hi2") + RADIUS + 1e-9) & (F.col("lo2") <= F.col("hi1") + RADIUS + 1e-9)
+    )
+    return a.join(b, "region").where(allowed).select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,55 +208,63 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     spark = docs.sparkSession
     bounded_batches(spark)
     all_ = written(described(docs, key, text), "described")
-    known = all_.where("n > 0 and id is not null")
+    known = all_.where("n > 0 and id is not null").select("id", "n", "c1", "c2", "counts")
     reps = written(known.groupBy("c1", "c2", "n").agg(F.min("id").alias("rep")), "reps")
     of = written(known.select("id", "c1", "c2", "n").join(reps, ["c1", "c2", "n"]).select("id", "rep", "n"), "of")
-    tokens = prefixes(docs, known, key, text)
+    tokens = prefixes(docs, all_, key, text)
     shared = written(tokens.groupBy("tok").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("tok"), "shared")
     cells = tokens.join(shared, "tok").join(of.select("id", "rep").distinct(), "id").groupBy("tok", "rep").agg(F.lit(1).alias("one"))
     regions = written(cells.select(F.col("tok").alias("region"), F.col("rep").alias("node")), "regions")
+    firsts = written(regions.groupBy("region").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "pivots")
+    regions = written(regions.join(firsts, "region").select("region", "node", "pivot", "size"), "members")
     sizes = known.select("id", "n", "counts").join(regions.select(F.col("node").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
     sizes = written(sizes, "sizes")
-
-    join, edges = Joiner(docs, sizes, key, text), None
-    firsts = written(regions.groupBy("region").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "pivots")
-    regions = regions.join(firsts, "region").select("region", "node", "pivot", "size")
-    found = join.distances(regions.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
+    metric, nodes = Metric(docs, sizes, key, text), sizes.select("id")
+    n_of = sizes.select(F.col("id").alias("node"), "n")
+
+    # Every member against its region's pivot, and all against all where the region is small.
+    stars = metric.bounds(regions.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    small = regions.where(f"size <= {SMALL} and node <> pivot").select("region", "node").join(n_of, "node")
+    x, y = (small.select("region", F.col("node").alias(k), F.col("n").alias(f"n{k}")) for k in "ab")
+    allowed = (F.col("a") < F.col("b")) & (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
+    leaves = metric.bounds(x.join(y, "region").where(allowed).select("a", "b").distinct(), "leaves").where(F.col("lo") <= RADIUS + 1e-9)
+    found = metric.exact(stars.union(leaves).groupBy("a", "b").agg(F.min("lo").alias("lo")), "first")
     edges = found.where("linked").select("a", "b")
-    nodes = sizes.select("id")
-    label = written(labelled(nodes, edges), "label0")
-    to_pivot = found.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d").union(firsts.select(F.col("pivot").alias("node"), "pivot", F.lit(0.0).alias("d")).distinct())
-    regions = written(regions.join(to_pivot, ["node", "pivot"]).select("region", "node", "d", "size"), "rings")
-
-    for k in range(DIVISIONS + 1):
-        # Regions with one component hold no further news.
-        with_label = regions.join(label.withColumnRenamed("id", "node"), "node")
-        open_ = written(with_label.groupBy("region").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"), F.count("*").alias("size"), F.min(F.when(F.col("d") > 0, F.struct("d", "node"))).getField("node").alias("nearest")).where("x < y").select("region", "size", "nearest"), f"open{k}")
+    label = written(labelled(nodes, edges), "label")
+
+    # Larger regions that still hold several components are divided, and at last joined.
+    large = regions.where(f"size > {SMALL}")
+    to_pivot = found.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "lo", "hi")
+    itself = firsts.select(F.col("pivot").alias("node"), "pivot").distinct().select("node", "pivot", F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"))
+    open_ = large.join(to_pivot.union(itself), ["node", "pivot"]).select("region", "node", "lo", "hi")
+    done = None
+    for k in range(DIVISIONS):
+        seen = open_.join(label.withColumnRenamed("id", "node"), "node")
+        several = seen.groupBy("region").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"), F.count("*").alias("size"), F.min(F.when(F.col("hi") > 0, F.struct("hi", "node"))).getField("node").alias("nearest")).where("x < y").select("region", "size", "nearest")
+        several = written(several, f"several{k}")
+        open_ = written(open_.join(several, "region"), f"open{k}")
         if not open_.limit(1).count():
             break
-        active = written(with_label.drop("size").join(open_, "region").join(sizes.select(F.col("id").alias("node"), "n"), "node"), f"active{k}")
-        last = k == DIVISIONS
-        leaf = active if last else active.where(F.col("size") <= SMALL)
-        a, b = leaf.select("region", *[F.col(c).alias(f"{c}1") for c in ("node", "component_id", "d", "n")]), leaf.select("region", *[F.col(c).alias(f"{c}2") for c in ("node", "component_id", "d", "n")])
-        near = (F.col("node1") < F.col("node2")) & (F.col("component_id1") != F.col("component_id2")) & (100 * F.col("n1") >= PERCENT * F.col("n2")) & (100 * F.col("n2") >= PERCENT * F.col("n1")) & (F.abs(F.col("d1") - F.col("d2")) <= RADIUS + 1e-9)
-        pairs = written(a.join(b, "region").where(near).select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct(), f"pairs{k}")
-        more = join.distances(near_enough(pairs, sizes), f"leaves{k}")
-        edges = edges.union(more.where("linked").select("a", "b"))
-        large = None if last else active.where(F.col("size") > SMALL)
-        if large is None or not large.limit(1).count():
-            label = written(labelled(nodes, edges), f"label{k + 1}")
-            break
-        chosen = large.where((F.col("node") == F.col("nearest")) | (F.pmod(F.xxhash64("node", F.lit(k)), F.col("size")) < PIVOTS)).select("region", F.col("node").alias("pivot"))
-        chosen = written(chosen.distinct(), f"chosen{k}")
-        far = large.select("region", "node").join(chosen, "region")
-        got = join.distances(far.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), f"voronoi{k}")
+        pivots = open_.where((F.col("node") == F.col("nearest")) | (F.pmod(F.xxhash64("node", F.lit(k)), F.col("size")) < PIVOTS)).select("region", F.col("node").alias("pivot"))
+        each = open_.select("region", "node", "size").join(written(pivots.distinct(), f"pivots{k}"), "region")
+        got = metric.exact(metric.bounds(each.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), f"to{k}"), f"voronoi{k}")
         edges = edges.union(got.where("linked").select("a", "b"))
-        d = far.join(got.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "d"), ["node", "pivot"], "left").select("region", "node", "pivot", F.coalesce("d", F.lit(0.0)).alias("d"))
-        nearest = d.groupBy("region", "node").agg(F.min("d").alias("least"))
-        within = d.join(nearest, ["region", "node"]).where(F.col("d") <= F.col("least") + 2 * RADIUS + 1e-9)
-        regions = written(within.select(F.xxhash64("region", "pivot").alias("region"), "node", "d").groupBy("region", "node").agg(F.min("d").alias("d")).withColumn("size", F.lit(0)), f"regions{k}")
-        label = written(labelled(nodes, edges), f"label{k + 1}")
+        label = written(labelled(nodes, edges), f"label{k}")
+        both = got.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "lo", "hi").union(got.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "lo", "hi"))
+        d = each.join(both, ["node", "pivot"], "left").select("region", "node", "pivot", "size", F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(0.0)).alias("hi"))
+        least = d.groupBy("region", "node").agg(F.min("hi").alias("least"))
+        within = written(d.join(least, ["region", "node"]).where(F.col("lo") <= F.col("least") + 2 * RADIUS + 1e-9).select("region", "node", "pivot", "lo", "hi", "size"), f"within{k}")
+        # Where nearly all members would go to several regions, the region stays as it is.
+        divides = within.groupBy("region", "size").agg(F.count("*").alias("rows")).where("rows <= 1.5 * size").select("region")
+        whole = open_.join(divides, "region", "left_anti").select("region", "node", "lo", "hi")
+        done = whole if done is None else done.union(whole)
+        open_ = written(within.join(divides, "region").select(F.xxhash64("region", "pivot").alias("region"), "node", "lo", "hi").groupBy("region", "node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), f"divided{k}")
+    rest = open_.select("region", "node", "lo", "hi") if done is None else done.union(open_.select("region", "node", "lo", "hi"))
+    rest = written(rest.join(label.withColumnRenamed("id", "node"), "node").join(n_of, "node"), "rest")
+    last = metric.bounds(cross_pairs(rest, "last"), "last")
+    more = metric.exact(last.where(F.col("lo") <= RADIUS + 1e-9), "more")
+    label = written(labelled(nodes, edges.union(more.where("linked").select("a", "b"))), "final")
 
     final = of.select("id", "rep").distinct().join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select("id", F.coalesce("component_id", "rep").alias("component_id"))
-    out = all_.select("id", F.col("n").alias("n_shingles")).join(final, "id", "left")
+    out = all_.where("n >= 0").select("id", F.col("n").alias("n_shingles")).join(final, "id", "left")
     return out.select(F.col("id").alias(key), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
