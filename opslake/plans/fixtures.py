@@ -36,7 +36,7 @@ SQL = {
         SELECT n_nationkey AS location_key, n_name AS country, r_name AS continent FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "raw_events": """
         SELECT event_id, ts, user_id, event_type, value, props, CONCAT('app', CAST(user_id % 40 AS VARCHAR(9)), CASE WHEN user_id % 3 = 0 THEN '-service' WHEN user_id % 3 = 1 THEN '_v2' ELSE '' END) AS source,
-               CONCAT('web', CAST(user_id % 17 AS VARCHAR(9)), '.example.com') AS host, CONCAT(event_type, ':json') AS sourcetype FROM events""",
+               CONCAT(CASE user_id % 4 WHEN 0 THEN 'web' WHEN 1 THEN 'pay' WHEN 2 THEN 'auth' ELSE 'app' END, CAST(user_id % 17 AS VARCHAR(9)), '.example.com') AS host, CONCAT(event_type, ':json') AS sourcetype FROM events""",
 }
 BASES = {"participants": ["lineitem"], "incidents": ["orders"], "targets": ["region"], "services": ["nation"], "locations": ["nation", "region"], "raw_events": ["events"]}
 

@@ -9,7 +9,10 @@ from opslake.operators import calls, correlation, incidents, tables
 from opslake.plans.fixtures import AS_OF, fixture, oracle
 from opslake.plans.registry import query
 
-NOW = F.expr(AS_OF).cast("timestamp_ntz")
+def now():
+    """The fixed time that stands for the present."""
+    return F.expr(AS_OF).cast("timestamp_ntz")
+
 
 P = """, p AS (SELECT *, CASE WHEN error_code IS NOT NULL OR mos < 2.0 THEN 'ERRORED' WHEN mos < 3.5 THEN 'DEGRADED' ELSE 'NORMAL' END AS call_status, CAST(start_ts AS DATE) AS call_date
   FROM (SELECT *, row_number() OVER (PARTITION BY conversation_id, purpose, participant_id ORDER BY ingestion_ts DESC NULLS LAST, mos DESC NULLS LAST, error_code DESC NULLS LAST, agent_id DESC NULLS LAST, vendor DESC NULLS LAST, start_ts DESC NULLS LAST) AS rn FROM participants) WHERE rn = 1)"""
@@ -40,7 +43,7 @@ def latest(spark, d):
 
 
 def all_facts(spark, d):
-    return incidents.facts(fixture(spark, d, "incidents").drop("priority_raw"), fixture(spark, d, "targets"), fixture(spark, d, "services"), NOW)
+    return incidents.facts(fixture(spark, d, "incidents").drop("priority_raw"), fixture(spark, d, "targets"), fixture(spark, d, "services"), now())
 
 
 @query("participants_latest", oracle(f"{P} SELECT conversation_id, participant_id, purpose, agent_id, vendor, mos, error_code, call_status, call_date FROM p", "participants"))
@@ -199,12 +202,12 @@ OPEN = f"""SELECT incident_number, priority, service, vendor, round({MIN('opened
 
 @query("open_incidents", oracle(f"{FACTS} {OPEN}", "incidents", "targets", "services"))
 def _(spark, d):
-    return incidents.open_incidents(all_facts(spark, d), NOW)
+    return incidents.open_incidents(all_facts(spark, d), now())
 
 
 @query("sla_breach_flags", oracle(f"{FACTS} SELECT incident_number, priority, response_minutes > response_target AS response_breached, round(response_target - coalesce(response_minutes, {MIN('opened_at', AS_OF)}), 2) AS response_remaining, resolution_minutes > resolution_target AS resolution_breached, round(resolution_target - coalesce(resolution_minutes, {MIN('opened_at', AS_OF)}), 2) AS resolution_remaining FROM f", "incidents", "targets", "services"))
 def _(spark, d):
-    return incidents.breach_flags(all_facts(spark, d), NOW)
+    return incidents.breach_flags(all_facts(spark, d), now())
 
 
 @query("sla_metrics_by_priority", oracle(f"{FACTS} SELECT *, round((total - breaches) * 100.0 / total, 2) AS compliance FROM (SELECT priority, count(*) AS total, count(*) FILTER (coalesce(resolution_minutes > resolution_target, false)) AS breaches, round(avg(resolution_minutes), 2) AS avg_minutes, min(resolution_minutes) AS min_minutes, max(resolution_minutes) AS max_minutes, round(median(resolution_minutes), 2) AS median_minutes, max(resolution_target) AS target, count(*) FILTER (NOT is_open) AS closed FROM f GROUP BY priority)", "incidents", "targets", "services"))
@@ -220,7 +223,7 @@ ACTIVE = f""", a AS (SELECT upper(vendor) AS vendor_key, active_date, count(*) A
   coalesce(incidents, 0) > 0 AS has_incident, degraded_calls + errored_calls > 0 AND coalesce(incidents, 0) > 0 AS degradation_with_incident, degraded_calls + errored_calls > 0 AND coalesce(incidents, 0) = 0 AS degradation_without_incident
   FROM q LEFT JOIN a ON upper(q.vendor) = a.vendor_key AND q.call_date = a.active_date""", "participants", "incidents", "targets", "services"))
 def _(spark, d):
-    active = correlation.daily_incidents(all_facts(spark, d).where("resolved_at is not null"), NOW)
+    active = correlation.daily_incidents(all_facts(spark, d).where("resolved_at is not null"), now())
     out = correlation.call_incident_daily(calls.quality_by(latest(spark, d), "call_date", "vendor"), active)
     return out.withColumn("incident_numbers", F.concat_ws(",", F.transform("incident_numbers", lambda x: x.cast("string"))))
 
@@ -231,10 +234,10 @@ OVERLAP = f"FROM (SELECT * FROM p WHERE call_status IN ('DEGRADED', 'ERRORED'))
 @query("call_incident_detail", oracle(f"{P}{FACTS} SELECT conversation_id, participant_id, purpose, call_status, incident_number, i.priority AS incident_priority {OVERLAP.format('')}", "participants", "incidents", "targets", "services"))
 def _(spark, d):
     bad = latest(spark, d).where("call_status in ('DEGRADED', 'ERRORED')")
-    return correlation.overlaps(bad, all_facts(spark, d).where("resolved_at is not null"), NOW).select("conversation_id", "participant_id", "purpose", "call_status", "incident_number", "incident_priority")
+    return correlation.overlaps(bad, all_facts(spark, d).where("resolved_at is not null"), now()).select("conversation_id", "participant_id", "purpose", "call_status", "incident_number", "incident_priority")
 
 
 @query("root_cause_summary", oracle(f"""{P}{FACTS} SELECT *, round(with_incident * 100.0 / calls, 2) AS explained_pct, round(with_critical * 100.0 / calls, 2) AS critical_pct FROM (SELECT call_date, vendor, call_status, count(*) AS calls, count(*) FILTER ("any") AS with_incident, count(*) FILTER (critical) AS with_critical
   FROM (SELECT conversation_id, participant_id, purpose, call_date, c.vendor, call_status, bool_or(incident_number IS NOT NULL) AS "any", bool_or(coalesce(i.priority IN ('P1', 'P2'), false)) AS critical {OVERLAP.format('LEFT')} GROUP BY ALL) GROUP BY ALL)""", "participants", "incidents", "targets", "services"))
 def _(spark, d):
-    return correlation.root_cause_summary(latest(spark, d), all_facts(spark, d).where("resolved_at is not null"), NOW)
+    return correlation.root_cause_summary(latest(spark, d), all_facts(spark, d).where("resolved_at is not null"), now())
