@@ -4,7 +4,7 @@ A rolling hash over the bytes places triggers that cut each document into phrase
 one byte less than the match length, so each window of that length lies in one phrase. The dictionary of distinct
 phrases keeps the first document of each; a phrase seen in an earlier document is removed whole, and the parse carries this
 back to the documents. What is left are the windows of phrases that are new where they stand. Their suffixes are
-sampled (in each window the position whose 16 bytes hash lowest), grouped by equal beginnings, and compared by
+sampled (in each window the position whose 24 bytes hash lowest), grouped by equal beginnings, and compared by
 their contexts as neighbours in a suffix array would be; contexts that differ are compared window by window.
 """
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from opslake.llm.common import bounded_batches, written
 
 WINDOW = 50
-#: Bytes of the rolling hash, mean distance of its triggers, bytes of a sampled suffix that are hashed, starts in a window.
-TRIGGER, EVERY, GRAM = 16, 192, 16
+#: Mean distance of triggers, bytes of the rolling hash and of the beginning of a sampled suffix, places of such a beginning in a window.
+EVERY, GRAM = 192, 24
 STARTS = WINDOW - GRAM + 1
 #: Window starts that are handled at once; a sampled position has to fit 20 bits.
 RUN = 1 << 19
@@ -41,10 +41,13 @@ def words8(b: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(w: np.ndarray) -> np.ndarray:
-    """A hash of the 16 bytes from each position on."""
-    x = w[8:] * _A
+    """A hash of the 24 bytes from each position on."""
+    x = w[16:] * _A
     x ^= x >> np.uint64(32)
-    x += w[:-8]
+    x += w[8:-8]
+    x *= _C
+    x ^= x >> np.uint64(31)
+    x += w[:-16]
     x *= _B
     x ^= x >> np.uint64(29)
     x *= _C
@@ -70,9 +73,9 @@ def sampled(b: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray,
         h = gram_hashes(words8(b[lo : hi - 1 + WINDOW]))
         v = ((h >> np.uint64(20)) << np.uint64(20)) | np.arange(len(h), dtype=np.uint64)
         m = v
-        for step in (1, 2, 4, 8, 16):
+        for step in (1, 2, 4, 8):
             m = np.minimum(m[:-step], m[step:])
-        m = np.minimum(m[: -(STARTS - 32)], m[STARTS - 32 :])
+        m = np.minimum(m[: -(STARTS - 16)], m[STARTS - 16 :])
         first = np.flatnonzero(np.append(True, m[1:] != m[:-1]))
         at = (m[first] & np.uint64((1 << 20) - 1)).astype(np.int64)
         last = np.append(first[1:], len(m)) - 1
