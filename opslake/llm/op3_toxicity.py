@@ -148,12 +148,15 @@ class Model:
     weight: dict[str, float]  # how sure a feature is, as a chance
     base: float
 
+    def __post_init__(self) -> None:
+        self.heads = {f[: PREFIXES[0]] for f in self.weight}  # other words have no telling feature
+
     def score(self, text: str | None, restorer: Restorer) -> tuple[float, int]:
         """Chance that a text is toxic, and the number of telling words."""
         if not text:
             return self.base, 0
         miss, n = 1.0, 0
-        for w in set(WORD.findall(restorer.text(text))):
+        for w in {w for w in WORD.findall(restorer.text(text)) if w[: PREFIXES[0]] in self.heads}:
             if best := max((self.weight.get(f, 0.0) for f in features(w)), default=0.0):
                 miss, n = miss * (1 - best), n + 1
         return max(self.base, 1 - miss), n
