@@ -5,7 +5,8 @@ one byte less than the match length, so each window of that length lies in one p
 phrases keeps the first document of each; a phrase seen in an earlier document is removed whole, and the parse carries this
 back to the documents. What is left are the windows of phrases that are new where they stand. Their suffixes are
 sampled (in each window the position whose 24 bytes hash lowest), grouped by equal beginnings, and compared by
-their contexts as neighbours in a suffix array would be; contexts that differ are compared window by window.
+their contexts as neighbours in a suffix array would be; of contexts that differ, the 44 bytes that neighbouring windows
+share are compared first, then windows one by one.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ WINDOW = 50
 #: Mean distance of triggers, bytes of the rolling hash and of the beginning of a sampled suffix, places of such a beginning in a window.
 EVERY, GRAM = 192, 24
 STARTS = WINDOW - GRAM + 1
-#: Window starts that are handled at once; a sampled position has to fit 20 bits.
-RUN = 1 << 19
+#: Windows around a sampled suffix that are compared together at first, and the bytes that these share.
+TOGETHER = 7
+SHARED = WINDOW - TOGETHER + 1
+#: Window starts that are handled at once; a sampled position has to fit 20 bits. Rows that a task hands on at once.
+RUN, ROWS = 1 << 19, 1 << 18
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -83,10 +87,10 @@ def sampled(b: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def window_hashes(w: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A hash of the 50 bytes from each start on."""
+def window_hashes(w: np.ndarray, starts: np.ndarray, size: int = WINDOW) -> np.ndarray:
+    """A hash of the bytes from each start on, as many as a window has or `size`."""
     x = np.full(len(starts), _C)
-    for o in (0, 8, 16, 24, 32, 40, WINDOW - 8):
+    for o in (*range(0, size - 8, 8), size - 8):
         x = (x ^ w[starts + o]) * _A
         x ^= x >> np.uint64(31)
         x *= _B
@@ -130,20 +134,34 @@ class Texts:
         self.table = spark.table(name)
 
     def visit(self, requests: DataFrame, run, schema: str, how: str = "inner") -> DataFrame:
-        """run(id, bytes, requests of this id) -> rows, over the texts with their requests, (id, q array)."""
+        """run(id, bytes, one array for each column of the requests) -> arrays or lists, the columns of the rows; over the texts with their requests."""
+        names, asked = [c.split()[0] for c in schema.split(", ")], [c for c in requests.columns if c != "id"]
 
         def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            z = zstandard.ZstdDecompressor()
+            z, none = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
             for b in batches:
-                rows = [r for i, x, q in zip(b["id"], b["z"], b["q"], strict=True) for r in run(i, z.decompress(x), q if q is not None else [])]
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+                out, n = [], 0
+                for i, x, *q in zip(b["id"], b["z"], *(b[c] for c in asked), strict=True):
+                    out.append(run(i, z.decompress(x), *(none if v is None else v for v in q)))
+                    n += len(out[-1][0])
+                    if n >= ROWS:
+                        yield frame(names, out)
+                        out, n = [], 0
+                if out:
+                    yield frame(names, out)
 
-        return self.table.join(requests, "id", how).select("id", "z", "q").mapInPandas(each, schema)
+        return self.table.join(requests, "id", how).select("id", "z", *asked).mapInPandas(each, schema)
+
+
+def frame(names: list[str], parts: list[tuple]) -> pd.DataFrame:
+    """The parts' columns one below the other."""
+    join = lambda x: np.concatenate(x) if isinstance(x[0], np.ndarray) else [v for y in x for v in y]
+    return pd.DataFrame({c: join(x) for c, x in zip(names, zip(*parts, strict=True), strict=True)})
 
 
 def requests(rows: DataFrame, *columns: str) -> DataFrame:
-    """(id, q): the rows of each document as an array; at most a few for each of its bytes."""
-    return rows.groupBy("id").agg(F.collect_list(F.struct(*columns)).alias("q"))
+    """(id, one array for each column): the rows of each document; at most a few for each of its bytes."""
+    return rows.groupBy("id").agg(F.collect_list(F.struct(*columns)).alias("q")).select("id", *(F.col(f"q.{c}").alias(c) for c in columns))
 
 
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -172,23 +190,25 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     dictionary = written(parsed.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("h1", "h2", "first"), "dictionary")
     seen = parsed.join(dictionary, ["h1", "h2"], "left").select("id", "start", "size", F.coalesce(F.col("first") < F.col("id"), F.lit(False)).alias("old"))
     verdict = written(requests(seen, "start", "size", "old"), "verdict")
-    whole = verdict.select("id", F.explode(F.filter("q", lambda p: p["old"])).alias("p")).select("id", F.col("p.start").alias("a"), (F.col("p.start") + F.col("p.size") + WINDOW - 1).alias("b"))
+    whole = verdict.select("id", F.explode(F.arrays_zip("start", "size", "old")).alias("p")).where("p.old").select("id", F.col("p.start").alias("a"), (F.col("p.start") + F.col("p.size") + WINDOW - 1).alias("b"))
 
-    def suffixes(i: int, raw: bytes, q: list) -> list[tuple]:
-        b, out = np.frombuffer(raw, np.uint8), []
-        for lo, hi in spans_union([(p["start"], p["start"] + p["size"]) for p in q if not p["old"]]):
-            k, at, first, last = sampled(b, lo, hi)
-            out += zip(k.tolist(), [i] * len(k), packed_place(at, first, last).tolist())
-        return out
+    def suffixes(i: int, raw: bytes, start: np.ndarray, size: np.ndarray, old: np.ndarray) -> tuple:
+        b, new = np.frombuffer(raw, np.uint8), ~old.astype(bool)
+        spans = spans_union(list(zip(start[new].tolist(), (start[new] + size[new]).tolist(), strict=True)))
+        got = [sampled(b, lo, hi) for lo, hi in spans] or [(np.zeros(0, np.int64),) * 4]
+        k, at, first, last = (np.concatenate(x) for x in zip(*got, strict=True))
+        return k, np.full(len(k), i), packed_place(at, first, last)
 
     suffix = texts.visit(verdict, suffixes, "k long, id long, place long")
     groups = written(suffix.groupBy("k").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("k", "first"), "groups")
     repeated = suffix.join(groups, "k").select("id", "k", "place", (F.col("first") < F.col("id")).alias("later"))
     asked = written(requests(repeated, "k", "place", "later"), "repeated")
 
-    def contexts(i: int, raw: bytes, q: list) -> list[tuple]:
-        at, first, last = unpacked(np.array([r["place"] for r in q], np.int64))
-        return [(r["k"], _signed(xxhash.xxh3_128_intdigest(raw[f : e + WINDOW] + bytes([a - f])))[0], i, r["place"], r["later"]) for r, a, f, e in zip(q, at.tolist(), first.tolist(), last.tolist(), strict=True)]
+    def contexts(i: int, raw: bytes, k: np.ndarray, place: np.ndarray, later: np.ndarray) -> tuple:
+        at, first, last = unpacked(place)
+        view = memoryview(raw)
+        x = np.fromiter((xxhash.xxh3_64_intdigest(view[f : e + WINDOW], seed=d) for f, e, d in zip(first.tolist(), last.tolist(), (at - first).tolist(), strict=True)), np.uint64, len(at))
+        return k, x.astype(np.int64), np.full(len(k), i), place, later.astype(bool)
 
     context = written(texts.visit(asked, contexts, "k long, x long, id long, place long, later boolean"), "contexts")
     firsts = written(context.groupBy("k", "x").agg(F.min("id").alias("first")), "firsts")
@@ -196,29 +216,39 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     met = judged.where("first < id").select("id", (F.shiftright("place", 16) - F.shiftright("place", 8).bitwiseAND(255)).alias("a"), (F.shiftright("place", 16) + F.col("place").bitwiseAND(255) - STARTS + WINDOW).alias("b"))
     new = judged.where("first = id")
     unclear = written(new.where("later").select("k").distinct(), "unclear")
-    compare = written(requests(new.join(unclear, "k", "left_semi"), "k", "place", "later"), "compare")
+    compare = written(requests(new.join(unclear, "k", "left_semi"), "k", "place"), "compare")
 
-    def windows(i: int, raw: bytes, q: list) -> list[tuple]:
+    def bands(i: int, raw: bytes, k: np.ndarray, place: np.ndarray) -> tuple:
         w = words8(np.frombuffer(raw, np.uint8))
-        _, first, last = unpacked(np.array([r["place"] for r in q], np.int64))
-        starts = np.concatenate([np.arange(f, e + 1) for f, e in zip(first, last, strict=True)])
-        n = last - first + 1
-        k, later = np.repeat([r["k"] for r in q], n), np.repeat([r["later"] for r in q], n)
-        return list(zip(k.tolist(), window_hashes(w, starts).tolist(), [i] * len(starts), starts.tolist(), later.tolist()))
-
-    window = texts.visit(compare, windows, "k long, x long, id long, start long, later boolean")
-    earliest = written(window.groupBy("k", "x").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("k", "x", "first"), "earliest")
+        at, first, last = unpacked(place)
+        out = []
+        for o in range(0, STARTS, TOGETHER):
+            low, high = np.maximum(first, at - o - TOGETHER + 1), np.minimum(last, at - o)
+            some = low <= high
+            x = k[some] + (window_hashes(w, at[some] - o, SHARED) ^ (o << 40))
+            out.append((x, low[some], high[some]))
+        x, low, high = (np.concatenate(c) for c in zip(*out, strict=True))
+        return x, np.full(len(x), i), low, high
+
+    band = written(texts.visit(compare, bands, "k long, id long, low long, high long"), "bands")
+    alike = band.groupBy("k").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("k", "first")
+    close = written(requests(band.join(alike, "k").withColumn("later", F.col("first") < F.col("id")), "k", "low", "high", "later"), "close")
+
+    def windows(i: int, raw: bytes, k: np.ndarray, low: np.ndarray, high: np.ndarray, later: np.ndarray) -> tuple:
+        n = high - low + 1
+        starts = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(k, n), window_hashes(words8(np.frombuffer(raw, np.uint8)), starts), np.full(len(starts), i), starts, np.repeat(later.astype(bool), n)
+
+    window = written(texts.visit(close, windows, "k long, x long, id long, start long, later boolean"), "windows")
+    earliest = window.groupBy("k", "x").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("k", "x", "first")
     single = window.where("later").join(earliest, ["k", "x"]).where("first < id").select("id", F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b"))
     spans = written(requests(whole.union(met).union(single), "a", "b"), "spans")
 
-    def rest(i: int, raw: bytes, q: list) -> list[tuple]:
-        cut = spans_union([(s["a"], s["b"]) for s in q])
-        kept, at = [], 0
-        for a, b in cut:
-            kept.append(raw[at:a])
-            at = b
-        kept.append(raw[at:])
-        return [(i, len(raw), sum(b - a for a, b in cut), len(cut), b"".join(kept))]
+    def rest(i: int, raw: bytes, a: np.ndarray, b: np.ndarray) -> tuple:
+        cut = spans_union(list(zip(a.tolist(), b.tolist(), strict=True)))
+        edges = [0, *(x for span in cut for x in span), len(raw)]
+        kept = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
+        return [i], [len(raw)], [sum(y - x for x, y in cut)], [len(cut)], [kept]
 
     return texts.visit(spans, rest, "id long, n_bytes long, n_removed long, n_spans long, kept binary", "left").withColumnRenamed("id", key)
 
