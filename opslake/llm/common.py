@@ -61,6 +61,18 @@ def labelled(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
     return nodes.join(label, "id", "left").select("id", F.coalesce("label", "id").alias("component_id"))
 
 
+def merged(label: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """label, (id, component_id) as from labelled(), after more edges (a, b): only those between different components are followed, as links of components."""
+    side = lambda k: label.select(F.col("id").alias(k), F.col("component_id").alias(f"c{k}"))
+    between = edges.select("a", "b").join(side("a"), "a").join(side("b"), "b").where("ca <> cb")
+    between = written(between.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), f"{name}-between")
+    if not between.limit(1).count():
+        return label
+    ends = between.select(F.col("a").alias("id")).union(between.select("b")).distinct()
+    new = labelled(ends, between).select(F.col("id").alias("component_id"), F.col("component_id").alias("to"))
+    return written(label.join(new, "component_id", "left").select("id", F.coalesce("to", "component_id").alias("component_id")), name)
+
+
 #: Ids that a join may broadcast.
 BROADCAST_IDS = 500_000
 

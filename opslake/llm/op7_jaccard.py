@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import BROADCAST_IDS, bounded_batches, labelled, written
+from opslake.llm.common import BROADCAST_IDS, bounded_batches, labelled, merged, written
 
 WORDS, PERCENT = 5, 80
 #: Hash classes of shingles; members of a region that is joined directly; divisions before a region is joined whatever its size.
@@ -229,8 +229,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     allowed = (F.col("a") < F.col("b")) & (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
     leaves = metric.bounds(x.join(y, "region").where(allowed).select("a", "b").distinct(), "leaves").where(F.col("lo") <= RADIUS + 1e-9)
     found = metric.exact(stars.union(leaves).groupBy("a", "b").agg(F.min("lo").alias("lo")), "first")
-    edges = found.where("linked").select("a", "b")
-    label = written(labelled(nodes, edges), "label")
+    label = written(labelled(nodes, found.where("linked")), "label")
 
     # Larger regions that still hold several components are divided, and at last joined.
     large = regions.where(f"size > {SMALL}")
@@ -248,8 +247,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         pivots = open_.where((F.col("node") == F.col("nearest")) | (F.pmod(F.xxhash64("node", F.lit(k)), F.col("size")) < PIVOTS)).select("region", F.col("node").alias("pivot"))
         each = open_.select("region", "node", "size").join(written(pivots.distinct(), f"pivots{k}"), "region")
         got = metric.exact(metric.bounds(each.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), f"to{k}"), f"voronoi{k}")
-        edges = edges.union(got.where("linked").select("a", "b"))
-        label = written(labelled(nodes, edges), f"label{k}")
+        label = merged(label, got.where("linked"), f"label{k}")
         both = got.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "lo", "hi").union(got.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "lo", "hi"))
         d = each.join(both, ["node", "pivot"], "left").select("region", "node", "pivot", "size", F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(0.0)).alias("hi"))
         least = d.groupBy("region", "node").agg(F.min("hi").alias("least"))
@@ -263,7 +261,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     rest = written(rest.join(label.withColumnRenamed("id", "node"), "node").join(n_of, "node"), "rest")
     last = metric.bounds(cross_pairs(rest, "last"), "last")
     more = metric.exact(last.where(F.col("lo") <= RADIUS + 1e-9), "more")
-    label = written(labelled(nodes, edges.union(more.where("linked").select("a", "b"))), "final")
+    label = merged(label, more.where("linked"), "final")
 
     final = of.select("id", "rep").distinct().join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select("id", F.coalesce("component_id", "rep").alias("component_id"))
     out = all_.where("n >= 0").select("id", F.col("n").alias("n_shingles")).join(final, "id", "left")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opslake.llm import op6_repeats, op7_jaccard, op8_embeddings
-from opslake.llm.common import labelled
+from opslake.llm.common import labelled, merged
 
 SCHEMA = "doc_id long, text string"
 
@@ -158,3 +158,13 @@ def test_labels_of_a_chain(spark):
     edges = spark.range(149).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = {r.id: r.component_id for r in labelled(nodes, edges).collect()}
     assert got == {i: 0 if i < 150 else i for i in range(200)}
+
+
+def test_merged_labels_equal_labels_of_all_edges(spark):
+    nodes = spark.range(40)
+    first = spark.createDataFrame([(1, 2), (2, 3), (10, 11), (20, 21), (21, 30)], "a long, b long")
+    more = spark.createDataFrame([(11, 3), (30, 10), (1, 3), (35, 36)], "a long, b long")
+    want = {(r.id, r.component_id) for r in labelled(nodes, first.union(more)).collect()}
+    assert {(r.id, r.component_id) for r in merged(labelled(nodes, first), more, "merged").collect()} == want
+    same = merged(labelled(nodes, first), spark.createDataFrame([(1, 3)], "a long, b long"), "same")
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, labelled(nodes, first).collect()))
