@@ -1,45 +1,58 @@
 """N-gram Jaccard join in the metric space of shingle sets.
 
 The Jaccard distance is a metric, so pivots order the documents: two documents that link lie in the same region.
-Regions at first are the cells of single shingles: linked documents share one of the first fifth of their shingles in any
-common order, so each document belongs to these cells only. In each cell a pivot document is compared with the members.
-Cells that still hold several components are divided again: members go to the Voronoi region of their nearest pivot, and,
-as the triangle inequality asks, to every region whose pivot is at most twice the link radius farther. Small regions are
-joined exactly. Distances from every document to fixed hash classes of shingles bound a pair's distance from below, so
-that most pairs need no text.
+First a screen: a document that links with another has at most a fifth of its shingles to itself, so that those with more
+such shingles among their first two fifths (in the order of the hashes) are done. Regions of the others are the cells of
+single shingles: linked documents share one of the first fifth of their shingles in any common order, and in the order that
+puts rare shingles first only documents that share most of their shingles meet. In each cell a pivot document is compared
+with the members. Cells that still hold several components are divided again: members go to the Voronoi region of their
+nearest pivot, and, as the triangle inequality asks, to every region whose pivot is at most twice the link radius farther.
+Small regions are joined exactly. Distances from every document to fixed hash classes of shingles bound a pair's distance
+from below, so that most pairs need no comparison of sets.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslake.llm.common import BROADCAST_IDS, bounded_batches, labelled, merged, written
 
 WORDS, PERCENT = 5, 80
 #: Hash classes of shingles; members of a region that is joined directly; divisions before a region is joined whatever its size.
-CLASSES, SMALL, DIVISIONS, PIVOTS = 32, 12, 2, 4
-#: A shingle in so many prefixes, and at least this share of all, goes last in the order. The list of them has at most 1 / share entries.
-COMMON, COMMON_SHARE = 20, 1 / 400_000
+CLASSES, SMALL, DIVISIONS, PIVOTS = 128, 12, 2, 4
+#: Word hashes that a task remembers.
+REMEMBERED = 1 << 18
 RADIUS = 1 - PERCENT / 100
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
+class WordHashes(dict):
+    """Hashes of words, computed when first asked for; forgotten when too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_WORD = WordHashes()
+
+
 def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles of the whole text; one for all words if there are fewer."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    h = np.fromiter(map(_WORD.__getitem__, words), np.uint64, len(words))
     if len(h) < k:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64)
     s = np.zeros(len(h) - k + 1, np.uint64)
@@ -50,71 +63,80 @@ def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
     return np.unique(s)
 
 
-def prefix_size(n: int, percent: int = PERCENT) -> int:
+def prefix_size(n: int | np.ndarray, percent: int = PERCENT) -> int | np.ndarray:
     """Of n shingles, how many first ones meet those of every set that is near enough."""
     return n - -(-percent * n // 100) + 1
 
 
-def described(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n, c1, c2, counts, common, times): size, fingerprint and counts by hash class of each document.
+def screened(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, n, firsts): size of each document's set, and of its first two fifths the shingles that no other document of the batch has.
 
-    Each partition adds a row without size, with the shingles that several of its prefixes hold and how many do.
+    Each batch adds a row of size -1 without id, with the shingles that several of its documents have: a shingle of very
+    many documents is sent on once for each batch.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = []
         for b in batches:
-            out = []
-            for i, t in zip(b["id"], b["t"], strict=True):
-                s = shingles(t)
-                mixed = (s ^ (s >> np.uint64(29))) * _MUL[1]
-                c1, c2 = (np.bitwise_xor.reduce(mixed), np.add.reduce(mixed ^ (mixed >> np.uint64(32)), dtype=np.uint64)) if len(s) else (np.uint64(0), np.uint64(0))
-                counts = np.bincount((mixed >> np.uint64(59)).astype(np.int64), minlength=CLASSES).astype(np.int32).tobytes()
-                out.append((i, len(s), c1.astype(np.int64), c2.astype(np.int64), counts, [], []))
-                held.append(s[: prefix_size(len(s))] if len(s) else s)
-            yield pd.DataFrame(out, columns=["id", "n", "c1", "c2", "counts", "common", "times"]).astype({"id": "Int64"})
-        tok, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-        yield pd.DataFrame({"id": [None], "n": [-1], "c1": [0], "c2": [0], "counts": [b""], "common": [tok[n > 1].astype(np.int64)], "times": [n[n > 1]]}).astype({"id": "Int64"})
+            sets = [shingles(t) for t in b["t"]]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            ahead = np.minimum(2 * (prefix_size(sizes) - 1) + 1, sizes)
+            every = np.concatenate([s[:k] for s, k in zip(sets, ahead, strict=True)]) if len(sets) else np.zeros(0, np.uint64)
+            tok, at, n = np.unique(every, return_index=True, return_counts=True)
+            own = np.zeros(len(every), bool)
+            own[at[n == 1]] = True
+            ends = np.cumsum(ahead)
+            firsts = [every[e - k : e][own[e - k : e]].astype(np.int64) for e, k in zip(ends, ahead, strict=True)]
+            yield pd.DataFrame({"id": [*b["id"], None], "n": [*sizes, -1], "firsts": [*firsts, tok[n > 1].astype(np.int64)]}).astype({"id": "Int64"})
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, c1 long, c2 long, counts binary, common array<long>, times array<long>")
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, firsts array<long>")
 
 
-def common_shingles(described_: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that very many prefixes hold, and how many hold them. A bounded list; it only sets the order."""
-    total = described_.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] * RADIUS
-    least = max(COMMON, total * COMMON_SHARE)
-    each = described_.where("n < 0").select(F.explode(F.arrays_zip("common", "times")).alias("x")).select("x.common", "x.times")
-    hot = each.groupBy("common").agg(F.sum("times").alias("times")).where(F.col("times") >= least).toPandas().sort_values("common")
-    return hot["common"].to_numpy(np.int64), hot["times"].to_numpy(np.int64)
+def candidates(screen: DataFrame) -> DataFrame:
+    """(id): distinct ids of the documents of which few enough first shingles are theirs alone."""
+    each = screen.select("id", F.explode("firsts").alias("tok")).groupBy("tok").agg(F.count("*").alias("c"), F.min("id").alias("id"))
+    alone = each.where("c = 1 and id is not null").groupBy("id").agg(F.count("*").alias("alone"))
+    sized = screen.where("n > 0 and id is not null").select("id", "n").distinct()
+    return sized.join(alone, "id", "left").where((100 - PERCENT) * F.col("n") >= 100 * F.coalesce("alone", F.lit(0))).select("id").distinct()
 
 
-def prefixes(docs: DataFrame, described_: DataFrame, key: str, text: str) -> DataFrame:
-    """(tok, id): each document's first shingles in the order of their hashes that puts common ones last."""
-    hot = docs.sparkSession.sparkContext.broadcast(common_shingles(described_))
+def described(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, n, c1, c2, counts, s): size, fingerprint, counts by hash class and sorted shingles of each document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t, n = hot.value
         for b in batches:
             out = []
-            for i, x in zip(b["id"], b["t"], strict=True):
-                s = shingles(x)
-                if len(s):
-                    last = np.zeros(len(s), np.int64)
-                    if len(t):
-                        at = np.minimum(np.searchsorted(t, s.astype(np.int64)), len(t) - 1)
-                        last = np.where(t[at] == s.astype(np.int64), n[at], 0)
-                    out.append((i, s[np.lexsort((s, last))[: prefix_size(len(s))]].astype(np.int64)))
-            yield pd.DataFrame(out, columns=["id", "prefix"])
+            for i, t in zip(b["id"], b["t"], strict=True):
+                s = shingles(t)
+                mixed = (s ^ (s >> np.uint64(29))) * _MUL[1]
+                c1, c2 = np.bitwise_xor.reduce(mixed), np.add.reduce(mixed ^ (mixed >> np.uint64(32)), dtype=np.uint64)
+                counts = np.bincount((mixed >> np.uint64(57)).astype(np.int64), minlength=CLASSES).astype(np.int32).tobytes()
+                out.append((i, len(s), c1.astype(np.int64), c2.astype(np.int64), counts, s.astype(np.int64)))
+            yield pd.DataFrame(out, columns=["id", "n", "c1", "c2", "counts", "s"])
+
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, c1 long, c2 long, counts binary, s array<long>")
 
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
-    return written(rows.mapInPandas(run, "id long, prefix array<long>"), "prefixes").select(F.explode("prefix").alias("tok"), "id")
+
+def cells(sets: DataFrame) -> DataFrame:
+    """(region, node): for each of a document's first shingles, rare ones first, its cell; of cells with the same documents one."""
+    tokens = sets.select("id", "n", F.explode("s").alias("tok"))
+    shared = written(tokens.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1"), "shared")
+    own = Window.partitionBy("id")
+    ranked = tokens.join(shared, "tok").select("id", "n", "tok", F.row_number().over(own.orderBy("df", "tok")).alias("k"), F.count("*").over(own).alias("c"))
+    # The shingles that no other document has come first; they need no cell.
+    first = written(ranked.where((F.col("k") + F.col("n") - F.col("c")) <= F.floor((100 - PERCENT) * F.col("n") / 100) + 1).select(F.col("tok").alias("region"), F.col("id").alias("node")), "first-cells")
+    members = first.groupBy("region").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.min("node").alias("low")).where("c > 1")
+    kept = written(members.groupBy("c", "x", "y", "low").agg(F.min("region").alias("region")).select("region"), "kept-cells")
+    return first.join(kept, "region")
 
 
 class Metric:
-    """Distances between representatives: bounds from the hash classes, and exact ones from the texts where a link is possible."""
+    """Distances between representatives: bounds from the hash classes, and exact ones from the sets where a link is possible.
+
+    sets: (id, n, counts, s), bucketed by id, so that the joins move the pairs alone.
+    """
 
-    def __init__(self, docs: DataFrame, sizes: DataFrame, key: str, text: str):
-        self.docs, self.sizes = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")), sizes
+    def __init__(self, sets: DataFrame):
+        self.sets = sets
 
     def bounds(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, lo): the least distance that the counts by hash class leave for distinct pairs (a, b)."""
@@ -128,51 +150,25 @@ class Metric:
                     # The triangle inequality of the symmetric difference; with it, union = (total + difference) / 2.
                     yield pd.DataFrame({"a": g["a"], "b": g["b"], "lo": 2 * apart / (total + apart)})
 
-        side = lambda x: self.sizes.select(F.col("id").alias(x), F.col("counts").alias(f"c{x}"))
+        side = lambda x: self.sets.select(F.col("id").alias(x), F.col("counts").alias(f"c{x}"))
         return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ca", "cb").mapInPandas(run, "a long, b long, lo double"), name)
 
-    def texts(self, pairs: DataFrame) -> DataFrame:
-        """(id, z): packed texts of the pairs' documents, bucketed by id, so that the joins that follow move the pairs alone."""
-
-        def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            z = zstandard.ZstdCompressor(level=3)
-            for b in batches:
-                yield pd.DataFrame({"id": b["id"], "z": [z.compress((t or "").encode("utf-8", "surrogatepass").lower()) for t in b["t"]]})
-
-        spark = pairs.sparkSession
-        ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-        few = ids.count() <= BROADCAST_IDS
-        n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"llm_pairs_{uuid.uuid4().hex}"
-        rows = self.docs.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInPandas(pack, "id long, z binary")
-        rows.repartition(n, "id").dropDuplicates(["id"]).write.option("compression", "uncompressed").bucketBy(n, "id").sortBy("id").saveAsTable(name)
-        return spark.table(name)
-
     def exact(self, bounded: DataFrame, name: str) -> DataFrame:
         """(a, b, lo, hi, linked): bounds of the distance; both are the distance itself where a link is possible at all."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            z, kept = zstandard.ZstdDecompressor(), OrderedDict()
-
-            def of(i: int, packed: bytes) -> np.ndarray:
-                if i not in kept:
-                    kept[i] = shingles(z.decompress(packed).decode("utf-8", "surrogatepass"))
-                    if len(kept) > 64:
-                        kept.popitem(last=False)
-                return kept[i]
-
             for g in batches:
                 out = []
-                for a, b, za, zb in zip(g["a"], g["b"], g["za"], g["zb"], strict=True):
-                    x, y = of(a, za), of(b, zb)
+                for a, b, x, y in zip(g["a"], g["b"], g["sa"], g["sb"], strict=True):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     either = len(x) + len(y) - both
                     out.append((a, b, 1 - both / either, 1 - both / either, 100 * both >= PERCENT * either))
                 yield pd.DataFrame(out, columns=["a", "b", "lo", "hi", "linked"])
 
         near, far = bounded.where(F.col("lo") <= RADIUS + 1e-9), bounded.where(F.col("lo") > RADIUS + 1e-9)
-        t = self.texts(near)
-        rows = near.join(t.select(F.col("id").alias("a"), F.col("z").alias("za")), "a").join(t.select(F.col("id").alias("b"), F.col("z").alias("zb")), "b")
-        known = written(rows.select("a", "b", "za", "zb").mapInPandas(run, "a long, b long, lo double, hi double, linked boolean"), name)
+        side = lambda x: self.sets.select(F.col("id").alias(x), F.col("s").alias(f"s{x}"))
+        rows = near.join(side("a"), "a").join(side("b"), "b")
+        known = written(rows.select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long, lo double, hi double, linked boolean"), name)
         return known.unionByName(far.select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked")))
 
 
@@ -207,20 +203,23 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    all_ = written(described(docs, key, text), "described")
-    known = all_.where("n > 0 and id is not null").select("id", "n", "c1", "c2", "counts")
+    screen = written(screened(docs, key, text), "screen")
+    asked = written(candidates(screen), "candidates")
+    few = asked.count() <= BROADCAST_IDS
+    ids = asked.withColumnRenamed("id", key)
+    described_ = written(described(docs.where(F.col(key).isNotNull()).join(F.broadcast(ids) if few else ids, key, "left_semi"), key, text), "described")
+    known = described_.select("id", "n", "c1", "c2")
     reps = written(known.groupBy("c1", "c2", "n").agg(F.min("id").alias("rep")), "reps")
-    of = written(known.select("id", "c1", "c2", "n").join(reps, ["c1", "c2", "n"]).select("id", "rep", "n"), "of")
-    tokens = prefixes(docs, all_, key, text)
-    shared = written(tokens.groupBy("tok").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("tok"), "shared")
-    cells = tokens.join(shared, "tok").join(of.select("id", "rep").distinct(), "id").groupBy("tok", "rep").agg(F.lit(1).alias("one"))
-    regions = written(cells.select(F.col("tok").alias("region"), F.col("rep").alias("node")), "regions")
+    of = written(known.join(reps, ["c1", "c2", "n"]).select("id", "rep").distinct(), "of")
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"llm_sets_{uuid.uuid4().hex}"
+    sets = described_.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]).select("id", "n", "counts", "s")
+    sets.repartition(buckets, "id").write.bucketBy(buckets, "id").sortBy("id").saveAsTable(name)
+    sets = spark.table(name)
+    regions = written(cells(sets), "regions")
     firsts = written(regions.groupBy("region").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "pivots")
     regions = written(regions.join(firsts, "region").select("region", "node", "pivot", "size"), "members")
-    sizes = known.select("id", "n", "counts").join(regions.select(F.col("node").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
-    sizes = written(sizes, "sizes")
-    metric, nodes = Metric(docs, sizes, key, text), sizes.select("id")
-    n_of = sizes.select(F.col("id").alias("node"), "n")
+    metric, nodes = Metric(sets), regions.select(F.col("node").alias("id")).distinct()
+    n_of = sets.select(F.col("id").alias("node"), "n")
 
     # Every member against its region's pivot, and all against all where the region is small.
     stars = metric.bounds(regions.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
@@ -263,6 +262,6 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     more = metric.exact(last.where(F.col("lo") <= RADIUS + 1e-9), "more")
     label = merged(label, more.where("linked"), "final")
 
-    final = of.select("id", "rep").distinct().join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select("id", F.coalesce("component_id", "rep").alias("component_id"))
-    out = all_.where("n >= 0").select("id", F.col("n").alias("n_shingles")).join(final, "id", "left")
+    final = of.join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select("id", F.coalesce("component_id", "rep").alias("component_id"))
+    out = screen.where("n >= 0").select("id", F.col("n").alias("n_shingles")).join(final, "id", "left")
     return out.select(F.col("id").alias(key), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))

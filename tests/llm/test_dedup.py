@@ -74,7 +74,6 @@ def test_repeats_of_nothing(spark):
 @pytest.mark.parametrize("small", [48, 3])
 def test_components(spark, docs, corpus, monkeypatch, small):
     monkeypatch.setattr(op7_jaccard, "SMALL", small)
-    monkeypatch.setattr(op7_jaccard, "COMMON", 6)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in op7_jaccard.components(docs).collect()}
     assert got == brute_components(corpus)
 
