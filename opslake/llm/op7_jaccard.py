@@ -27,32 +27,17 @@ from opslake.llm.common import BROADCAST_IDS, bounded_batches, labelled, merged,
 WORDS, PERCENT = 5, 80
 #: Hash classes of shingles; members of a region that is joined directly; divisions before a region is joined whatever its size.
 CLASSES, SMALL, DIVISIONS, PIVOTS = 128, 12, 2, 4
-#: Word hashes that a task remembers.
-REMEMBERED = 1 << 18
 RADIUS = 1 - PERCENT / 100
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-class WordHashes(dict):
-    """Hashes of words, computed when first asked for; forgotten when too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_WORD = WordHashes()
-
-
 def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles of the whole text; one for all words if there are fewer."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORD.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if len(h) < k:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64)
     s = np.zeros(len(h) - k + 1, np.uint64)
@@ -60,7 +45,8 @@ def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
         x = (h[j : len(h) - k + 1 + j] + np.uint64(j + 1)) * _MUL[j % 5]
         s = (s ^ x ^ (x >> np.uint64(31))) * _MUL[(j + 1) % 5]
     s ^= s >> np.uint64(32)
-    return np.unique(s)
+    s.sort()
+    return s[np.append(True, s[1:] != s[:-1])]
 
 
 def prefix_size(n: int | np.ndarray, percent: int = PERCENT) -> int | np.ndarray:
@@ -117,7 +103,7 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def cells(sets: DataFrame) -> DataFrame:
-    """(region, node): for each of a document's first shingles, rare ones first, its cell; of cells with the same documents one."""
+    """(region, node, pivot, size): for each of a document's first shingles, rare ones first, its cell; of cells with the same documents one."""
     tokens = sets.select("id", "n", F.explode("s").alias("tok"))
     shared = written(tokens.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1"), "shared")
     own = Window.partitionBy("id")
@@ -125,8 +111,8 @@ def cells(sets: DataFrame) -> DataFrame:
     # The shingles that no other document has come first; they need no cell.
     first = written(ranked.where((F.col("k") + F.col("n") - F.col("c")) <= F.floor((100 - PERCENT) * F.col("n") / 100) + 1).select(F.col("tok").alias("region"), F.col("id").alias("node")), "first-cells")
     members = first.groupBy("region").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.min("node").alias("low")).where("c > 1")
-    kept = written(members.groupBy("c", "x", "y", "low").agg(F.min("region").alias("region")).select("region"), "kept-cells")
-    return first.join(kept, "region")
+    kept = written(members.groupBy("c", "x", "y", "low").agg(F.min("region").alias("region")).select("region", F.col("low").alias("pivot"), F.col("c").alias("size")), "kept-cells")
+    return first.join(kept, "region").select("region", "node", "pivot", "size")
 
 
 class Metric:
@@ -216,31 +202,34 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     sets.repartition(buckets, "id").write.bucketBy(buckets, "id").sortBy("id").saveAsTable(name)
     sets = spark.table(name)
     regions = written(cells(sets), "regions")
-    firsts = written(regions.groupBy("region").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "pivots")
-    regions = written(regions.join(firsts, "region").select("region", "node", "pivot", "size"), "members")
     metric, nodes = Metric(sets), regions.select(F.col("node").alias("id")).distinct()
     n_of = sets.select(F.col("id").alias("node"), "n")
 
     # Every member against its region's pivot, and all against all where the region is small.
-    stars = metric.bounds(regions.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    stars = regions.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     small = regions.where(f"size <= {SMALL} and node <> pivot").select("region", "node").join(n_of, "node")
     x, y = (small.select("region", F.col("node").alias(k), F.col("n").alias(f"n{k}")) for k in "ab")
     allowed = (F.col("a") < F.col("b")) & (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
-    leaves = metric.bounds(x.join(y, "region").where(allowed).select("a", "b").distinct(), "leaves").where(F.col("lo") <= RADIUS + 1e-9)
-    found = metric.exact(stars.union(leaves).groupBy("a", "b").agg(F.min("lo").alias("lo")), "first")
+    leaves = x.join(y, "region").where(allowed).select("a", "b")
+    found = metric.exact(stars.union(leaves).distinct().withColumn("lo", F.lit(0.0)), "first")
     label = written(labelled(nodes, found.where("linked")), "label")
 
-    # Larger regions that still hold several components are divided, and at last joined.
+    # Larger regions that still hold several components are divided, and at last joined. Where hardly more members than
+    # the pivots of a division are outside the largest component, these meet all others at once, as pivots would.
     large = regions.where(f"size > {SMALL}")
     to_pivot = found.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "lo", "hi")
-    itself = firsts.select(F.col("pivot").alias("node"), "pivot").distinct().select("node", "pivot", F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"))
+    itself = regions.select(F.col("pivot").alias("node"), "pivot").distinct().select("node", "pivot", F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"))
     open_ = large.join(to_pivot.union(itself), ["node", "pivot"]).select("region", "node", "lo", "hi")
     done = None
     for k in range(DIVISIONS):
         seen = open_.join(label.withColumnRenamed("id", "node"), "node")
-        several = seen.groupBy("region").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"), F.count("*").alias("size"), F.min(F.when(F.col("hi") > 0, F.struct("hi", "node"))).getField("node").alias("nearest")).where("x < y").select("region", "size", "nearest")
-        several = written(several, f"several{k}")
-        open_ = written(open_.join(several, "region"), f"open{k}")
+        parts = seen.groupBy("region", "component_id").agg(F.count("*").alias("c"), F.min(F.when(F.col("hi") > 0, F.struct("hi", "node"))).alias("near"))
+        several = parts.groupBy("region").agg(F.sum("c").alias("size"), F.max("c").alias("most"), F.min("near").getField("node").alias("nearest")).where("most < size")
+        several = written(several.withColumn("divide", F.col("size") - F.col("most") > 2 * PIVOTS), f"several{k}")
+        kept = written(open_.join(several, "region"), f"open{k}")
+        direct = kept.where("not divide").select("region", "node", "lo", "hi")
+        done = direct if done is None else done.union(direct)
+        open_ = kept.where("divide").drop("divide", "most")
         if not open_.limit(1).count():
             break
         pivots = open_.where((F.col("node") == F.col("nearest")) | (F.pmod(F.xxhash64("node", F.lit(k)), F.col("size")) < PIVOTS)).select("region", F.col("node").alias("pivot"))
@@ -254,9 +243,9 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         # Where nearly all members would go to several regions, the region stays as it is.
         divides = within.groupBy("region", "size").agg(F.count("*").alias("rows")).where("rows <= 1.5 * size").select("region")
         whole = open_.join(divides, "region", "left_anti").select("region", "node", "lo", "hi")
-        done = whole if done is None else done.union(whole)
+        done = done.union(whole)
         open_ = written(within.join(divides, "region").select(F.xxhash64("region", "pivot").alias("region"), "node", "lo", "hi").groupBy("region", "node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), f"divided{k}")
-    rest = open_.select("region", "node", "lo", "hi") if done is None else done.union(open_.select("region", "node", "lo", "hi"))
+    rest = done.union(open_.select("region", "node", "lo", "hi"))
     rest = written(rest.join(label.withColumnRenamed("id", "node"), "node").join(n_of, "node"), "rest")
     last = metric.bounds(cross_pairs(rest, "last"), "last")
     more = metric.exact(last.where(F.col("lo") <= RADIUS + 1e-9), "more")
