@@ -2,7 +2,8 @@
 
 The Jaccard distance is a metric, so pivots order the documents: two documents that link lie in the same region.
 First a screen: a document that links with another has at most a fifth of its shingles to itself, so that those with more
-such shingles among their first two fifths (in the order of the hashes) are done. Regions of the others are the cells of
+such shingles among the hashes of the lowest two fifths are done. The limit is one hash for all documents whatever their
+size, so a shingle that two documents share is seen in both. Regions of the others are the cells of
 single shingles: linked documents share one of the first fifth of their shingles in any common order, and in the order that
 puts rare shingles first only documents that share most of their shingles meet. In each cell a pivot document is compared
 with the members. Cells that still hold several components are divided again: members go to the Voronoi region of their
@@ -28,6 +29,8 @@ WORDS, PERCENT = 5, 80
 #: Hash classes of shingles; members of a region that is joined directly; divisions before a region is joined whatever its size.
 CLASSES, SMALL, DIVISIONS, PIVOTS = 128, 12, 2, 4
 RADIUS = 1 - PERCENT / 100
+#: The screen sees the shingles below this hash, about two fifths of each set.
+SEEN = np.uint64((1 << 64) * 2 // 5)
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -55,7 +58,7 @@ def prefix_size(n: int | np.ndarray, percent: int = PERCENT) -> int | np.ndarray
 
 
 def screened(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n, firsts): size of each document's set, and of its first two fifths the shingles that no other document of the batch has.
+    """(id, n, firsts): size of each document's set, and of its shingles below SEEN those that no other document of the batch has.
 
     Each batch adds a row of size -1 without id, with the shingles that several of its documents have: a shingle of very
     many documents is sent on once for each batch.
@@ -65,7 +68,7 @@ def screened(docs: DataFrame, key: str, text: str) -> DataFrame:
         for b in batches:
             sets = [shingles(t) for t in b["t"]]
             sizes = np.array([len(s) for s in sets], np.int64)
-            ahead = np.minimum(2 * (prefix_size(sizes) - 1) + 1, sizes)
+            ahead = np.array([np.searchsorted(s, SEEN) for s in sets], np.int64)
             every = np.concatenate([s[:k] for s, k in zip(sets, ahead, strict=True)]) if len(sets) else np.zeros(0, np.uint64)
             tok, at, n = np.unique(every, return_index=True, return_counts=True)
             own = np.zeros(len(every), bool)
@@ -78,7 +81,7 @@ def screened(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def candidates(screen: DataFrame) -> DataFrame:
-    """(id): distinct ids of the documents of which few enough first shingles are theirs alone."""
+    """(id): distinct ids of the documents of which few enough shingles are seen to be theirs alone."""
     each = screen.select("id", F.explode("firsts").alias("tok")).groupBy("tok").agg(F.count("*").alias("c"), F.min("id").alias("id"))
     alone = each.where("c = 1 and id is not null").groupBy("id").agg(F.count("*").alias("alone"))
     sized = screen.where("n > 0 and id is not null").select("id", "n").distinct()

@@ -93,6 +93,20 @@ def test_components_of_star_shaped_group(spark, rng):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in op7_jaccard.components(df).collect()} == brute_components(texts)
 
 
+def test_components_of_texts_and_their_beginnings_and_ends(spark):
+    """Linked texts of different sizes, alone in the corpus but for each other, for all sizes at which rounding matters."""
+    texts = {}
+    for k in range(240):
+        n = 5 + k % 40
+        w = [f"t{k}w{j}" for j in range(n + 4)]
+        cut = max(1, n // 5)
+        texts[10 * k] = " ".join(w)
+        texts[10 * k + 1] = " ".join(w[cut:] if k % 80 >= 40 else w[:-cut])
+    df = spark.createDataFrame(list(texts.items()), SCHEMA)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in op7_jaccard.components(df).collect()}
+    assert got == brute_components(texts) and all(got[10 * k + 1][1] == 10 * k for k in range(240))
+
+
 def test_components_of_nothing(spark):
     assert op7_jaccard.components(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = op7_jaccard.components(spark.createDataFrame([(None, "a b"), (2, None), (3, "A b"), (3, "A b"), (4, "a\tB")], SCHEMA)).collect()
