@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed masks: the places that count in a window of ten words.
-MASKS = ((0, 1, 3, 6, 7, 9), (0, 2, 3, 5, 8, 9))
-SPAN = 10
-#: Shorter items are ignored; those below SPAN words must be met word for word.
-SHORTEST = 5
+#: Fixed masks: the places that count. At every place of a best segment more than two thirds of its words so far are equal
+#: (MISMATCH), so it begins with 3 equal words, another one and 2 equal ones; with 4, another one and an equal one; with 5 and
+#: another one; or with 6. One of the masks fits each of these beginnings, so every overlap is met.
+MASKS = ((0, 1, 2, 4, 5), (0, 1, 2, 3, 5), (0, 1, 2, 3, 4))
+#: Shorter items are ignored; those below WHOLE words must be met word for word.
+SHORTEST, WHOLE = 5, 10
 #: A segment scores 1 for an equal word and this for another one.
 MISMATCH = -2
 #: With more seeds than this the hashes are joined by a shuffle instead of a broadcast.
@@ -33,7 +34,7 @@ def seed(mask_id: Column | int, mask: tuple[int, ...], hashes: Column, at: Colum
 
 def needed(size: Column) -> Column:
     """Equal words that make an overlap with an item of so many words."""
-    return F.when(size < SPAN, size).otherwise(F.greatest(F.lit(8), F.least(F.lit(13), F.ceil(size * 0.6).cast("int"))))
+    return F.when(size < WHOLE, size).otherwise(F.greatest(F.lit(8), F.least(F.lit(13), F.ceil(size * 0.6).cast("int"))))
 
 
 def best_segment(doc: Column, item: Column, shift: Column) -> Column:
@@ -59,10 +60,10 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     meets, so the passage that very many texts share costs each of them the same, and nothing is grouped by it.
     """
     it = items.select(F.col(item_key).alias("item"), words(F.col(item_text)).alias("iw")).where(F.size("iw") >= SHORTEST).distinct()
-    short = sorted(r["n"] for r in it.where(F.size("iw") < SPAN).select(F.size("iw").alias("n")).distinct().collect())  # at most five lengths
+    short = sorted(r["n"] for r in it.where(F.size("iw") < WHOLE).select(F.size("iw").alias("n")).distinct().collect())  # at most five lengths
     masks = [*MASKS, *[tuple(range(n)) for n in short]]
-    spans = [*[SPAN] * len(MASKS), *short]
-    fits = [F.size("iw") >= SPAN if n == SPAN else F.size("iw") == n for n in spans]
+    spans = [*[m[-1] + 1 for m in MASKS], *short]
+    fits = [*[F.size("iw") >= WHOLE] * len(MASKS), *[F.size("iw") == n for n in short]]
     seeds = [it.where(f).select("item", F.explode(F.sequence(F.lit(0), F.size("iw") - n)).alias("j"), "iw").select("item", "j", seed(k, m, F.col("iw"), F.col("j")).alias("h")) for k, (m, n, f) in enumerate(zip(masks, spans, fits, strict=True))]
     all_seeds = seeds[0]
     for s in seeds[1:]:

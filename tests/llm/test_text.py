@@ -108,6 +108,43 @@ def test_overlaps(spark, rng, limit):
     assert op2_decontaminate.overlaps(d, i.limit(0)).count() == 0
 
 
+def test_masks_meet_every_accepted_pattern():
+    """All patterns of equal and other words for items of 10 to 25 words; those whose first or last word differs are as for shorter items."""
+    for n in range(10, 26):
+        inner = np.arange(1 << (n - 2), dtype=np.uint32)
+        bits = (inner << np.uint32(1)) | np.uint32(1) | np.uint32(1 << (n - 1))
+        s, m, bs, bm = (np.zeros(len(bits), np.int8) for _ in range(4))
+        for q in range(n):
+            same = (bits >> np.uint32(q) & np.uint32(1)).astype(bool)
+            s = s + np.where(same, np.int8(1), np.int8(-2))
+            m = np.where(s > 0, m + same, 0).astype(np.int8)
+            s = np.maximum(s, np.int8(0))
+            better = s > bs
+            bs, bm = np.where(better, s, bs), np.where(better, m, bm)
+        accepted = bits[bm >= max(8, min(13, -(-6 * n // 10)))]
+        met = np.zeros(len(accepted), bool)
+        for mask in op2_decontaminate.MASKS:
+            for j in range(n - mask[-1]):
+                want = np.uint32(sum(1 << (j + o) for o in mask))
+                met |= accepted & want == want
+        assert len(accepted) and met.all(), n
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_overlaps_with_substituted_words_are_all_found(spark, limit):
+    """Items of 10 to 20 words with one or two words substituted at any places, and long ones with every fourth substituted."""
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in (10, 11, 13, 20, 40)]
+    docs = []
+    for n, t in items:
+        changed = [{a, b} for a in range(n) for b in range(a, n)] if n < 20 else [{a, a + 7} for a in range(13)]
+        for c in [*changed, *[set(range(k, n, 4)) for k in range(4)]]:
+            docs.append((len(docs), "before it " + " ".join("subst" if k in c else w for k, w in enumerate(t.split())) + " after it"))
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in op2_decontaminate.overlaps(d, i, broadcast_seeds=limit).collect()}
+    want = brute_overlaps(docs, items)
+    assert got == want and len(want) > 100 and sum(k[1] == 40 for k in want) >= 4
+
+
 # 3
 
 
