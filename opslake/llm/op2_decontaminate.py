@@ -81,7 +81,9 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     if small:
         hits = places.join(F.broadcast(all_seeds), "h").join(F.broadcast(it), "item")
     else:
-        hits = places.select("key", "i", "h").join(all_seeds, "h").select("key", "item", "i", "j").distinct().join(d, "key").join(it, "item")
+        # Texts come back by what they hold, so that those with a null key, or several with one key, are not lost or mixed up.
+        same = F.col("row") == F.xxhash64("key", "dw")
+        hits = places.select(F.xxhash64("key", "dw").alias("row"), "i", "h").join(all_seeds, "h").select("row", "item", "i", "j").distinct().join(d, same).join(it, "item")
     found = hits.select("key", "item", F.size("iw").alias("item_words"), best_segment(F.col("dw"), F.col("iw"), F.col("i") - F.col("j")).alias("matched"))
     best = found.where(F.col("matched") >= needed(F.col("item_words"))).groupBy("key", "item").agg(F.max("matched").alias("matched"), F.max("item_words").alias("item_words"))
     return best.select(F.col("key").alias(key), F.col("item").alias("item_id"), "matched", "item_words")

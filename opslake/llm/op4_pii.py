@@ -169,10 +169,12 @@ def pseudonymize(docs: DataFrame, key: str = "public-example-key", text: str = "
         attempts = F.create_map(*[F.lit(x) for (t, c), a in pairs.items() for x in (f"{t}\u0001{c}", a)])
         attempt_of = lambda t, c: F.coalesce(F.try_element_at(attempts, F.concat_ws("\u0001", t, c)), F.lit(0))
     elif n:
-        e = d.select(F.col(doc_key).alias("__k"), F.explode("__e").alias("e")).withColumn("type", kind(F.col("e")))
+        # By a hash of key and text: a null key is one of many, and equal rows need the same map.
+        d = d.withColumn("__h", F.xxhash64(F.col(doc_key), F.col(text)))
+        e = d.select(F.col("__h").alias("__k"), F.explode("__e").alias("e")).withColumn("type", kind(F.col("e")))
         e = e.withColumn("canon", canonical(F.col("type"), F.col("e"))).join(moved, ["type", "canon"]).select("__k", F.concat_ws("\u0001", "type", "canon").alias("n"), "attempt").distinct()
         maps = e.groupBy("__k").agg(F.map_from_entries(F.collect_list(F.struct("n", "attempt"))).alias("__m"))
-        d = d.join(maps, d[doc_key] == maps["__k"], "left").drop("__k")
+        d = d.join(maps, F.col("__h") == F.col("__k"), "left").drop("__k")
         attempt_of = lambda t, c: F.coalesce(F.try_element_at(F.col("__m"), F.concat_ws("\u0001", t, c)), F.lit(0))
 
     def replaced(e: Column) -> Column:

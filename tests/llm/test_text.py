@@ -145,6 +145,15 @@ def test_overlaps_with_substituted_words_are_all_found(spark, limit):
     assert got == want and len(want) > 100 and sum(k[1] == 40 for k in want) >= 4
 
 
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_overlaps_of_texts_with_null_or_repeated_keys(spark, limit):
+    a, b = (" ".join(f"{x}{k}" for k in range(14)) for x in "ab")
+    d = spark.createDataFrame([(None, f"x {a} y"), (None, f"so {b}"), (None, None), (1, a), (1, b), (1, b)], "doc_id long, text string")
+    i = spark.createDataFrame([(7, a), (8, b)], "item_id long, text string")
+    got = sorted((r.doc_id or 0, r.item_id, r.matched) for r in op2_decontaminate.overlaps(d, i, broadcast_seeds=limit).collect())
+    assert got == [(0, 7, 14), (0, 8, 14), (1, 7, 14), (1, 8, 14)]
+
+
 # 3
 
 
@@ -220,6 +229,17 @@ def test_surrogates_stay_distinct(spark, monkeypatch, limit):
     assert len(set(new)) == len(old) and not set(new) & set(old) and {r.text.split()[3] for r in rows} == {new[0]}
 
 
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_surrogates_of_rows_with_null_keys_stay_distinct(spark, monkeypatch, limit):
+    monkeypatch.setattr(op4_pii, "MAP_LIMIT", limit)
+    monkeypatch.setattr(op4_pii, "ATTEMPTS", 40)
+    monkeypatch.setattr(op4_pii, "surrogate", lambda t, e, c, key, a: F.concat(F.lit("10.0."), F.pmod(F.xxhash64(c, a.cast("int")), F.lit(90)).cast("string"), F.lit(".7")))
+    old = [f"10.0.{k}.7" for k in range(30)]
+    df = spark.createDataFrame([(None, f"see {x}") for x in [*old, old[3]]], "doc_id long, text string")
+    new = [r.text.split()[1] for r in op4_pii.pseudonymize(df).collect()]
+    assert len(new) == 31 and len(set(new)) == 30 and not set(new) & set(old)
+
+
 def test_surrogates_of_nothing(spark):
     assert op4_pii.pseudonymize(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
