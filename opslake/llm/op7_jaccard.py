@@ -1,36 +1,42 @@
 """N-gram Jaccard join in the metric space of shingle sets.
 
-The Jaccard distance is a metric, so pivots order the documents: two documents that link lie in the same region.
-First a screen: a document that links with another has at most a fifth of its shingles to itself, so that those with more
-such shingles among the hashes of the lowest two fifths are done. The limit is one hash for all documents whatever their
-size, so a shingle that two documents share is seen in both. Regions of the others are the cells of
-single shingles: linked documents share one of the first fifth of their shingles in any common order, and in the order that
-puts rare shingles first only documents that share most of their shingles meet. In each cell a pivot document is compared
-with the members. Cells that still hold several components are divided again: members go to the Voronoi region of their
-nearest pivot, and, as the triangle inequality asks, to every region whose pivot is at most twice the link radius farther.
-Small regions are joined exactly. Distances from every document to fixed hash classes of shingles bound a pair's distance
-from below, so that most pairs need no comparison of sets.
+The Jaccard distance is a metric, and linked documents lie within a radius of 0.2.
+
+First a screen, since nearly all documents of a corpus are at distance 1 from all others: one that links has at most a fifth
+of its shingles to itself, so those with more of them among the hashes of the lowest three tenths are done. The limit is one
+hash for all sizes, so a shingle that two documents share is seen in both.
+
+The pivots of the first division are the shared shingles, taken as sets of one. A document lies as near to each of its own
+shingles and at distance 1 from the others; the tie is broken by one order for all, rare shingles first, and so each document
+has its Voronoi region. Windows copy a document to the regions of its further shingles as long as a document within the
+radius may have its first common shingle there: from place i on at most n - i shingles can be shared. For two documents of
+equal size that is a ninth of each.
+
+Each region has a pivot document, the one whose rarer shingles are fewest: of edited copies it is the one they were made from.
+All members are compared with it, and regions whose members are then in one component are done. In the others documents
+outside the largest component become pivots, meet all members that may link, and leave; what remains goes to the Voronoi
+region of the nearest of these pivots and, as the triangle inequality asks, to each whose pivot is at most twice the radius
+farther. That is repeated until every region is done, with four times as many pivots in each round.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslake.llm.common import BROADCAST_IDS, bounded_batches, labelled, merged, written
 
 WORDS, PERCENT = 5, 80
-#: Hash classes of shingles; members of a region that is joined directly; divisions before a region is joined whatever its size.
-CLASSES, SMALL, DIVISIONS, PIVOTS = 128, 12, 2, 4
 RADIUS = 1 - PERCENT / 100
-#: The screen sees the shingles below this hash, about two fifths of each set.
-SEEN = np.uint64((1 << 64) * 2 // 5)
+#: Pivots of a region in the first round.
+PIVOTS = 16
+#: The screen sees the shingles below this hash, about three tenths of each set.
+SEEN = np.uint64((1 << 64) * 3 // 10)
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -52,13 +58,14 @@ def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
     return s[np.append(True, s[1:] != s[:-1])]
 
 
-def prefix_size(n: int | np.ndarray, percent: int = PERCENT) -> int | np.ndarray:
-    """Of n shingles, how many first ones meet those of every set that is near enough."""
-    return n - -(-percent * n // 100) + 1
+def prints(s: np.ndarray) -> tuple[np.int64, np.int64]:
+    """128 bits that name a set of shingles."""
+    mixed = (s ^ (s >> np.uint64(29))) * _MUL[1]
+    return np.bitwise_xor.reduce(mixed).astype(np.int64), np.add.reduce(mixed ^ (mixed >> np.uint64(32)), dtype=np.uint64).astype(np.int64)
 
 
 def screened(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n, firsts): size of each document's set, and of its shingles below SEEN those that no other document of the batch has.
+    """(id, n, c1, c2, firsts): size and name of each document's set, and of its shingles below SEEN those that no other document of the batch has.
 
     Each batch adds a row of size -1 without id, with the shingles that several of its documents have: a shingle of very
     many documents is sent on once for each batch.
@@ -75,110 +82,92 @@ def screened(docs: DataFrame, key: str, text: str) -> DataFrame:
             own[at[n == 1]] = True
             ends = np.cumsum(ahead)
             firsts = [every[e - k : e][own[e - k : e]].astype(np.int64) for e, k in zip(ends, ahead, strict=True)]
-            yield pd.DataFrame({"id": [*b["id"], None], "n": [*sizes, -1], "firsts": [*firsts, tok[n > 1].astype(np.int64)]}).astype({"id": "Int64"})
+            c1, c2 = zip(*map(prints, sets)) if sets else ((), ())
+            yield pd.DataFrame({"id": [*b["id"], None], "n": [*sizes, -1], "c1": [*c1, 0], "c2": [*c2, 0], "firsts": [*firsts, tok[n > 1].astype(np.int64)]}).astype({"id": "Int64"})
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, firsts array<long>")
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, c1 long, c2 long, firsts array<long>")
 
 
-def candidates(screen: DataFrame) -> DataFrame:
-    """(id): distinct ids of the documents of which few enough shingles are seen to be theirs alone."""
+def candidates(screen: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id): representatives of which few enough shingles are seen to be theirs alone."""
     each = screen.select("id", F.explode("firsts").alias("tok")).groupBy("tok").agg(F.count("*").alias("c"), F.min("id").alias("id"))
     alone = each.where("c = 1 and id is not null").groupBy("id").agg(F.count("*").alias("alone"))
-    sized = screen.where("n > 0 and id is not null").select("id", "n").distinct()
-    return sized.join(alone, "id", "left").where((100 - PERCENT) * F.col("n") >= 100 * F.coalesce("alone", F.lit(0))).select("id").distinct()
+    return reps.select(F.col("rep").alias("id"), "n").join(alone, "id", "left").where((100 - PERCENT) * F.col("n") >= 100 * F.coalesce("alone", F.lit(0))).select("id")
 
 
-def described(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n, c1, c2, counts, s): size, fingerprint, counts by hash class and sorted shingles of each document."""
+def sets_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, n, s): size and sorted shingles of each document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for i, t in zip(b["id"], b["t"], strict=True):
-                s = shingles(t)
-                mixed = (s ^ (s >> np.uint64(29))) * _MUL[1]
-                c1, c2 = np.bitwise_xor.reduce(mixed), np.add.reduce(mixed ^ (mixed >> np.uint64(32)), dtype=np.uint64)
-                counts = np.bincount((mixed >> np.uint64(57)).astype(np.int64), minlength=CLASSES).astype(np.int32).tobytes()
-                out.append((i, len(s), c1.astype(np.int64), c2.astype(np.int64), counts, s.astype(np.int64)))
-            yield pd.DataFrame(out, columns=["id", "n", "c1", "c2", "counts", "s"])
+            sets = [shingles(t).astype(np.int64) for t in b["t"]]
+            yield pd.DataFrame({"id": b["id"], "n": np.array([len(s) for s in sets], np.int64), "s": sets})
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, c1 long, c2 long, counts binary, s array<long>")
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, s array<long>")
 
 
-def cells(sets: DataFrame) -> DataFrame:
-    """(region, node, pivot, size): for each of a document's first shingles, rare ones first, its cell; of cells with the same documents one."""
+def regions_of(sets: DataFrame) -> DataFrame:
+    """(region, node, n, i): each document in the regions of its first shared shingles, rare ones first, as far as the windows reach.
+
+    i is the shingle's place in the document; the shingles that no other document has come before all shared ones.
+    """
     tokens = sets.select("id", "n", F.explode("s").alias("tok"))
     shared = written(tokens.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1"), "shared")
-    own = Window.partitionBy("id")
-    ranked = tokens.join(shared, "tok").select("id", "n", "tok", F.row_number().over(own.orderBy("df", "tok")).alias("k"), F.count("*").over(own).alias("c"))
-    # The shingles that no other document has come first; they need no cell.
-    first = written(ranked.where((F.col("k") + F.col("n") - F.col("c")) <= F.floor((100 - PERCENT) * F.col("n") / 100) + 1).select(F.col("tok").alias("region"), F.col("id").alias("node")), "first-cells")
-    members = first.groupBy("region").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.min("node").alias("low")).where("c > 1")
-    kept = written(members.groupBy("c", "x", "y", "low").agg(F.min("region").alias("region")).select("region", F.col("low").alias("pivot"), F.col("c").alias("size")), "kept-cells")
-    return first.join(kept, "region").select("region", "node", "pivot", "size")
+    # At most as many entries as the document has shingles.
+    own = tokens.join(shared, "tok").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("t"))
+    own = own.withColumn("before", F.col("n") - F.size("t")).withColumn("reach", F.floor((100 - PERCENT) * F.col("n") / 100) - F.col("before") + 1).where("reach > 0")
+    placed = own.select("id", "n", "before", F.posexplode(F.slice("t", 1, F.col("reach").cast("int"))).alias("at", "t"))
+    return placed.select(F.col("t.tok").alias("region"), F.col("id").alias("node"), "n", (F.col("before") + F.col("at")).alias("i"))
 
 
-class Metric:
-    """Distances between representatives: bounds from the hash classes, and exact ones from the sets where a link is possible.
+def may_link(n1: Column, i1: Column, n2: Column, i2: Column) -> Column:
+    """Whether two documents whose first common shingle has the places i1 and i2 can share enough."""
+    return (100 + PERCENT) * F.least(n1 - i1, n2 - i2) >= PERCENT * (n1 + n2)
 
-    sets: (id, n, counts, s), bucketed by id, so that the joins move the pairs alone.
-    """
 
-    def __init__(self, sets: DataFrame):
-        self.sets = sets
+def compared(sets: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """(a, b, d, linked): the distance of each pair (a, b) of documents, and whether they link."""
 
-    def bounds(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(a, b, lo): the least distance that the counts by hash class leave for distinct pairs (a, b)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in batches:
+            both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(g["sa"], g["sb"], strict=True)], np.int64)
+            either = g["sa"].map(len).to_numpy(np.int64) + g["sb"].map(len).to_numpy(np.int64) - both
+            yield pd.DataFrame({"a": g["a"], "b": g["b"], "d": 1 - both / either, "linked": 100 * both >= PERCENT * either})
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for g in batches:
-                if len(g):
-                    x = np.frombuffer(b"".join(g["ca"]), np.int32).reshape(len(g), CLASSES)
-                    y = np.frombuffer(b"".join(g["cb"]), np.int32).reshape(len(g), CLASSES)
-                    apart, total = np.abs(x - y).sum(1), x.sum(1) + y.sum(1)
-                    # The triangle inequality of the symmetric difference; with it, union = (total + difference) / 2.
-                    yield pd.DataFrame({"a": g["a"], "b": g["b"], "lo": 2 * apart / (total + apart)})
+    asked = sets.join(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "id", "left_semi")
+    side = lambda x: asked.select(F.col("id").alias(x), F.col("s").alias(f"s{x}"))
+    rows = pairs.join(side("a"), "a").join(side("b"), "b")
+    return written(rows.select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long, d double, linked boolean"), name)
 
-        side = lambda x: self.sets.select(F.col("id").alias(x), F.col("counts").alias(f"c{x}"))
-        return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ca", "cb").mapInPandas(run, "a long, b long, lo double"), name)
 
-    def exact(self, bounded: DataFrame, name: str) -> DataFrame:
-        """(a, b, lo, hi, linked): bounds of the distance; both are the distance itself where a link is possible at all."""
+def ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for g in batches:
-                out = []
-                for a, b, x, y in zip(g["a"], g["b"], g["sa"], g["sb"], strict=True):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    either = len(x) + len(y) - both
-                    out.append((a, b, 1 - both / either, 1 - both / either, 100 * both >= PERCENT * either))
-                yield pd.DataFrame(out, columns=["a", "b", "lo", "hi", "linked"])
 
-        near, far = bounded.where(F.col("lo") <= RADIUS + 1e-9), bounded.where(F.col("lo") > RADIUS + 1e-9)
-        side = lambda x: self.sets.select(F.col("id").alias(x), F.col("s").alias(f"s{x}"))
-        rows = near.join(side("a"), "a").join(side("b"), "b")
-        known = written(rows.select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long, lo double, hi double, linked boolean"), name)
-        return known.unionByName(far.select("a", "b", "lo", F.lit(1.0).alias("hi"), F.lit(False).alias("linked")))
+def opened(regions: DataFrame, label: DataFrame, name: str) -> DataFrame:
+    """(region, node, n, i, component_id, main, size, outside): the regions that hold several components, with the largest and the number of members outside it."""
+    seen = regions.join(label.withColumnRenamed("id", "node"), "node")
+    per = seen.groupBy("region", "component_id").agg(F.count("*").alias("c"))
+    several = per.groupBy("region").agg(F.sum("c").alias("size"), F.max(F.struct("c", "component_id")).alias("m")).where("m.c < size")
+    several = several.select("region", "size", F.col("m.component_id").alias("main"), (F.col("size") - F.col("m.c")).alias("outside"))
+    return written(seen.join(several, "region").select("region", "node", "n", "i", "component_id", "main", "size", "outside"), name)
 
 
-def cross_pairs(regions: DataFrame, name: str) -> DataFrame:
-    """(a, b): distinct pairs of one region that differ in component and that sizes and distances to the region's pivot allow.
+def divided(rest: DataFrame, pivots: DataFrame, got: DataFrame, name: str) -> DataFrame:
+    """(region, node, n, i): rest, the members of open regions, in the Voronoi regions of the pivots and their windows.
 
-    Members outside the region's largest component meet all others; those inside it meet no one of their own. regions:
-    (region, node, component_id, n, lo, hi).
+    got holds distances of pairs; those of others lie between what the sizes leave and 1. A region stays whole where
+    its parts would hold more pairs to look at than it does.
     """
-    per = regions.groupBy("region", "component_id").agg(F.count("*").alias("c"))
-    most = per.groupBy("region").agg(F.max(F.struct("c", "component_id")).getField("component_id").alias("main"))
-    marked = written(regions.join(most, "region"), f"{name}-marked")
-    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("node", "component_id", "n", "lo", "hi")]
-    a = marked.where("component_id <> main").select("region", "main", *side(1))
-    b = marked.select("region", *side(2))
-    allowed = (
-        (F.col("component_id1") != F.col("component_id2")) & ((F.col("component_id2") == F.col("main")) | (F.col("node1") < F.col("node2")))
-        & (100 * F.col("n1") >= PERCENT * F.col("n2")) & (100 * F.col("n2") >= PERCENT * F.col("n1"))
-        & (F.col("lo1") <= F.col("hi2") + RADIUS + 1e-9) & (F.col("lo2") <= F.col("hi1") + RADIUS + 1e-9)
-    )
-    return a.join(b, "region").where(allowed).select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+    both = got.select("a", "b", "d").union(got.select("b", "a", "d")).toDF("node", "pivot", "d")
+    each = rest.join(pivots.select("region", "pivot", F.col("pn").alias("m")), "region").join(both, ["node", "pivot"], "left")
+    each = each.withColumns({"lo": F.coalesce("d", 1 - F.least("n", "m") / F.greatest("n", "m")), "hi": F.coalesce("d", F.lit(1.0))})
+    least = each.groupBy("region", "node").agg(F.min("hi").alias("least"))
+    within = written(each.join(least, ["region", "node"]).where(F.col("lo") <= F.col("least") + 2 * RADIUS + 1e-9).select("region", "pivot", "node", "n", "i", "main", "component_id", "size", "outside"), name)
+    work = within.groupBy("region", "pivot", "size", "outside").agg((F.count("*") * F.count_if(F.col("component_id") != F.col("main"))).alias("w"))
+    fewer = work.groupBy("region", "size", "outside").agg(F.sum("w").alias("w")).where("w < size * outside").select("region")
+    parts = within.join(fewer, "region", "left_semi").select(F.xxhash64("region", "pivot").alias("region"), "node", "n", "i")
+    return rest.join(fewer, "region", "left_anti").select("region", "node", "n", "i").union(parts)
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -188,72 +177,43 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     its whole word sequence if that is shorter. Documents link when 100 * intersection >= 80 * union. Null, empty and
     blank texts have no shingles and link with nothing. Documents with equal sets are one representative, the smallest id,
     so a group of copies costs one document. The key is an integer that names one text: repeated rows each get the same
-    result, rows with a null key have no component.
+    result, rows with a null key have no component. Other columns are not read, whatever their names.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     screen = written(screened(docs, key, text), "screen")
-    asked = written(candidates(screen), "candidates")
+    known = screen.where("n > 0 and id is not null").select("id", "n", "c1", "c2")
+    reps = written(known.groupBy("c1", "c2", "n").agg(F.min("id").alias("rep")), "reps")
+    asked = written(candidates(screen, reps), "candidates")
     few = asked.count() <= BROADCAST_IDS
     ids = asked.withColumnRenamed("id", key)
-    described_ = written(described(docs.where(F.col(key).isNotNull()).join(F.broadcast(ids) if few else ids, key, "left_semi"), key, text), "described")
-    known = described_.select("id", "n", "c1", "c2")
-    reps = written(known.groupBy("c1", "c2", "n").agg(F.min("id").alias("rep")), "reps")
-    of = written(known.join(reps, ["c1", "c2", "n"]).select("id", "rep").distinct(), "of")
-    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"llm_sets_{uuid.uuid4().hex}"
-    sets = described_.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]).select("id", "n", "counts", "s")
-    sets.repartition(buckets, "id").write.bucketBy(buckets, "id").sortBy("id").saveAsTable(name)
-    sets = spark.table(name)
-    regions = written(cells(sets), "regions")
-    metric, nodes = Metric(sets), regions.select(F.col("node").alias("id")).distinct()
-    n_of = sets.select(F.col("id").alias("node"), "n")
-
-    # Every member against its region's pivot, and all against all where the region is small.
-    stars = regions.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    small = regions.where(f"size <= {SMALL} and node <> pivot").select("region", "node").join(n_of, "node")
-    x, y = (small.select("region", F.col("node").alias(k), F.col("n").alias(f"n{k}")) for k in "ab")
-    allowed = (F.col("a") < F.col("b")) & (100 * F.col("na") >= PERCENT * F.col("nb")) & (100 * F.col("nb") >= PERCENT * F.col("na"))
-    leaves = x.join(y, "region").where(allowed).select("a", "b")
-    found = metric.exact(stars.union(leaves).distinct().withColumn("lo", F.lit(0.0)), "first")
-    label = written(labelled(nodes, found.where("linked")), "label")
-
-    # Larger regions that still hold several components are divided, and at last joined. Where hardly more members than
-    # the pivots of a division are outside the largest component, these meet all others at once, as pivots would.
-    large = regions.where(f"size > {SMALL}")
-    to_pivot = found.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "lo", "hi")
-    itself = regions.select(F.col("pivot").alias("node"), "pivot").distinct().select("node", "pivot", F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"))
-    open_ = large.join(to_pivot.union(itself), ["node", "pivot"]).select("region", "node", "lo", "hi")
-    done = None
-    for k in range(DIVISIONS):
-        seen = open_.join(label.withColumnRenamed("id", "node"), "node")
-        parts = seen.groupBy("region", "component_id").agg(F.count("*").alias("c"), F.min(F.when(F.col("hi") > 0, F.struct("hi", "node"))).alias("near"))
-        several = parts.groupBy("region").agg(F.sum("c").alias("size"), F.max("c").alias("most"), F.min("near").getField("node").alias("nearest")).where("most < size")
-        several = written(several.withColumn("divide", F.col("size") - F.col("most") > 2 * PIVOTS), f"several{k}")
-        kept = written(open_.join(several, "region"), f"open{k}")
-        direct = kept.where("not divide").select("region", "node", "lo", "hi")
-        done = direct if done is None else done.union(direct)
-        open_ = kept.where("divide").drop("divide", "most")
+    sets = written(sets_of(docs.join(F.broadcast(ids) if few else ids, key, "left_semi"), key, text).dropDuplicates(["id"]), "sets")
+    regions = written(regions_of(sets), "regions")
+
+    # Every region's members against its pivot document.
+    pivot = regions.groupBy("region").agg(F.count("*").alias("c"), F.min(F.struct("i", "node", "n")).alias("p")).where("c > 1")
+    star = regions.join(pivot, "region").where((F.col("node") != F.col("p.node")) & may_link(F.col("n"), F.col("i"), F.col("p.n"), F.col("p.i")))
+    met = compared(sets, star.select("node", F.col("p.node").alias("pivot")).select(*ordered("node", "pivot")).distinct(), "stars")
+    label = written(labelled(regions.select(F.col("node").alias("id")).distinct(), met.where("linked")), "labels")
+
+    left, k = regions, 0
+    while True:
+        open_ = opened(left, label, f"open{k}")
         if not open_.limit(1).count():
             break
-        pivots = open_.where((F.col("node") == F.col("nearest")) | (F.pmod(F.xxhash64("node", F.lit(k)), F.col("size")) < PIVOTS)).select("region", F.col("node").alias("pivot"))
-        each = open_.select("region", "node", "size").join(written(pivots.distinct(), f"pivots{k}"), "region")
-        got = metric.exact(metric.bounds(each.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), f"to{k}"), f"voronoi{k}")
+        chosen = F.pmod(F.xxhash64("node", F.lit(k)), F.col("outside")) < PIVOTS * 4**k
+        outside = open_.where("component_id <> main")
+        # The first of each region goes anyway, so that every round ends with fewer members.
+        first = outside.groupBy("region").agg(F.min(F.struct("i", "node", "n", "component_id")).alias("p")).select("region", "p.*")
+        pivots = outside.where(chosen).select("region", "i", "node", "n", "component_id").union(first).distinct()
+        pivots = written(pivots.select("region", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("i").alias("pi"), F.col("component_id").alias("pc")), f"pivots{k}")
+        pairs = open_.join(pivots, "region").where((F.col("component_id") != F.col("pc")) & may_link(F.col("n"), F.col("i"), F.col("pn"), F.col("pi")))
+        got = compared(sets, pairs.select(*ordered("node", "pivot")).distinct(), f"met{k}")
         label = merged(label, got.where("linked"), f"label{k}")
-        both = got.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "lo", "hi").union(got.select(F.col("b").alias("node"), F.col("a").alias("pivot"), "lo", "hi"))
-        d = each.join(both, ["node", "pivot"], "left").select("region", "node", "pivot", "size", F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(0.0)).alias("hi"))
-        least = d.groupBy("region", "node").agg(F.min("hi").alias("least"))
-        within = written(d.join(least, ["region", "node"]).where(F.col("lo") <= F.col("least") + 2 * RADIUS + 1e-9).select("region", "node", "pivot", "lo", "hi", "size"), f"within{k}")
-        # Where nearly all members would go to several regions, the region stays as it is.
-        divides = within.groupBy("region", "size").agg(F.count("*").alias("rows")).where("rows <= 1.5 * size").select("region")
-        whole = open_.join(divides, "region", "left_anti").select("region", "node", "lo", "hi")
-        done = done.union(whole)
-        open_ = written(within.join(divides, "region").select(F.xxhash64("region", "pivot").alias("region"), "node", "lo", "hi").groupBy("region", "node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), f"divided{k}")
-    rest = done.union(open_.select("region", "node", "lo", "hi"))
-    rest = written(rest.join(label.withColumnRenamed("id", "node"), "node").join(n_of, "node"), "rest")
-    last = metric.bounds(cross_pairs(rest, "last"), "last")
-    more = metric.exact(last.where(F.col("lo") <= RADIUS + 1e-9), "more")
-    label = merged(label, more.where("linked"), "final")
-
-    final = of.join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select("id", F.coalesce("component_id", "rep").alias("component_id"))
+        done = pivots.select("region", F.col("pivot").alias("node"))
+        rest = open_.join(done, ["region", "node"], "left_anti").join(pivots.groupBy("region").agg(F.count("*").alias("gone")), "region").where("gone < outside")
+        left, k = divided(rest, pivots, got, f"windows{k}"), k + 1
+
+    of = known.join(reps, ["c1", "c2", "n"]).select("id", "rep").distinct()
+    final = of.join(label.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("component_id", "rep").alias("component_id"))
     out = screen.where("n >= 0").select("id", F.col("n").alias("n_shingles")).join(final, "id", "left")
     return out.select(F.col("id").alias(key), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))

@@ -71,13 +71,30 @@ def test_repeats_of_nothing(spark):
     assert sorted((r.doc_id or 0, r.n_removed) for r in rows) == [(0, 0), (1, 0), (1, 0)]
 
 
-@pytest.mark.parametrize("small", [48, 3])
-def test_components(spark, docs, corpus, monkeypatch, small):
-    monkeypatch.setattr(op7_jaccard, "SMALL", small)
+@pytest.mark.parametrize("pivots", [16, 1])
+def test_components(spark, docs, corpus, monkeypatch, pivots):
+    monkeypatch.setattr(op7_jaccard, "PIVOTS", pivots)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in op7_jaccard.components(docs).collect()}
     assert got == brute_components(corpus)
 
 
+@pytest.mark.parametrize("pivots", [16, 1])
+def test_components_of_clusters_with_common_passages(spark, rng, monkeypatch, pivots):
+    """Chains of copies of copies around passages that all share: regions stay open after the pivot document, and are divided."""
+    monkeypatch.setattr(op7_jaccard, "PIVOTS", pivots)
+    texts, common = {}, [f"c{k}" for k in range(40)]
+    for g in range(6):
+        base = common + [f"g{g}w{k}" for k in range(20)]
+        for i in range(12):
+            w = list(base)
+            for _ in range(rng.randrange(1, 4)):
+                w[rng.randrange(60)] = rng.choice(["u", "v", "x"])
+            texts[100 * g + i + 1] = " ".join(w[rng.randrange(4) :])
+            base = w if i % 3 == 0 else base
+    df = spark.createDataFrame(list(texts.items()), SCHEMA)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in op7_jaccard.components(df).collect()} == brute_components(texts)
+
+
 def test_components_of_star_shaped_group(spark, rng):
     """Copies that link with their original but hardly with each other, so that regions have to be divided."""
     base = [f"w{k}" for k in range(60)]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op7_jaccard, op9_quality, op10_bpe, queries
+from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op9_quality, op10_bpe, queries
 
 from .conftest import prose
 
@@ -368,4 +368,3 @@ def test_chat_sql_and_contract_columns(spark):
     got = sorted(tuple(r) for r in queries.op1_chat_formatting(spark, SF).select("conv_id", "segment", "n_turns", "n_copies", "rendered").collect())
     assert got == want
     assert zlib.crc32(b"7") % 4 == spark.range(7, 8).select(F.crc32(F.col("id").cast("string")) % 4).first()[0]
-    assert op7_jaccard.prefix_size(10) == 3
