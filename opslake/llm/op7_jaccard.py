@@ -15,8 +15,9 @@ equal size that is a ninth of each.
 Each region has a pivot document, the one whose rarer shingles are fewest: of edited copies it is the one they were made from.
 All members are compared with it, and regions whose members are then in one component are done. In the others documents
 outside the largest component become pivots, meet all members that may link, and leave; what remains goes to the Voronoi
-region of the nearest of these pivots and, as the triangle inequality asks, to each whose pivot is at most twice the radius
-farther. That is repeated until every region is done, with four times as many pivots in each round.
+region of the nearest of a few of these pivots and, as the triangle inequality asks, to each whose pivot is at most twice the
+radius farther. That is repeated until every region is done, with four times as many pivots in each round. Before each
+round members leave that no member of another component can reach by its size and the place of the shingle.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ from opslake.llm.common import BROADCAST_IDS, bounded_batches, labelled, merged,
 
 WORDS, PERCENT = 5, 80
 RADIUS = 1 - PERCENT / 100
-#: Pivots of a region in the first round.
-PIVOTS = 16
+#: Pivots of a region in the first round, and those of them whose Voronoi regions divide it. Size classes for a factor of e.
+PIVOTS, DIVIDING, CLASSES = 16, 4, 50
 #: The screen sees the shingles below this hash, about three tenths of each set.
 SEEN = np.uint64((1 << 64) * 3 // 10)
 
@@ -144,13 +145,31 @@ def ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def partnered(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows (region, node, n, i, component_id, ...) that may link with one of the others of their region in another component, as far as a summary by size tells.
+
+    The summary holds the least size, the most that can be shared and the components of each size class, a few dozen for a region.
+    """
+    per = others.groupBy("region", F.floor(F.log("n") * CLASSES).alias("class")).agg(F.min("n").alias("n"), F.max(F.col("n") - F.col("i")).alias("most"), F.min("component_id").alias("c1"), F.max("component_id").alias("c2"))
+    known = per.groupBy("region").agg(F.collect_list(F.struct("n", "most", "c1", "c2")).alias("known"))
+    fits = lambda o: may_link(F.col("n"), F.col("i"), o["n"], o["n"] - o["most"]) & ((o["c1"] != F.col("component_id")) | (o["c2"] != F.col("component_id")))
+    return rows.join(known, "region").where(F.exists("known", fits)).drop("known")
+
+
 def opened(regions: DataFrame, label: DataFrame, name: str) -> DataFrame:
-    """(region, node, n, i, component_id, main, size, outside): the regions that hold several components, with the largest and the number of members outside it."""
+    """(region, node, n, i, component_id, main, size, outside): the members of regions that may still link with another component.
+
+    main is the component of most members, size counts the members and outside those of other components.
+    """
     seen = regions.join(label.withColumnRenamed("id", "node"), "node")
     per = seen.groupBy("region", "component_id").agg(F.count("*").alias("c"))
     several = per.groupBy("region").agg(F.sum("c").alias("size"), F.max(F.struct("c", "component_id")).alias("m")).where("m.c < size")
-    several = several.select("region", "size", F.col("m.component_id").alias("main"), (F.col("size") - F.col("m.c")).alias("outside"))
-    return written(seen.join(several, "region").select("region", "node", "n", "i", "component_id", "main", "size", "outside"), name)
+    several = written(seen.join(several.select("region", F.col("m.component_id").alias("main")), "region"), f"{name}-several")
+    outside = written(partnered(several.where("component_id <> main"), several), f"{name}-outside")
+    inside = partnered(several.where("component_id = main"), outside)
+    left = written(outside.union(inside), f"{name}-left")
+    counts = left.groupBy("region").agg(F.count("*").alias("size"), F.count_if(F.col("component_id") != F.col("main")).alias("outside"))
+    return left.join(counts, "region").select("region", "node", "n", "i", "component_id", "main", "size", "outside")
 
 
 def divided(rest: DataFrame, pivots: DataFrame, got: DataFrame, name: str) -> DataFrame:
@@ -160,7 +179,7 @@ def divided(rest: DataFrame, pivots: DataFrame, got: DataFrame, name: str) -> Da
     its parts would hold more pairs to look at than it does.
     """
     both = got.select("a", "b", "d").union(got.select("b", "a", "d")).toDF("node", "pivot", "d")
-    each = rest.join(pivots.select("region", "pivot", F.col("pn").alias("m")), "region").join(both, ["node", "pivot"], "left")
+    each = rest.join(pivots.where("divides").select("region", "pivot", F.col("pn").alias("m")), "region").join(both, ["node", "pivot"], "left")
     each = each.withColumns({"lo": F.coalesce("d", 1 - F.least("n", "m") / F.greatest("n", "m")), "hi": F.coalesce("d", F.lit(1.0))})
     least = each.groupBy("region", "node").agg(F.min("hi").alias("least"))
     within = written(each.join(least, ["region", "node"]).where(F.col("lo") <= F.col("least") + 2 * RADIUS + 1e-9).select("region", "pivot", "node", "n", "i", "main", "component_id", "size", "outside"), name)
@@ -200,12 +219,13 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         open_ = opened(left, label, f"open{k}")
         if not open_.limit(1).count():
             break
-        chosen = F.pmod(F.xxhash64("node", F.lit(k)), F.col("outside")) < PIVOTS * 4**k
+        draw = F.pmod(F.xxhash64("node", F.lit(k)), F.col("outside"))
         outside = open_.where("component_id <> main")
         # The first of each region goes anyway, so that every round ends with fewer members.
-        first = outside.groupBy("region").agg(F.min(F.struct("i", "node", "n", "component_id")).alias("p")).select("region", "p.*")
-        pivots = outside.where(chosen).select("region", "i", "node", "n", "component_id").union(first).distinct()
-        pivots = written(pivots.select("region", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("i").alias("pi"), F.col("component_id").alias("pc")), f"pivots{k}")
+        first = outside.groupBy("region").agg(F.min(F.struct("i", "node", "n", "component_id")).alias("p")).select("region", "p.*", F.lit(True).alias("divides"))
+        pivots = outside.where(draw < PIVOTS * 4**k).select("region", "i", "node", "n", "component_id", (draw < DIVIDING).alias("divides")).union(first)
+        pivots = pivots.groupBy("region", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("i").alias("pi"), F.col("component_id").alias("pc")).agg(F.max("divides").alias("divides"))
+        pivots = written(pivots, f"pivots{k}")
         pairs = open_.join(pivots, "region").where((F.col("component_id") != F.col("pc")) & may_link(F.col("n"), F.col("i"), F.col("pn"), F.col("pi")))
         got = compared(sets, pairs.select(*ordered("node", "pivot")).distinct(), f"met{k}")
         label = merged(label, got.where("linked"), f"label{k}")
