@@ -148,8 +148,10 @@ def brute_links(rows):
     return n, label, pairs
 
 
-def test_embeddings(spark, monkeypatch):
+@pytest.mark.parametrize("large", [12, 2])
+def test_embeddings(spark, monkeypatch, large):
     monkeypatch.setattr(op8_embeddings, "BLOCK", 7)
+    monkeypatch.setattr(op8_embeddings, "LARGE", large)
     r = np.random.default_rng(1)
     rows = []
     for i in range(60):
@@ -168,8 +170,32 @@ def test_embeddings(spark, monkeypatch):
     assert all(got[i].n_links <= n[i] and got[i].component_id >= label[i] and got[i].kept == (got[i].component_id == i) for i in n)
 
 
-def test_embedding_recall_on_given_vectors(spark):
-    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+def test_embeddings_of_extreme_size_and_unequal_length(spark):
+    big, small = 1e200, 1e-200
+    rows = [(1, [big, big], 1), (2, [big, 0.99 * big], 1), (3, [small, small], 1), (4, [small, 0.99 * small], 1), (5, [1.0, 1.0, 1.0], 1), (6, [1.0, 1.0, 0.9], 1), (7, [-big, big], 1)]
+    got = {x.vec_id: (x.n_links, x.component_id) for x in op8_embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (1, 5), 6: (1, 5), 7: (0, 7)}
+
+
+def test_embeddings_of_a_bucket_of_near_copies(spark, monkeypatch):
+    """Two large groups around centres, tight and wide: balls count as exact pairs do. A column named like an inner one is not read."""
+    monkeypatch.setattr(op8_embeddings, "BLOCK", 40)
+    r = np.random.default_rng(4)
+    rows = []
+    for wide in (0.02, 0.06):
+        v = r.standard_normal(32)
+        v /= np.linalg.norm(v)
+        rows += [(len(rows) + k, (v + r.standard_normal(32) * wide * r.uniform(0, 1)).tolist(), 1) for k in range(150)]
+    df = spark.createDataFrame([(*x, "q") for x in rows], "vec_id long, embedding array<double>, label int, ball string")
+    got = {x.vec_id: x for x in op8_embeddings.near_duplicates(df).collect()}
+    n, label, pairs = brute_links(rows)
+    assert 0.98 * 2 * len(pairs) <= sum(x.n_links for x in got.values()) <= 2 * len(pairs)
+    assert all(got[i].n_links <= n[i] and got[i].component_id == label[i] for i in n)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_embedding_recall_on_given_vectors(spark, sf):
+    df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
     rows = [(r.vec_id, [float(x) for x in r.embedding], r.label) for r in df.collect()]
     n, label, pairs = brute_links(rows)
     got = {x.vec_id: x for x in op8_embeddings.near_duplicates(df).collect()}
