@@ -1,7 +1,9 @@
 """BPE encoding and decoding by batched numpy merge rounds.
 
 The symbols of many words lie in one flat array. A round looks up the ranks of all neighbouring pairs by binary search
-over the sorted pair keys, and merges in each word the leftmost pair of the lowest rank, until no pair has a rank.
+over the sorted pair keys, and merges in each word all places of its lowest rank, until no pair has a rank. (What a merge
+makes only takes part in merges of higher rank, so the places of one rank can go together.) Very long words have rounds of
+their own, which look up only the pairs that the last round changed.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 
 from opslake.llm.common import bounded_batches
 
-#: Words whose ids one Python worker keeps.
-KEPT_WORDS = 200_000
+#: Words whose ids one Python worker keeps; bytes from which on a word is long, and is not kept.
+KEPT_WORDS, LONG = 200_000, 400
 NONE = np.int64(1 << 40)
 
 
@@ -33,13 +35,22 @@ NEWER = """
 1d6a6-1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff
 2b73a-2b73f 2b81e-2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f
 """
+# Capitals (or a range of them) that are newer than Python's Unicode tables, with the first small letter.
+CAPITALS = "1c89:1c8a a7cb:264 a7cc:a7cd a7ce:a7cf a7d2:a7d3 a7d4:a7d5 a7da:a7db a7dc:19b 10d50-10d65:10d70 16ea0-16eb8:16ebb"
 
 
-class WordBpe:
-    """A lower-casing word BPE with word ends, read from a tokenizer file.
+def small_letters() -> dict[int, int]:
+    """The small letter of each of the CAPITALS."""
+    out = {}
+    for entry in CAPITALS.split():
+        capitals, small = entry.split(":")
+        first, last = (int(x, 16) for x in (capitals.split("-") * 2)[:2])
+        out |= {first + k: int(small, 16) + k for k in range(last - first + 1)}
+    return out
+
 
-    Capital letters that Unicode got after version 15.1 stay as they are; all else is as the tokenizers library has it.
-    """
+class WordBpe:
+    """A lower-casing word BPE with word ends, read from a tokenizer file; ids are those of the tokenizers library."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -66,6 +77,44 @@ class WordBpe:
         order = np.argsort(key, kind="stable")
         self.keys, self.ranks, self.made = key[order], order.astype(np.int64), made[order]
         self.kept: dict[str, bytes] = {}
+        self.newer_small = small_letters()
+
+    def ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair of symbols (NONE: no merge) and the symbol that it makes."""
+        key = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], NONE), self.made[at]
+
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one long word: symbols are linked by their places, and rounds look up the ranks of changed pairs alone."""
+        flat = np.frombuffer(word, np.uint8)
+        sym = self.inner[flat]
+        sym[-1] = self.last[flat[-1]]
+        sym = sym[sym >= 0]
+        while len(sym) > 1:  # anew with the symbols that are left, whenever half of them are gone
+            n = len(sym)
+            after, before, gone = np.arange(1, n + 1), np.arange(-1, n - 1), np.zeros(n, bool)
+            rank, made = (np.append(x, NONE) for x in self.ranked(sym[:-1], sym[1:]))
+            dead = 0
+            while 2 * dead <= n:
+                hit = np.flatnonzero(rank == rank.min())
+                if rank[hit[0]] == NONE:
+                    return sym[~gone]
+                hit = apart(hit, after[hit[:-1]] == hit[1:])
+                lost = after[hit]
+                sym[hit], after[hit], gone[lost], rank[lost] = made[hit], after[lost], True, NONE
+                dead += len(hit)
+                some = after[hit] < n
+                before[after[hit[some]]] = hit[some]
+                changed = np.concatenate((hit, before[hit]))
+                changed = changed[changed >= 0]
+                changed = changed[~gone[changed]]
+                right = after[changed]
+                rank[changed[right == n]] = NONE
+                changed, right = changed[right < n], right[right < n]
+                rank[changed], made[changed] = self.ranked(sym[changed], sym[right])
+            sym = sym[~gone]
+        return sym
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word, given as its bytes."""
@@ -79,10 +128,8 @@ class WordBpe:
         done_sym, done_word = [], []
         while len(sym):
             same = word[1:] == word[:-1]
-            key = (sym[:-1] << 32) | sym[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            rank = np.where(same & (self.keys[at] == key), self.ranks[at], NONE)
-            rank = np.append(rank, NONE)
+            rank, made = self.ranked(sym[:-1], sym[1:])
+            rank = np.append(np.where(same, rank, NONE), NONE)
             start = np.flatnonzero(np.append(True, ~same))
             least = np.minimum.reduceat(rank, start)
             per = np.diff(np.append(start, len(sym)))
@@ -90,10 +137,8 @@ class WordBpe:
             done_sym.append(sym[~live])
             done_word.append(word[~live])
             hit = np.flatnonzero(live & (rank == np.repeat(least, per)))
-            first = np.ones(len(hit), bool)
-            first[1:] = word[hit[1:]] != word[hit[:-1]]  # the leftmost of each word
-            hit = hit[first]
-            sym[hit] = self.made[at[hit]]
+            hit = apart(hit, hit[1:] == hit[:-1] + 1)
+            sym[hit] = made[hit]
             live[hit + 1] = False
             sym, word = sym[live], word[live]
         sym, word = np.concatenate([*done_sym, sym]), np.concatenate([*done_word, word])
@@ -108,6 +153,8 @@ class WordBpe:
                 continue
             part = unicodedata.normalize("NFC", part)
             low = part.lower() if "Σ" not in part else "".join(c.lower() for c in part)
+            if not latin(low):
+                low = low.translate(self.newer_small)
             yield from (self.words if latin(low) else self.rare_words).findall(low)
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -115,19 +162,34 @@ class WordBpe:
         split = [list(self.pieces(t)) if t else [] for t in texts]
         if len(self.kept) > KEPT_WORDS:
             self.kept.clear()
-        new = list({w for ws in split for w in ws if w not in self.kept and isinstance(w, str)})
+        new, long = [], {}
+        for w in {w for ws in split for w in ws if isinstance(w, str) and w not in self.kept}:
+            if len(raw := w.encode("utf-8", "surrogatepass")) < LONG:
+                new.append(w)
+            else:
+                long[w] = self.merge_long(raw).astype("<u4").tobytes()
         for lo in range(0, len(new), 1 << 16):
             some = new[lo : lo + (1 << 16)]
             for w, ids in zip(some, self.merge([w.encode("utf-8", "surrogatepass") for w in some]), strict=True):
                 self.kept[w] = ids.astype("<u4").tobytes()
+        known = self.kept | long if long else self.kept
         one = {i: np.array([i], "<u4").tobytes() for i in self.special.values()}
-        return [np.frombuffer(b"".join([self.kept[w] if isinstance(w, str) else one[w] for w in ws]), "<u4") for ws in split]
+        return [np.frombuffer(b"".join([known[w] if isinstance(w, str) else one[w] for w in ws]), "<u4") for ws in split]
 
     def decode(self, ids: np.ndarray) -> str:
         """The tokens of the ids, joined by blanks, as a tokenizer without a decoder gives them."""
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+def apart(hit: np.ndarray, touching: np.ndarray) -> np.ndarray:
+    """Of places in order, every second one in each run of places that touch the one before: a repeated symbol merges from the left."""
+    if not touching.any():
+        return hit
+    k = np.arange(len(hit))
+    start = np.maximum.accumulate(np.where(np.append(True, ~touching), k, 0))
+    return hit[(k - start) % 2 == 0]
+
+
 def latin(text: str) -> bool:
     """Whether all characters are below U+0100, where the tables agree."""
     try:

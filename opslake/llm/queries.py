@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op6_repeats, op7_jaccard, op8_embeddings, op9_quality, op10_bpe
 
-#: Where the tokenizer files are, on every machine.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -70,7 +66,7 @@ def op9_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op10_bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return op10_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {f.__name__: f for f in (
