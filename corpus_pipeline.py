@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.llm import op2_decontaminate, op4_pii, op5_language, op7_jaccard, op10_bpe
 from opslake.llm.common import without, written
 
-TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
