@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +34,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches that Python workers get, so that long texts don't add up in memory."""
+    """Bounds the Arrow batches that Python workers get, so that long texts don't add up in memory.
+
+    Results are lazy, so the setting stays with the session; a caller who needs another sets it before other queries.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+@contextmanager
+def many_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of more and narrow rows for what is written inside; the bound in bytes stays."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The rows as files in the shared folder, bucketed and sorted by a key; their entry in the catalog goes at once."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"llm_{name}_{uuid.uuid4().hex}"
+    df.repartition(n, key).write.option("compression", "uncompressed").option("path", f"{shared_dir(spark)}/{name}").bucketBy(n, key).sortBy(key).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def labelled(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component_id): the smallest id that links reach from each id.
 

@@ -11,7 +11,6 @@ share are compared first, then windows one by one.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import bounded_batches, written
+from opslake.llm.common import bounded_batches, bucketed, many_rows, written
 
 WINDOW = 50
 #: Mean distance of triggers, bytes of the rolling hash and of the beginning of a sampled suffix, places of such a beginning in a window.
@@ -32,6 +31,8 @@ TOGETHER = 7
 SHARED = WINDOW - TOGETHER + 1
 #: Window starts that are handled at once; a sampled position has to fit 20 bits. Rows that a task hands on at once.
 RUN, ROWS = 1 << 19, 1 << 18
+#: Rows of an Arrow batch where suffixes are in order.
+ORDERED = 50_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -117,6 +118,28 @@ def spans_union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, k, place, later) of rows (k, id, place), in order, whose beginning k several documents have; later: not in the first of them.
+
+    Of one beginning at most the rows of its first document are held.
+    """
+    key, several, held = None, False, (np.zeros(0, np.int64),) * 3
+    for b in batches:
+        if not len(b):
+            continue
+        k, i, place = (np.concatenate((h, b[c].to_numpy())) for h, c in zip(held, ("k", "id", "place"), strict=True))
+        start = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        per = np.diff(np.append(start, len(k)))
+        later = i != np.repeat(i[start], per)
+        if several and k[0] == key:  # the first document's rows have gone
+            later[: per[0]] = True
+        more = np.logical_or.reduceat(later, start)
+        keep = np.repeat(more, per)
+        yield pd.DataFrame({"id": i[keep], "k": k[keep], "place": place[keep], "later": later[keep]})
+        key, several = k[-1], bool(more[-1])
+        held = tuple(x[:0] if several else x[start[-1] :] for x in (k, i, place))
+
+
 class Texts:
     """Packed bytes of the documents, bucketed by id, so that every visit moves the requests and not the texts."""
 
@@ -126,12 +149,7 @@ class Texts:
             for b in batches:
                 yield pd.DataFrame({"id": b["id"], "z": [z.compress((t or "").encode("utf-8", "surrogatepass")) for t in b["t"]]})
 
-        spark = docs.sparkSession
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        name = f"llm_texts_{uuid.uuid4().hex}"
-        packed = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(pack, "id long, z binary")
-        packed.repartition(n, "id").write.option("compression", "uncompressed").bucketBy(n, "id").sortBy("id").saveAsTable(name)
-        self.table = spark.table(name)
+        self.table = bucketed(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(pack, "id long, z binary"), "texts", "id")
 
     def visit(self, requests: DataFrame, run, schema: str, how: str = "inner") -> DataFrame:
         """run(id, bytes, one array for each column of the requests) -> arrays or lists, the columns of the rows; over the texts with their requests."""
@@ -199,10 +217,10 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         k, at, first, last = (np.concatenate(x) for x in zip(*got, strict=True))
         return k, np.full(len(k), i), packed_place(at, first, last)
 
-    suffix = texts.visit(verdict, suffixes, "k long, id long, place long")
-    groups = written(suffix.groupBy("k").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("k", "first"), "groups")
-    repeated = suffix.join(groups, "k").select("id", "k", "place", (F.col("first") < F.col("id")).alias("later"))
-    asked = written(requests(repeated, "k", "place", "later"), "repeated")
+    # In the order of the sampled suffixes, and of documents within equal beginnings: the first document is the earliest.
+    with many_rows(spark, ORDERED):
+        suffix = texts.visit(verdict, suffixes, "k long, id long, place long").repartition("k").sortWithinPartitions("k", "id")
+        asked = written(requests(suffix.mapInPandas(neighbours, "id long, k long, place long, later boolean"), "k", "place", "later"), "repeated")
 
     def contexts(i: int, raw: bytes, k: np.ndarray, place: np.ndarray, later: np.ndarray) -> tuple:
         at, first, last = unpacked(place)

@@ -51,7 +51,9 @@ def brute_components(texts):
     return {i: (len(s[i]), label[i]) for i in texts}
 
 
-def test_repeats(spark, docs, corpus):
+@pytest.mark.parametrize("rows", [50_000, 3])
+def test_repeats(spark, docs, corpus, monkeypatch, rows):
+    monkeypatch.setattr(op6_repeats, "ORDERED", rows)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op6_repeats.digest(op6_repeats.removed(docs)).collect()}
     want = brute_removed(corpus)
     assert sum(x[1] for x in want.values()) > 5000
