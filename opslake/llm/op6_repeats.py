@@ -2,11 +2,12 @@
 
 A rolling hash over the bytes places triggers that cut each document into phrases; neighbouring phrases overlap by
 one byte less than the match length, so each window of that length lies in one phrase. The dictionary of distinct
-phrases keeps the first document of each; a phrase seen in an earlier document is removed whole, and the parse carries this
-back to the documents. What is left are the windows of phrases that are new where they stand. Their suffixes are
-sampled (in each window the position whose 24 bytes hash lowest), grouped by equal beginnings, and compared by
-their contexts as neighbours in a suffix array would be; of contexts that differ, the 44 bytes that neighbouring windows
-share are compared first, then windows one by one.
+phrases is put in order, with the documents of each; a phrase seen in an earlier document is removed whole, and the parse
+carries this back to the documents. What is left are the windows of phrases that are new where they stand. Their suffixes are
+sampled (in each window the position whose 24 bytes hash lowest) and put in order, by a hash of their beginnings, so that
+equal ones are neighbours; neighbours are compared by their contexts, of contexts that differ the 44 bytes that neighbouring
+windows share are compared first, then windows one by one, each time in order. Of a beginning that very many documents share
+the order is read as a stream: no task holds more than one document's rows of it.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ RUN, ROWS = 1 << 19, 1 << 18
 #: Rows of an Arrow batch where suffixes are in order.
 ORDERED = 50_000
 
+_P = np.uint64(0x9FB21C651E98DF25)
+_P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
+_BYTES = np.random.default_rng(6).integers(0, 1 << 64, 256, np.uint64)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -98,6 +102,17 @@ def window_hashes(w: np.ndarray, starts: np.ndarray, size: int = WINDOW) -> np.n
     return (x ^ (x >> np.uint64(29))).astype(np.int64)
 
 
+def stretch_hashes(b: np.ndarray, start: np.ndarray, end: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """A hash of the bytes in each [start, end), of at most a few hundred bytes, and of a mark: differences of the running sums of bytes times powers."""
+    n = len(b)
+    power, inverse = (np.cumprod(np.append(np.uint64(1), np.full(n, x))) for x in (_P, _P_INVERSE))
+    sums = np.append(np.uint64(0), np.cumsum(_BYTES[b] * power[:n], dtype=np.uint64))
+    x = (sums[end] - sums[start]) * inverse[start]
+    x = (x ^ (mark.astype(np.uint64) + ((end - start).astype(np.uint64) << np.uint64(20)))) * _A
+    x ^= x >> np.uint64(31)
+    return (x * _B).astype(np.int64)
+
+
 def packed_place(at: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return (at << 16) | ((at - first) << 8) | (last - at + STARTS)
 
@@ -118,26 +133,85 @@ def spans_union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(id, k, place, later) of rows (k, id, place), in order, whose beginning k several documents have; later: not in the first of them.
+def ordered(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by the first key and sorted by all."""
+    return rows.repartition(keys[0]).sortWithinPartitions(*keys)
 
-    Of one beginning at most the rows of its first document are held.
-    """
-    key, several, held = None, False, (np.zeros(0, np.int64),) * 3
+
+def columns_of(batches: Iterator[pd.DataFrame], names: list[str]) -> Iterator[list[np.ndarray]]:
     for b in batches:
-        if not len(b):
-            continue
-        k, i, place = (np.concatenate((h, b[c].to_numpy())) for h, c in zip(held, ("k", "id", "place"), strict=True))
-        start = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-        per = np.diff(np.append(start, len(k)))
-        later = i != np.repeat(i[start], per)
-        if several and k[0] == key:  # the first document's rows have gone
-            later[: per[0]] = True
-        more = np.logical_or.reduceat(later, start)
-        keep = np.repeat(more, per)
-        yield pd.DataFrame({"id": i[keep], "k": k[keep], "place": place[keep], "later": later[keep]})
-        key, several = k[-1], bool(more[-1])
-        held = tuple(x[:0] if several else x[start[-1] :] for x in (k, i, place))
+        if len(b):
+            yield [b[c].to_numpy() for c in names]
+
+
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Where rows begin that differ in one of the columns from the row before."""
+    return np.flatnonzero(np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])))
+
+
+def several(rows: DataFrame, *payload: str) -> DataFrame:
+    """(id, k, payload) of rows (k, id, payload) whose beginning k several documents have. Of a beginning at most one document's rows are held."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, key, seen, held = ["k", "id", *payload], None, False, None
+        for b in columns_of(batches, names):
+            if held is not None:
+                b = [np.concatenate(x) for x in zip(held, b, strict=True)]
+            k, i = b[:2]
+            start = changes(k)
+            more = np.logical_or.reduceat(i != np.repeat(i[start], np.diff(np.append(start, len(k)))), start)
+            more[0] |= seen and k[0] == key
+            keep = np.repeat(more, np.diff(np.append(start, len(k))))
+            yield pd.DataFrame({c: x[keep] for c, x in zip(names, b, strict=True)})[["id", "k", *payload]]
+            key, seen = k[-1], bool(more[-1])
+            held = None if seen else [x[start[-1] :] for x in b]
+
+    return ordered(rows, "k").mapInPandas(run, "id long, k long, " + ", ".join(f"{c} long" for c in payload))
+
+
+def told(rows: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
+    """(id, payload, later) of rows (keys, id, payload): whether a document with a smaller id has the same keys."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, first = None, 0
+        for b in columns_of(batches, [*keys, "id", *payload]):
+            k, i = b[: len(keys)], b[len(keys)]
+            start = changes(*k)
+            least = i[start]
+            if last == [x[0] for x in k]:
+                least[0] = first
+            last, first = [x[-1] for x in k], least[-1]
+            yield pd.DataFrame(dict(zip(["id", *payload], b[len(keys) :], strict=True)) | {"later": i != np.repeat(least, np.diff(np.append(start, len(i))))})
+
+    return ordered(rows, *keys, "id").mapInPandas(run, "id long, " + "".join(f"{c} long, " for c in payload) + "later boolean")
+
+
+def judged(rows: DataFrame) -> DataFrame:
+    """(id, k, place, met) of rows (k, x, id, place): met where an earlier document has the beginning k in the same context x.
+
+    Of the others only those of a beginning with several contexts; of a beginning at most one document's rows are held.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, first, more, held = (None, None), 0, False, None
+        for b in columns_of(batches, ["k", "x", "id", "place"]):
+            if held is not None:
+                b = [np.concatenate(y) for y in zip(held, b, strict=True)]
+            k, x, i, place = b
+            start, of_k = changes(k, x), changes(k)
+            least = i[start]
+            if last == (k[0], x[0]):
+                least[0] = first
+            met = i != np.repeat(least, np.diff(np.append(start, len(k))))
+            contexts = np.diff(np.append(np.searchsorted(start, of_k), len(start))) > 1
+            contexts[0] |= more and k[0] == last[0]
+            keep = met | np.repeat(contexts, np.diff(np.append(of_k, len(k))))
+            yield pd.DataFrame({"id": i[keep], "k": k[keep], "place": place[keep], "met": met[keep]})
+            last, first, more = (k[-1], x[-1]), least[-1], bool(contexts[-1])
+            rest = np.flatnonzero(~met[of_k[-1] :]) + of_k[-1]
+            held = None if more else [y[rest] for y in b]
+
+    return ordered(rows, "k", "x", "id").mapInPandas(run, "id long, k long, place long, met boolean")
 
 
 class Texts:
@@ -204,11 +278,6 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             yield pd.DataFrame(out, columns=["id", "start", "size", "h1", "h2"])
 
     parsed = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(parse, "id long, start long, size long, h1 long, h2 long")
-    parsed = written(parsed, "parse")
-    dictionary = written(parsed.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("h1", "h2", "first"), "dictionary")
-    seen = parsed.join(dictionary, ["h1", "h2"], "left").select("id", "start", "size", F.coalesce(F.col("first") < F.col("id"), F.lit(False)).alias("old"))
-    verdict = written(requests(seen, "start", "size", "old"), "verdict")
-    whole = verdict.select("id", F.explode(F.arrays_zip("start", "size", "old")).alias("p")).where("p.old").select("id", F.col("p.start").alias("a"), (F.col("p.start") + F.col("p.size") + WINDOW - 1).alias("b"))
 
     def suffixes(i: int, raw: bytes, start: np.ndarray, size: np.ndarray, old: np.ndarray) -> tuple:
         b, new = np.frombuffer(raw, np.uint8), ~old.astype(bool)
@@ -217,24 +286,9 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         k, at, first, last = (np.concatenate(x) for x in zip(*got, strict=True))
         return k, np.full(len(k), i), packed_place(at, first, last)
 
-    # In the order of the sampled suffixes, and of documents within equal beginnings: the first document is the earliest.
-    with many_rows(spark, ORDERED):
-        suffix = texts.visit(verdict, suffixes, "k long, id long, place long").repartition("k").sortWithinPartitions("k", "id")
-        asked = written(requests(suffix.mapInPandas(neighbours, "id long, k long, place long, later boolean"), "k", "place", "later"), "repeated")
-
-    def contexts(i: int, raw: bytes, k: np.ndarray, place: np.ndarray, later: np.ndarray) -> tuple:
+    def contexts(i: int, raw: bytes, k: np.ndarray, place: np.ndarray) -> tuple:
         at, first, last = unpacked(place)
-        view = memoryview(raw)
-        x = np.fromiter((xxhash.xxh3_64_intdigest(view[f : e + WINDOW], seed=d) for f, e, d in zip(first.tolist(), last.tolist(), (at - first).tolist(), strict=True)), np.uint64, len(at))
-        return k, x.astype(np.int64), np.full(len(k), i), place, later.astype(bool)
-
-    context = written(texts.visit(asked, contexts, "k long, x long, id long, place long, later boolean"), "contexts")
-    firsts = written(context.groupBy("k", "x").agg(F.min("id").alias("first")), "firsts")
-    judged = context.join(firsts, ["k", "x"])
-    met = judged.where("first < id").select("id", (F.shiftright("place", 16) - F.shiftright("place", 8).bitwiseAND(255)).alias("a"), (F.shiftright("place", 16) + F.col("place").bitwiseAND(255) - STARTS + WINDOW).alias("b"))
-    new = judged.where("first = id")
-    unclear = written(new.where("later").select("k").distinct(), "unclear")
-    compare = written(requests(new.join(unclear, "k", "left_semi"), "k", "place"), "compare")
+        return k, stretch_hashes(np.frombuffer(raw, np.uint8), first, last + WINDOW, at - first), np.full(len(k), i), place
 
     def bands(i: int, raw: bytes, k: np.ndarray, place: np.ndarray) -> tuple:
         w = words8(np.frombuffer(raw, np.uint8))
@@ -248,18 +302,23 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         x, low, high = (np.concatenate(c) for c in zip(*out, strict=True))
         return x, np.full(len(x), i), low, high
 
-    band = written(texts.visit(compare, bands, "k long, id long, low long, high long"), "bands")
-    alike = band.groupBy("k").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("k", "first")
-    close = written(requests(band.join(alike, "k").withColumn("later", F.col("first") < F.col("id")), "k", "low", "high", "later"), "close")
-
-    def windows(i: int, raw: bytes, k: np.ndarray, low: np.ndarray, high: np.ndarray, later: np.ndarray) -> tuple:
+    def windows(i: int, raw: bytes, k: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple:
         n = high - low + 1
         starts = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.repeat(k, n), window_hashes(words8(np.frombuffer(raw, np.uint8)), starts), np.full(len(starts), i), starts, np.repeat(later.astype(bool), n)
+        return np.repeat(k, n), window_hashes(words8(np.frombuffer(raw, np.uint8)), starts), np.full(len(starts), i), starts
 
-    window = written(texts.visit(close, windows, "k long, x long, id long, start long, later boolean"), "windows")
-    earliest = window.groupBy("k", "x").agg(F.min("id").alias("first"), F.max("id").alias("end")).where("first < end").select("k", "x", "first")
-    single = window.where("later").join(earliest, ["k", "x"]).where("first < id").select("id", F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b"))
+    with many_rows(spark, ORDERED):
+        # The dictionary in order: a phrase that an earlier document has is old, and the parse carries this to its places.
+        verdict = written(requests(told(parsed, ["h1", "h2"], ["start", "size"]), "start", "size", "later"), "verdict")
+        suffix = texts.visit(verdict, suffixes, "k long, id long, place long")
+        asked = written(requests(several(suffix, "place"), "k", "place"), "repeated")
+        seen = written(judged(texts.visit(asked, contexts, "k long, x long, id long, place long")), "contexts")
+        band = texts.visit(requests(seen.where("not met"), "k", "place"), bands, "k long, id long, low long, high long")
+        close = written(requests(several(band, "low", "high"), "k", "low", "high"), "close")
+        window = texts.visit(close, windows, "k long, x long, id long, start long")
+        single = written(told(window, ["k", "x"], ["start"]).where("later").select("id", F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b")), "windows")
+    whole = verdict.select("id", F.explode(F.arrays_zip("start", "size", "later")).alias("p")).where("p.later").select("id", F.col("p.start").alias("a"), (F.col("p.start") + F.col("p.size") + WINDOW - 1).alias("b"))
+    met = seen.where("met").select("id", (F.shiftright("place", 16) - F.shiftright("place", 8).bitwiseAND(255)).alias("a"), (F.shiftright("place", 16) + F.col("place").bitwiseAND(255) - STARTS + WINDOW).alias("b"))
     spans = written(requests(whole.union(met).union(single), "a", "b"), "spans")
 
     def rest(i: int, raw: bytes, a: np.ndarray, b: np.ndarray) -> tuple:
