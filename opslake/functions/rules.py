@@ -61,13 +61,21 @@ def confidence(methods: Column, events: Column, sources: Column, hosts: Column,
     ).cast("int")
 
 
+# Names that are no applications.
+EXCLUDED = (
+    "log", "logs", "tmp", "temp", "var", "etc", "opt", "usr", "debug", "info", "warn", "error", "fatal", "trace", "null", "true", "false", "none",
+    "undefined", "server", "client", "host", "node", "pod", "container", "test", "dev", "prod", "uat", "staging", "syslog", "access", "audit", "security", "windows",
+)
+
+
 def normalize_app(name: Column) -> Column:
-    """Without a service suffix and a version at the end, lower-case and trimmed."""
-    x = F.regexp_replace(name, r"(?i)[-_]?(service|svc|app|api|server|prod|dev|test)$", "")
-    return F.lower(F.trim(F.regexp_replace(x, r"[-_]?v?\d+(\.\d+)*$", "")))
+    """Without a role suffix and a version at the end, lower-case and trimmed."""
+    x = F.regexp_replace(name, r"(?i)[-_]?(service|app|api|server|client|agent|daemon)$", "")
+    return F.trim(F.lower(F.regexp_replace(x, r"(?i)[-_]?v?\d+(\.\d+)*$", "")))
 
 
-def valid_app(name: Column, excluded: tuple[str, ...] = ("unknown", "none", "null", "default", "localhost")) -> Column:
+def valid_app(name: Column, excluded: tuple[str, ...] = EXCLUDED) -> Column:
+    """Three letters or more, not excluded, with a letter, and not a number with at most one letter before it."""
     return (F.length(name) >= 3) & ~F.lower(name).isin(*excluded) & name.rlike("[A-Za-z]") & ~F.lower(name).rlike(r"^[a-z]?\d+$")
 
 

@@ -58,7 +58,7 @@ def quality_by(p: DataFrame, *dims: str) -> DataFrame:
 
 def with_geography(p: DataFrame, locations: DataFrame) -> DataFrame:
     """Country and continent of each location, Unknown where it is not listed. locations is a dimension of a few hundred rows."""
-    j = p.join(F.broadcast(locations), "location_key", "left")
+    j = p.join(locations, "location_key", "left")
     return j.withColumns({c: F.coalesce(F.col(c), F.lit("Unknown")) for c in ("country", "continent")})
 
 
@@ -79,3 +79,8 @@ def agent_performance_detail(p: DataFrame) -> DataFrame:
     """Agents' days with their counts and their legs as a sorted list."""
     leg = F.struct("conversation_id", "participant_id", "call_status")
     return p.where("agent_id is not null").groupBy("call_date", "agent_id").agg(*_counts(), F.sort_array(F.collect_list(leg)).alias("legs"))
+
+
+def with_current_agent(legs: DataFrame, agents: DataFrame, *attributes: str) -> DataFrame:
+    """Legs with attributes of their agent's current row in the slowly changing dimension; unknown agents keep nulls."""
+    return legs.join(agents.where("is_current").select("agent_id", *attributes), "agent_id", "left")

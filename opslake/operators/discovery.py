@@ -10,11 +10,29 @@ from pyspark.sql import functions as F
 from opslake.functions.rules import confidence, normalize_app, valid_app
 
 RESULT = ["app", "method", "event_count", "sources", "hosts", "sourcetypes", "evidence"]
-# Ordered patterns, of which the first that matches names the application, and names that are environments.
-SOURCE_PATTERNS = (r"/var/log/([a-zA-Z0-9_-]+)/", r"/opt/([a-zA-Z0-9_-]+)/", r"^([a-zA-Z][a-zA-Z0-9_-]+)$")
-HOST_PATTERNS = (r"^([a-zA-Z]+)[-_]?\d*$", r"^([a-zA-Z]+)-")
-ENVIRONMENTS = ("prod", "dev", "test", "qa", "stage", "staging", "uat", "web")
-JSON_FIELDS = ("application", "app", "app_name", "service", "service_name", "k")
+# Ordered patterns, of which the first that matches names the application, and host name parts that name none.
+SOURCE_PATTERNS = (
+    r"[/\\]([a-zA-Z][\w-]+)(?:\.log|\.txt|_\d)",
+    r"[/\\]logs?[/\\]([a-zA-Z][\w-]+)",
+    r"Program Files[/\\]([^/\\]+)",
+    r"/opt/([^/]+)",
+    r"/var/log/([^/]+)",
+    r"([a-zA-Z][\w-]+)-\d+\.\d+",
+    r"/home/[^/]+/([^/]+)",
+    r"/srv/([^/]+)",
+    r"/app/([^/]+)",
+)
+HOST_PATTERNS = (r"^([a-zA-Z]+)-", r"-([a-zA-Z]+)\d*$", r"^[a-z]+\d*([a-z]{3,})")
+ENVIRONMENTS = ("prd", "prod", "dev", "uat", "stg", "web", "api", "srv")
+# Patterns of message texts, of which the last that matches counts.
+CONTENT_PATTERNS = (
+    r"""(?i)(?:application|app|service|component|module)[=:\s"']+([a-zA-Z][\w-]{2,30})""",
+    r"\[([A-Z][a-zA-Z]{2,20})\]",
+    r"([a-z]+\.[a-z]+\.[A-Z][a-zA-Z]+)",
+    r"""(?i)logger[=:\s"']+([^\s"']+)""",
+)
+# JSON fields that may name an application.
+JSON_FIELDS = ("application", "app", "appName", "app_name", "service", "serviceName", "service_name", "component", "module", "logger", "logger_name", "project", "system", "program", "process_name")
 
 
 def first_match(text: Column, patterns: tuple[str, ...]) -> Column:
@@ -22,9 +40,35 @@ def first_match(text: Column, patterns: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in patterns])
 
 
-def metadata(events: DataFrame, dim: str) -> DataFrame:
+def any_case(patterns: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(f"(?i){p}" for p in patterns)
+
+
+def content_name(text: Column) -> Column:
+    """The application that a message names; of a dotted name the last part."""
+    return F.element_at(F.split(first_match(text, CONTENT_PATTERNS[::-1]), r"\."), -1)
+
+
+def json_name(text: Column) -> Column:
+    """The first of the JSON fields that is there."""
+    return F.coalesce(*[F.get_json_object(text, f"$.{f}") for f in JSON_FIELDS])
+
+
+def indexed(events: DataFrame, index: str, include: list[str] | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """Events of the included indexes, or of all but the excluded ones."""
+    return events.where(F.col(index).isin(include)) if include else events.where(~F.coalesce(F.col(index).isin(*exclude), F.lit(False)))
+
+
+def tally(events: DataFrame, text: str | None = None) -> DataFrame:
+    """Distinct (source, host, sourcetype, json_app, content_app) with their events: one shuffle that every way of discovery reads."""
+    content = content_name(F.col(text)) if text else F.lit(None).cast("string")
+    named = events.select("source", "host", "sourcetype", "ts", json_name(F.col("props")).alias("json_app"), content.alias("content_app"))
+    return named.groupBy("source", "host", "sourcetype", "json_app", "content_app").agg(F.count("*").alias("n"), F.min("ts").alias("first_time"), F.max("ts").alias("last_time"))
+
+
+def metadata(tallied: DataFrame, dim: str) -> DataFrame:
     """Events and first and last time of each source, host or source type."""
-    return events.groupBy(dim).agg(F.count("*").alias("event_count"), F.min("ts").alias("first_time"), F.max("ts").alias("last_time"))
+    return tallied.groupBy(dim).agg(F.sum("n").alias("event_count"), F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
 
 
 def _result(df: DataFrame, method: str, app: Column, source: Column | None = None, host: Column | None = None, sourcetype: Column | None = None) -> DataFrame:
@@ -34,32 +78,36 @@ def _result(df: DataFrame, method: str, app: Column, source: Column | None = Non
     return named.where(F.col("app").isNotNull() & valid_app(F.col("app")))
 
 
-def from_sources(events: DataFrame, least: int = 100) -> DataFrame:
+def from_sources(tallied: DataFrame, least: int = 100) -> DataFrame:
     """Applications that source paths name."""
-    m = metadata(events, "source").where(F.col("event_count") >= least)
-    return _result(m, "source", normalize_app(first_match(F.col("source"), SOURCE_PATTERNS)), source=F.col("source"))
+    m = metadata(tallied, "source").where(F.col("event_count") >= least)
+    return _result(m, "source", normalize_app(first_match(F.col("source"), any_case(SOURCE_PATTERNS))), source=F.col("source"))
 
 
-def from_hosts(events: DataFrame) -> DataFrame:
-    """Applications that host names name; names of environments are skipped."""
-    m = metadata(events, "host").withColumn("short", F.regexp_replace("host", r"\.(com|net|org|local|example).*$|\..*$", ""))
-    app = F.lower(first_match(F.col("short"), HOST_PATTERNS))
+def from_hosts(tallied: DataFrame, least: int = 100) -> DataFrame:
+    """Applications that host names without their domain name; names of environments are skipped."""
+    m = metadata(tallied, "host").where(F.col("event_count") >= least)
+    app = first_match(F.regexp_replace(F.lower("host"), r"\.(com|net|org|local|internal|corp).*$", ""), any_case(HOST_PATTERNS))
     return _result(m.where(~app.isin(*ENVIRONMENTS)), "host", normalize_app(app), host=F.col("host"))
 
 
-def from_sourcetypes(events: DataFrame, least: int = 100) -> DataFrame:
-    """The first part of a source type that is a valid name of over three letters."""
-    m = metadata(events, "sourcetype").where((F.col("event_count") >= least) & ~F.col("sourcetype").rlike("(?i)^(syslog|stash|json)$|^_|^splunk"))
+def from_sourcetypes(tallied: DataFrame, least: int = 100) -> DataFrame:
+    """The first part of a source type that is a valid name of over three letters; generic source types are skipped."""
+    m = metadata(tallied, "sourcetype").where((F.col("event_count") >= least) & ~F.col("sourcetype").rlike("(?i)^(syslog|access|error|audit|security|generic|stash)$|^_|^splunk"))
     part = F.get(F.filter(F.split("sourcetype", r"[_:\-]"), lambda p: (F.length(p) > 3) & valid_app(p)), F.lit(0))
-    return _result(m, "sourcetype", F.lower(part), sourcetype=F.col("sourcetype"))
+    return _result(m, "sourcetype", normalize_app(part), sourcetype=F.col("sourcetype"))
+
 
+def from_json(tallied: DataFrame, least: int = 10) -> DataFrame:
+    """Applications that JSON fields name, with the source types where they do."""
+    g = tallied.where(F.col("sourcetype").like("%json%") & F.col("json_app").isNotNull()).groupBy("json_app", "sourcetype").agg(F.sum("n").alias("event_count"))
+    return _result(g.where(F.col("event_count") > least), "json", normalize_app(F.col("json_app")), sourcetype=F.col("sourcetype"))
 
-def from_json(events: DataFrame, least: int = 10) -> DataFrame:
-    """The first of several JSON fields that names an application, with the source types where it does."""
-    app = F.coalesce(*[F.get_json_object("props", f"$.{f}") for f in JSON_FIELDS])
-    typed = events.where(F.col("sourcetype").like("%json%")).select(F.concat(F.lit("json-"), app).alias("name"), "sourcetype")
-    g = typed.where("name is not null").groupBy("name", "sourcetype").agg(F.count("*").alias("event_count")).where(F.col("event_count") > least)
-    return _result(g, "json", F.lower("name"), sourcetype=F.col("sourcetype"))
+
+def from_content(tallied: DataFrame, least: int = 10) -> DataFrame:
+    """Applications that message texts name, with the source types where they do."""
+    g = tallied.where("content_app is not null").groupBy("content_app", "sourcetype").agg(F.sum("n").alias("event_count"))
+    return _result(g.where(F.col("event_count") > least), "content", normalize_app(F.col("content_app")), sourcetype=F.col("sourcetype"))
 
 
 def template(text: Column) -> Column:
@@ -73,6 +121,12 @@ def clusters(events: DataFrame, text: str, least: int = 50, top: int = 100) -> D
     return g.where(F.col("event_count") > least).orderBy(F.desc("event_count"), "template").limit(top)
 
 
+def from_clusters(grouped: DataFrame) -> DataFrame:
+    """Applications that the example of a group of messages names. grouped: as from clusters()."""
+    g = grouped.select("event_count", content_name(F.col("example")).alias("name"), F.lit("cluster").alias("sourcetype"))
+    return _result(g.where("name is not null"), "cluster", normalize_app(F.col("name")), sourcetype=F.col("sourcetype"))
+
+
 def merge(*found: DataFrame) -> DataFrame:
     """One row for each application: sets joined, counts added, evidence gathered, with its confidence."""
     union = reduce(lambda a, b: a.unionByName(b), [f.select(RESULT) for f in found])
@@ -98,4 +152,26 @@ def summarize(apps: DataFrame) -> DataFrame:
 
 
 def search(apps: DataFrame, text: str) -> DataFrame:
+    """Applications whose name holds the text."""
     return apps.where(F.lower("app").contains(text.lower()))
+
+
+def lookup(apps: DataFrame, name: str) -> DataFrame:
+    """The application of that name."""
+    return apps.where(F.col("app") == name.lower())
+
+
+def ranked(apps: DataFrame, least: int = 30) -> DataFrame:
+    """Applications of enough confidence, the surest first."""
+    return apps.where(F.col("confidence") >= least).orderBy(F.desc("confidence"), F.desc("event_count"), "app")
+
+
+def source_rows(apps: DataFrame, most: int = 10) -> DataFrame:
+    """Long form with at most so many sources of each application, as the report shows them."""
+    return apps.select("app", F.explode(F.slice("sources", 1, most)).alias("source"))
+
+
+def shortened(values: Column, most: int = 50) -> Column:
+    """A list as text, cut after so many characters."""
+    joined = F.array_join(values, ", ")
+    return F.when(F.length(joined) > most, F.concat(F.substring(joined, 1, most), F.lit("..."))).otherwise(joined)

@@ -16,13 +16,17 @@ def bronze(raw: DataFrame) -> DataFrame:
     return raw.withColumn("raw_payload", F.to_json(F.struct(*raw.columns))).withColumn("priority", normalize_priority(F.col("priority")))
 
 
-def sla_measures(i: DataFrame, targets: DataFrame, as_of: Column, business_hours: bool = False) -> DataFrame:
-    """Minutes, shares of the target and statuses for response and resolution. targets: (priority, response_target, resolution_target)."""
-    j = i.join(F.broadcast(targets), "priority", "left")
+def sla_measures(i: DataFrame, targets: DataFrame, as_of: Column) -> DataFrame:
+    """Minutes, shares of the target and statuses for response and resolution.
+
+    targets: (priority, response_target, resolution_target), one row for each priority, and optionally business_hours_only:
+    then known times count by the share of business hours; those of what is still open stay as they are.
+    """
+    limited = F.coalesce(F.col("business_hours_only"), F.lit(False)) if "business_hours_only" in targets.columns else F.lit(False)
+    j = i.join(targets, "priority", "left")
     for what, end in (("response", "responded_at"), ("resolution", "resolved_at")):
-        scale = BUSINESS_FACTOR if business_hours else 1.0
-        raw = F.when(F.col(end).isNotNull(), elapsed_minutes(F.col("opened_at"), F.col(end)) * scale)
-        now = elapsed_minutes(F.col("opened_at"), as_of) * scale
+        raw = F.when(F.col(end).isNotNull(), elapsed_minutes(F.col("opened_at"), F.col(end)) * F.when(limited, BUSINESS_FACTOR).otherwise(1.0))
+        now = elapsed_minutes(F.col("opened_at"), as_of)
         target = F.col(f"{what}_target")
         pct = F.when(target > 0, F.round(F.coalesce(raw, now) / target * 100, 2))
         j = j.withColumn(f"{what}_minutes", F.round(raw, 2)).withColumn(f"{what}_pct", pct).withColumn(f"{what}_status", sla_status(F.col(end).isNotNull(), pct))
@@ -32,7 +36,7 @@ def sla_measures(i: DataFrame, targets: DataFrame, as_of: Column, business_hours
 def facts(raw: DataFrame, targets: DataFrame, services: DataFrame, as_of: Column) -> DataFrame:
     """The latest record of each incident with SLA measures, its service's type, date and openness."""
     new = latest(raw, ["incident_number"], F.col("ingestion_ts").desc_nulls_last(), F.col("state").desc_nulls_last())
-    j = sla_measures(new, targets, as_of).join(F.broadcast(services), "service", "left")
+    j = sla_measures(new, targets, as_of).join(services, "service", "left")
     j = j.withColumn("service_type", F.coalesce("service_type", F.lit("OTHER"))).withColumn("is_agent_facing", F.coalesce("is_agent_facing", F.lit(False)))
     return j.withColumn("incident_date", F.to_date("opened_at")).withColumn("is_open", F.coalesce(~F.col("state").isin(*CLOSED_STATES), F.lit(True)))
 
@@ -60,10 +64,10 @@ def open_incidents(f: DataFrame, as_of: Column) -> DataFrame:
 
 
 def state_changes(batch: DataFrame, current: DataFrame) -> DataFrame:
-    """Incidents whose state in a new batch differs from the current one, with minutes in the previous state."""
+    """Incidents whose state in a new batch differs from the current one (null is a state), with minutes in the previous state."""
     new = latest(batch, ["incident_number"], F.col("ingestion_ts").desc_nulls_last(), F.col("state").desc_nulls_last())
     old = current.select("incident_number", F.col("state").alias("from_state"), F.col("ingestion_ts").alias("since"))
-    j = new.join(old, "incident_number").where("state <> from_state")
+    j = new.join(old, "incident_number").where(~F.col("state").eqNullSafe(F.col("from_state")))
     return j.select("incident_number", "from_state", F.col("state").alias("to_state"), F.round(elapsed_minutes(F.col("since"), F.col("ingestion_ts")), 2).alias("minutes_in_state"))
 
 
@@ -81,3 +85,33 @@ def metrics_by_priority(f: DataFrame) -> DataFrame:
     breach = F.coalesce(F.col("resolution_minutes") > F.col("resolution_target"), F.lit(False))
     g = f.groupBy("priority").agg(F.count("*").alias("total"), F.count_if(breach).alias("breaches"), F.round(F.avg("resolution_minutes"), 2).alias("avg_minutes"), F.min("resolution_minutes").alias("min_minutes"), F.max("resolution_minutes").alias("max_minutes"), F.round(F.median("resolution_minutes"), 2).alias("median_minutes"), F.max("resolution_target").alias("target"), F.count_if(~F.col("is_open")).alias("closed"))
     return g.withColumn("compliance", percent(F.col("total") - F.col("breaches"), F.col("total")))
+
+
+# The order of priorities in lists.
+PRIORITY_ORDER = ("P0", "P1", "P2", "P3", "P4")
+
+
+def dashboard(open_: DataFrame) -> DataFrame:
+    """Open incidents, the most important first, older ones before newer ones."""
+    rank = F.coalesce(*[F.when(F.col("priority") == p, k) for k, p in enumerate(PRIORITY_ORDER)], F.lit(9))
+    return open_.orderBy(rank, F.desc("time_open"), "incident_number")
+
+
+def agent_impacting(f: DataFrame) -> DataFrame:
+    """Open incidents of agent-facing services that are at risk or in progress, the share of the target highest first."""
+    return f.where(F.col("is_open") & F.col("is_agent_facing") & F.col("resolution_status").isin("AT_RISK", "IN_PROGRESS")).orderBy(F.desc_nulls_last("resolution_pct"), "incident_number")
+
+
+def vendor_report(daily: DataFrame, since: Column) -> DataFrame:
+    """Daily vendor compliance rolled up from a day on, the worst first."""
+    one = lambda f, c, a: F.round(f(c), 1).alias(a)
+    g = daily.where(F.col("vendor").isNotNull() & (F.col("incident_date") >= since)).groupBy("vendor").agg(
+        F.sum("total").alias("total"), one(F.avg, "response_compliance", "response_pct"), one(F.avg, "resolution_compliance", "resolution_pct"),
+        one(F.avg, "avg_response_minutes", "avg_resp_min"), one(F.avg, "worst_resolution", "worst_resolution_min"),
+    )
+    return g.orderBy(F.asc_nulls_first("resolution_pct"), "vendor")
+
+
+def overall(metrics: DataFrame) -> DataFrame:
+    """One row over metrics_by_priority(): totals and the mean of the compliances."""
+    return metrics.agg(F.sum("total").alias("total"), F.sum("breaches").alias("breaches"), F.round(F.avg("compliance"), 2).alias("avg_compliance"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslake.functions.rules import coverage_class, health
@@ -33,9 +33,106 @@ def latest_metrics(series: DataFrame, metrics: list[str]) -> DataFrame:
     return last
 
 
+def worst_severity(column: str = "severity") -> Column:
+    """The severity that decides: critical kinds first, then warnings, then others; the first name of a rank."""
+    s = F.col(column)
+    rank = F.when(s.isin("AVAILABILITY", "ERROR"), 0).when(s.isin("PERFORMANCE", "RESOURCE_CONTENTION", "CUSTOM_ALERT"), 1).otherwise(2)
+    return F.min_by(s, F.when(s.isNotNull(), F.struct(rank, s)))
+
+
+def cmdb_lookups(catalog: DataFrame, columns: dict[str, str], lookups: list[str], environment: str | None = None) -> DataFrame:
+    """Applications of a catalog by logical column names, with their tag lookups in order, empty ones left out, and whether there is any.
+
+    columns: logical to physical names; physical ones that the catalog lacks become null. The environment is compared without case, and
+    only if the catalog has such a column.
+    """
+    given = columns.get("environment")
+    rows = catalog.where(F.upper(F.col(given)) == environment.upper()) if environment and given in catalog.columns else catalog
+    named = rows.select(*[(F.trim(F.col(p).cast("string")) if p in catalog.columns else F.lit(None).cast("string")).alias(k) for k, p in columns.items()])
+    each = F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in lookups])
+    out = named.withColumn("lookups", F.filter(each, lambda x: F.coalesce(x["value"], F.lit("")) != ""))
+    return out.withColumn("has_lookups", F.size("lookups") > 0)
+
+
+def members(covered: DataFrame, entities: DataFrame) -> DataFrame:
+    """(app_id, entity_id, entity_type) of monitored applications, by the tag that coverage() matched."""
+    tags = entities.select("entity_id", "entity_type", F.explode("tags").alias("t")).select("entity_id", "entity_type", F.col("t.key").alias("matched_key"), F.col("t.value").alias("matched_value")).distinct()
+    return covered.where("coverage <> 'NOT_MONITORED'").join(tags, ["matched_key", "matched_value"]).select("app_id", "entity_id", "entity_type")
+
+
+def open_problems(problems: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
+    """(problem_id, severity, title, entity_id) of problems that are open and started in the last hours, for each affected entity."""
+    recent = problems.where((F.col("status") == "OPEN") & (F.col("started") >= as_of - F.expr(f"INTERVAL {hours} HOURS")))
+    return recent.select("problem_id", "severity", "title", F.explode("affected").alias("entity_id"))
+
+
+def affected(entities: DataFrame, problems: DataFrame) -> DataFrame:
+    """Entities that an open problem affects. problems: as from open_problems()."""
+    return entities.join(problems.select("entity_id"), "entity_id", "left_semi")
+
+
+def app_health(of: DataFrame, wide: DataFrame, problems: DataFrame, averages: dict[str, list[str]], sums: dict[str, list[str]]) -> DataFrame:
+    """One row for each application: averages and sums of its entities' metrics by type, problems by severity, entity counts, health.
+
+    of: members(). averages and sums: entity type to metric columns of wide; nulls are left out. A problem that affects several
+    entities of an application counts once.
+    """
+    j = of.join(wide, "entity_id", "left")
+    typed = lambda t, m: F.when(F.col("entity_type") == t, F.col(m))
+    out = [F.round(F.avg(typed(t, m)), 2).alias(f"avg_{m}") for t, ms in averages.items() for m in ms]
+    out += [F.round(F.sum(typed(t, m)), 2).alias(f"total_{m}") for t, ms in sums.items() for m in ms]
+    out += [F.count_if(F.col("entity_type") == t).alias(f"{t.lower()}_count") for t in ENTITY_TYPES]
+    apps = j.groupBy("app_id").agg(*out)
+    each = of.join(problems, "entity_id").select("app_id", "problem_id", "severity").distinct().groupBy("app_id", "severity").agg(F.count("*").alias("n"))
+    counts = F.map_from_entries(F.sort_array(F.collect_list(F.struct("severity", "n"))))  # one entry for each severity
+    found = each.groupBy("app_id").agg(F.sum("n").alias("open_problems"), F.to_json(counts).alias("problem_severities"), worst_severity().alias("worst_severity"))
+    a = apps.join(found, "app_id", "left").withColumn("open_problems", F.coalesce("open_problems", F.lit(0)))
+    return a.withColumn("health", health(F.col("worst_severity"), F.col("avg_cpu"), F.col("avg_memory"), F.col("avg_failure_rate"))).drop("worst_severity")
+
+
+def by_severity(df: DataFrame, column: str = "health") -> DataFrame:
+    """The worst first."""
+    return df.orderBy(F.coalesce(*[F.when(F.col(column) == s, k) for k, s in enumerate(("CRITICAL", "WARNING", "UNKNOWN", "HEALTHY"))], F.lit(9)), *df.columns[:1])
+
+
+def host_health(hosts: DataFrame, problems: DataFrame) -> DataFrame:
+    """Health and kind of trouble of each host from its open problems, with the first three titles."""
+    g = problems.groupBy("entity_id").agg(F.count("*").alias("problems"), worst_severity().alias("worst"), F.min("severity").alias("first"), F.array_join(F.slice(F.sort_array(F.collect_set("title")), 1, 3), "; ").alias("titles"))
+    j = hosts.join(g, "entity_id", "left")
+    w = F.col("worst")
+    kind = F.when(w.isNull(), "NONE").when(w.isin("ERROR", "AVAILABILITY"), "ERROR").when(w.isin("PERFORMANCE", "RESOURCE_CONTENTION"), "PERFORMANCE").otherwise(F.col("first"))
+    state = F.when(w.isNull(), "HEALTHY").when(w.isin("ERROR", "AVAILABILITY"), "CRITICAL").otherwise("WARNING")
+    return j.select(*hosts.columns, state.alias("health"), kind.alias("trouble"), F.coalesce("problems", F.lit(0)).alias("problems"), F.coalesce("titles", F.lit("")).alias("titles"))
+
+
+def agent_status(hosts: DataFrame) -> DataFrame:
+    """Whether an agent is installed (it has a version or a monitoring mode) and runs. hosts: (version, mode, state, ...)."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return hosts.withColumn("agent_installed", (text("version") != "") | text("mode").isin("FULL_STACK", "INFRASTRUCTURE_ONLY")).withColumn("agent_running", text("state") == "RUNNING")
+
+
+def host_properties(entities: DataFrame) -> DataFrame:
+    """Flat properties of hosts, empty texts for absent ones, memory in GiB, addresses joined. entities: (entity_id, properties map, addresses array)."""
+    text = lambda k: F.coalesce(F.try_element_at("properties", F.lit(k)), F.lit("")).alias(k)
+    gib = F.round(F.try_element_at("properties", F.lit("memoryTotal")).cast("double") / 1024**3, 2)
+    return entities.select("entity_id", text("osType"), text("osVersion"), gib.alias("memory_gib"), F.array_join(F.coalesce("addresses", F.array().cast("array<string>")), ", ").alias("ip_addresses"))
+
+
+def find_hosts(hosts: DataFrame, host_id: int | str | None = None, name: str | None = None) -> DataFrame:
+    """The host of that id, or those whose name holds the text; all hosts without either."""
+    if host_id is not None:
+        return hosts.where(F.col("entity_id") == host_id)
+    return hosts.where(F.col("hostname").contains(name)) if name else hosts
+
+
+def version_distribution(hosts: DataFrame, column: str = "version") -> DataFrame:
+    """Hosts by agent version, the most frequent first."""
+    return hosts.groupBy(F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit("Unknown")).alias("version")).agg(F.count("*").alias("hosts")).orderBy(F.desc("hosts"), "version")
+
+
 def assess_health(wide: DataFrame, problems: DataFrame) -> DataFrame:
     """Health of each entity from its worst open problem and its latest metrics. problems: (entity_id, severity)."""
-    worst = problems.groupBy("entity_id").agg(F.count("*").alias("open_problems"), F.min_by("severity", F.when(F.col("severity").isin("AVAILABILITY", "ERROR"), 0).otherwise(1)).alias("worst_severity"))
+    worst = problems.groupBy("entity_id").agg(F.count("*").alias("open_problems"), worst_severity().alias("worst_severity"))
     j = wide.join(worst, "entity_id", "left")
     return j.withColumn("open_problems", F.coalesce("open_problems", F.lit(0))).withColumn("health", health(F.col("worst_severity"), F.col("cpu"), F.col("memory"), F.col("failure_rate")))
 

@@ -40,3 +40,14 @@ def ingestion_lag(df: DataFrame, event: Column, ingested: Column, batch: Column)
     """Records, batches and average delay by hour of ingestion."""
     lag = (F.unix_timestamp(ingested.cast("timestamp")) - F.unix_timestamp(event.cast("timestamp"))) / 60.0
     return df.groupBy(F.date_trunc("hour", ingested).alias("hour")).agg(F.count("*").alias("records"), F.count_distinct(batch).alias("batches"), F.round(F.avg(lag), 2).alias("avg_lag_minutes"))
+
+
+def window_counts(df: DataFrame, ts: str, as_of: Column, hours: int = 24) -> DataFrame:
+    """All rows, those of the last hours, and the first and last time."""
+    recent = (F.col(ts) >= as_of - F.expr(f"INTERVAL {hours} HOURS")) & (F.col(ts) < as_of)
+    return df.agg(F.count("*").alias("total"), F.count_if(recent).alias("recent"), F.min(ts).alias("first_time"), F.max(ts).alias("last_time"))
+
+
+def sample_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first rows in an order, as a sample to look at."""
+    return df.orderBy(*order).limit(n)

@@ -16,11 +16,11 @@ def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """target with source's rows: new keys are inserted, known ones updated where `newer` is larger in source (always without it).
 
-    columns: those that an update sets; all by default. Keys are unique on either side.
+    columns: those that an update sets; all by default. Keys are unique on either side; null keys are equal.
     """
     s = source.select([F.col(c).alias(f"_s_{c}") for c in source.columns] + [F.lit(True).alias("_in_s")])
     t = target.withColumn("_in_t", F.lit(True))
-    joined = t.join(s, reduce(lambda a, b: a & b, [t[k] == s[f"_s_{k}"] for k in keys]), "full_outer")
+    joined = t.join(s, reduce(lambda a, b: a & b, [t[k].eqNullSafe(s[f"_s_{k}"]) for k in keys]), "full_outer")
     update = F.col("_in_s").isNotNull() & (F.lit(True) if newer is None else F.coalesce(F.col(f"_s_{newer}") > F.col(newer), F.lit(False)))
     set_ = set(columns or source.columns)
     out = []
@@ -33,9 +33,24 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer: str | N
 
 def replace_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Update-all, insert-all."""
-    return target.join(source.select(keys), keys, "left_anti").unionByName(source, allowMissingColumns=True)
+    new = source.select([F.col(k).alias(f"_s_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    return target.join(new, same, "left_anti").unionByName(source, allowMissingColumns=True)
 
 
+def merge_available(target: DataFrame, source: DataFrame, keys: list[str], now: Column) -> DataFrame:
+    """Update and insert by whatever columns both sides have: technical ones (leading underscore) only with inserts, _processed_at anew."""
+    out = upsert(target, source, keys, columns=[c for c in source.columns if c in target.columns and not c.startswith("_")])
+    touched = source.select([F.col(k).alias(f"_s_{k}") for k in keys] + [F.lit(True).alias("_hit")])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    return out.join(touched, same, "left").withColumn("_processed_at", F.when(F.col("_hit"), now).otherwise(F.col("_processed_at"))).select(target.columns)
+
+
+def since_watermark(raw: DataFrame, column: str, processed: DataFrame, mark: str, default: str = "1970-01-01") -> DataFrame:
+    """Rows that came in after the latest processed ones; the mark is one value, so the filter reaches the scan."""
+    last = processed.agg(F.max(mark)).first()[0]
+    return raw.where(F.col(column) > (F.lit(last) if last is not None else F.lit(default).cast(raw.schema[column].dataType)))
+
 def delete_stale(target: DataFrame, recomputed: DataFrame, keys: list[str], in_window: Column) -> DataFrame:
     """Rows of the window whose key is no longer in the recomputed set go; rows outside it stay."""
     stale = target.where(in_window).join(recomputed.select(keys), keys, "left_anti").select(keys)
@@ -62,11 +77,12 @@ def chunk_plan(events: DataFrame, ts: str, start: str, hours: float = 24.0, leas
     while hours >= least_hours:
         widths.append(hours)
         hours /= 2
-    levels = F.array(*[F.struct(F.lit(w).alias("width_hours"), F.floor(epoch / (w * 3600)).alias("bin"), F.lit(i).alias("level")) for i, w in enumerate(widths)])
-    counts = events.select(F.explode(levels).alias("x")).select("x.*").groupBy("level", "width_hours", "bin").agg(F.count("*").alias("n"))
-    done = counts.where((F.col("n") < cap) | (F.col("level") == len(widths) - 1))
-    # A bin is a leaf where no wider bin around it was small enough.
-    for up in range(1, len(widths)):
-        wider = done.select((F.col("level") + up).alias("level"), F.col("bin").alias("_up"))
-        done = done.withColumn("_up", F.floor(F.col("bin") / (1 << up))).join(wider, ["level", "_up"], "left_anti").drop("_up")
-    return done.select("width_hours", "bin", "n")
+    last = len(widths) - 1
+    counted = events.groupBy(F.floor(epoch / (widths[-1] * 3600)).alias("fine")).agg(F.count("*").alias(f"n{last}"))
+    # Of the events only the finest counts are shuffled; every fine bin learns those of the wider bins around it.
+    wider = lambda level: F.floor(F.col("fine") / (1 << (last - level)))
+    for level in range(last):
+        counted = counted.withColumn(f"n{level}", F.sum(f"n{last}").over(Window.partitionBy(wider(level))))
+    bins = [F.struct(F.lit(w).alias("width_hours"), wider(i).alias("bin"), F.col(f"n{i}").alias("n")) for i, w in enumerate(widths)]
+    leaf = F.coalesce(*[F.when(F.col(f"n{i}") < cap, b) for i, b in enumerate(bins[:-1])], bins[-1])
+    return counted.select(leaf.alias("leaf")).distinct().select("leaf.*")

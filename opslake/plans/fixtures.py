@@ -35,15 +35,21 @@ SQL = {
     "locations": """
         SELECT n_nationkey AS location_key, n_name AS country, r_name AS continent FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "raw_events": """
-        SELECT event_id, ts, user_id, event_type, value, props, CONCAT('app', CAST(user_id % 40 AS VARCHAR(9)), CASE WHEN user_id % 3 = 0 THEN '-service' WHEN user_id % 3 = 1 THEN '_v2' ELSE '' END) AS source,
-               CONCAT(CASE user_id % 4 WHEN 0 THEN 'web' WHEN 1 THEN 'pay' WHEN 2 THEN 'auth' ELSE 'app' END, CAST(user_id % 17 AS VARCHAR(9)), '.example.com') AS host, CONCAT(event_type, ':json') AS sourcetype FROM events""",
+        SELECT event_id, ts, user_id, event_type, value, CONCAT('idx', CAST(event_id % 4 AS VARCHAR(9))) AS idx,
+               CONCAT('{"', CASE user_id % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'serviceName' WHEN 2 THEN 'process_name' ELSE 'k' END, '": "Pay', CAST(user_id % 20 AS VARCHAR(9)), CASE WHEN user_id % 2 = 0 THEN 'X-service' ELSE 'Core_v2' END, '"}') AS props,
+               CASE user_id % 7 WHEN 0 THEN CONCAT('/var/log/billing', CAST(user_id % 9 AS VARCHAR(9)), 'x/service.log') WHEN 1 THEN CONCAT('/opt/checkout', CAST(user_id % 5 AS VARCHAR(9)), 'y/run') WHEN 2 THEN CONCAT('Program Files/OrderTool', CAST(user_id % 3 AS VARCHAR(9)), 'z/x')
+                 WHEN 3 THEN CONCAT('gateway', CAST(user_id % 6 AS VARCHAR(9)), 'q-2.1') WHEN 4 THEN '/srv/mailer-api' WHEN 5 THEN CONCAT('/home/joe/ledger', CAST(user_id % 4 AS VARCHAR(9)), 'w/out') ELSE CONCAT('/data/logs/trace', CAST(user_id % 8 AS VARCHAR(9))) END AS source,
+               CASE user_id % 5 WHEN 0 THEN CONCAT('prd-billing', CAST(user_id % 17 AS VARCHAR(9)), '.corp') WHEN 1 THEN CONCAT('web-', CAST(user_id % 17 AS VARCHAR(9)), '.example.com') WHEN 2 THEN CONCAT('pay-server', CAST(user_id % 17 AS VARCHAR(9)), '.internal') WHEN 3 THEN CONCAT('db', CAST(user_id % 17 AS VARCHAR(9)), 'ledgerx') ELSE CONCAT('10-mailer', CAST(user_id % 17 AS VARCHAR(9))) END AS host,
+               CONCAT(event_type, CASE WHEN user_id % 3 = 0 THEN '_json' ELSE ':text' END) AS sourcetype,
+               CASE user_id % 5 WHEN 0 THEN CONCAT('level=info application=orderDesk', CAST(user_id % 6 AS VARCHAR(9)), 'a ok') WHEN 1 THEN '[RefundService] done' WHEN 2 THEN CONCAT('com.acme.Billing', CASE WHEN user_id % 2 = 0 THEN 'Core' ELSE 'Desk' END, ' failed') WHEN 3 THEN 'service: cart [Basket] logger: mail.PaymentCore sent 12 items' ELSE CONCAT('took ', CAST(event_id % 1000 AS VARCHAR(9)), ' ms') END AS message
+        FROM events""",
 }
 BASES = {"participants": ["lineitem"], "incidents": ["orders"], "targets": ["region"], "services": ["nation"], "locations": ["nation", "region"], "raw_events": ["events"]}
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture over the tables of a folder."""
-    sql = SQL[name].replace("VARCHAR(9)", "STRING")
+    sql = SQL[name].replace("VARCHAR(9)", "STRING").replace("{", "{{").replace("}", "}}")
     for base in BASES[name]:
         sql = sql.replace(f"FROM {base}", f"FROM {{{base}}}").replace(f"JOIN {base}", f"JOIN {{{base}}}")
     return spark.sql(sql, **{b: table(spark, sf_dir, b) for b in BASES[name]})

@@ -4,77 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opslake.operators import calls, discovery, incidents, monitoring, quality, tables
+from opslake.operators import calls, incidents, monitoring, quality, tables
 from opslake.plans.fixtures import fixture, oracle
 from opslake.plans.operations import FACTS, GEO, OPEN, all_facts, by, latest, now, sla_sql
 from opslake.plans.registry import query, table
 from opslake.sources.landing import incremental_window
 
-VALID = "length({0}) >= 3 AND lower({0}) NOT IN ('unknown', 'none', 'null', 'default', 'localhost') AND regexp_matches({0}, '[A-Za-z]') AND NOT regexp_matches(lower({0}), '^[a-z]?\\d+$')"
-NORMAL = r"lower(trim(regexp_replace(regexp_replace({}, '[-_]?(service|svc|app|api|server|prod|dev|test)$', '', 'i'), '[-_]?v?\d+(\.\d+)*$', '')))"
-SHOWN = ["app", "method", "event_count", "evidence"]
-
-
-def _names(dim: str, app: str, method: str, where: str) -> str:
-    return f"SELECT app, '{method}' AS method, event_count, '[{method}] ' || {dim} AS evidence FROM (SELECT {dim}, event_count, {app} AS app FROM (SELECT {dim}, count(*) AS event_count FROM raw_events GROUP BY 1)) WHERE app IS NOT NULL AND {where} AND {VALID.format('app')}"
-
-
-DISCOVERED = {
-    "discover_sources": _names("source", NORMAL.format("nullif(regexp_extract(source, '^([a-zA-Z][a-zA-Z0-9_-]+)$', 1), '')"), "source", "event_count >= 100"),
-    "discover_sourcetypes": _names("sourcetype", "lower(list_filter(regexp_split_to_array(sourcetype, '[_:\\-]'), lambda x: length(x) > 3 AND x <> 'null')[1])", "sourcetype", "event_count >= 100"),
-    "discover_json": f"SELECT app, 'json' AS method, event_count, '[json] ' || sourcetype AS evidence FROM (SELECT lower('json-' || json_extract_string(props, '$.k')) AS app, sourcetype, count(*) AS event_count FROM raw_events WHERE sourcetype LIKE '%json%' GROUP BY 1, 2) WHERE app IS NOT NULL AND event_count > 10 AND {VALID.format('app')}",
-}
-DISCOVERED["discover_hosts"] = _names("host", NORMAL.format("nullif(nullif(regexp_extract(split_part(host, '.', 1), '^([a-zA-Z]+)[-_]?\\d*$', 1), 'web'), '')"), "host", "true")
-FINDERS = {"discover_sources": discovery.from_sources, "discover_sourcetypes": discovery.from_sourcetypes, "discover_json": discovery.from_json, "discover_hosts": discovery.from_hosts}
-
-for _name, _find in FINDERS.items():
-
-    @query(_name, oracle(" " + DISCOVERED[_name], "raw_events"))
-    def _(spark, d, find=_find):
-        return find(fixture(spark, d, "raw_events")).withColumn("evidence", F.element_at("evidence", 1)).select(SHOWN)
-
-
-def apps(spark, d):
-    e = fixture(spark, d, "raw_events")
-    return discovery.merge(discovery.from_sources(e), discovery.from_sourcetypes(e), discovery.from_json(e), discovery.from_hosts(e))
-
-
-POINTS = lambda c, *x: "CASE " + " ".join(f"WHEN {c} >= {a} THEN {p}" for a, p in x) + " ELSE 0 END"
-MERGED = f""", found AS ({' UNION ALL '.join(f'({x})' for x in DISCOVERED.values())}),
-  m AS (SELECT app, CAST(sum(event_count) AS BIGINT) AS event_count, list_sort(list(DISTINCT method)) AS methods, count(DISTINCT evidence) FILTER (method = 'source') AS n_sources, count(DISTINCT split_part(evidence, '] ', 2)) FILTER (method IN ('sourcetype', 'json')) AS n_types, count(DISTINCT evidence) FILTER (method = 'host') AS n_hosts, list_sort(list(DISTINCT evidence)) AS evidence FROM found GROUP BY app),
-  apps AS (SELECT *, CAST(least(100, least(8 * len(methods), 25) + {POINTS('event_count', (100000, 30), (10000, 25), (1000, 20), (100, 10), (1, 5))} + {POINTS('n_sources', (5, 15), (2, 10), (1, 5))} + {POINTS('n_hosts', (10, 15), (5, 10), (1, 5))} + {POINTS('n_types', (3, 15), (2, 10), (1, 5))}) AS INTEGER) AS confidence FROM m)"""
-
-
-@query("merged_scored_apps", oracle(f"{MERGED} SELECT app, event_count, array_to_string(methods, ', ') AS methods, confidence FROM apps", "raw_events"))
-def _(spark, d):
-    return apps(spark, d).select("app", "event_count", F.array_join("methods", ", ").alias("methods"), "confidence")
-
-
-@query("app_summary", oracle(f"{MERGED} SELECT count(*) AS apps, count(*) FILTER (confidence >= 70) AS high, count(*) FILTER (confidence >= 40 AND confidence < 70) AS medium, count(*) FILTER (confidence < 40) AS low, CAST(coalesce(sum(event_count), 0) AS BIGINT) AS events FROM apps", "raw_events"))
-def _(spark, d):
-    return discovery.summarize(apps(spark, d))
-
-
-@query("app_search", oracle(f"{MERGED} SELECT app, confidence FROM apps WHERE app LIKE '%json-1%'", "raw_events"))
-def _(spark, d):
-    return discovery.search(apps(spark, d), "JSON-1").select("app", "confidence")
-
-
-@query("app_report_rows", oracle(f"{MERGED} SELECT app, confidence, event_count, array_to_string(methods, ', ') AS methods, CAST(n_sources AS INTEGER) AS source_count, CAST(n_hosts AS INTEGER) AS host_count FROM apps", "raw_events"))
-def _(spark, d):
-    return discovery.report_rows(apps(spark, d)).drop("sample_sources", "sample_hosts")
-
-
-@query("app_evidence_rows", oracle(f"{MERGED} SELECT app, unnest(evidence[1:5]) AS evidence FROM apps", "raw_events"))
-def _(spark, d):
-    return discovery.evidence_rows(apps(spark, d))
-
-
-@query("discover_clusters", oracle(r""" SELECT * FROM (SELECT regexp_replace(regexp_replace(props || ' from ' || host, '\b[0-9a-fA-F]{8,}\b', '<hex>', 'g'), '\d+', '<n>', 'g') AS template, count(*) AS event_count, min(props || ' from ' || host) AS example FROM raw_events GROUP BY 1) WHERE event_count > 50 ORDER BY event_count DESC, template LIMIT 100""", "raw_events"))
-def _(spark, d):
-    return discovery.clusters(fixture(spark, d, "raw_events").withColumn("message", F.concat("props", F.lit(" from "), "host")), "message")
-
-
 def entities(spark, d):
     s = table(spark, d, "supplier")
     kind = F.when(F.col("s_suppkey") % 3 == 0, "HOST").when(F.col("s_suppkey") % 3 == 1, "SERVICE").otherwise("APPLICATION")
@@ -123,8 +58,8 @@ def _(spark, d):
 METRICS = {"click": "cpu", "view": "memory", "error": "failure_rate"}
 SERIES = "SELECT user_id AS entity_id, CASE event_type WHEN 'click' THEN 'cpu' WHEN 'view' THEN 'memory' WHEN 'error' THEN 'failure_rate' ELSE 'other' END AS metric, ts, value FROM events"
 WIDE = f"w AS (SELECT entity_id, {', '.join(f'''round(max_by(value, struct_pack(ts, value)) FILTER (metric = '{m}'), 2) AS {m}''' for m in METRICS.values())} FROM ({SERIES}) WHERE value IS NOT NULL GROUP BY 1)"
-HEALTH = f"""WITH {WIDE}, pr AS (SELECT user_id AS entity_id, count(*) AS open_problems, min(CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1 END) AS r FROM events WHERE event_type = 'error' AND event_id % 50 < 2 GROUP BY 1),
-  a AS (SELECT w.*, coalesce(open_problems, 0) AS open_problems, CASE r WHEN 0 THEN 'ERROR' WHEN 1 THEN 'PERFORMANCE' END AS worst_severity FROM w LEFT JOIN pr USING (entity_id)),
+HEALTH = f"""WITH {WIDE}, pr AS (SELECT user_id AS entity_id, count(*) AS open_problems, min(CASE WHEN event_id % 30 = 0 THEN 0 WHEN event_id % 30 < 8 THEN 1 ELSE 2 END) AS r FROM events WHERE event_type = 'error' GROUP BY 1),
+  a AS (SELECT w.*, coalesce(open_problems, 0) AS open_problems, CASE r WHEN 0 THEN 'ERROR' WHEN 1 THEN 'PERFORMANCE' WHEN 2 THEN 'MONITORING_UNAVAILABLE' END AS worst_severity FROM w LEFT JOIN pr USING (entity_id)),
   h AS (SELECT *, CASE WHEN worst_severity = 'ERROR' THEN 'CRITICAL' WHEN worst_severity = 'PERFORMANCE' OR cpu > 90 OR memory > 90 OR failure_rate > 5 THEN 'WARNING' WHEN worst_severity IS NULL AND cpu IS NULL AND memory IS NULL AND failure_rate IS NULL THEN 'UNKNOWN' ELSE 'HEALTHY' END AS health FROM a)"""
 
 
@@ -136,7 +71,8 @@ def wide_metrics(spark, d):
 
 def assessed(spark, d):
     e = table(spark, d, "events")
-    problems = e.where("event_type = 'error' and event_id % 50 < 2").select(F.col("user_id").alias("entity_id"), F.when(F.col("event_id") % 2 == 0, "ERROR").otherwise("PERFORMANCE").alias("severity"))
+    n = F.col("event_id") % 30
+    problems = e.where("event_type = 'error'").select(F.col("user_id").alias("entity_id"), F.when(n == 0, "ERROR").when(n < 8, "PERFORMANCE").otherwise("MONITORING_UNAVAILABLE").alias("severity"))
     return monitoring.assess_health(wide_metrics(spark, d), problems)
 
 

@@ -215,29 +215,52 @@ def _(spark, d):
     return incidents.metrics_by_priority(all_facts(spark, d))
 
 
-ACTIVE = f""", a AS (SELECT upper(vendor) AS vendor_key, active_date, count(*) AS incidents, count(*) FILTER (priority = 'P1') AS p1_incidents, count(*) FILTER (priority IN ('P1', 'P2')) AS critical_incidents, list_sort(list(DISTINCT incident_number)) AS incident_numbers
-  FROM (SELECT *, CAST(unnest(generate_series(CAST(opened_at AS DATE), CAST(coalesce(resolved_at, {AS_OF}) AS DATE), INTERVAL 1 DAY)) AS DATE) AS active_date FROM f WHERE vendor IS NOT NULL AND resolved_at IS NOT NULL) GROUP BY 1, 2)"""
+SINCE = "DATE '2001-10-30'"  # 32 days before the present
+
 
+def since():
+    return F.expr(SINCE)
 
-@query("call_incident_daily", oracle(f"""{P}{FACTS}{ACTIVE}, q AS ({by('call_date, vendor')}) SELECT q.*, coalesce(incidents, 0) AS incidents, coalesce(p1_incidents, 0) AS p1_incidents, coalesce(critical_incidents, 0) AS critical_incidents, array_to_string(coalesce(incident_numbers, []), ',') AS incident_numbers,
+
+ACTIVE = f""", a AS (SELECT upper(vendor) AS vendor_key, active_date, count(*) AS incidents, count(*) FILTER (priority = 'P1') AS p1_incidents, count(*) FILTER (priority IN ('P1', 'P2')) AS critical_incidents, list_sort(list(DISTINCT incident_number)) AS incident_numbers
+  FROM (SELECT *, CAST(unnest(generate_series(greatest(CAST(opened_at AS DATE), {SINCE}), CAST(coalesce(resolved_at, {AS_OF}) AS DATE), INTERVAL 1 DAY)) AS DATE) AS active_date FROM f WHERE vendor IS NOT NULL AND opened_at <= coalesce(resolved_at, {AS_OF})) GROUP BY 1, 2)"""
+DAILY = f"""{P}{FACTS}{ACTIVE}, q AS ({by('call_date, vendor', f'p WHERE call_date >= {SINCE}')}), daily AS (SELECT q.*, coalesce(incidents, 0) AS incidents, coalesce(p1_incidents, 0) AS p1_incidents, coalesce(critical_incidents, 0) AS critical_incidents, array_to_string(coalesce(incident_numbers, []), ',') AS incident_numbers,
   coalesce(incidents, 0) > 0 AS has_incident, degraded_calls + errored_calls > 0 AND coalesce(incidents, 0) > 0 AS degradation_with_incident, degraded_calls + errored_calls > 0 AND coalesce(incidents, 0) = 0 AS degradation_without_incident
-  FROM q LEFT JOIN a ON upper(q.vendor) = a.vendor_key AND q.call_date = a.active_date""", "participants", "incidents", "targets", "services"))
+  FROM q LEFT JOIN a ON upper(q.vendor) = a.vendor_key AND q.call_date = a.active_date)"""
+CORRELATED = ("participants", "incidents", "targets", "services")
+
+
+def daily(spark, d):
+    active = correlation.daily_incidents(all_facts(spark, d), now(), since())
+    recent = latest(spark, d).where(F.col("call_date") >= since())
+    return correlation.call_incident_daily(calls.quality_by(recent, "call_date", "vendor"), active)
+
+
+@query("call_incident_daily", oracle(f"{DAILY} SELECT * FROM daily", *CORRELATED))
+def _(spark, d):
+    return daily(spark, d).withColumn("incident_numbers", F.concat_ws(",", F.transform("incident_numbers", lambda x: x.cast("string"))))
+
+
+@query("correlation_stats", oracle(f"{DAILY} SELECT count(*) AS total_rows, count(*) FILTER (degradation_with_incident) AS degradation_with_incident_rows, count(*) FILTER (critical_incidents > 0) AS critical_incident_rows FROM daily", *CORRELATED))
+def _(spark, d):
+    return correlation.correlation_stats(daily(spark, d))
+
+
+@query("correlation_preview", oracle(f"{DAILY} SELECT call_date, vendor, errored_pct, degraded_pct, incidents FROM daily WHERE degradation_with_incident ORDER BY call_date DESC, errored_pct DESC NULLS LAST, vendor LIMIT 20", *CORRELATED))
 def _(spark, d):
-    active = correlation.daily_incidents(all_facts(spark, d).where("resolved_at is not null"), now())
-    out = correlation.call_incident_daily(calls.quality_by(latest(spark, d), "call_date", "vendor"), active)
-    return out.withColumn("incident_numbers", F.concat_ws(",", F.transform("incident_numbers", lambda x: x.cast("string"))))
+    return correlation.correlation_preview(daily(spark, d)).select("call_date", "vendor", "errored_pct", "degraded_pct", "incidents")
 
 
-OVERLAP = f"FROM (SELECT * FROM p WHERE call_status IN ('DEGRADED', 'ERRORED')) c {{}} JOIN (SELECT * FROM f WHERE resolved_at IS NOT NULL) i ON upper(c.vendor) = upper(i.vendor) AND i.opened_at <= c.end_ts + INTERVAL 1 HOUR AND i.resolved_at >= c.start_ts - INTERVAL 1 HOUR"
+OVERLAP = f"FROM (SELECT * FROM p WHERE call_status IN ('DEGRADED', 'ERRORED') AND CAST(start_ts AS DATE) >= {SINCE}) c {{}} JOIN (SELECT *, coalesce(resolved_at, {AS_OF}) AS ended_at FROM f WHERE opened_at <= coalesce(resolved_at, {AS_OF})) i ON upper(c.vendor) = upper(i.vendor) AND i.opened_at <= c.end_ts + INTERVAL 1 HOUR AND i.ended_at >= c.start_ts - INTERVAL 1 HOUR"
 
 
-@query("call_incident_detail", oracle(f"{P}{FACTS} SELECT conversation_id, participant_id, purpose, call_status, incident_number, i.priority AS incident_priority {OVERLAP.format('')}", "participants", "incidents", "targets", "services"))
+@query("call_incident_detail", oracle(f"{P}{FACTS} SELECT conversation_id, participant_id, purpose, call_status, incident_number, i.priority AS incident_priority {OVERLAP.format('')}", *CORRELATED))
 def _(spark, d):
     bad = latest(spark, d).where("call_status in ('DEGRADED', 'ERRORED')")
-    return correlation.overlaps(bad, all_facts(spark, d).where("resolved_at is not null"), now()).select("conversation_id", "participant_id", "purpose", "call_status", "incident_number", "incident_priority")
+    return correlation.overlaps(bad, all_facts(spark, d), now(), since()).select("conversation_id", "participant_id", "purpose", "call_status", "incident_number", "incident_priority")
 
 
 @query("root_cause_summary", oracle(f"""{P}{FACTS} SELECT *, round(with_incident * 100.0 / calls, 2) AS explained_pct, round(with_critical * 100.0 / calls, 2) AS critical_pct FROM (SELECT call_date, vendor, call_status, count(*) AS calls, count(*) FILTER ("any") AS with_incident, count(*) FILTER (critical) AS with_critical
-  FROM (SELECT conversation_id, participant_id, purpose, call_date, c.vendor, call_status, bool_or(incident_number IS NOT NULL) AS "any", bool_or(coalesce(i.priority IN ('P1', 'P2'), false)) AS critical {OVERLAP.format('LEFT')} GROUP BY ALL) GROUP BY ALL)""", "participants", "incidents", "targets", "services"))
+  FROM (SELECT conversation_id, participant_id, purpose, call_date, c.vendor, call_status, bool_or(incident_number IS NOT NULL) AS "any", bool_or(coalesce(i.priority IN ('P1', 'P2'), false)) AS critical {OVERLAP.format('LEFT')} GROUP BY ALL) GROUP BY ALL)""", *CORRELATED))
 def _(spark, d):
-    return correlation.root_cause_summary(latest(spark, d), all_facts(spark, d).where("resolved_at is not null"), now())
+    return correlation.root_cause_summary(latest(spark, d), all_facts(spark, d), now(), since())

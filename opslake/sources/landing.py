@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+import uuid
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,25 @@ def json_lines(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.schema(StructType([StructField(c, StringType()) for c in columns])).json(path)
 
 
+def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of the field map by their new names; those that the source lacks are null texts."""
+    return df.select(*[(F.col(old) if old in df.columns else F.lit(None).cast("string")).alias(new) for old, new in names.items()])
+
+
+def parsed_timestamps(df: DataFrame, columns: list[str], formats: tuple[str, ...] = ()) -> DataFrame:
+    """Text columns as timestamps by the first format that fits, and by the standard one; others become null."""
+    parse = lambda c: F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats], F.try_to_timestamp(c)).cast("timestamp_ntz")
+    return df.withColumns({c: parse(F.col(c)) for c in columns})
+
+
+def concatenated(parts: list[DataFrame]) -> DataFrame:
+    """Results of several chunks as one; columns that a part lacks are null."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
 def in_window(df: DataFrame, ts: str, start: Column, end: Column) -> DataFrame:
     """Rows of the half-open window; the comparison reaches the scan."""
     return df.where((F.col(ts) >= start) & (F.col(ts) < end))
@@ -29,6 +49,33 @@ def with_metadata(df: DataFrame, batch: str, start: Column, end: Column, system:
     return df.withColumns({"_ingestion_ts": now, "_batch_id": F.lit(batch), "_window_start": start, "_window_end": end, "_source_system": F.lit(system)})
 
 
+def append(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """Appends rows, in folders by the given columns if any."""
+    w = df.write.mode("append")
+    (w.partitionBy(*by) if by else w).parquet(path)
+
+
+def refresh(df: DataFrame, path: str) -> str:
+    """A full refresh: the rows go to a folder of their own beside the old ones, and the path of the new folder is returned to be put in its place.
+
+    Readers of the old folder aren't disturbed, and a refresh that fails leaves it as it was.
+    """
+    staged = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    return staged
+
+
+def log_run(runs_path: str, spark: SparkSession, job: str, status: str, start: datetime, end: datetime, rows: int) -> None:
+    """One row of the run log; to be called after the data are written, so that a failed run is read again."""
+    schema = "job string, status string, window_start timestamp_ntz, window_end timestamp_ntz, row_count long"
+    spark.createDataFrame([(job, status, start, end, rows)], schema).coalesce(1).write.mode("append").parquet(runs_path)
+
+
+def latest_runs(runs: DataFrame, n: int) -> DataFrame:
+    """The last runs, newest first."""
+    return runs.orderBy(F.desc("window_end"), F.desc("status")).limit(n)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

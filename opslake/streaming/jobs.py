@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from opslake.operators.tables import latest, upsert
 
@@ -31,6 +33,47 @@ def upsert_batches(keys: list[str], newer: str, read: Callable[[], DataFrame | N
     return run
 
 
+def transitions(updates: DataFrame, key: str, state: str, ts: str) -> DataFrame:
+    """(key, from_state, to_state, at, minutes) for each change of a key's state, over all micro-batches; null is a state, the first state no change.
+
+    Rows of one batch are taken in the order of ts; one last state for each key is kept between batches.
+    """
+    kind = updates.schema[key].dataType.simpleString()
+
+    def run(k: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values([ts, state], kind="stable")
+        known, (last, since) = kept.exists, kept.get if kept.exists else (None, None)
+        out = []
+        for s, t in zip(rows[state], rows[ts], strict=True):
+            s, t = None if pd.isna(s) else s, int(t.value // 1000)
+            if known and s != last:
+                out.append((k[0], last, s, pd.Timestamp(t, unit="us"), round((t - since) / 60e6, 2)))
+            if not known or s != last:
+                last, since, known = s, t, True
+        kept.update((last, since))
+        yield pd.DataFrame(out, columns=["key", "from_state", "to_state", "at", "minutes"])
+
+    schema = f"key {kind}, from_state string, to_state string, at timestamp, minutes double"
+    grouped = updates.select(F.col(key), F.col(state).cast("string"), F.col(ts).cast("timestamp")).groupBy(key)
+    return grouped.applyInPandasWithState(run, schema, "last string, since long", "append", GroupStateTimeout.NoTimeout).withColumnRenamed("key", key)
+
+
+def recompute_days(days: int, ts: str, read: Callable[[], DataFrame], aggregate: Callable[[DataFrame], DataFrame], swap: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: late rows change old days, so the aggregate of the last days before the batch's newest row is computed anew from the table."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        newest = batch.agg(F.max(F.to_date(ts))).first()[0]
+        if newest is not None:
+            swap(aggregate(read().where(F.to_date(ts) >= F.date_sub(F.lit(newest), days))), batch_id)
+
+    return run
+
+
+def snapshots(view: Callable[[], DataFrame], swap: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: a live snapshot is written whole in every cycle."""
+    return lambda batch, batch_id: swap(view(), batch_id)
+
+
 def drain(stream: DataFrame, name: str, checkpoint: str, mode: str = "append", each: Callable[[DataFrame, int], None] | None = None, path: str | None = None) -> None:
     """Runs a stream over what is there now, then stops."""
     w = stream.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)

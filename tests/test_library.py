@@ -1,13 +1,14 @@
 """The registered queries against their SQL, and the operators on small cases."""
 
 import json
+from datetime import datetime
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from opslake.functions import rules
-from opslake.operators import calls, correlation, discovery, tables
+from opslake.operators import calls, correlation, discovery, incidents, monitoring, tables
 from opslake.plans import load
 from opslake.sources import landing
 from opslake.streaming import jobs
@@ -45,6 +46,8 @@ def test_rules(spark):
     assert [r[0] for r in s.select(rules.sla_status(F.col("k"), F.col("p"))).collect()] == ["MET", "BREACHED", "BREACHED", "AT_RISK", "IN_PROGRESS", "IN_PROGRESS"]
     a = spark.createDataFrame([("Billing-Service",), ("pay_v2.1",), ("x9",), ("1234",)], "a string")
     assert [(r[0], r[1]) for r in a.select(rules.normalize_app(F.col("a")), rules.valid_app(F.col("a"))).collect()] == [("billing", True), ("pay", True), ("x", False), ("", False)]
+    b = spark.createDataFrame([("myapp",), ("PROD",), ("shop-daemon",)], "a string")
+    assert [(r[0], r[1]) for r in b.select(rules.normalize_app(F.col("a")), rules.valid_app(F.col("a"))).collect()] == [("my", True), ("prod", False), ("shop", True)]
 
 
 def test_upsert_is_idempotent(spark):
@@ -57,11 +60,73 @@ def test_upsert_is_idempotent(spark):
     assert sorted(map(tuple, tables.replace_rows(t, s, ["k"]).collect())) == sorted(map(tuple, s.collect()))
 
 
+def test_null_keys_and_states_are_values(spark):
+    t = spark.createDataFrame([(None, "a", 1), (2, "b", 5)], "k int, v string, ts int")
+    s = spark.createDataFrame([(None, "A", 2)], "k int, v string, ts int")
+    for got in (tables.upsert(t, s, ["k"], newer="ts"), tables.replace_rows(t, s, ["k"])):
+        assert sorted(map(tuple, got.collect()), key=str) == [(2, "b", 5), (None, "A", 2)]
+    b = spark.createDataFrame([(1, None, 9), (2, "New", 9), (3, "New", 9)], "incident_number int, state string, t int").withColumn("ingestion_ts", F.timestamp_seconds("t"))
+    c = spark.createDataFrame([(1, "New", 0), (2, None, 0), (3, "New", 0)], "incident_number int, state string, t int").withColumn("ingestion_ts", F.timestamp_seconds("t"))
+    assert sorted((r.incident_number, r.from_state, r.to_state) for r in incidents.state_changes(b, c).collect()) == [(1, "New", None), (2, None, "New")]
+
+
+def test_discovery_rules(spark):
+    paths = ["/var/log/myapp/application.log", "/opt/shop/bin", "C:\\x\\logs\\cart", "/var/log/app-1/service.log", "/srv/mail-2.7", "nothing"]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select(discovery.first_match(F.col("p"), discovery.any_case(discovery.SOURCE_PATTERNS))).collect()
+    assert [r[0] for r in got] == ["application", "shop", "cart", "service", "mail", None]
+    texts = ["app=cart [Shop] x", "com.acme.Billing", 'logger: "a.b.Core"', "[Shop]", "none here", None]
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(discovery.content_name(F.col("t"))).collect()] == ["Shop", "Billing", "Core", "Shop", None, None]
+    e = spark.createDataFrame([("s", "prd-x01", "a_json", 0, '{"app": "Billing-Service"}'), ("s", "pay-cart3.corp", "a_json", 0, '{"k": "zzz"}')], "source string, host string, sourcetype string, ts int, props string")
+    tallied = discovery.tally(e)
+    assert [r.app for r in discovery.from_hosts(tallied, 1).collect()] == ["pay"] and [r.app for r in discovery.from_json(tallied, 0).collect()] == ["billing"]
+
+
+def test_health_does_not_depend_on_row_order(spark):
+    wide = spark.createDataFrame([(1, None, None, None)], "entity_id int, cpu double, memory double, failure_rate double")
+    for order in (["PERFORMANCE", "MONITORING_UNAVAILABLE"], ["MONITORING_UNAVAILABLE", "PERFORMANCE"]):
+        p = spark.createDataFrame([(1, s) for s in order], "entity_id int, severity string").coalesce(1)
+        assert monitoring.assess_health(wide, p).first().health == "WARNING"
+
+
+def test_landing_functions(spark, tmp_path):
+    df = spark.createDataFrame([("1", "2024-01-02 03:04:05"), ("2", "02/01/2024 03:04"), ("3", "soon"), (None, None)], "a string, t string")
+    out = landing.parsed_timestamps(landing.renamed(df, {"a": "id", "t": "at", "none": "gone"}), ["at"], ("yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm")).collect()
+    assert [str(r["at"])[:16] for r in out] == ["2024-01-02 03:04", "2024-01-02 03:04", "None", "None"] and out[0].gone is None
+    landing.append(df, f"{tmp_path}/p", ["a"])
+    landing.append(df, f"{tmp_path}/p", ["a"])
+    assert spark.read.parquet(f"{tmp_path}/p").where("a = '1'").count() == 2
+    assert spark.read.parquet(landing.refresh(df, f"{tmp_path}/r")).count() == 4
+    for h, status in ((1, "SUCCESS"), (2, "FAILED"), (3, "SUCCESS")):
+        landing.log_run(f"{tmp_path}/runs", spark, "job", status, datetime(2024, 1, 1, h - 1), datetime(2024, 1, 1, h), 5)
+    runs = spark.read.parquet(f"{tmp_path}/runs")
+    assert landing.incremental_window(runs).first()[0] == datetime(2024, 1, 1, 2, 57) and landing.latest_runs(runs, 1).first().window_end.hour == 3
+    assert landing.concatenated([df, df.select("a")]).count() == 8
+
+
+def test_stream_of_transitions(spark, tmp_path):
+    batches = [[(1, "New", 0), (2, "New", 0), (1, "Open", 60)], [(1, "Open", 120), (1, "Closed", 180), (2, None, 300)]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, "k int, state string, t int").select("k", "state", F.timestamp_seconds("t").alias("ts")).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    stream = spark.readStream.schema("k int, state string, ts timestamp").option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    got = []
+    jobs.drain(jobs.transitions(stream, "k", "state", "ts"), "moves", f"{tmp_path}/c", "append", lambda df, b: got.extend((r.k, r.from_state, r.to_state, r.minutes) for r in df.collect()))
+    assert sorted(got, key=str) == [(1, "New", "Open", 1.0), (1, "Open", "Closed", 2.0), (2, "New", None, 5.0)]
+    seen = []
+    table = spark.read.parquet(f"{tmp_path}/in/0", f"{tmp_path}/in/1")
+    jobs.recompute_days(2, "ts", lambda: table, lambda t: t.agg(F.count("*").alias("n")), lambda df, b: seen.append((b, df.first().n)))(table, 7)
+    jobs.snapshots(lambda: table, lambda df, b: seen.append((b, df.count())))(table, 8)
+    assert seen == [(7, 6), (8, 6)]
+
+
 def test_overlap_edges(spark):
     c = spark.sql("SELECT 1 AS conversation_id, 'v' AS vendor, TIMESTAMP_NTZ '2024-01-01 23:30:00' AS start_ts, TIMESTAMP_NTZ '2024-01-02 00:10:00' AS end_ts")
     i = spark.sql("SELECT * FROM VALUES (1, 'P1', 'V', TIMESTAMP_NTZ '2023-12-30 00:00:00', TIMESTAMP_NTZ '2024-01-01 22:30:00'), (2, 'P2', 'V', TIMESTAMP_NTZ '2024-01-02 01:10:01', NULL), (3, 'P3', 'V', TIMESTAMP_NTZ '2024-01-01 00:00:00', NULL), (4, 'P3', 'V', TIMESTAMP_NTZ '2024-02-01 00:00:00', TIMESTAMP_NTZ '2024-01-01 00:00:00') AS t(incident_number, priority, vendor, opened_at, resolved_at)")
-    got = correlation.overlaps(c, i, F.expr("TIMESTAMP_NTZ '2024-01-05 00:00:00'")).collect()
-    assert sorted(r.incident_number for r in got) == [1, 3]
+    as_of, since = F.expr("TIMESTAMP_NTZ '2024-01-05 00:00:00'"), lambda day: F.to_date(F.lit(day))
+    for day in ("2023-01-01", "2024-01-01"):
+        assert sorted(r.incident_number for r in correlation.overlaps(c, i, as_of, since(day)).collect()) == [1, 3]
+    assert not correlation.overlaps(c, i, as_of, since("2024-01-02")).count()
+    days = correlation.daily_incidents(i, as_of, since("2024-01-01")).orderBy("active_date").collect()
+    assert [(str(r.active_date), r.incident_numbers) for r in days] == [("2024-01-01", [1, 3]), *[(f"2024-01-0{k}", [2, 3]) for k in (2, 3, 4, 5)]]
 
 
 def test_conversation_without_sessions_has_no_rows(spark):
