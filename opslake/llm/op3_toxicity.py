@@ -29,6 +29,8 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t",
 #: Channel costs in nats: a sign for a letter, a sign that stays, a hidden letter, a dropped or kept separator, a dropped repetition, a kept third letter.
 COST_LEET, COST_SIGN, COST_HIDDEN, COST_DROP, COST_KEEP, COST_REPEAT, COST_THIRD = 1.0, 4.0, 2.5, 0.5, 3.0, 0.5, 4.0
 BEAM = 80
+#: Letters that asterisks in a row may hide; further ones of a ruled line are separators.
+HIDDEN = 8
 #: Labelled documents that the word weights are counted on, as expected number; documents that a feature needs.
 SAMPLE, LEAST = 12_000, 5
 #: Kinds of preceding words that a feature needs in toxic documents, of 63; share of toxic documents that a word's beginning needs.
@@ -97,7 +99,7 @@ def restore(span: str, cost: np.ndarray) -> str:
                 options.append(("", COST_REPEAT))
         elif c in " .-_*" and (spaced or 0 < k < len(span) - 1):
             options += [("", COST_DROP), (" ", COST_KEEP)]
-            if c == "*":
+            if c == "*" and run <= HIDDEN:
                 options += [(x, COST_HIDDEN) for x in LETTERS[:26]]
         else:
             options += [(x, COST_LEET) for x in LEET.get(c, "")] + [(c, COST_SIGN)]

@@ -7,6 +7,7 @@ makes sure that two different ones never share a surrogate and that no surrogate
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,8 @@ TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra",
 _TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g) + r")\.?"
 _GIVEN = "(?:" + "|".join(n for g in NAMES.values() for n in g) + ")"
 _NAME = r"\p{Lu}\p{Ll}+"
+# What stands before a name that has no title, up to the blank.
+_CUE = r"(?:[Nn]ame is|[Nn]ame:|[Dd]ear|[Rr]egards,|[Ss]incerely,|[Ss]igned,|[Aa]uthor:|[Cc]ontact:|[Aa]ttn:|[Pp]atient:)"
 #: In the order in which they are tried at a place of the text.
 PATTERNS = {
     "secret": r"(?i:password|passwd|token|secret|api_?key) ?[=:] ?\"?[A-Za-z0-9+/_-]{8,}+\"?|(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])",
@@ -39,11 +42,11 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "iban": r"(?<![A-Z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])",
-    "name": rf"(?<![\p{{L}}])(?:{_TITLE} {_NAME}(?: {_NAME})?|{_GIVEN} {_NAME})(?![\p{{L}}])",
+    "name": rf"(?<![\p{{L}}])(?:{_TITLE} {_NAME}(?: {_NAME})?|{_GIVEN} {_NAME}|(?<={_CUE} ){_NAME} {_NAME})(?![\p{{L}}])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds: texts without it are left alone after one scan.
-SIGN = rf"[@\d]|(?<![\p{{L}}])(?:{_TITLE}|{_GIVEN}) \p{{Lu}}|[=:] ?\"?[A-Za-z0-9+/_-]{{8}}"
+SIGN = rf"[@\d]|(?<![\p{{L}}])(?:{_TITLE}|{_GIVEN}|{_CUE}) \p{{Lu}}|[=:] ?\"?[A-Za-z0-9+/_-]{{8}}"
 #: Replacements that changed surrogates may need on the driver before a join is used instead.
 MAP_LIMIT = 10_000
 ATTEMPTS = 12
@@ -51,7 +54,8 @@ ATTEMPTS = 12
 
 def kind(entity: Column) -> Column:
     """The type of an entity: that of the first pattern that fits all of it."""
-    return F.coalesce(*[F.when(entity.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items()], F.lit("secret"))
+    named = F.when(entity.rlike(rf"^(?:{_TITLE} )?{_NAME}(?: {_NAME})?$"), F.lit("name"))
+    return F.coalesce(*[F.when(entity.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items()], named, F.lit("secret"))
 
 
 def canonical(type_: Column, entity: Column) -> Column:
@@ -73,7 +77,7 @@ def _pick(values: list[str], hex_: Column, at: int) -> Column:
     return F.get(F.array(*map(F.lit, values)), number % len(values))
 
 
-def shaped(entity: Column, hex_: Column, fixed: int = 0) -> Column:
+def shaped(entity: Column, hex_: Column, fixed: int | Column = 0) -> Column:
     """The entity with each digit and Latin letter replaced by another of its class, case kept; marks and the first `fixed` of them stay.
 
     The k-th letter or digit depends on the k-th hex digits only, so an entity written with other separators has the same replacement.
@@ -93,6 +97,30 @@ def shaped(entity: Column, hex_: Column, fixed: int = 0) -> Column:
     return F.aggregate(F.split(entity, ""), zero, step, lambda a: a["out"])
 
 
+def luhn(digits: Column) -> Column:
+    """The check digit that makes a number of these digits and it valid: from the right every second digit is doubled."""
+    value = lambda i: F.substr(F.reverse(digits), i, F.lit(1)).cast("int") * F.when(i % 2 == 1, 2).otherwise(1)
+    total = F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), lambda a, i: a + (value(i) % 10) + F.floor(value(i) / 10).cast("int"))
+    return ((10 - total % 10) % 10).cast("string")
+
+
+def checked_card(old: Column, new: Column) -> Column:
+    """new with the check digit that fits, if that of old does."""
+    plain = lambda x: F.regexp_replace(x, r"\D", "")
+    body = lambda x: F.substr(plain(x), F.lit(1), F.length(plain(x)) - 1)
+    right = luhn(body(old)) == F.substr(plain(old), F.length(plain(old)), F.lit(1))
+    return F.when(right, F.concat(F.substr(new, F.lit(1), F.length(new) - 1), luhn(body(new)))).otherwise(new)
+
+
+def checked_iban(new: Column) -> Column:
+    """new with the two check digits that its country and account have: 98 less the number modulo 97, letters counting from 10 on."""
+    plain = F.regexp_replace(new, " ", "")
+    moved = F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(2)), F.lit("00"))
+    number = lambda c: F.when(c.rlike("[A-Z]"), F.ascii(c) - 55).otherwise(c.cast("int"))
+    rest = F.aggregate(F.split(moved, ""), F.lit(0), lambda a, c: F.when(c == "", a).otherwise((a * F.when(c.rlike("[A-Z]"), 100).otherwise(10) + F.coalesce(number(c), F.lit(0))) % 97).cast("int"))
+    return F.concat(F.substr(new, F.lit(1), F.lit(2)), F.lpad((98 - rest).cast("string"), 2, "0"), F.substr(new, F.lit(5)))
+
+
 def surrogate(type_: Column, entity: Column, canon: Column, key: str, attempt: Column) -> Column:
     """The replacement of an entity as it is written, before the check for clashes."""
     seed = F.concat_ws("\u0001", F.lit(key), attempt.cast("string"), type_, canon)
@@ -112,12 +140,12 @@ def surrogate(type_: Column, entity: Column, canon: Column, key: str, attempt: C
     last = F.concat(F.upper(F.substring(last, 1, 1)), F.substr(last, F.lit(2)))
     name = F.concat(title, F.when(given != "", F.concat(first, F.lit(" "))).otherwise(""), last)
     before = F.regexp_extract(entity, r'^([^=:]*[=:] ?"?)', 1)
-    secret = F.concat(before, shaped(F.substr(entity, F.length(before) + 1), hex_, 0))
+    secret = F.concat(before, shaped(F.substr(entity, F.length(before) + 1), hex_, F.when(canon.startswith("AKIA"), 4).otherwise(0)))
     return (
         F.when(type_ == "ip", F.concat_ws(".", *octets)).when(type_ == "email", email).when(type_ == "name", name)
         .when(type_ == "secret", F.when(entity.startswith("AKIA"), shaped(entity, hex_, 4)).otherwise(secret))
-        .when(type_ == "card", shaped(entity, hex_, 1)).when(type_ == "iban", shaped(entity, hex_, 2))
-        .when((type_ == "phone") & entity.startswith("+"), shaped(entity, hex_, 1)).otherwise(shaped(entity, hex_))
+        .when(type_ == "card", checked_card(entity, shaped(entity, hex_, 1))).when(type_ == "iban", checked_iban(shaped(entity, hex_, 2)))
+        .when(type_ == "phone", shaped(entity, hex_, 1)).otherwise(shaped(entity, hex_))
     )
 
 
@@ -155,14 +183,18 @@ def clashes(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, int]:
 
 
 def pseudonymize(docs: DataFrame, key: str = "public-example-key", text: str = "text", doc_key: str = "doc_id", count: str = "n_entities") -> DataFrame:
-    """All columns, with the text's entities replaced, and their number in a new column `count`.
+    """All columns, with the text's entities replaced, and their number in a new column `count`, last.
 
-    Null texts stay null with no entities, empty texts stay empty. Repeated rows are changed alike. The key is a secret of
+    Where the table has a column of that name already, the new one gets underscores at its end until it is free; columns of
+    the table are never read or changed but for the text. Null texts stay null with no entities, empty texts stay empty. Repeated rows are changed alike. The key is a secret of
     the caller. Where some surrogates clash, their later attempts come with a map on each row's side if they are few, else
     by a join of the entities.
     """
     moved, n = clashes(docs, text, key)
-    d = docs.withColumn("__e", entities(F.col(text)))
+    while count in docs.columns:
+        count += "_"
+    ents, hashed, joined_key, attempts_of, made = (f"{x}_{uuid.uuid4().hex}" for x in ("entities", "hash", "key", "attempts", "made"))
+    d = docs.withColumn(ents, entities(F.col(text)))
     attempt_of = None
     if n and n <= MAP_LIMIT:
         pairs = {(r["type"], r["canon"]): r["attempt"] for r in moved.collect()}
@@ -170,12 +202,12 @@ def pseudonymize(docs: DataFrame, key: str = "public-example-key", text: str = "
         attempt_of = lambda t, c: F.coalesce(F.try_element_at(attempts, F.concat_ws("\u0001", t, c)), F.lit(0))
     elif n:
         # By a hash of key and text: a null key is one of many, and equal rows need the same map.
-        d = d.withColumn("__h", F.xxhash64(F.col(doc_key), F.col(text)))
-        e = d.select(F.col("__h").alias("__k"), F.explode("__e").alias("e")).withColumn("type", kind(F.col("e")))
-        e = e.withColumn("canon", canonical(F.col("type"), F.col("e"))).join(moved, ["type", "canon"]).select("__k", F.concat_ws("\u0001", "type", "canon").alias("n"), "attempt").distinct()
-        maps = e.groupBy("__k").agg(F.map_from_entries(F.collect_list(F.struct("n", "attempt"))).alias("__m"))
-        d = d.join(maps, F.col("__h") == F.col("__k"), "left").drop("__k")
-        attempt_of = lambda t, c: F.coalesce(F.try_element_at(F.col("__m"), F.concat_ws("\u0001", t, c)), F.lit(0))
+        d = d.withColumn(hashed, F.xxhash64(F.col(doc_key), F.col(text)))
+        e = d.select(F.col(hashed).alias(joined_key), F.explode(ents).alias("e")).withColumn("type", kind(F.col("e")))
+        e = e.withColumn("canon", canonical(F.col("type"), F.col("e"))).join(moved, ["type", "canon"]).select(joined_key, F.concat_ws("\u0001", "type", "canon").alias("n"), "attempt").distinct()
+        maps = e.groupBy(joined_key).agg(F.map_from_entries(F.collect_list(F.struct("n", "attempt"))).alias(attempts_of))
+        d = d.join(maps, F.col(hashed) == F.col(joined_key), "left").drop(joined_key)
+        attempt_of = lambda t, c: F.coalesce(F.try_element_at(F.col(attempts_of), F.concat_ws("\u0001", t, c)), F.lit(0))
 
     def replaced(e: Column) -> Column:
         t = kind(e)
@@ -183,8 +215,8 @@ def pseudonymize(docs: DataFrame, key: str = "public-example-key", text: str = "
         return surrogate(t, e, c, key, attempt_of(t, c) if attempt_of else F.lit(0))
 
     between = F.split(F.col(text), ANY, -1)
-    new = F.transform(F.col("__e"), replaced)
-    joined = F.array_join(F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(F.col("__r"), i), F.lit("")))), "")
-    d = d.withColumn("__r", F.when(F.size("__e") > 0, new))
-    out = d.withColumn(text, F.when(F.size("__e") > 0, joined).otherwise(F.col(text))).withColumn(count, F.size("__e").cast("long"))
+    new = F.transform(F.col(ents), replaced)
+    joined = F.array_join(F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(F.col(made), i), F.lit("")))), "")
+    d = d.withColumn(made, F.when(F.size(ents) > 0, new))
+    out = d.withColumn(text, F.when(F.size(ents) > 0, joined).otherwise(F.col(text))).withColumn(count, F.size(ents).cast("long"))
     return out.select(*docs.columns, count)
