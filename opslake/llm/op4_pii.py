@@ -8,6 +8,7 @@ makes sure that two different ones never share a surrogate and that no surrogate
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -97,34 +98,40 @@ def shaped(entity: Column, hex_: Column, fixed: int | Column = 0) -> Column:
     return F.aggregate(F.split(entity, ""), zero, step, lambda a: a["out"])
 
 
-def luhn(digits: Column) -> Column:
-    """The check digit that makes a number of these digits and it valid: from the right every second digit is doubled."""
-    value = lambda i: F.substr(F.reverse(digits), i, F.lit(1)).cast("int") * F.when(i % 2 == 1, 2).otherwise(1)
-    total = F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), lambda a, i: a + (value(i) % 10) + F.floor(value(i) / 10).cast("int"))
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once and written once in the plan, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def luhn(card: Column) -> Column:
+    """The check digit that the other digits of a card number ask for: from the right every second one is doubled."""
+    from_right = F.reverse(F.split(F.regexp_replace(card, r"\D|\d\D*$", ""), ""))
+    doubled = F.transform(from_right, lambda c, k: F.coalesce(F.try_to_number(c, F.lit("9")).cast("int"), F.lit(0)) * F.when(k % 2 == 0, 2).otherwise(1))
+    total = F.aggregate(doubled, F.lit(0), lambda a, v: a + v % 10 + F.when(v > 9, 1).otherwise(0))
     return ((10 - total % 10) % 10).cast("string")
 
 
 def checked_card(old: Column, new: Column) -> Column:
     """new with the check digit that fits, if that of old does."""
-    plain = lambda x: F.regexp_replace(x, r"\D", "")
-    body = lambda x: F.substr(plain(x), F.lit(1), F.length(plain(x)) - 1)
-    right = luhn(body(old)) == F.substr(plain(old), F.length(plain(old)), F.lit(1))
-    return F.when(right, F.concat(F.substr(new, F.lit(1), F.length(new) - 1), luhn(body(new)))).otherwise(new)
+    right = luhn(old) == F.regexp_extract(old, r"(\d)\D*$", 1)
+    return bound(new, lambda n: F.when(right, F.concat(F.substr(n, F.lit(1), F.length(n) - 1), luhn(n))).otherwise(n))
 
 
 def checked_iban(new: Column) -> Column:
     """new with the two check digits that its country and account have: 98 less the number modulo 97, letters counting from 10 on."""
-    plain = F.regexp_replace(new, " ", "")
-    moved = F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(2)), F.lit("00"))
-    number = lambda c: F.when(c.rlike("[A-Z]"), F.ascii(c) - 55).otherwise(c.cast("int"))
-    rest = F.aggregate(F.split(moved, ""), F.lit(0), lambda a, c: F.when(c == "", a).otherwise((a * F.when(c.rlike("[A-Z]"), 100).otherwise(10) + F.coalesce(number(c), F.lit(0))) % 97).cast("int"))
-    return F.concat(F.substr(new, F.lit(1), F.lit(2)), F.lpad((98 - rest).cast("string"), 2, "0"), F.substr(new, F.lit(5)))
+    moved = lambda n: F.regexp_replace(F.concat(F.substr(n, F.lit(5)), F.substr(n, F.lit(1), F.lit(2)), F.lit("00")), "[^0-9A-Z]", "")
+    step = lambda a, c: F.when(c.rlike("[A-Z]"), (a * 100 + F.ascii(c) - 55) % 97).when(c != "", (a * 10 + F.ascii(c) - 48) % 97).otherwise(a)
+    rest = lambda n: F.aggregate(F.split(moved(n), ""), F.lit(0), step)
+    return bound(new, lambda n: F.concat(F.substr(n, F.lit(1), F.lit(2)), F.lpad((98 - rest(n)).cast("string"), 2, "0"), F.substr(n, F.lit(5))))
 
 
 def surrogate(type_: Column, entity: Column, canon: Column, key: str, attempt: Column) -> Column:
     """The replacement of an entity as it is written, before the check for clashes."""
     seed = F.concat_ws("\u0001", F.lit(key), attempt.cast("string"), type_, canon)
-    hex_ = F.concat(F.sha2(seed, 256), F.sha2(F.concat(F.lit("2"), seed), 256))
+    return bound(F.concat(F.sha2(seed, 256), F.sha2(F.concat(F.lit("2"), seed), 256)), lambda hex_: _surrogate(type_, entity, canon, hex_))
+
+
+def _surrogate(type_: Column, entity: Column, canon: Column, hex_: Column) -> Column:
     octets = [F.conv(F.substring(hex_, 2 * k + 1, 2), 16, 10) for k in range(4)]
     domain = F.regexp_extract(entity, r"@(.*)\.[^.]*$", 1)
     email = F.concat(shaped(F.regexp_extract(entity, "^([^@]*)@", 1), hex_), F.lit("@"), shaped(domain, F.substring(hex_, 41, 88)), F.regexp_extract(entity, r"(\.[^.]*)$", 1))
@@ -164,7 +171,7 @@ def clashes(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, int]:
 
     found = docs.select(F.explode(entities(F.col(text))).alias("e")).select(kind(F.col("e")).alias("type"), "e")
     each = written(found.select("type", canonical(F.col("type"), F.col("e")).alias("canon"), "e").groupBy("type", "canon").agg(F.min("e").alias("e")), "entities")
-    taken = written(each.select("type", "canon", canonical(F.col("type"), surrogate(F.col("type"), F.col("e"), F.col("canon"), key, F.lit(0))).alias("s")), "surrogates")
+    taken = written(each.select("type", "canon", bound(surrogate(F.col("type"), F.col("e"), F.col("canon"), key, F.lit(0)), lambda s: canonical(F.col("type"), s)).alias("s")), "surrogates")
 
     current = taken.withColumn("attempt", F.lit(0))
     for k in range(1, ATTEMPTS + 1):
@@ -174,7 +181,7 @@ def clashes(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, int]:
         bad = written(bad.union(real).distinct(), f"clashes{k}")
         if not bad.limit(1).count():
             break
-        again = bad.join(each, ["type", "canon"]).select("type", "canon", canonical(F.col("type"), surrogate(F.col("type"), F.col("e"), F.col("canon"), key, F.lit(k))).alias("s"), F.lit(k).alias("attempt"))
+        again = bad.join(each, ["type", "canon"]).select("type", "canon", bound(surrogate(F.col("type"), F.col("e"), F.col("canon"), key, F.lit(k)), lambda s: canonical(F.col("type"), s)).alias("s"), F.lit(k).alias("attempt"))
         current = written(current.join(bad, ["type", "canon"], "left_anti").unionByName(again), f"attempt{k}")
     else:
         raise RuntimeError(f"surrogates still clash after {ATTEMPTS} attempts; use types with longer formats or another key")
@@ -210,9 +217,8 @@ def pseudonymize(docs: DataFrame, key: str = "public-example-key", text: str = "
         attempt_of = lambda t, c: F.coalesce(F.try_element_at(F.col(attempts_of), F.concat_ws("\u0001", t, c)), F.lit(0))
 
     def replaced(e: Column) -> Column:
-        t = kind(e)
-        c = canonical(t, e)
-        return surrogate(t, e, c, key, attempt_of(t, c) if attempt_of else F.lit(0))
+        attempt = lambda t, c: attempt_of(t, c) if attempt_of else F.lit(0)
+        return bound(kind(e), lambda t: bound(canonical(t, e), lambda c: surrogate(t, e, c, key, attempt(t, c))))
 
     between = F.split(F.col(text), ANY, -1)
     new = F.transform(F.col(ents), replaced)
