@@ -53,12 +53,15 @@ def many_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
-def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
-    """The rows as files in the shared folder, bucketed and sorted by a key; their entry in the catalog goes at once."""
+def bucketed(df: DataFrame, name: str, key: str, compression: str = "uncompressed", placed: bool = False) -> DataFrame:
+    """The rows as files in the shared folder, bucketed and sorted by a key; their entry in the catalog goes at once.
+
+    placed: the rows are already hash-partitioned by the key, in as many partitions as shuffles have.
+    """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"llm_{name}_{uuid.uuid4().hex}"
-    df.repartition(n, key).write.option("compression", "uncompressed").option("path", f"{shared_dir(spark)}/{name}").bucketBy(n, key).sortBy(key).saveAsTable(name)
+    (df if placed else df.repartition(n, key)).write.option("compression", compression).option("path", f"{shared_dir(spark)}/{name}").bucketBy(n, key).sortBy(key).saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return table

@@ -9,33 +9,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Turns in one block: hashes run within blocks and then over the blocks, so no window holds more turns of a conversation than this.
+from opslake.llm.common import bucketed, written
+
+#: Turn numbers in one block and rows in one segment: no row holds more turns, and windows over turns lie within blocks.
 BLOCK = 256
 
 
-def positioned(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """(conv, block, pos, role, text, h1, h2): the turns with their positions from 1 and the hashes of the prefixes they end.
+def stored(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    """(seg, part, block, conv, key, lines, ha, hb): at most BLOCK turns in a row, with the hashes of role and text of each.
 
-    A hash of position, role and text of each turn is xor-ed along the conversation, twice with different seeds, so
-    equal 128 bits mean equal prefixes. Turns are ordered by number (null first), then role and text for repeated numbers.
-    Blocks are cut by turn number; totals of earlier blocks are added to each.
+    seg stands for conversation and block of turn numbers, part for the pieces of a block that holds more rows than numbers.
+    Turns are ordered by number (null first), then role and text for repeated numbers. The table is bucketed by seg, so the texts are shuffled
+    this once; what follows moves hashes and counts only. key names a conversation and is never null.
     """
+    n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     t = turns.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    t = t.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK).cast("long"), F.lit(-(1 << 62)).cast("long")))
-    inside = Window.partitionBy("conv", "block").orderBy("turn", "role", "text")
-    before = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = t.groupBy("conv", "block").agg(F.count("*").alias("size"))
-    offsets = sizes.select(F.col("conv").alias("c"), F.col("block").alias("k"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    t = t.withColumn("row", F.row_number().over(inside)).join(offsets, F.col("conv").eqNullSafe(F.col("c")) & (F.col("block") == F.col("k"))).drop("c", "k")
-    t = t.withColumn("pos", F.col("row") + F.col("offset"))
-    term = [F.xxhash64(F.lit(seed), "pos", "role", "text") for seed in ("a", "b")]
-    t = t.withColumns({"t1": term[0], "t2": term[1]})
-    totals = t.groupBy("conv", "block").agg(F.bit_xor("t1").alias("x1"), F.bit_xor("t2").alias("x2"))
-    carried = totals.select(F.col("conv").alias("c"), F.col("block").alias("k"), *[F.coalesce(F.bit_xor(x).over(before), F.lit(0).cast("long")).alias(f"c{x}") for x in ("x1", "x2")])
-    run = Window.partitionBy("conv", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumns({"r1": F.bit_xor("t1").over(run), "r2": F.bit_xor("t2").over(run)})
-    t = t.join(carried, F.col("conv").eqNullSafe(F.col("c")) & (F.col("block") == F.col("k")))
-    return t.select("conv", "block", "pos", "role", "text", F.col("r1").bitwiseXOR(F.col("cx1")).alias("h1"), F.col("r2").bitwiseXOR(F.col("cx2")).alias("h2"))
+    t = t.withColumns({"key": named("conv"), "block": F.coalesce(F.floor(F.col("turn") / BLOCK).cast("long"), F.lit(-(1 << 62)).cast("long"))})
+    t = t.withColumn("seg", F.concat_ws(" ", "key", F.col("block").cast("string"))).repartition(n, "seg")
+    t = t.withColumn("row", F.row_number().over(Window.partitionBy("seg").orderBy("turn", "role", "text")) - 1).withColumn("part", F.floor(F.col("row") / BLOCK).cast("int"))
+    hashes = [F.xxhash64(F.lit(seed), "role", "text").alias(name) for seed, name in (("a", "ha"), ("b", "hb"))]
+    rows = t.groupBy("seg", "part", "block", "conv", "key").agg(F.array_sort(F.collect_list(F.struct("row", "role", "text", *hashes))).alias("lines"))
+    rows = rows.select("seg", "part", "block", "conv", "key", F.transform("lines", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("lines"), F.col("lines.ha").alias("ha"), F.col("lines.hb").alias("hb"))
+    return bucketed(rows, "turns", "seg", compression="zstd", placed=True)
+
+
+def named(conv: str) -> Column:
+    """A conversation's id as a text that is never null."""
+    return F.coalesce(F.concat(F.lit("v"), F.col(conv).cast("string")), F.lit("n"))
+
+
+def index(segs: DataFrame) -> DataFrame:
+    """(seg, block, conv, key, size, offset, first, total): where the blocks of conversations begin, in turns and in segments."""
+    every = Window.partitionBy("key")
+    before = every.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = segs.groupBy("seg", "block", "conv", "key").agg(F.sum(F.size("ha")).alias("size"), F.count("*").alias("pieces"))
+    return written(sizes.select("seg", "block", "conv", "key", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"), F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("first"), F.sum("size").over(every).alias("total")), "blocks")
+
+
+def prefixes(segs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(conv, pos, h1, h2, whole): the hashes of each conversation's first pos turns; whole for all of them.
+
+    A hash of position, role and text of each turn is xor-ed along the conversation, twice with different seeds, so
+    equal 128 bits mean equal prefixes. The hashes run within blocks; totals of earlier blocks are added to each.
+    """
+    turns = segs.select("seg", "part", F.posexplode(F.arrays_zip("ha", "hb")).alias("i", "h")).join(blocks, "seg")
+    turns = turns.withColumn("pos", F.col("offset") + F.col("part") * BLOCK + F.col("i") + 1)
+    run = Window.partitionBy("seg").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    sums = [F.bit_xor(F.xxhash64("pos", F.col("h")[h])).over(run).alias(r) for h, r in (("ha", "r1"), ("hb", "r2"))]
+    runs = written(turns.select("seg", "block", "conv", "key", "pos", *sums, (F.col("pos") == F.col("total")).alias("whole"), (F.col("pos") == F.col("offset") + F.col("size")).alias("ends")), "runs")
+    before = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = runs.where("ends").select("seg", *[F.bit_xor(r).over(before).alias(c) for r, c in (("r1", "c1"), ("r2", "c2"))]).where("c1 is not null")
+    added = [F.col(r).bitwiseXOR(F.coalesce(F.col(c), F.lit(0).cast("long"))).alias(h) for r, c, h in (("r1", "c1", "h1"), ("r2", "c2", "h2"))]
+    return runs.join(carried, "seg", "left").select("conv", "pos", *added, "whole")
 
 
 def template(role: Column, text: Column) -> Column:
@@ -47,19 +72,18 @@ def render_maximal(conversations: DataFrame, conv: str = "conv_id", turn: str =
     """(conv, segment, n_turns, n_copies, rendered) of the maximal conversations.
 
     A conversation is dropped when its turns are the first turns of a longer one; of equal ones the smallest id stays,
-    and n_copies says how many there were. rendered holds the turns of one segment, at most BLOCK turn numbers;
+    and n_copies says how many there were. rendered holds the turns of one segment: at most BLOCK turn numbers and BLOCK rows;
     segments from 0 on, concatenated in order, are the conversation, and nearly all have only one. n_turns counts the whole
     conversation. Null role: user. Null text: empty. Null turn numbers come first; null ids are one conversation.
     Repeated rows are repeated turns. Equal ones are grouped with partial sums and prefixes are made distinct before the
     anti-join, so a first turn or whole conversation that very many share is one row there.
     """
-    t = positioned(conversations, conv, turn, role, text)
-    last = t.groupBy("conv").agg(F.max(F.struct("pos", "h1", "h2")).alias("last")).select("conv", "last.*")
-    kept = last.groupBy("pos", "h1", "h2").agg(F.min("conv").alias("conv"), F.count("*").alias("n_copies"))
-    size = last.select(F.col("conv").alias("c"), F.col("pos").alias("n"))
-    proper = t.join(size, F.col("conv").eqNullSafe(F.col("c")) & (F.col("pos") < F.col("n"))).select("pos", "h1", "h2").distinct()
-    maximal = kept.join(proper, ["pos", "h1", "h2"], "left_anti").select(F.col("conv").alias("c"), F.col("pos").alias("n_turns"), "n_copies")
-    lines = t.join(maximal, F.col("conv").eqNullSafe(F.col("c")))
-    rows = lines.groupBy("conv", "n_turns", "n_copies", "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", template(F.col("role"), F.col("text")).alias("r")))), lambda x: x["r"]), "").alias("rendered"))
-    numbered = rows.withColumn("segment", F.row_number().over(Window.partitionBy("conv").orderBy("block")) - 1)
-    return numbered.select(F.col("conv").alias(conv), F.col("segment").cast("long").alias("segment"), F.col("n_turns").cast("long").alias("n_turns"), "n_copies", "rendered")
+    segs = stored(conversations, conv, turn, role, text)
+    blocks = index(segs)
+    p = prefixes(segs, blocks)
+    kept = p.where("whole").groupBy("pos", "h1", "h2").agg(F.min("conv").alias("conv"), F.count("*").alias("n_copies"))
+    proper = p.where("not whole").select("pos", "h1", "h2").distinct()
+    maximal = kept.join(proper, ["pos", "h1", "h2"], "left_anti").select(named("conv").alias("key"), F.col("pos").alias("n_turns"), "n_copies")
+    places = blocks.join(maximal, "key").select("seg", "first", "n_turns", "n_copies")
+    rendered = F.array_join(F.transform("lines", lambda x: template(x["role"], x["text"])), "")
+    return segs.select("seg", "part", F.col("conv").alias("c"), "lines").join(places, "seg").select(F.col("c").alias(conv), (F.col("first") + F.col("part")).alias("segment"), F.col("n_turns").cast("long").alias("n_turns"), "n_copies", rendered.alias("rendered"))

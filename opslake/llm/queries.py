@@ -77,12 +77,13 @@ QUERIES = {f.__name__: f for f in (
 ORACLES = {
     "op1_chat_formatting": """
         WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS pos,
-                          coalesce(role, 'user') AS role, coalesce(text, '') AS text, coalesce(floor(turn / 256.0), -1e18) AS block FROM conversations),
+                          coalesce(role, 'user') AS role, coalesce(text, '') AS text, coalesce(floor(turn / 256.0), -1e18) AS block,
+                          (row_number() OVER (PARTITION BY conv_id, coalesce(floor(turn / 256.0), -1e18) ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) - 1) // 256 AS part FROM conversations),
              c AS (SELECT conv_id, count(*) AS n, list(struct_pack(r := role, t := text) ORDER BY pos) AS turns FROM t GROUP BY conv_id),
              k AS (SELECT min(conv_id) AS conv_id, n, turns, count(*) AS n_copies FROM c GROUP BY n, turns),
              m AS (SELECT k.* FROM k WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.turns[1] = k.turns[1] AND c.n > k.n AND c.turns[1:k.n] = k.turns)),
-             s AS (SELECT m.conv_id, t.block, m.n, m.n_copies, string_agg('<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10), '' ORDER BY t.pos) AS rendered
-                   FROM m JOIN t USING (conv_id) GROUP BY m.conv_id, t.block, m.n, m.n_copies)
-        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS segment, n AS n_turns, n_copies, rendered FROM s
+             s AS (SELECT m.conv_id, t.block, t.part, m.n, m.n_copies, string_agg('<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10), '' ORDER BY t.pos) AS rendered
+                   FROM m JOIN t USING (conv_id) GROUP BY m.conv_id, t.block, t.part, m.n, m.n_copies)
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY block, part) - 1 AS segment, n AS n_turns, n_copies, rendered FROM s
     """,
 }

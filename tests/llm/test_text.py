@@ -66,6 +66,17 @@ def test_long_chat_comes_in_segments(spark):
     assert "".join(r.rendered for r in got) == brute_chat(rows)[1][2]
 
 
+def test_chat_of_rows_without_ids_and_numbers(spark):
+    """Rows of one null or repeated number come in segments of bounded size; extra columns of any name don't matter."""
+    rows = [(None, None, "user", f"n{k % 500:04}") for k in range(600)] + [(5, 3, "user", f"n{k:04}") for k in range(400)] + [(6, 1, "user", "x" * 300_000), (7, 1, "user", "x" * 300_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS seg", "2 AS key", "3 AS lines", "4 AS pos")
+    got = op1_chat.render_maximal(df).orderBy("segment").collect()
+    assert sorted((r.conv_id or 0, r.segment, r.rendered.count("<|end|>")) for r in got) == [(0, 0, 256), (0, 1, 256), (0, 2, 88), (5, 0, 256), (5, 1, 144), (6, 0, 1)]
+    want = brute_chat(rows)
+    for c in (None, 5, 6):
+        assert ("".join(r.rendered for r in got if r.conv_id == c), next(r.n_copies for r in got if r.conv_id == c)) == (want[c][2], want[c][1])
+
+
 # 2
 
 
