@@ -28,8 +28,7 @@ BLANK, OTHER, SIZE = len(LETTERS), len(LETTERS) + 1, len(LETTERS) + 2
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "£": "l"}
 #: Channel costs in nats: a sign for a letter, a sign that stays, a hidden letter, a dropped or kept separator, a dropped repetition, a kept third letter.
 COST_LEET, COST_SIGN, COST_HIDDEN, COST_DROP, COST_KEEP, COST_REPEAT, COST_THIRD = 1.0, 4.0, 2.5, 0.5, 3.0, 0.5, 4.0
-BEAM = 80
-#: Letters that asterisks in a row may hide; further ones of a ruled line are separators.
+#: Letters that asterisks in a row may hide; further ones of a ruled line are dropped.
 HIDDEN = 8
 #: Labelled documents that the word weights are counted on, as expected number; documents that a feature needs.
 SAMPLE, LEAST = 12_000, 5
@@ -85,45 +84,60 @@ def language_model(counts: pd.DataFrame) -> np.ndarray:
     return -np.log(p3).astype(np.float32)
 
 
-def restore(span: str, cost: np.ndarray) -> str:
-    """The most likely text behind an obfuscated span, by Viterbi search over its lattice."""
+def lattice(span: str) -> list[list[tuple[str, float]]]:
+    """What each character of a span may stand for, and the channel's cost of it; "" where nothing stands behind it."""
     spaced = bool(SPACED.fullmatch(span))
-    states = {(BLANK, BLANK): (0.0, "")}
-    run = 0
+    columns, run = [], 0
     for k, c in enumerate(span):
         run = run + 1 if k and span[k - 1] == c else 1
-        options: list[tuple[str, float]] = []
         if c.isalpha():
-            options.append((c, 0.0 if run < 3 else COST_THIRD))
+            options = [(c, 0.0 if run < 3 else COST_THIRD)]
             if run > 1:
                 options.append(("", COST_REPEAT))
         elif c in " .-_*" and (spaced or 0 < k < len(span) - 1):
-            options += [("", COST_DROP), (" ", COST_KEEP)]
+            options = [("", COST_DROP)]
+            if c != "*" or run <= HIDDEN:
+                options.append((" ", COST_KEEP))
             if c == "*" and run <= HIDDEN:
                 options += [(x, COST_HIDDEN) for x in LETTERS[:26]]
         else:
-            options += [(x, COST_LEET) for x in LEET.get(c, "")] + [(c, COST_SIGN)]
+            options = [(x, COST_LEET) for x in LEET.get(c, "")] + [(c, COST_SIGN)]
             if run > 1:
                 options.append(("", COST_REPEAT))
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (so_far, out) in states.items():
-            for x, extra in options:
-                if x:
-                    s = int(_CODE[ord(x)]) if ord(x) < 256 else OTHER
-                    state, total = (b, s), so_far + extra + float(cost[a, b, s])
-                else:
-                    state, total = (a, b), so_far + extra
+        columns.append(options)
+    return columns
+
+
+def restore(span: str, cost: list) -> str:
+    """The most likely text behind an obfuscated span, by Viterbi search over its whole lattice.
+
+    A state is the last two symbols; of each state the cheapest way is kept, as a chain of characters that ways share.
+    """
+    states = {(BLANK, BLANK): (0.0, None)}
+    for options in lattice(span):
+        if len(options) == 1 and not options[0][0]:  # costs all ways the same
+            continue
+        symbols = [(x, int(_CODE[ord(x)]) if x and ord(x) < 256 else OTHER, extra) for x, extra in options]
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (so_far, way) in states.items():
+            row = cost[a][b]
+            for x, s, extra in symbols:
+                state, total = ((b, s), so_far + extra + row[s]) if x else ((a, b), so_far + extra)
                 if state not in new or total < new[state][0]:
-                    new[state] = (total, out + x)
-        states = new if len(new) <= BEAM else dict(sorted(new.items(), key=lambda x: x[1][0])[:BEAM])
-    return min(states.items(), key=lambda x: x[1][0] + float(cost[x[0][0], x[0][1], BLANK]))[1][1]
+                    new[state] = (total, (way, x) if x else way)
+        states = new
+    way, out = min(states.items(), key=lambda x: x[1][0] + cost[x[0][0]][x[0][1]][BLANK])[1][1], []
+    while way:
+        way, x = way
+        out.append(x)
+    return "".join(reversed(out))
 
 
 class Restorer:
     """Restores whole texts; keeps what it restored."""
 
     def __init__(self, cost: np.ndarray):
-        self.cost, self.kept = cost, {}
+        self.cost, self.kept = cost.tolist(), {}
 
     def one(self, span: str) -> str:
         if span not in self.kept:

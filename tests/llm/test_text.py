@@ -1,7 +1,9 @@
 """Operators 1 to 5, 9 and 10, and the pipeline."""
 
+import itertools
 import random
 import re
+import time
 import unicodedata
 import zlib
 
@@ -181,6 +183,45 @@ def test_restores_obfuscated_words():
         assert r.text(f"the {hidden} and") == f"the {plain} and"
 
 
+def test_restoring_finds_the_best_of_all_ways():
+    """Against the costs of all ways through the lattice."""
+    r, rng = random.Random(4), np.random.default_rng(4)
+    cost = rng.gamma(1.0, 3.0, (op3_toxicity.SIZE,) * 3).tolist()
+
+    def total(way):
+        x = [op3_toxicity.BLANK] * 2 + op3_toxicity.codes("".join(c for c, _ in way)).tolist() + [op3_toxicity.BLANK]
+        return sum(extra for _, extra in way) + sum(cost[a][b][c] for a, b, c in zip(x, x[1:], x[2:], strict=False))
+
+    spans = ["".join(r.choice("aab.1!06ж$-") for _ in range(r.randint(1, 8))) for _ in range(150)] + ["f**k", "a*b*", "a b c", "s.1.t", "x***y", "aa111", "b" * 6]
+    for span in spans:
+        best = {}
+        for way in itertools.product(*op3_toxicity.lattice(span)):
+            out = "".join(c for c, _ in way)
+            best[out] = min(best.get(out, 1e9), total(way))
+        assert best[op3_toxicity.restore(span, cost)] < min(best.values()) + 1e-6
+
+
+def test_toxicity_against_a_plain_version(spark):
+    """Scores of given documents, with every word looked up on its own and the telling words' chances multiplied."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 300")
+    model = op3_toxicity.fit(docs, docs.join(spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic"), "doc_id"))
+    model.weight.update({"house$": 0.5, "hou": 0.2, "tre": 0.6, "and$": 0.25})
+    model.__post_init__()
+    got = {r.doc_id: (r.score, r.n_words) for r in op3_toxicity.score(docs, model).collect()}
+    for d in docs.collect():
+        words = set(re.findall(r"[^\W\d_]{3,}", op3_toxicity.Restorer(model.cost).text(d.text)))
+        sure = [max([p for f, p in model.weight.items() if w + "$" == f or (f[-1] != "$" and len(f) <= 6 and w.startswith(f))], default=0) for w in words]
+        assert got[d.doc_id][1] == sum(p > 0 for p in sure) and abs(got[d.doc_id][0] - max(model.base, 1 - np.prod([1 - p for p in sure]))) < 1e-9
+
+
+def test_restoring_long_spans_takes_seconds():
+    r = op3_toxicity.Restorer(np.random.default_rng(1).gamma(1.0, 3.0, (op3_toxicity.SIZE,) * 3))
+    began = time.time()
+    for span in ("a" + "*" * 100_000 + "b", "a" + "*." * 300 + "b", "x.1" * 30_000, "a" + "." * 100_000 + "b", " ".join("i" * 100_000)):
+        assert r.text(span) is not None
+    assert time.time() - began < 60
+
+
 def auc(score, y):
     order = np.argsort(score, kind="stable")
     s, y = np.asarray(score)[order], np.asarray(y)[order]
