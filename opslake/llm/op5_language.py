@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from opslake.llm.common import bounded_batches
 
-#: Hashed features; bits of a codeword; labelled documents per language, as expected number, that the classifiers are fitted on.
-WIDTH, BITS, SAMPLE = 2048, 15, 800
+#: Hashed features; bits of a codeword; labelled documents per language, as expected number, that the classifiers are fitted on;
+#: languages that are learned, the most frequent ones of the labels: a column of many stray values doesn't reach the driver.
+WIDTH, BITS, SAMPLE, LANGUAGES = 2048, 15, 800, 200
 #: Below this share of the best over the two best languages a text is ambiguous.
 MARGIN = 0.6
 
@@ -90,11 +91,11 @@ class Model:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model | None:
     """Fits on a sample of about `sample` documents of each language, chosen by a hash of the key; None without any labelled letter.
 
-    Rows with null text or language, or without a letter, are left out.
+    Rows with null text or language, or without a letter, are left out, and those of languages beyond the LANGUAGES most frequent ones.
     """
     bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null and t is not null")
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(LANGUAGES).collect()}
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))])
