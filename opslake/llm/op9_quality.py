@@ -1,8 +1,8 @@
 """Quality by co-training of a text view and a metadata view.
 
 Two classifiers see different things of a document: its text, and what is known about it (source, language, length).
-Over some rounds each labels the unlabelled documents that it is most sure of for the other one. Both are calibrated on
-labelled documents that neither was fitted on, and combined.
+Over some rounds each looks at all unlabelled documents and labels those that it is sure of for the other one, which learns
+from a hash sample of them in which copies count once. Both are calibrated on labelled documents that neither was fitted on, and combined.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.common import bounded_batches
+from opslake.llm.common import bounded_batches, written
 from opslake.llm.op5_language import logistic
 
-#: Labelled and unlabelled documents for the fit, as expected numbers; rounds; pseudo-labels of each class that a round hands over.
-LABELLED, UNLABELLED, ROUNDS, HANDED = 4000, 4000, 4, 100
+#: Labelled documents for the fit, as expected number; rounds; pseudo-labelled ones of each class and view that a round's fit adds, as expected number
+#: over rows (copies of one text count once); margin from which a view is sure.
+LABELLED, ROUNDS, HANDED, SURE = 4000, 4, 100, 2.0
 HASHED = 256
 META = 128
 
@@ -77,16 +78,43 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margins @ self.calibration, -30, 30)))
 
 
-def _vectors(rows: DataFrame) -> pd.DataFrame:
+def _vectors(rows: DataFrame) -> DataFrame:
+    """(k, y, t, m): both views of each row as half-precision numbers."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = lambda v: v.astype(np.float16).tobytes()
         for b in batches:
-            yield pd.DataFrame({"k": b["k"], "y": b["y"], "t": [text_view(t).tobytes() for t in b["t"]], "m": [meta_view(s, g, n).tobytes() for s, g, n in zip(b["s"], b["g"], b["n"], strict=True)]})
+            yield pd.DataFrame({"k": b["k"], "y": b["y"], "t": [pack(text_view(t)) for t in b["t"]], "m": [pack(meta_view(s, g, n)) for s, g, n in zip(b["s"], b["g"], b["n"], strict=True)]})
+
+    return rows.mapInPandas(run, f"k {rows.schema['k'].dataType.simpleString()}, y double, t binary, m binary")
+
+
+def _stack(column: pd.Series, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.float16).reshape(len(column), width).astype(np.float32)
+
+
+def handed_over(open_: DataFrame, text: np.ndarray, meta: np.ndarray, turn: int, gone: list[int], handed: int) -> pd.DataFrame:
+    """(view, want, h, t, m): of all open documents those that a view ("t" or "m") is sure to be of class want (1 or -1), about `handed` rows each.
+
+    They are drawn by a hash of the text's view, h, so copies come together and count once; hashes in gone were handed over before.
+    """
+
+    @F.pandas_udf("t double, m double")
+    def margins(t: pd.Series, m: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"t": (_stack(t, len(text) - 1) @ text[:-1] + text[-1]).astype(float), "m": (_stack(m, len(meta) - 1) @ meta[:-1] + meta[-1]).astype(float)})
 
-    return rows.mapInPandas(run, "k long, y double, t binary, m binary").orderBy("k", "t").toPandas()
+    kinds = [(v, w) for v in "tm" for w in (1, -1)]
+    sure = lambda v, w: F.col(f"x.{v}") * w > SURE
+    told = open_.where(~F.col("h").isin(gone) if gone else F.lit(True)).withColumn("x", margins("t", "m"))
+    n = told.agg(*[F.count_if(sure(v, w)).alias(f"{v}{w}") for v, w in kinds]).first()
+    draw = F.pmod(F.xxhash64(F.lit(turn), "h"), F.lit(1 << 30))
+    chosen = [F.when(sure(v, w) & (draw < int(min(1.0, handed / max(n[f"{v}{w}"], 1)) * (1 << 30))), F.struct(F.lit(v).alias("view"), F.lit(w).alias("want"))) for v, w in kinds]
+    rows = told.withColumn("c", F.explode(F.array_compact(F.array(*chosen)))).groupBy("c.view", "c.want", "h").agg(F.min("t").alias("t"), F.min("m").alias("m"))
+    return rows.orderBy("view", "want", "h").toPandas()
 
 
-def cotrain(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> Model:
-    """Fits on about so many labelled and unlabelled documents, chosen by a hash of the id. docs: the columns of documents; labels: (doc_id, label).
+def cotrain(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, handed: int = HANDED) -> Model:
+    """Fits on about so many labelled documents, chosen by a hash of the id, and on pseudo-labelled ones out of all others. docs: the columns of documents; labels: (doc_id, label).
 
     Without labels of both classes the model gives the share of good labels to every document, or a half.
     """
@@ -94,11 +122,8 @@ def cotrain(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled
     bounded_batches(spark)
     d = docs.select(F.col("doc_id").alias("k"), F.col("text").alias("t"), F.col("source").alias("s"), F.col("lang").alias("g"), F.col("n_chars").cast("double").alias("n"))
     y = labels.select(F.col("doc_id").alias("k"), F.col(label).cast("double").alias("y")).where("y is not null").groupBy("k").agg(F.max("y").alias("y"))
-    sizes = y.count(), docs.count()
-    part = lambda salt, share: F.pmod(F.xxhash64(F.lit(salt), "k"), F.lit(1 << 20)) < min(1.0, share) * (1 << 20)
-    known = _vectors(d.join(y.where(part("a", labelled / max(sizes[0], 1))), "k").select("k", "y", "t", "s", "g", "n"))
-    open_ = _vectors(d.where(part("b", unlabelled / max(sizes[1], 1))).join(y, "k", "left_anti").withColumn("y", F.lit(float("nan"))).select("k", "y", "t", "s", "g", "n"))
-    stack = lambda col, width, x: np.frombuffer(b"".join(x[col]), np.float32).reshape(len(x), width)
+    part = F.pmod(F.xxhash64(F.lit("a"), "k"), F.lit(1 << 20)) < min(1.0, labelled / max(y.count(), 1)) * (1 << 20)
+    known = _vectors(d.join(y.where(part), "k").select("k", "y", "t", "s", "g", "n")).orderBy("k", "t", "m").toPandas()
     width = 16 + HASHED
     prior = float((known["y"].sum() + 1) / (len(known) + 2))
     if known["y"].nunique() < 2 or len(known) < 8:
@@ -107,24 +132,22 @@ def cotrain(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled
     held = np.array([zlib.crc32(str(k).encode()) % 4 == 0 for k in known["k"]])
     if not held.any() or held.all() or known["y"][~held].nunique() < 2 or known["y"][held].nunique() < 2:
         held = np.zeros(len(known), bool)
-    views = [(stack("t", width, known), stack("t", width, open_)), (stack("m", META, known), stack("m", META, open_))]
+    views = [_stack(known["t"], width), _stack(known["m"], META)]
     sign = np.where(known["y"].to_numpy() > 0, 1.0, -1.0).astype(np.float32)
-    own = [(v[0][~held], sign[~held]) for v in views]
-    free = np.ones(len(open_), bool)
-    rates = (2.0, 1.0)
-    for _ in range(ROUNDS):
+    own, rates, gone = [(v[~held], sign[~held]) for v in views], (2.0, 1.0), []
+    open_ = _vectors(d.withColumn("y", F.lit(None).cast("double"))).drop("y").join(y.select("k"), "k", "left_anti")
+    open_ = written(open_.select(F.xxhash64("t").alias("h"), "t", "m"), "open")
+    for turn in range(ROUNDS):
         fitted = [logistic(x, s[:, None], 200, r)[:, 0] for (x, s), r in zip(own, rates, strict=True)]
-        for k in (0, 1):
-            margin = views[k][1] @ fitted[k][:-1] + fitted[k][-1]
-            for want in (1.0, -1.0):
-                sure = np.flatnonzero(free & (want * margin > 2))
-                sure = sure[np.argsort(-want * margin[sure], kind="stable")][:HANDED]
-                free[sure] = False
-                x, s = own[1 - k]
-                own[1 - k] = np.vstack([x, views[1 - k][1][sure]]), np.concatenate([s, np.full(len(sure), want, np.float32)])
+        new = handed_over(open_, *fitted, turn, gone, handed)
+        for k, view in enumerate("tm"):
+            some = new[new["view"] == view]
+            x, s = own[1 - k]
+            own[1 - k] = np.vstack([x, _stack(some["tm"[1 - k]], x.shape[1])]), np.concatenate([s, some["want"].to_numpy(np.float32)])
+        gone += [int(h) for h in new["h"].unique()]
     fitted = [logistic(x, s[:, None], 300, r)[:, 0] for (x, s), r in zip(own, rates, strict=True)]
     use = held if held.any() else np.ones(len(known), bool)
-    margins = np.stack([v[0][use] @ f[:-1] + f[-1] for v, f in zip(views, fitted, strict=True)], 1).astype(np.float32)
+    margins = np.stack([v[use] @ f[:-1] + f[-1] for v, f in zip(views, fitted, strict=True)], 1).astype(np.float32)
     scale = np.maximum(np.abs(margins).mean(0), 1e-6)
     calibration = logistic(margins / scale, sign[use][:, None], 400, 0.5, 1e-3)[:, 0]
     return Model(fitted[0], fitted[1], np.append(calibration[:2] / scale, calibration[2]), prior)

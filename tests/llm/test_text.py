@@ -1,6 +1,7 @@
 """Operators 1 to 5, 9 and 10, and the pipeline."""
 
 import itertools
+import math
 import random
 import re
 import time
@@ -337,6 +338,26 @@ def test_language_of_odd_rows(spark):
     assert {r.lang_pred for r in none} == {"und"} and op5_language.identify(df.limit(0), None).count() == 0
 
 
+def test_language_against_a_plain_version(spark):
+    """Losses of each language's codeword, bit by bit, and the most frequent languages only."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400")
+    model = op5_language.fit(docs)
+    got = {r.doc_id: r for r in op5_language.identify(docs, model).collect()}
+    for d in docs.collect():
+        x = op5_language.features(d.text)
+        margin = [float(x @ model.weights[:-1, k] + model.weights[-1, k]) for k in range(op5_language.BITS)]
+        p = [math.exp(-sum(math.log1p(math.exp(-c * m)) for c, m in zip(code, margin, strict=True))) for code in model.code]
+        p = sorted(((v / sum(p), lang) for v, lang in zip(p, model.langs, strict=True)), reverse=True)
+        assert got[d.doc_id].lang_pred == p[0][1] and abs(got[d.doc_id].score - p[0][0]) < 1e-4
+        assert got[d.doc_id].ambiguous == (p[0][0] < op5_language.MARGIN * (p[0][0] + p[1][0])) or abs(p[0][0] / (p[0][0] + p[1][0]) - op5_language.MARGIN) < 1e-4
+
+
+def test_languages_that_are_learned_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(op5_language, "LANGUAGES", 2)
+    df = spark.createDataFrame([(k, "the house is " + "abc"[k % 3] * 5, "abc"[k % 3] if k < 30 else "a") for k in range(32)], "doc_id long, text string, lang string")
+    assert op5_language.fit(df).langs == ["a", "b"]
+
+
 def test_codewords_are_apart():
     for n in (2, 4, 9):
         c = op5_language.codes(n)
@@ -352,6 +373,34 @@ def test_quality_on_held_out_documents(spark):
     assert got["predicted"][got["quality"] == 1].mean() > 0.97
 
 
+def test_pseudo_labels_come_from_all_open_documents(spark):
+    """Against plain margins of every row: with a large number to hand over, all sure ones come, each text once, and none twice."""
+    r = np.random.default_rng(3)
+    t, m = r.normal(size=(500, 16 + op9_quality.HASHED)).astype(np.float16), r.normal(size=(500, op9_quality.META)).astype(np.float16)
+    t[400:], m[400:] = t[0], m[0]  # copies
+    rows = [(x.tobytes(), y.tobytes()) for x, y in zip(t, m, strict=True)]
+    open_ = spark.createDataFrame(rows, "t binary, m binary").select(F.xxhash64("t").alias("h"), "t", "m")
+    text, meta = r.normal(size=t.shape[1] + 1).astype(np.float32) / 4, r.normal(size=m.shape[1] + 1).astype(np.float32) / 4
+    want = set()
+    for (x, y), a, b in zip(rows, t.astype(np.float32) @ text[:-1] + text[-1], m.astype(np.float32) @ meta[:-1] + meta[-1], strict=True):
+        want |= {(v, int(np.sign(c)), x, y) for v, c in (("t", a), ("m", b)) if abs(c) > op9_quality.SURE}
+    got = op9_quality.handed_over(open_, text, meta, 0, [], 10_000)
+    assert len(want) > 100 and {(g.view, g.want, bytes(g.t), bytes(g.m)) for g in got.itertuples()} == want and len(got) == len(want)
+    gone = [int(h) for h in got["h"].unique()]
+    assert op9_quality.handed_over(open_, text, meta, 1, gone, 10_000).empty
+    assert 0 < len(op9_quality.handed_over(open_, text, meta, 1, gone[:5], 20)) < 200
+
+
+def test_quality_against_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400")
+    model = op9_quality.cotrain(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    got = {x.doc_id: x for x in op9_quality.score(docs, model).collect()}
+    for d in docs.collect():
+        a, b = (sum(float(x) * float(w) for x, w in zip(v, w_, strict=False)) + float(w_[-1]) for v, w_ in ((op9_quality.text_view(d.text), model.text), (op9_quality.meta_view(d.source, d.lang, d.n_chars), model.meta)))
+        z = a * model.calibration[0] + b * model.calibration[1] + model.calibration[2]
+        assert abs(got[d.doc_id].text_margin - a) < 1e-3 and abs(got[d.doc_id].meta_margin - b) < 1e-3 and abs(got[d.doc_id].score - 1 / (1 + math.exp(-z))) < 1e-3
+
+
 def test_quality_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (3, "word " * 60_000, "en", "s", 300_000)], "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([(1, 1), (3, None)], "doc_id long, quality int")
