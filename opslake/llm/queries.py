@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op6_repeats, op7_jaccard, op8_embeddings, op9_quality, op10_bpe
+from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op6_repeats, op7_jaccard, op8_embeddings, op9_quality, op10_bpe, op11_merkle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,12 +69,46 @@ def op10_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.when(remainder(3) == 0, op11_merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    out = op11_merkle.manifest(docs, tampered={"text": lowered})
+    siblings = F.array_join(F.zip_with("left", "right", lambda a, b: F.concat(a, b)), "")
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", "verified", "lang")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_decontamination, op3_toxicity_score, op4_pii_surrogates, op5_language_id,
     op6_repeated_passages, op7_jaccard_join, op8_embedding_dedup, op9_quality_score, op10_bpe_digests,
+    op11_merkle_manifest,
 )} | {"pipeline": corpus_pipeline.run}
 
+def merkle_sql(levels: int = 9) -> str:
+    """The manifest level by level: n are nodes, f the fold and proof of each leaf; subroots are raised like leaves. Serves 8 ** levels leaves of a language."""
+    crc = "xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::UBIGINT)), lambda a, c: list_reduce(list_prepend(xor(a, c), [0::UBIGINT for i in range(8)]), lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::UBIGINT) ELSE r >> 1 END)))"
+    leaf = lambda text: "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [f"l AS MATERIALIZED (SELECT *, row_number() OVER () AS uid, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS changed FROM documents))"]
+    ctes += ["n0 AS (SELECT lang AS g, pos, leaf AS d FROM l)", "f0 AS (SELECT uid, lang AS g, pos, changed AS d, '' AS proof FROM l)"]
+    for k in range(2 * levels):
+        if k == levels:  # from subroots on all nodes are of one group
+            ctes += [
+                f"h AS MATERIALIZED (SELECT g AS lang, d, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos FROM n{k})", f"n{k}h AS (SELECT '' AS g, pos, d FROM h)",
+                f"f{k}h AS (SELECT uid, '' AS g, h.pos, f.d, proof FROM f{k} f JOIN h ON f.g IS NOT DISTINCT FROM h.lang)",
+            ]
+        at = f"{k}h" if k == levels else k
+        ctes += [
+            f"s{k} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY g) AS size FROM n{at})",
+            f"n{k + 1} AS (SELECT g, pos // 8 AS pos, CASE WHEN max(size) = 1 THEN max(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d FROM s{k} GROUP BY g, pos // 8)",
+            f"""f{k + 1} AS MATERIALIZED (SELECT uid, any_value(f.g) AS g, any_value(f.pos // 8) AS pos, CASE WHEN max(size) = 1 THEN max(f.d) ELSE sha256(string_agg(CASE WHEN s.pos = f.pos THEN f.d ELSE s.d END, '' ORDER BY s.pos)) END AS d,
+              any_value(proof) || coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (s.pos <> f.pos), '') AS proof FROM f{at} f JOIN s{k} s ON f.g IS NOT DISTINCT FROM s.g AND f.pos // 8 = s.pos // 8 GROUP BY uid)""",
+        ]
+    return f"""WITH {", ".join(ctes)} SELECT doc_id, l.lang, leaf, h.d AS subroot, n.d AS root, sha256(proof) AS proof_sha256, f.d AS folded_root, f.d = n.d AS verified
+        FROM l JOIN f{2 * levels} f USING (uid) JOIN h ON l.lang IS NOT DISTINCT FROM h.lang CROSS JOIN n{2 * levels} n"""
+
+
 ORACLES = {
+    "op11_merkle_manifest": merkle_sql(),
     "op1_chat_formatting": """
         WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS pos,
                           coalesce(role, 'user') AS role, coalesce(text, '') AS text, coalesce(floor(turn / 256.0), -1e18) AS block,
