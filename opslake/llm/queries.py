@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op6_repeats, op7_jaccard, op8_embeddings, op9_quality, op10_bpe, op11_merkle
+from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op6_repeats, op7_jaccard, op8_embeddings, op9_quality, op10_bpe, op11_merkle, op12_bytes, op13_negatives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,10 +77,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", "verified", "lang")
 
 
+def op12_byte_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_bytes.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op13_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_decontamination, op3_toxicity_score, op4_pii_surrogates, op5_language_id,
     op6_repeated_passages, op7_jaccard_join, op8_embedding_dedup, op9_quality_score, op10_bpe_digests,
-    op11_merkle_manifest,
+    op11_merkle_manifest, op12_byte_bpe_digests, op13_hard_negatives,
 )} | {"pipeline": corpus_pipeline.run}
 
 def merkle_sql(levels: int = 9) -> str:
@@ -108,6 +117,15 @@ def merkle_sql(levels: int = 9) -> str:
 
 
 ORACLES = {
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+             p AS (SELECT * FROM (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE same) WHERE k <= 5),
+             n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+                   FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
     "op11_merkle_manifest": merkle_sql(),
     "op1_chat_formatting": """
         WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS pos,
