@@ -27,8 +27,9 @@ from opslake.llm.op10_bpe import NEWER, latin
 STRIDE, OVERLAP = 16_384, 512
 #: Characters from a match's beginning, and one after its end, on which it may depend at most: the longest fixed alternative of the pattern has three.
 LOOK = 3
-#: Pieces whose ids one Python worker keeps; characters from which on a piece isn't kept.
-KEPT, LONG = 200_000, 200
+#: Pieces whose ids one Python worker keeps; bytes from which on a piece is long, and isn't kept.
+KEPT, LONG = 500_000, 200
+NONE = 1 << 40
 
 Finish = Callable[[list[np.ndarray]], dict]
 
@@ -59,10 +60,26 @@ class ByteBpe:
         return (m.end() for m in self.rule(text).finditer(text, at))
 
     def merge(self, raw: bytes) -> list[int]:
-        """Ids of one piece. Parts are known by their beginnings; pairs that no longer stand are passed over."""
+        """Ids of one piece."""
+        if raw in self.ranks:
+            return [self.ranks[raw]]
+        if len(raw) >= LONG:
+            return self.merge_long(raw)
+        get, parts = self.ranks.get, [raw[k : k + 1] for k in range(len(raw))]
+        rank = [get(raw[k : k + 2], NONE) for k in range(len(raw) - 1)]
+        while rank and (least := min(rank)) < NONE:
+            k = rank.index(least)
+            parts[k] += parts.pop(k + 1)
+            del rank[k]
+            if k:
+                rank[k - 1] = get(parts[k - 1] + parts[k], NONE)
+            if k < len(rank):
+                rank[k] = get(parts[k] + parts[k + 1], NONE)
+        return [self.ranks[x] for x in parts]
+
+    def merge_long(self, raw: bytes) -> list[int]:
+        """Ids of a long piece. Parts are known by their beginnings, and a queue has the ranks; pairs that no longer stand are passed over."""
         ranks, n = self.ranks, len(raw)
-        if raw in ranks:
-            return [ranks[raw]]
         end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(b"\1") * n
         queue = [(ranks[pair], k, k + 2) for k in range(n - 1) if (pair := raw[k : k + 2]) in ranks]
         heapq.heapify(queue)
@@ -90,7 +107,7 @@ class ByteBpe:
             self.kept.clear()
         kept = self.kept
         try:
-            return b"".join([kept[p] for p in pieces])
+            return b"".join(map(kept.__getitem__, pieces))
         except KeyError:
             long = {}
             for p in set(pieces):
