@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslake.llm.common import bounded_batches, written
+from opslake.llm.common import bounded_batches, bucketed, written
 from opslake.llm.op10_bpe import NEWER, latin
 
 #: Characters from one chunk's beginning to the next one's, and those that two neighbours share.
@@ -48,6 +48,8 @@ class ByteBpe:
         older = white.replace(r"\p{L}", rf"[\p{{L}}--{newer}]").replace(r"\p{N}", rf"[\p{{N}}--{newer}]")
         self.rare_words = regex.compile(older, regex.V1)
         self.kept: dict[str, bytes] = {}
+        #: Ids take two bytes while they are shuffled, if the vocabulary lets them.
+        self.kind = "<u2" if max(self.ranks.values()) < 1 << 16 else "<u4"
 
     def rule(self, text: str) -> regex.Pattern:
         return self.words if latin(text) or not self.newer.search(text) else self.rare_words
@@ -102,7 +104,7 @@ class ByteBpe:
         return out
 
     def encode_pieces(self, pieces: list[str]) -> bytes:
-        """Ids of pieces as little-endian 32-bit integers."""
+        """Ids of pieces as little-endian integers of the vocabulary's width."""
         if len(self.kept) > KEPT:
             self.kept.clear()
         kept = self.kept
@@ -112,9 +114,13 @@ class ByteBpe:
             long = {}
             for p in set(pieces):
                 if p not in kept:
-                    (kept if len(p) < LONG else long)[p] = np.array(self.merge(p.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+                    (kept if len(p) < LONG else long)[p] = np.array(self.merge(p.encode("utf-8", "surrogatepass")), self.kind).tobytes()
             return b"".join([kept[p] if p in kept else long[p] for p in pieces])
 
+    def ids(self, raw: bytes) -> np.ndarray:
+        """Ids from their bytes."""
+        return np.frombuffer(raw, self.kind).astype("<u4")
+
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
@@ -177,7 +183,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str, key: str, schem
             texts = b["t"].fillna("").tolist()
             count = np.array([chunk_count(len(x)) for x in texts], np.int64)
             one = np.flatnonzero(count == 1)
-            ids = [np.frombuffer(t.encode_pieces(t.pieces(texts[k])), "<u4") for k in one]
+            ids = [t.ids(t.encode_pieces(t.pieces(texts[k]))) for k in one]
             yield pd.DataFrame({"k": b["k"].iloc[one], "row": b["row"].iloc[one], "chunk": None, "last": None, "start": None, "piece": None} | {c: list(v) for c, v in finish(ids).items()})
             for k in np.flatnonzero(count > 1):
                 starts = np.arange(count[k]) * STRIDE
@@ -217,7 +223,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str, key: str, schem
         return pd.DataFrame({"k": b["k"].iloc[:1], "row": b["row"].iloc[:1], "seg": b["seg"].iloc[:1], "ids": [t.encode_pieces(pieces)]})
 
     def joined(b: pd.DataFrame) -> pd.DataFrame:
-        ids = np.frombuffer(b"".join(b.sort_values("seg")["ids"]), "<u4")
+        ids = tokenizer(path, pattern).ids(b"".join(b.sort_values("seg")["ids"]))
         return pd.DataFrame({"k": b["k"].iloc[:1]} | {c: list(v) for c, v in finish([ids]).items()})
 
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.monotonically_increasing_id().alias("row"))
@@ -226,8 +232,11 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str, key: str, schem
     done = read.where("chunk is null").select("k", *names)
     long = read.where("chunk is not null").select("k", "row", "chunk", "last", "start", "piece")
     if long.limit(1).count():
-        chunks = written(long.repartition("row", "chunk").mapInPandas(scanned, f"{chunk_of}, ends array<int>, sure boolean"), "chunks")
-        rows = chunks.join(stitched(chunks), ["row", "chunk"])
+        # Chunks are dealt out once: their table is bucketed as the scan left them, and only the segments come to it.
+        dealt = long.withColumn("id", F.concat_ws("/", "row", "chunk")).repartition(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+        chunks = bucketed(dealt.mapInPandas(scanned, f"{chunk_of}, id string, ends array<int>, sure boolean"), "chunks", "id", compression="zstd", placed=True)
+        segments = stitched(chunks).select(F.concat_ws("/", "row", "chunk").alias("id"), "seg", "begin", "stop", "n")
+        rows = chunks.join(segments, "id")
         segment = f"k {kind}, row long, seg long, ids binary"
         alone = rows.where("n = 1").select("k", "row", "seg", "start", "piece", "ends", "begin", "stop").mapInPandas(single, segment)
         merged = rows.where("n > 1").select("k", "row", "seg", "chunk", "start", "piece", "begin", "stop").groupBy("row", "seg").applyInPandas(several, segment)
