@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslake.functions.rules import confidence, normalize_app, valid_app
+from opslake.operators.components import components
+from opslake.sources.scratch import written
 
 RESULT = ["app", "method", "event_count", "sources", "hosts", "sourcetypes", "evidence"]
 # Ordered patterns, of which the first that matches names the application, and host name parts that name none.
@@ -71,43 +73,54 @@ def metadata(tallied: DataFrame, dim: str) -> DataFrame:
     return tallied.groupBy(dim).agg(F.sum("n").alias("event_count"), F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
 
 
-def _result(df: DataFrame, method: str, app: Column, source: Column | None = None, host: Column | None = None, sourcetype: Column | None = None) -> DataFrame:
-    none = F.array().cast("array<string>")
-    some = lambda c: none if c is None else F.array(c)
-    named = df.select(app.alias("app"), F.lit(method).alias("method"), F.col("event_count"), some(source).alias("sources"), some(host).alias("hosts"), some(sourcetype).alias("sourcetypes"), F.array(F.concat(F.lit(f"[{method}] "), F.coalesce(*[c for c in (source, host, sourcetype) if c is not None]))).alias("evidence"))
-    return named.where(F.col("app").isNotNull() & valid_app(F.col("app")))
+#: Ways of discovery from the tally, and those whose names are counted as they stand in events.
+METHODS = ("source", "host", "sourcetype", "json", "content")
+FIELDS = ("json", "content")
+# Generic source types that name no application.
+GENERIC = "(?i)^(syslog|access|error|audit|security|generic|stash)$|^_|^splunk"
 
 
-def from_sources(tallied: DataFrame, least: int = 100) -> DataFrame:
-    """Applications that source paths name."""
-    m = metadata(tallied, "source").where(F.col("event_count") >= least)
-    return _result(m, "source", normalize_app(first_match(F.col("source"), any_case(SOURCE_PATTERNS))), source=F.col("source"))
+def host_name(host: Column) -> Column:
+    """What a host name says without its domain name; names of environments say nothing, and no later pattern is tried for them."""
+    found = first_match(F.regexp_replace(F.lower(host), r"\.(com|net|org|local|internal|corp).*$", ""), any_case(HOST_PATTERNS))
+    return F.get(F.filter(F.array(found), lambda x: ~x.isin(*ENVIRONMENTS)), F.lit(0))
 
 
-def from_hosts(tallied: DataFrame, least: int = 100) -> DataFrame:
-    """Applications that host names without their domain name; names of environments are skipped."""
-    m = metadata(tallied, "host").where(F.col("event_count") >= least)
-    app = first_match(F.regexp_replace(F.lower("host"), r"\.(com|net|org|local|internal|corp).*$", ""), any_case(HOST_PATTERNS))
-    return _result(m.where(~app.isin(*ENVIRONMENTS)), "host", normalize_app(app), host=F.col("host"))
+def sourcetype_name(sourcetype: Column) -> Column:
+    """The first part of a source type that is a valid name of over three letters."""
+    return F.get(F.filter(F.split(sourcetype, r"[_:\-]"), lambda p: (F.length(p) > 3) & valid_app(p)), F.lit(0))
 
 
-def from_sourcetypes(tallied: DataFrame, least: int = 100) -> DataFrame:
-    """The first part of a source type that is a valid name of over three letters; generic source types are skipped."""
-    m = metadata(tallied, "sourcetype").where((F.col("event_count") >= least) & ~F.col("sourcetype").rlike("(?i)^(syslog|access|error|audit|security|generic|stash)$|^_|^splunk"))
-    part = F.get(F.filter(F.split("sourcetype", r"[_:\-]"), lambda p: (F.length(p) > 3) & valid_app(p)), F.lit(0))
-    return _result(m, "sourcetype", normalize_app(part), sourcetype=F.col("sourcetype"))
+def discover(tallied: DataFrame, methods: tuple[str, ...] = METHODS, least: int = 100, least_fields: int = 10) -> DataFrame:
+    """Applications that sources, hosts, source types, JSON fields and message texts name, by one pass over the tally.
 
+    Sources and source types need `least` events, hosts none; names in JSON fields (counted over all source types with json in their name) and names
+    in texts (counted by source type) need more than least_fields. A name is found once for each counted value, not for each event.
+    """
+    none, kind, key = F.lit(None).cast("string"), F.col("method"), F.col("key")
+    keys = {"json": (F.when(F.col("sourcetype").like("%json%"), F.col("json_app")), none), "content": (F.col("content_app"), F.col("sourcetype"))}
+    ways = [F.struct(F.lit(m).alias("method"), (c := keys.get(m, (F.col(m), none)))[0].alias("key"), c[1].alias("part")) for m in methods] if methods else []
+    seen = tallied.select("n", "sourcetype", F.explode(F.array(*ways)).alias("w")).select("n", "sourcetype", "w.*").where("key is not null")
+    counted = seen.groupBy("method", "key", "part").agg(F.sum("n").alias("event_count"), F.sort_array(F.collect_set(F.when(kind.isin(*FIELDS), F.col("sourcetype")))).alias("types"))
+    enough = F.when(kind.isin(*FIELDS), F.col("event_count") > least_fields).when(kind == "host", True).otherwise(F.col("event_count") >= least)
+    names = {"source": lambda: first_match(key, any_case(SOURCE_PATTERNS)), "host": lambda: host_name(key), "sourcetype": lambda: F.when(~key.rlike(GENERIC), sourcetype_name(key))}
+    name = F.lit(None).cast("string")
+    for m in methods:
+        name = F.when(kind == m, names.get(m, lambda: key)()).otherwise(name)
+    # The generator evaluates a name once; the checks below read its result.
+    named = counted.where(enough).withColumn("app", F.explode(F.array(normalize_app(name)))).where(F.col("app").isNotNull() & valid_app(F.col("app")))
+    return _shaped(named, kind, F.col("types"))
 
-def from_json(tallied: DataFrame, least: int = 10) -> DataFrame:
-    """Applications that JSON fields name, with the source types where they do."""
-    g = tallied.where(F.col("sourcetype").like("%json%") & F.col("json_app").isNotNull()).groupBy("json_app", "sourcetype").agg(F.sum("n").alias("event_count"))
-    return _result(g.where(F.col("event_count") > least), "json", normalize_app(F.col("json_app")), sourcetype=F.col("sourcetype"))
 
-
-def from_content(tallied: DataFrame, least: int = 10) -> DataFrame:
-    """Applications that message texts name, with the source types where they do."""
-    g = tallied.where("content_app is not null").groupBy("content_app", "sourcetype").agg(F.sum("n").alias("event_count"))
-    return _result(g.where(F.col("event_count") > least), "content", normalize_app(F.col("content_app")), sourcetype=F.col("sourcetype"))
+def _shaped(named: DataFrame, kind: Column, types: Column) -> DataFrame:
+    """(app, method, event_count, key, ...) in the form of all results."""
+    none, key = F.array().cast("array<string>"), F.col("key")
+    fields = kind.isin(*FIELDS)
+    return named.select(
+        "app", kind.alias("method"), "event_count", F.when(kind == "source", F.array(key)).otherwise(none).alias("sources"), F.when(kind == "host", F.array(key)).otherwise(none).alias("hosts"),
+        F.when(fields, types).when(kind.isin("sourcetype", "cluster"), F.array(key)).otherwise(none).alias("sourcetypes"),
+        F.array(F.concat(F.lit("["), kind, F.lit("] "), F.when(fields, F.array_join(types, ", ")).otherwise(key))).alias("evidence"),
+    )
 
 
 def template(text: Column) -> Column:
@@ -121,10 +134,44 @@ def clusters(events: DataFrame, text: str, least: int = 50, top: int = 100) -> D
     return g.where(F.col("event_count") > least).orderBy(F.desc("event_count"), "template").limit(top)
 
 
+#: Least similarity of messages of one cluster; bands of so many hashes that find 99.9 % of the pairs at that similarity.
+SIMILARITY, BANDS, ROWS = 0.7, 20, 3
+
+
+def tokens(text: Column) -> Column:
+    """The distinct words of a message."""
+    return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}<>]+"), lambda w: w != ""))
+
+
+def similar(shapes: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(a, b): shapes of messages, given as (template), whose words are similar, found by bands of minimum hashes and then checked.
+
+    Shapes that share a band are compared with its first and its last one, not with each other, so a band of very many costs each of them the same.
+    """
+    t = shapes.select("template", tokens(F.col("template")).alias("words")).where(F.size("words") > 0)
+    least_hash = lambda seed: F.array_min(F.transform("words", lambda w: F.xxhash64(w, seed)))
+    signed = t.withColumn("signature", F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), least_hash))
+    banded = signed.select("template", "words", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(F.slice("signature", k * ROWS + 1, ROWS)))).alias("band", "hash"))
+    me = F.struct("template", "words")
+    ends = banded.groupBy("band", "hash").agg(F.min(me).alias("first"), F.max(me).alias("last")).where("first <> last")
+    met = banded.join(ends, ["band", "hash"]).select("template", "words", F.explode(F.array("first", "last")).alias("other")).where("template <> other.template")
+    common, whole = F.size(F.array_intersect("words", "other.words")), F.size(F.array_union("words", "other.words"))
+    return met.where(common >= least * whole).select(F.least("template", "other.template").alias("a"), F.greatest("template", "other.template").alias("b")).distinct()
+
+
+def similar_clusters(events: DataFrame, text: str, least: int = 50, top: int = 100) -> DataFrame:
+    """Clusters of messages whose shapes are linked by similarity: the shape of most events stands for all. The largest ones of over `least` events."""
+    g = events.groupBy(template(F.col(text)).alias("template")).agg(F.count("*").alias("n"), F.min(text).alias("text")).where("template is not null")
+    shapes = written(g, "shapes")
+    label = components(shapes.select(F.col("template").alias("id")), similar(shapes))
+    whole = shapes.join(label, shapes["template"] == label["id"]).groupBy("component").agg(F.sum("n").alias("event_count"), F.count("*").alias("shapes"), F.max_by(F.struct("template", "text"), F.struct("n", "template")).alias("main"))
+    return whole.where(F.col("event_count") > least).select("main.template", "event_count", F.col("main.text").alias("example"), "shapes").orderBy(F.desc("event_count"), "template").limit(top)
+
+
 def from_clusters(grouped: DataFrame) -> DataFrame:
-    """Applications that the example of a group of messages names. grouped: as from clusters()."""
-    g = grouped.select("event_count", content_name(F.col("example")).alias("name"), F.lit("cluster").alias("sourcetype"))
-    return _result(g.where("name is not null"), "cluster", normalize_app(F.col("name")), sourcetype=F.col("sourcetype"))
+    """Applications that the example of a group of messages names, by the first pattern that matches in any case. grouped: as from clusters()."""
+    g = grouped.select("event_count", F.lit("cluster").alias("key"), F.explode(F.array(normalize_app(first_match(F.col("example"), any_case(CONTENT_PATTERNS))))).alias("app"))
+    return _shaped(g.where(F.col("app").isNotNull() & valid_app(F.col("app"))), F.lit("cluster"), F.array().cast("array<string>"))
 
 
 def merge(*found: DataFrame) -> DataFrame:

@@ -39,11 +39,11 @@ CLUSTERS = r"SELECT regexp_replace(regexp_replace(message, '\b[0-9a-fA-F]{8,}\b'
 PART = f"list_filter(regexp_split_to_array(sourcetype, '[_:\\-]'), lambda x: length(x) > 3 AND lower(x) NOT IN ({quoted(EXCLUDED)}) AND regexp_matches(x, '[A-Za-z]') AND NOT regexp_matches(lower(x), '^[a-z]?\\d+$'))[1]"
 DISCOVERED = {
     "discover_sources": _named("source", "source", matches("source", discovery.any_case(discovery.SOURCE_PATTERNS)), _counted("1", "source"), "event_count >= 100"),
-    "discover_hosts": _named("host", "host", "name", f"SELECT *, {matches('short', discovery.any_case(discovery.HOST_PATTERNS))} AS name FROM ({_counted(SHORT + ' AS short', 'host')})", f"event_count >= 100 AND name NOT IN ({quoted(discovery.ENVIRONMENTS)})"),
+    "discover_hosts": _named("host", "host", "name", f"SELECT *, {matches('short', discovery.any_case(discovery.HOST_PATTERNS))} AS name FROM ({_counted(SHORT + ' AS short', 'host')})", f"name NOT IN ({quoted(discovery.ENVIRONMENTS)})"),
     "discover_sourcetypes": _named("sourcetype", "sourcetype", PART, _counted("1", "sourcetype"), "event_count >= 100 AND NOT regexp_matches(sourcetype, '(?i)^(syslog|access|error|audit|security|generic|stash)$|^_|^splunk')"),
-    "discover_json": _named("json", "sourcetype", "name", _counted("coalesce(" + ", ".join(f"json_extract_string(props, '$.{f}')" for f in discovery.JSON_FIELDS) + ") AS name", "sourcetype", "sourcetype LIKE '%json%'"), "event_count > 10"),
+    "discover_json": _named("json", "types", "name", "SELECT coalesce(" + ", ".join(f"json_extract_string(props, '$.{f}')" for f in discovery.JSON_FIELDS) + ") AS name, array_to_string(list_sort(list(DISTINCT sourcetype)), ', ') AS types, count(*) AS event_count FROM raw_events WHERE sourcetype LIKE '%json%' GROUP BY 1", "event_count > 10"),
     "discover_content": _named("content", "sourcetype", "name", _counted(content("message") + " AS name", "sourcetype"), "event_count > 10"),
-    "discover_cluster_apps": _named("cluster", "sourcetype", "name", f"SELECT event_count, 'cluster' AS sourcetype, {content('example')} AS name FROM ({CLUSTERS})", "true"),
+    "discover_cluster_apps": _named("cluster", "sourcetype", "name", f"SELECT event_count, 'cluster' AS sourcetype, {matches('example', discovery.any_case(discovery.CONTENT_PATTERNS))} AS name FROM ({CLUSTERS})", "true"),
 }
 
 
@@ -55,14 +55,11 @@ def clusters(spark, d):
     return discovery.clusters(fixture(spark, d, EVENTS), "message")
 
 
-FINDERS = {
-    "discover_sources": discovery.from_sources, "discover_hosts": discovery.from_hosts, "discover_sourcetypes": discovery.from_sourcetypes,
-    "discover_json": discovery.from_json, "discover_content": discovery.from_content,
-}
+def found(spark, d, name):
+    return discovery.from_clusters(clusters(spark, d)) if name == "discover_cluster_apps" else discovery.discover(tallied(spark, d), (WAYS[name],))
 
 
-def found(spark, d, name):
-    return discovery.from_clusters(clusters(spark, d)) if name == "discover_cluster_apps" else FINDERS[name](tallied(spark, d))
+WAYS = {"discover_sources": "source", "discover_hosts": "host", "discover_sourcetypes": "sourcetype", "discover_json": "json", "discover_content": "content"}
 
 
 for _name in DISCOVERED:
@@ -77,6 +74,16 @@ def _(spark, d):
     return clusters(spark, d)
 
 
+SIMILAR = f""", s AS (SELECT template, n, text, list_distinct(list_filter(regexp_split_to_array(lower(template), '[^\\p{{L}}\\p{{N}}<>]+'), lambda w: w <> '')) AS words FROM ({CLUSTERS.split(' HAVING')[0].replace('event_count', 'n').replace('AS example', 'AS text')})),
+  l AS (SELECT a.template AS a, b.template AS b FROM s a JOIN s b ON len(list_intersect(a.words, b.words)) >= 0.7 * len(list_distinct(list_concat(a.words, b.words)))),
+  r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a), c AS (SELECT a AS template, min(b) AS component FROM r GROUP BY 1)"""
+
+
+@query("discover_similar_clusters", oracle(f"{SIMILAR} SELECT arg_max(template, (n, template)) AS template, CAST(sum(n) AS BIGINT) AS event_count, arg_max(text, (n, template)) AS example, count(*) AS shapes FROM s JOIN c USING (template) GROUP BY component HAVING sum(n) > 50 ORDER BY event_count DESC, template LIMIT 100", EVENTS).replace("WITH ", "WITH RECURSIVE ", 1))
+def _(spark, d):
+    return discovery.similar_clusters(fixture(spark, d, EVENTS), "message")
+
+
 @query("metadata_hosts", oracle(" SELECT host, count(*) AS event_count, min(ts) AS first_time, max(ts) AS last_time FROM raw_events GROUP BY 1", EVENTS))
 def _(spark, d):
     return discovery.metadata(tallied(spark, d), "host").withColumn("event_count", F.col("event_count").cast("long"))
@@ -91,15 +98,14 @@ def _(spark, d):
 
 
 def apps(spark, d):
-    t = tallied(spark, d)
-    return discovery.merge(*[find(t) for find in FINDERS.values()], discovery.from_clusters(clusters(spark, d)))
+    return discovery.merge(discovery.discover(tallied(spark, d)), discovery.from_clusters(clusters(spark, d)))
 
 
 POINTS = lambda c, *x: "CASE " + " ".join(f"WHEN {c} >= {a} THEN {p}" for a, p in x) + " ELSE 0 END"
 DETAIL = "split_part(evidence, '] ', 2)"
 MERGED = f""", found AS ({' UNION ALL '.join(f'({x})' for x in DISCOVERED.values())}),
   m AS (SELECT app, CAST(sum(event_count) AS BIGINT) AS event_count, list_sort(list(DISTINCT method)) AS methods, coalesce(list_sort(list(DISTINCT {DETAIL}) FILTER (method = 'source')), []) AS sources, coalesce(list_sort(list(DISTINCT {DETAIL}) FILTER (method = 'host')), []) AS hosts,
-    count(DISTINCT {DETAIL}) FILTER (method NOT IN ('source', 'host')) AS n_types, list_sort(list(DISTINCT evidence)) AS evidence FROM found GROUP BY app),
+    coalesce(len(list_distinct(flatten(list(string_split({DETAIL}, ', ')) FILTER (method NOT IN ('source', 'host'))))), 0) AS n_types, list_sort(list(DISTINCT evidence)) AS evidence FROM found GROUP BY app),
   apps AS (SELECT *, CAST(least(100, least(8 * len(methods), 25) + {POINTS('event_count', (100000, 30), (10000, 25), (1000, 20), (100, 10), (1, 5))} + {POINTS('len(sources)', (5, 15), (2, 10), (1, 5))} + {POINTS('len(hosts)', (10, 15), (5, 10), (1, 5))} + {POINTS('n_types', (3, 15), (2, 10), (1, 5))}) AS INTEGER) AS confidence FROM m)"""
 BASIC = "app, event_count, array_to_string(methods, ', ') AS methods, confidence"
 
@@ -113,10 +119,9 @@ def _(spark, d):
     return basic(apps(spark, d))
 
 
-@query("ranked_apps", oracle(f"{MERGED} SELECT {BASIC}, row_number() OVER (ORDER BY confidence DESC, event_count DESC, app) AS place FROM apps WHERE confidence >= 60 ORDER BY place LIMIT 25", EVENTS))
+@query("ranked_apps", oracle(f"{MERGED} SELECT {BASIC}, row_number() OVER (ORDER BY confidence DESC, event_count DESC, app) AS place FROM apps WHERE confidence >= 30 ORDER BY place", EVENTS))
 def _(spark, d):
-    top = basic(discovery.ranked(apps(spark, d), 60)).limit(25)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("confidence"), F.desc("event_count"), "app")).cast("long"))
+    return basic(discovery.ranked(apps(spark, d))).withColumn("place", F.row_number().over(Window.orderBy(F.desc("confidence"), F.desc("event_count"), "app")).cast("long"))
 
 
 @query("app_summary", oracle(f"{MERGED} SELECT count(*) AS apps, count(*) FILTER (confidence >= 70) AS high, count(*) FILTER (confidence >= 40 AND confidence < 70) AS medium, count(*) FILTER (confidence < 40) AS low, CAST(coalesce(sum(event_count), 0) AS BIGINT) AS events FROM apps", EVENTS))

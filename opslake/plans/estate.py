@@ -63,9 +63,9 @@ def _(spark, d):
     return app_health(spark, d)
 
 
-@query("app_health_ranked", f"{APP_HEALTH} SELECT app_id, health, row_number() OVER (ORDER BY CASE health WHEN 'CRITICAL' THEN 0 WHEN 'WARNING' THEN 1 WHEN 'UNKNOWN' THEN 2 ELSE 3 END, app_id) AS place FROM h ORDER BY place LIMIT 30")
+@query("app_health_ranked", f"{APP_HEALTH} SELECT app_id, health, row_number() OVER (ORDER BY CASE health WHEN 'CRITICAL' THEN 0 WHEN 'WARNING' THEN 1 WHEN 'UNKNOWN' THEN 2 ELSE 3 END, app_id) AS place FROM h ORDER BY place")
 def _(spark, d):
-    top = monitoring.by_severity(app_health(spark, d)).limit(30).select("app_id", "health")
+    top = monitoring.by_severity(app_health(spark, d)).select("app_id", "health")
     rank = F.when(F.col("health") == "CRITICAL", 0).when(F.col("health") == "WARNING", 1).when(F.col("health") == "UNKNOWN", 2).otherwise(3)
     return top.withColumn("place", F.row_number().over(Window.orderBy(rank, "app_id")).cast("long"))
 
@@ -181,9 +181,9 @@ def _(spark, d):
     return incidents.vendor_report(daily, F.to_date(F.lit("2001-07-02")))
 
 
-@query("rpt_open_list", oracle(f"{FACTS} SELECT incident_number, priority, risk, row_number() OVER (ORDER BY CASE priority WHEN 'P0' THEN 0 WHEN 'P1' THEN 1 WHEN 'P2' THEN 2 WHEN 'P3' THEN 3 WHEN 'P4' THEN 4 ELSE 9 END, time_open DESC, incident_number) AS place FROM ({OPEN}) ORDER BY place LIMIT 50", *THREE))
+@query("rpt_open_list", oracle(f"{FACTS} SELECT incident_number, priority, risk, row_number() OVER (ORDER BY CASE priority WHEN 'P0' THEN 0 WHEN 'P1' THEN 1 WHEN 'P2' THEN 2 WHEN 'P3' THEN 3 WHEN 'P4' THEN 4 ELSE 9 END, time_open DESC, incident_number) AS place FROM ({OPEN}) ORDER BY place", *THREE))
 def _(spark, d):
-    top = incidents.dashboard(incidents.open_incidents(all_facts(spark, d), now())).limit(50)
+    top = incidents.dashboard(incidents.open_incidents(all_facts(spark, d), now()))
     rank = F.coalesce(*[F.when(F.col("priority") == p, k) for k, p in enumerate(incidents.PRIORITY_ORDER)], F.lit(9))
     return top.withColumn("place", F.row_number().over(Window.orderBy(rank, F.desc("time_open"), "incident_number")).cast("long")).select("incident_number", "priority", "risk", "place")
 

@@ -44,7 +44,11 @@ SQL = {
                CASE user_id % 5 WHEN 0 THEN CONCAT('level=info application=orderDesk', CAST(user_id % 6 AS VARCHAR(9)), 'a ok') WHEN 1 THEN '[RefundService] done' WHEN 2 THEN CONCAT('com.acme.Billing', CASE WHEN user_id % 2 = 0 THEN 'Core' ELSE 'Desk' END, ' failed') WHEN 3 THEN 'service: cart [Basket] logger: mail.PaymentCore sent 12 items' ELSE CONCAT('took ', CAST(event_id % 1000 AS VARCHAR(9)), ' ms') END AS message
         FROM events""",
 }
-BASES = {"participants": ["lineitem"], "incidents": ["orders"], "targets": ["region"], "services": ["nation"], "locations": ["nation", "region"], "raw_events": ["events"]}
+#: Incidents for the correlation: priorities from P0 on, and all but one in fifty end within two weeks.
+SQL["outages"] = SQL["incidents"].replace("CONCAT('P', SUBSTRING(o_orderpriority, 1, 1))", "CONCAT('P', CAST(CAST(SUBSTRING(o_orderpriority, 1, 1) AS INTEGER) - 1 AS VARCHAR(9)))").replace(
+    "CASE WHEN o_orderstatus = 'F' THEN o_orderdate + CAST(o_orderkey % 1440 + o_orderkey * 7 % 10000 AS INTEGER)", "CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate + CAST(o_orderkey % 1440 + o_orderkey * 7 % 20000 AS INTEGER)"
+)
+BASES = {"participants": ["lineitem"], "incidents": ["orders"], "outages": ["orders"], "targets": ["region"], "services": ["nation"], "locations": ["nation", "region"], "raw_events": ["events"]}
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

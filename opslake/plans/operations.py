@@ -215,25 +215,20 @@ def _(spark, d):
     return incidents.metrics_by_priority(all_facts(spark, d))
 
 
-SINCE = "DATE '2001-10-30'"  # 32 days before the present
-
-
-def since():
-    return F.expr(SINCE)
-
-
-ACTIVE = f""", a AS (SELECT upper(vendor) AS vendor_key, active_date, count(*) AS incidents, count(*) FILTER (priority = 'P1') AS p1_incidents, count(*) FILTER (priority IN ('P1', 'P2')) AS critical_incidents, list_sort(list(DISTINCT incident_number)) AS incident_numbers
-  FROM (SELECT *, CAST(unnest(generate_series(greatest(CAST(opened_at AS DATE), {SINCE}), CAST(coalesce(resolved_at, {AS_OF}) AS DATE), INTERVAL 1 DAY)) AS DATE) AS active_date FROM f WHERE vendor IS NOT NULL AND opened_at <= coalesce(resolved_at, {AS_OF})) GROUP BY 1, 2)"""
-DAILY = f"""{P}{FACTS}{ACTIVE}, q AS ({by('call_date, vendor', f'p WHERE call_date >= {SINCE}')}), daily AS (SELECT q.*, coalesce(incidents, 0) AS incidents, coalesce(p1_incidents, 0) AS p1_incidents, coalesce(critical_incidents, 0) AS critical_incidents, array_to_string(coalesce(incident_numbers, []), ',') AS incident_numbers,
-  coalesce(incidents, 0) > 0 AS has_incident, degraded_calls + errored_calls > 0 AND coalesce(incidents, 0) > 0 AS degradation_with_incident, degraded_calls + errored_calls > 0 AND coalesce(incidents, 0) = 0 AS degradation_without_incident
-  FROM q LEFT JOIN a ON upper(q.vendor) = a.vendor_key AND q.call_date = a.active_date)"""
-CORRELATED = ("participants", "incidents", "targets", "services")
+LOCATED = GEO + f""", q AS ({by('call_date, vendor, location_key, country, continent', 'g')})"""
+SPANS = f"(SELECT *, upper(vendor) AS vkey, coalesce(resolved_at, {AS_OF}) AS ended_at FROM outages WHERE vendor IS NOT NULL AND opened_at <= coalesce(resolved_at, {AS_OF}))"
+ACTIVE = f""", a AS (SELECT vkey, active_date, count(*) AS active_incidents, count(*) FILTER (priority IN ('P0', 'P1')) AS p0_p1_incidents, count(*) FILTER (priority = 'P2') AS p2_incidents, count(*) FILTER (priority IN ('P3', 'P4')) AS p3_p4_incidents, list_sort(list(incident_number)) AS incident_numbers
+  FROM (SELECT *, CAST(unnest(generate_series(CAST(opened_at AS DATE), least(CAST(ended_at AS DATE), CAST(opened_at AS DATE) + 30), INTERVAL 1 DAY)) AS DATE) AS active_date FROM {SPANS}) GROUP BY 1, 2)"""
+DAILY = f"""{LOCATED}{ACTIVE}, daily AS (SELECT q.*, coalesce(active_incidents, 0) AS active_incidents, coalesce(p0_p1_incidents, 0) AS p0_p1_incidents, coalesce(p2_incidents, 0) AS p2_incidents, coalesce(p3_p4_incidents, 0) AS p3_p4_incidents, array_to_string(coalesce(incident_numbers, []), ',') AS incident_numbers,
+  coalesce(active_incidents, 0) > 0 AS has_active_incident, coalesce(p0_p1_incidents, 0) > 0 AS has_critical_incident, (errored_pct > 0 OR degraded_pct > 0) AND coalesce(active_incidents, 0) > 0 AS degradation_with_incident
+  FROM q LEFT JOIN a ON upper(q.vendor) = a.vkey AND q.call_date = a.active_date)"""
+CORRELATED = ("participants", "locations", "outages")
 
 
 def daily(spark, d):
-    active = correlation.daily_incidents(all_facts(spark, d), now(), since())
-    recent = latest(spark, d).where(F.col("call_date") >= since())
-    return correlation.call_incident_daily(calls.quality_by(recent, "call_date", "vendor"), active)
+    located = calls.with_geography(latest(spark, d), fixture(spark, d, "locations"))
+    quality = calls.quality_by(located, "call_date", "vendor", "location_key", "country", "continent")
+    return correlation.call_incident_daily(quality, correlation.daily_incidents(fixture(spark, d, "outages"), now()))
 
 
 @query("call_incident_daily", oracle(f"{DAILY} SELECT * FROM daily", *CORRELATED))
@@ -241,26 +236,58 @@ def _(spark, d):
     return daily(spark, d).withColumn("incident_numbers", F.concat_ws(",", F.transform("incident_numbers", lambda x: x.cast("string"))))
 
 
-@query("correlation_stats", oracle(f"{DAILY} SELECT count(*) AS total_rows, count(*) FILTER (degradation_with_incident) AS degradation_with_incident_rows, count(*) FILTER (critical_incidents > 0) AS critical_incident_rows FROM daily", *CORRELATED))
+@query("correlation_stats", oracle(f"{DAILY} SELECT count(*) AS total_rows, count(*) FILTER (degradation_with_incident) AS degradation_with_incident_rows, count(*) FILTER (has_critical_incident) AS critical_incident_rows FROM daily", *CORRELATED))
 def _(spark, d):
     return correlation.correlation_stats(daily(spark, d))
 
 
-@query("correlation_preview", oracle(f"{DAILY} SELECT call_date, vendor, errored_pct, degraded_pct, incidents FROM daily WHERE degradation_with_incident ORDER BY call_date DESC, errored_pct DESC NULLS LAST, vendor LIMIT 20", *CORRELATED))
+PREVIEW = "call_date, vendor, location_key, errored_pct, degraded_pct, active_incidents"
+
+
+@query("correlation_preview", oracle(f"{DAILY} SELECT {PREVIEW} FROM daily WHERE degradation_with_incident ORDER BY call_date DESC, errored_pct DESC NULLS LAST, vendor, location_key LIMIT 20", *CORRELATED))
 def _(spark, d):
-    return correlation.correlation_preview(daily(spark, d)).select("call_date", "vendor", "errored_pct", "degraded_pct", "incidents")
+    return correlation.correlation_preview(daily(spark, d)).select(PREVIEW.split(", "))
+
+
+CONVERSATIONS = f""", c AS (SELECT conversation_id, {NAME.format('greatest(a, c)')} AS overall_status, vendor, location_key, CAST(start_ts AS DATE) AS call_date, start_ts, start_ts + participant_count * INTERVAL 7 MINUTE AS end_ts
+  FROM (SELECT conversation_id, {RANK.format('agent')} AS a, {RANK.format('customer')} AS c, max(vendor) AS vendor, max(location_key) AS location_key, min(start_ts) AS start_ts, count(*) AS participant_count FROM p GROUP BY conversation_id))"""
+OVERLAP = f"FROM (SELECT * FROM c WHERE overall_status IN ('DEGRADED', 'ERRORED')) c {{}} JOIN {SPANS} i ON upper(c.vendor) = i.vkey AND i.opened_at <= c.end_ts + INTERVAL 1 HOUR AND i.ended_at >= c.start_ts - INTERVAL 1 HOUR"
+
+
+def conversations(spark, d):
+    """The rows of a conversation lie weeks apart in the given tables; here it lasts as long as its participants one after the other."""
+    return calls.conversation_rollup(latest(spark, d)).withColumn("end_ts", F.expr("start_ts + participant_count * INTERVAL '7' MINUTE"))
+
+
+DETAIL = ["conversation_id", "call_date", "overall_status", "country", "continent", "incident_number", "incident_priority", "incident_state", "service", "opened_at", "resolved_at"]
+
+
+@query("call_incident_detail", oracle(f"{P}{CONVERSATIONS} SELECT conversation_id, call_date, overall_status, coalesce(country, 'Unknown') AS country, coalesce(continent, 'Unknown') AS continent, incident_number, i.priority AS incident_priority, i.state AS incident_state, service, opened_at, resolved_at {OVERLAP.format('')} LEFT JOIN locations USING (location_key)", *CORRELATED))
+def _(spark, d):
+    located = calls.with_geography(conversations(spark, d).withColumn("call_date", F.to_date("start_ts")), fixture(spark, d, "locations"))
+    pairs = correlation.overlaps(located, fixture(spark, d, "outages"), now())
+    of = lambda c: F.col(f"incident.{c}")
+    return pairs.withColumns({"incident_number": of("incident_number"), "incident_priority": of("priority"), "incident_state": of("state"), "service": of("service"), "opened_at": of("opened_at"), "resolved_at": of("resolved_at")}).select(DETAIL)
+
+
+def share(part: str) -> str:
+    return f"round({part} * 100.0 / nullif(total_degraded_calls, 0), 2)"
+
+
+EXPLAINED = f"total_degraded_calls, calls_with_incident, calls_with_critical_incident, total_degraded_calls - calls_with_incident AS calls_without_incident, {share('calls_with_incident')} AS pct_explained_by_incident, {share('calls_with_critical_incident')} AS pct_explained_by_critical"
+CAUSES = f"""{P}{CONVERSATIONS}, r AS (SELECT call_date, vendor, overall_status, count(*) AS total_degraded_calls, count(*) FILTER ("any") AS calls_with_incident, count(*) FILTER (critical) AS calls_with_critical_incident
+  FROM (SELECT conversation_id, call_date, c.vendor, overall_status, bool_or(incident_number IS NOT NULL) AS "any", bool_or(coalesce(i.priority IN ('P0', 'P1'), false)) AS critical {OVERLAP.format('LEFT')} GROUP BY ALL) GROUP BY ALL)"""
 
 
-OVERLAP = f"FROM (SELECT * FROM p WHERE call_status IN ('DEGRADED', 'ERRORED') AND CAST(start_ts AS DATE) >= {SINCE}) c {{}} JOIN (SELECT *, coalesce(resolved_at, {AS_OF}) AS ended_at FROM f WHERE opened_at <= coalesce(resolved_at, {AS_OF})) i ON upper(c.vendor) = upper(i.vendor) AND i.opened_at <= c.end_ts + INTERVAL 1 HOUR AND i.ended_at >= c.start_ts - INTERVAL 1 HOUR"
+def root_causes(spark, d):
+    return correlation.root_cause_summary(conversations(spark, d), fixture(spark, d, "outages"), now())
 
 
-@query("call_incident_detail", oracle(f"{P}{FACTS} SELECT conversation_id, participant_id, purpose, call_status, incident_number, i.priority AS incident_priority {OVERLAP.format('')}", *CORRELATED))
+@query("root_cause_summary", oracle(f"{CAUSES} SELECT call_date, vendor, overall_status, {EXPLAINED} FROM r", "participants", "outages"))
 def _(spark, d):
-    bad = latest(spark, d).where("call_status in ('DEGRADED', 'ERRORED')")
-    return correlation.overlaps(bad, all_facts(spark, d), now(), since()).select("conversation_id", "participant_id", "purpose", "call_status", "incident_number", "incident_priority")
+    return root_causes(spark, d)
 
 
-@query("root_cause_summary", oracle(f"""{P}{FACTS} SELECT *, round(with_incident * 100.0 / calls, 2) AS explained_pct, round(with_critical * 100.0 / calls, 2) AS critical_pct FROM (SELECT call_date, vendor, call_status, count(*) AS calls, count(*) FILTER ("any") AS with_incident, count(*) FILTER (critical) AS with_critical
-  FROM (SELECT conversation_id, participant_id, purpose, call_date, c.vendor, call_status, bool_or(incident_number IS NOT NULL) AS "any", bool_or(coalesce(i.priority IN ('P1', 'P2'), false)) AS critical {OVERLAP.format('LEFT')} GROUP BY ALL) GROUP BY ALL)""", *CORRELATED))
+@query("rpt_correlation", oracle(f"{CAUSES} SELECT vendor, {EXPLAINED} FROM (SELECT vendor, CAST(sum(total_degraded_calls) AS BIGINT) AS total_degraded_calls, CAST(sum(calls_with_incident) AS BIGINT) AS calls_with_incident, CAST(sum(calls_with_critical_incident) AS BIGINT) AS calls_with_critical_incident FROM r GROUP BY 1)", "participants", "outages"))
 def _(spark, d):
-    return correlation.root_cause_summary(latest(spark, d), all_facts(spark, d), now(), since())
+    return correlation.report(root_causes(spark, d))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opslake.functions import rules
-from opslake.operators import calls, correlation, discovery, incidents, monitoring, tables
+from opslake.operators import calls, discovery, incidents, monitoring, tables
 from opslake.plans import load
 from opslake.sources import landing
 from opslake.streaming import jobs
@@ -78,7 +78,7 @@ def test_discovery_rules(spark):
     assert [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(discovery.content_name(F.col("t"))).collect()] == ["Shop", "Billing", "Core", "Shop", None, None]
     e = spark.createDataFrame([("s", "prd-x01", "a_json", 0, '{"app": "Billing-Service"}'), ("s", "pay-cart3.corp", "a_json", 0, '{"k": "zzz"}')], "source string, host string, sourcetype string, ts int, props string")
     tallied = discovery.tally(e)
-    assert [r.app for r in discovery.from_hosts(tallied, 1).collect()] == ["pay"] and [r.app for r in discovery.from_json(tallied, 0).collect()] == ["billing"]
+    assert [r.app for r in discovery.discover(tallied, ("host",)).collect()] == ["pay"] and [r.app for r in discovery.discover(tallied, ("json",), least_fields=0).collect()] == ["billing"]
 
 
 def test_health_does_not_depend_on_row_order(spark):
@@ -118,17 +118,6 @@ def test_stream_of_transitions(spark, tmp_path):
     assert seen == [(7, 6), (8, 6)]
 
 
-def test_overlap_edges(spark):
-    c = spark.sql("SELECT 1 AS conversation_id, 'v' AS vendor, TIMESTAMP_NTZ '2024-01-01 23:30:00' AS start_ts, TIMESTAMP_NTZ '2024-01-02 00:10:00' AS end_ts")
-    i = spark.sql("SELECT * FROM VALUES (1, 'P1', 'V', TIMESTAMP_NTZ '2023-12-30 00:00:00', TIMESTAMP_NTZ '2024-01-01 22:30:00'), (2, 'P2', 'V', TIMESTAMP_NTZ '2024-01-02 01:10:01', NULL), (3, 'P3', 'V', TIMESTAMP_NTZ '2024-01-01 00:00:00', NULL), (4, 'P3', 'V', TIMESTAMP_NTZ '2024-02-01 00:00:00', TIMESTAMP_NTZ '2024-01-01 00:00:00') AS t(incident_number, priority, vendor, opened_at, resolved_at)")
-    as_of, since = F.expr("TIMESTAMP_NTZ '2024-01-05 00:00:00'"), lambda day: F.to_date(F.lit(day))
-    for day in ("2023-01-01", "2024-01-01"):
-        assert sorted(r.incident_number for r in correlation.overlaps(c, i, as_of, since(day)).collect()) == [1, 3]
-    assert not correlation.overlaps(c, i, as_of, since("2024-01-02")).count()
-    days = correlation.daily_incidents(i, as_of, since("2024-01-01")).orderBy("active_date").collect()
-    assert [(str(r.active_date), r.incident_numbers) for r in days] == [("2024-01-01", [1, 3]), *[(f"2024-01-0{k}", [2, 3]) for k in (2, 3, 4, 5)]]
-
-
 def test_conversation_without_sessions_has_no_rows(spark):
     schema = "conversation_id int, start_ts timestamp, end_ts timestamp, divisions array<string>, participants array<struct<participant_id:int,purpose:string,user_id:int,sessions:array<struct<vendor:string,error_code:string,metrics:array<struct<name:string,value:double>>>>>>"
     rows = [(1, None, None, [], [(1, "agent", 7, []), (2, "customer", 8, [("v", None, None)])])]
