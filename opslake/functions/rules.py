@@ -32,6 +32,26 @@ def elapsed_minutes(start: Column, end: Column) -> Column:
     return ((F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))) / 60.0).cast("double")
 
 
+# Business hours from Monday to Friday, in minutes of the day.
+OPENS, CLOSES, BUSINESS_DAYS = 9 * 60, 18 * 60, 5
+
+
+def business_minutes(start: Column, end: Column) -> Column:
+    """Minutes of business hours between two times, exactly and without a row for each day; negative if end comes first.
+
+    Both are turned into the business minutes since a Monday: whole weeks, whole days of the week, and what of the day's hours is over.
+    """
+
+    def since_monday(t: Column) -> Column:
+        days = F.datediff(F.to_date(t), F.lit("1970-01-05"))
+        week, weekday = F.floor(days / 7), F.pmod(days, F.lit(7))
+        minute = F.hour(t) * 60.0 + F.minute(t) + F.second(t) / 60.0
+        today = F.when(weekday < BUSINESS_DAYS, F.greatest(F.lit(0.0), F.least(minute - OPENS, F.lit(float(CLOSES - OPENS))))).otherwise(0.0)
+        return (week * BUSINESS_DAYS + F.least(weekday, F.lit(BUSINESS_DAYS))) * float(CLOSES - OPENS) + today
+
+    return since_monday(end) - since_monday(start)
+
+
 def percent(part: Column, whole: Column) -> Column:
     """Rounded to two digits; null for an empty whole."""
     return F.round(part.cast("double") * 100.0 / F.nullif(whole.cast("double"), F.lit(0.0)), 2)

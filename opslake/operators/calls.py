@@ -19,7 +19,8 @@ def flatten_conversations(docs: DataFrame) -> DataFrame:
 
 def participants_latest(raw: DataFrame) -> DataFrame:
     """The latest row of each participant with its call status and date."""
-    order = [F.col(c).desc_nulls_last() for c in ("ingestion_ts", "mos", "error_code", "agent_id", "vendor", "start_ts")]
+    # Of several sessions that came in together the worst one counts.
+    order = [F.desc_nulls_last("ingestion_ts"), F.asc_nulls_last("mos"), *[F.col(c).desc_nulls_last() for c in ("error_code", "agent_id", "vendor", "start_ts")]]
     rows = latest(raw, ["conversation_id", "purpose", "participant_id"], *order)
     return rows.withColumn("call_status", classify_call(F.col("error_code"), F.col("mos"))).withColumn("call_date", F.to_date("start_ts"))
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslake.functions.rules import CLOSED_STATES, elapsed_minutes, normalize_priority, percent, sla_status
+from opslake.functions.rules import CLOSED_STATES, business_minutes, elapsed_minutes, normalize_priority, percent, sla_status
 from opslake.operators.tables import latest
 
 BUSINESS_FACTOR = (540 / 1440) * (5 / 7)
@@ -16,16 +16,19 @@ def bronze(raw: DataFrame) -> DataFrame:
     return raw.withColumn("raw_payload", F.to_json(F.struct(*raw.columns))).withColumn("priority", normalize_priority(F.col("priority")))
 
 
-def sla_measures(i: DataFrame, targets: DataFrame, as_of: Column) -> DataFrame:
+def sla_measures(i: DataFrame, targets: DataFrame, as_of: Column, calendar: bool = False) -> DataFrame:
     """Minutes, shares of the target and statuses for response and resolution.
 
     targets: (priority, response_target, resolution_target), one row for each priority, and optionally business_hours_only:
-    then known times count by the share of business hours; those of what is still open stay as they are.
+    then known times count by the share of business hours, or with calendar exactly by the business hours between both times; those of what
+    is still open stay as they are.
     """
     limited = F.coalesce(F.col("business_hours_only"), F.lit(False)) if "business_hours_only" in targets.columns else F.lit(False)
     j = i.join(targets, "priority", "left")
     for what, end in (("response", "responded_at"), ("resolution", "resolved_at")):
-        raw = F.when(F.col(end).isNotNull(), elapsed_minutes(F.col("opened_at"), F.col(end)) * F.when(limited, BUSINESS_FACTOR).otherwise(1.0))
+        elapsed = elapsed_minutes(F.col("opened_at"), F.col(end))
+        in_hours = business_minutes(F.col("opened_at"), F.col(end)) if calendar else elapsed * BUSINESS_FACTOR
+        raw = F.when(F.col(end).isNotNull(), F.when(limited, in_hours).otherwise(elapsed))
         now = elapsed_minutes(F.col("opened_at"), as_of)
         target = F.col(f"{what}_target")
         pct = F.when(target > 0, F.round(F.coalesce(raw, now) / target * 100, 2))
@@ -33,10 +36,10 @@ def sla_measures(i: DataFrame, targets: DataFrame, as_of: Column) -> DataFrame:
     return j
 
 
-def facts(raw: DataFrame, targets: DataFrame, services: DataFrame, as_of: Column) -> DataFrame:
+def facts(raw: DataFrame, targets: DataFrame, services: DataFrame, as_of: Column, calendar: bool = False) -> DataFrame:
     """The latest record of each incident with SLA measures, its service's type, date and openness."""
     new = latest(raw, ["incident_number"], F.col("ingestion_ts").desc_nulls_last(), F.col("state").desc_nulls_last())
-    j = sla_measures(new, targets, as_of).join(services, "service", "left")
+    j = sla_measures(new, targets, as_of, calendar).join(services, "service", "left")
     j = j.withColumn("service_type", F.coalesce("service_type", F.lit("OTHER"))).withColumn("is_agent_facing", F.coalesce("is_agent_facing", F.lit(False)))
     return j.withColumn("incident_date", F.to_date("opened_at")).withColumn("is_open", F.coalesce(~F.col("state").isin(*CLOSED_STATES), F.lit(True)))
 
@@ -71,6 +74,19 @@ def state_changes(batch: DataFrame, current: DataFrame) -> DataFrame:
     return j.select("incident_number", "from_state", F.col("state").alias("to_state"), F.round(elapsed_minutes(F.col("since"), F.col("ingestion_ts")), 2).alias("minutes_in_state"))
 
 
+def transitions(history: DataFrame, key: str = "incident_number", state: str = "state", ts: str = "ingestion_ts") -> DataFrame:
+    """(key, from_state, to_state, at, minutes): every change of state in the whole ingestion history, also several of one batch.
+
+    Rows of a key are taken by time, those of one time by state (null first). Null is a state; a key's first state is no change. minutes: how long the state before lasted.
+    Rows without a key are passed over.
+    """
+    rows = history.where(F.col(key).isNotNull()).select(key, F.col(state).alias("to_state"), F.col(ts).alias("at"))
+    w = Window.partitionBy(key).orderBy("at", F.col("to_state").asc_nulls_first())
+    rows = rows.withColumn("_before", F.lag(F.struct("to_state")).over(w))
+    begun = rows.where(F.col("_before").isNull() | ~F.col("to_state").eqNullSafe(F.col("_before.to_state"))).withColumn("_since", F.lag("at").over(w))
+    return begun.where(F.col("_before").isNotNull()).select(key, F.col("_before.to_state").alias("from_state"), "to_state", "at", F.round(elapsed_minutes(F.col("_since"), F.col("at")), 2).alias("minutes"))
+
+
 def breach_flags(f: DataFrame, as_of: Column) -> DataFrame:
     """Breach of both targets (null while unknown), and what remains of them, which can be negative."""
     elapsed = elapsed_minutes(F.col("opened_at"), as_of)

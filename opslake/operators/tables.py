@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,9 +17,11 @@ def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """target with source's rows: new keys are inserted, known ones updated where `newer` is larger in source (always without it).
 
-    columns: those that an update sets; all by default. Keys are unique on either side; null keys are equal.
+    columns: those that an update sets; all by default. Null keys are equal. Keys are unique in the target; a key that source repeats
+    raises an error when the result is computed, instead of multiplying rows.
     """
-    s = source.select([F.col(c).alias(f"_s_{c}") for c in source.columns] + [F.lit(True).alias("_in_s")])
+    once = F.when(F.count("*").over(Window.partitionBy(*keys)) > 1, F.raise_error(F.lit(f"the source repeats a key of {', '.join(keys)}")).cast("boolean")).otherwise(F.lit(True))
+    s = source.select([F.col(c).alias(f"_s_{c}") for c in source.columns] + [once.alias("_in_s")])
     t = target.withColumn("_in_t", F.lit(True))
     joined = t.join(s, reduce(lambda a, b: a & b, [t[k].eqNullSafe(s[f"_s_{k}"]) for k in keys]), "full_outer")
     update = F.col("_in_s").isNotNull() & (F.lit(True) if newer is None else F.coalesce(F.col(f"_s_{newer}") > F.col(newer), F.lit(False)))
@@ -70,6 +73,38 @@ def scd2(current: DataFrame, profiles: DataFrame, key: str, tracked: list[str],
     return expired.unionByName(fresh)
 
 
+def rebuild_touched(target: DataFrame, history: DataFrame, batch: DataFrame, key: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """target with the rows of every key that a batch touches built anew from the key's whole history, so that an incremental run equals a full one.
+
+    history: all source rows, those of the batch included. Keys that the batch doesn't touch aren't read from it but to be passed over; a key that
+    builds no rows any more is gone. Null is a key.
+    """
+    touched = batch.select(F.col(key).alias("_touched")).distinct()
+    hit = F.col(key).eqNullSafe(F.col("_touched"))
+    return target.join(touched, hit, "left_anti").unionByName(build(history.join(touched, hit, "left_semi")))
+
+
+def dimension_history(observed: DataFrame, key: str, ts: str, tracked: list[str]) -> DataFrame:
+    """(key, tracked, effective_from, effective_to, is_current): all versions of each key's profile, from its rows in time.
+
+    A day has its latest profile (of several at one time the largest); days in a row with the same profile, also null ones, are one version,
+    which is valid until the next one begins. Rows without a key or time have no profile.
+    """
+    day, profile = F.to_date(ts), F.struct(*tracked)
+    daily = observed.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key, day.alias("effective_from")).agg(F.max(F.struct(F.col(ts).alias("_ts"), profile.alias("_p"))).alias("_last"))
+    w = Window.partitionBy(key).orderBy("effective_from")
+    daily = daily.select(key, "effective_from", "_last._p").withColumn("_before", F.lag("_p").over(w))
+    versions = daily.where(F.col("_before").isNull() | ~F.col("_p").eqNullSafe(F.col("_before")))
+    ends = versions.withColumn("_next", F.lead("effective_from").over(w))
+    return ends.select(key, "_p.*", "effective_from", F.coalesce("_next", F.to_date(F.lit("9999-12-31"))).alias("effective_to"), F.col("_next").isNull().alias("is_current"))
+
+
+def latest_profiles(observed: DataFrame, key: str, ts: str, tracked: list[str]) -> DataFrame:
+    """(key, tracked): each key's profile at its latest time (of several the largest), for scd2()."""
+    last = observed.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(F.col(ts), F.struct(*tracked).alias("_p"))).alias("_last"))
+    return last.select(key, "_last._p.*")
+
+
 def chunk_plan(events: DataFrame, ts: str, start: str, hours: float = 24.0, least_hours: float = 0.75, cap: int = 1000) -> DataFrame:
     """Time chunks of a source: those with `cap` events or more are halved until the least width. (width_hours, bin, n)."""
     epoch = F.unix_timestamp(F.col(ts).cast("timestamp")) - F.unix_timestamp(F.lit(start).cast("timestamp"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from opslake.functions import rules
 from opslake.operators import calls, correlation, incidents, tables
 from opslake.plans.fixtures import AS_OF, fixture, oracle
-from opslake.plans.registry import query
+from opslake.plans.registry import ORACLES, query, table
 
 def now():
     """The fixed time that stands for the present."""
@@ -15,7 +15,7 @@ def now():
 
 
 P = """, p AS (SELECT *, CASE WHEN error_code IS NOT NULL OR mos < 2.0 THEN 'ERRORED' WHEN mos < 3.5 THEN 'DEGRADED' ELSE 'NORMAL' END AS call_status, CAST(start_ts AS DATE) AS call_date
-  FROM (SELECT *, row_number() OVER (PARTITION BY conversation_id, purpose, participant_id ORDER BY ingestion_ts DESC NULLS LAST, mos DESC NULLS LAST, error_code DESC NULLS LAST, agent_id DESC NULLS LAST, vendor DESC NULLS LAST, start_ts DESC NULLS LAST) AS rn FROM participants) WHERE rn = 1)"""
+  FROM (SELECT *, row_number() OVER (PARTITION BY conversation_id, purpose, participant_id ORDER BY ingestion_ts DESC NULLS LAST, mos ASC NULLS LAST, error_code DESC NULLS LAST, agent_id DESC NULLS LAST, vendor DESC NULLS LAST, start_ts DESC NULLS LAST) AS rn FROM participants) WHERE rn = 1)"""
 MIN = lambda a, b: f"CAST((epoch({b}) - epoch({a})) / 60.0 AS DOUBLE)"
 
 
@@ -94,6 +94,36 @@ def _(spark, d):
     return tables.scd2(first, half("start_ts >= TIMESTAMP '1999-01-01 00:00:00'"), "agent_id", ["division"], day("1999-01-01"))
 
 
+HISTORY = "SELECT agent_id, CAST(start_ts AS DATE) AS effective_from, max({'t': start_ts, 'p': {'division': division, 'location_key': location_key}}) AS last FROM p WHERE agent_id IS NOT NULL GROUP BY 1, 2"
+
+
+@query("agent_dimension", oracle(f"""{P}, d AS (SELECT agent_id, effective_from, last.p AS p, lag(last.p) OVER (PARTITION BY agent_id ORDER BY effective_from) AS b FROM ({HISTORY})),
+  v AS (SELECT *, lead(effective_from) OVER (PARTITION BY agent_id ORDER BY effective_from) AS nxt FROM d WHERE b IS NULL OR p IS DISTINCT FROM b)
+  SELECT agent_id, p.division AS division, p.location_key AS location_key, effective_from, coalesce(nxt, DATE '9999-12-31') AS effective_to, nxt IS NULL AS is_current FROM v""", "participants"))
+def _(spark, d):
+    return tables.dimension_history(latest(spark, d), "agent_id", "start_ts", ["division", "location_key"])
+
+
+#: A batch with the later participants of conversations, some of which have no other ones.
+LATE = "participant_id % 4 = 3 OR conversation_id % 7 = 0"
+
+
+def incremental(spark, d, build):
+    """The result of a first run without the late participants, brought up to date by the keys that they touch."""
+    p = latest(spark, d)
+    return tables.rebuild_touched(build(p.where(f"NOT ({LATE})")), p, p.where(LATE), "conversation_id", build)
+
+
+@query("conversation_rebuild", ORACLES["conversation_rollup"])
+def _(spark, d):
+    return incremental(spark, d, calls.conversation_rollup)
+
+
+@query("agent_legs_rebuild", ORACLES["agent_legs"])
+def _(spark, d):
+    return incremental(spark, d, calls.agent_legs).select("conversation_id", "participant_id", "agent_id", "leg_sequence", "is_transfer")
+
+
 @query("call_quality_daily", oracle(f"{P} {by('call_date')}", "participants"))
 def _(spark, d):
     return calls.quality_by(latest(spark, d), "call_date")
@@ -176,6 +206,35 @@ def _(spark, d):
     return incidents.state_changes(batch, i)
 
 
+STATES = """ SELECT l_orderkey AS incident_number, CASE WHEN l_quantity < 4 THEN NULL WHEN l_quantity < 20 THEN 'New' WHEN l_quantity < 35 THEN 'In Progress' ELSE 'Resolved' END AS state,
+  l_shipdate + CAST(l_partkey % 3 AS INTEGER) * INTERVAL '5' HOUR AS ingestion_ts FROM lineitem"""
+
+
+@query("state_transitions", f"""WITH h AS ({STATES}), b AS (SELECT *, lag({{'s': state}}) OVER w AS before FROM h WINDOW w AS (PARTITION BY incident_number ORDER BY ingestion_ts, state NULLS FIRST)),
+  c AS (SELECT *, lag(ingestion_ts) OVER (PARTITION BY incident_number ORDER BY ingestion_ts, state NULLS FIRST) AS since FROM b WHERE before IS NULL OR state IS DISTINCT FROM before.s)
+  SELECT incident_number, before.s AS from_state, state AS to_state, ingestion_ts AS "at", round({MIN('since', 'ingestion_ts')}, 2) AS minutes FROM c WHERE before IS NOT NULL""")
+def _(spark, d):
+    return incidents.transitions(spark.sql(STATES.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, d, "lineitem")))
+
+
+BUSINESS = f""", day AS (SELECT incident_number, CAST(unnest(generate_series(CAST(opened_at AS DATE), CAST(resolved_at AS DATE), INTERVAL 1 DAY)) AS TIMESTAMP) AS d FROM outages WHERE resolved_at >= opened_at),
+  m AS (SELECT incident_number, sum(greatest(0.0, epoch(least(resolved_at, d + INTERVAL 18 HOUR)) - epoch(greatest(opened_at, d + INTERVAL 9 HOUR))) / 60.0) FILTER (isodow(d) <= 5) AS minutes FROM outages JOIN day USING (incident_number) GROUP BY 1)"""
+
+
+@query("business_minutes", oracle(f"{BUSINESS} SELECT incident_number, round(coalesce(minutes, 0.0), 4) AS minutes FROM m", "outages"))
+def _(spark, d):
+    done = fixture(spark, d, "outages").where("resolved_at >= opened_at")
+    return done.select("incident_number", F.round(rules.business_minutes(F.col("opened_at"), F.col("resolved_at")), 4).alias("minutes"))
+
+
+@query("calendar_sla", oracle(f"""{BUSINESS} SELECT incident_number, o.priority, round(CASE WHEN o.priority IN ('P3', 'P4') THEN coalesce(minutes, 0.0) ELSE {MIN('opened_at', 'resolved_at')} END, 2) AS resolution_minutes,
+  round(CASE WHEN o.priority IN ('P3', 'P4') THEN coalesce(minutes, 0.0) ELSE {MIN('opened_at', 'resolved_at')} END / resolution_target * 100, 2) AS resolution_pct FROM outages o JOIN targets USING (priority) JOIN m USING (incident_number) WHERE resolved_at >= opened_at""", "outages", "targets"))
+def _(spark, d):
+    goals = fixture(spark, d, "targets").withColumn("business_hours_only", F.col("priority").isin("P3", "P4"))
+    done = fixture(spark, d, "outages").where("resolved_at >= opened_at and priority <> 'P0'")
+    return incidents.sla_measures(done, goals, now(), calendar=True).select("incident_number", "priority", "resolution_minutes", "resolution_pct")
+
+
 def sla_sql(dims: str, where: str = "true") -> str:
     out, comp = "", ""
     for w in ("response", "resolution"):
