@@ -4,7 +4,7 @@ from importlib import import_module
 
 from opslake.plans.registry import ORACLES, QUERIES
 
-MODULES = ("operations", "observability", "applications", "estate")
+MODULES = ("operations", "observability", "applications", "estate", "streams")
 
 
 def load() -> tuple[dict, dict]:

@@ -58,6 +58,33 @@ def transitions(updates: DataFrame, key: str, state: str, ts: str) -> DataFrame:
     return grouped.applyInPandasWithState(run, schema, "last string, since long", "append", GroupStateTimeout.NoTimeout).withColumnRenamed("key", key)
 
 
+def hourly_lag(records: DataFrame, event: str, ingested: str, batch: str, late: str = "2 hours") -> DataFrame:
+    """(hour, records, batches, avg_lag_minutes) by hour of ingestion, each hour once it is older than the watermark.
+
+    Two stateful steps: records by hour and batch, then the batches of an hour. So an hour's batches are distinct without their records being kept.
+    """
+    lag = (F.unix_micros(F.col(ingested)) - F.unix_micros(F.col(event))) / 60e6
+    rows = records.select(F.col(ingested), F.col(batch).alias("_batch"), lag.alias("_lag")).withWatermark(ingested, late)
+    of_batch = rows.groupBy(F.window(ingested, "1 hour").alias("w"), "_batch").agg(F.count("*").alias("n"), F.sum("_lag").alias("lag"))
+    hours = of_batch.groupBy(F.window(F.window_time("w"), "1 hour").alias("w")).agg(F.sum("n").alias("records"), F.count("_batch").alias("batches"), F.sum("lag").alias("lag"))
+    return hours.select(F.col("w.start").alias("hour"), "records", "batches", F.round(F.col("lag") / F.col("records"), 2).alias("avg_lag_minutes"))
+
+
+def active_incidents(calls: DataFrame, incidents: DataFrame, hours: int = 1, longest_days: int = 15, late: str = "1 day") -> DataFrame:
+    """(call_id, incident_number) of two streams: calls with the incidents of their vendor that were active meanwhile, the call widened by some hours.
+
+    calls: (call_id, vendor, start_ts, end_ts), incidents: (incident_number, vendor, opened_at, ended_at). Incidents of more than longest_days
+    are found by calls until that many days after their opening only: that bounds what both sides have to keep.
+    """
+    c = calls.withColumn("_key", F.upper("vendor")).withWatermark("start_ts", late)
+    i = incidents.select("incident_number", F.upper("vendor").alias("_ikey"), "opened_at", "ended_at").withWatermark("opened_at", late)
+    near = (F.col("opened_at") >= F.col("start_ts") - F.expr(f"INTERVAL {longest_days} DAYS")) & (F.col("opened_at") <= F.col("end_ts") + F.expr(f"INTERVAL {hours} HOURS"))
+    # A call's length is bounded too, else its opening side could never be forgotten.
+    short = F.col("opened_at") <= F.col("start_ts") + F.expr(f"INTERVAL {longest_days} DAYS")
+    meanwhile = F.col("ended_at") >= F.col("start_ts") - F.expr(f"INTERVAL {hours} HOURS")
+    return c.join(i, (F.col("_key") == F.col("_ikey")) & near & short & meanwhile).select("call_id", "incident_number")
+
+
 def recompute_days(days: int, ts: str, read: Callable[[], DataFrame], aggregate: Callable[[DataFrame], DataFrame], swap: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: late rows change old days, so the aggregate of the last days before the batch's newest row is computed anew from the table."""
 
