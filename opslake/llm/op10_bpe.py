@@ -35,6 +35,12 @@ NEWER = """
 1d6a6-1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff
 2b73a-2b73f 2b81e-2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f
 """
+# Ranges of marks that Python's Unicode tables put in order among other marks (11930: compose with a letter), and the tokenizer's older ones don't.
+MARKS = """
+7fd-7fd 898-89f 8ca-8d3 9fe-9fe c3c-c3c d3b-d3c eba-eba 1715-1715 1abf-1ace 1df6-1dfa a82c-a82c 10d24-10d27 10eab-10eac 10efd-10eff 10f46-10f50
+10f82-10f85 11070-11070 1133b-1133b 1145e-1145e 11839-1183a 11930-11930 1193d-1193e 11943-11943 119e0-119e0 11a34-11a34 11a47-11a47 11a99-11a99 11d42-11d42
+11d44-11d45 11d97-11d97 11f41-11f42 16ff0-16ff1 1e08f-1e08f 1e130-1e136 1e2ae-1e2ae 1e2ec-1e2ef 1e4ec-1e4ef
+"""
 # Capitals (or a range of them) that are newer than Python's Unicode tables, with the first small letter.
 CAPITALS = "1c89:1c8a a7cb:264 a7cc:a7cd a7ce:a7cf a7d2:a7d3 a7d4:a7d5 a7da:a7db a7dc:19b 10d50-10d65:10d70 16ea0-16eb8:16ebb"
 
@@ -63,7 +69,8 @@ class WordBpe:
         self.tokens: dict[int, str] = {v: k for k, v in (self.ids | special).items()}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
-        newer = "".join("-".join(f"\\U{x:0>8}" for x in r.split("-")) for r in NEWER.split())
+        newer, marks = ("".join("-".join(f"\\U{x:0>8}" for x in r.split("-")) for r in ranges.split()) for ranges in (NEWER, MARKS))
+        self.newer_marks = regex.compile(f"([{marks}])")
         self.rare_words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|(?:(?![{newer}])\p{{L}})+|(?![{newer}])\p{{N}}|(?:[{newer}]|[^\p{{White_Space}}\p{{L}}\p{{N}}])+")
         # Bytes that stand for themselves in byte-level vocabularies; the others follow from 256 on in order.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -145,13 +152,19 @@ class WordBpe:
         order = np.argsort(word, kind="stable")
         return np.split(sym[order], np.searchsorted(word[order], np.arange(1, len(words))))
 
+    def composed(self, text: str) -> str:
+        """The text in composed form; at newer marks it is divided, since for the tokenizer nothing moves or composes across them."""
+        if latin(text) or not self.newer_marks.search(text):
+            return unicodedata.normalize("NFC", text)
+        return "".join(x if k % 2 else unicodedata.normalize("NFC", x) for k, x in enumerate(self.newer_marks.split(text)))
+
     def pieces(self, text: str) -> Iterator[str | int]:
         """Words of the normalised text, and ids of special tokens that stand in it."""
         for part in self.split_special.split(text) if self.split_special and "<" in text else [text]:
             if part in self.special:
                 yield self.special[part]
                 continue
-            part = unicodedata.normalize("NFC", part)
+            part = self.composed(part)
             low = part.lower() if "Σ" not in part else "".join(c.lower() for c in part)
             if not latin(low):
                 low = low.translate(self.newer_small)

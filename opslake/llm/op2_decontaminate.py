@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opslake.llm.common import written
+
 #: Fixed masks: the places that count. At every place of a best segment more than two thirds of its words so far are equal
 #: (MISMATCH), so it begins with 3 equal words, another one and 2 equal ones; with 4, another one and an equal one; with 5 and
 #: another one; or with 6. One of the masks fits each of these beginnings, so every overlap is met.
@@ -20,6 +22,8 @@ SHORTEST, WHOLE = 5, 10
 MISMATCH = -2
 #: With more seeds than this the hashes are joined by a shuffle instead of a broadcast.
 BROADCAST_SEEDS = 500_000
+#: With more diagonals to be verified than this, texts are shuffled to them.
+BROADCAST_SHIFTS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -32,6 +36,21 @@ def seed(mask_id: Column | int, mask: tuple[int, ...], hashes: Column, at: Colum
     return F.xxhash64(F.lit(mask_id), *[F.get(hashes, at + o) for o in mask])
 
 
+def placed(df: DataFrame, keys: list[str], words_: str, masks: list[tuple[int, ...]], spans: list[int], fits: list[Column]) -> DataFrame:
+    """(keys, h, before, at): the hash of each mask at each place that it fits, and that of the same mask one place before. Words aren't carried along."""
+
+    def hashes(k: int) -> Column:
+        last = F.size(words_) - spans[k]
+        at_each = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: seed(k, masks[k], F.col(words_), i))
+        return F.when((last >= 0) & fits[k], at_each).otherwise(F.array().cast("array<bigint>"))
+
+    def places(k: int) -> Column:
+        return F.transform(f"_h{k}", lambda h, i: F.struct(h.alias("h"), F.when(i > 0, F.get(F.col(f"_h{k}"), i - 1)).alias("before"), i.alias("at")))
+
+    hashed = df.select(*keys, *[hashes(k).alias(f"_h{k}") for k in range(len(masks))])
+    return hashed.select(*keys, F.explode(F.concat(*[places(k) for k in range(len(masks))])).alias("_p")).select(*keys, "_p.*")
+
+
 def needed(size: Column) -> Column:
     """Equal words that make an overlap with an item of so many words."""
     return F.when(size < WHOLE, size).otherwise(F.greatest(F.lit(8), F.least(F.lit(13), F.ceil(size * 0.6).cast("int"))))
@@ -64,27 +83,23 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     masks = [*MASKS, *[tuple(range(n)) for n in short]]
     spans = [*[m[-1] + 1 for m in MASKS], *short]
     fits = [*[F.size("iw") >= WHOLE] * len(MASKS), *[F.size("iw") == n for n in short]]
-    seeds = [it.where(f).select("item", F.explode(F.sequence(F.lit(0), F.size("iw") - n)).alias("j"), "iw").select("item", "j", seed(k, m, F.col("iw"), F.col("j")).alias("h")) for k, (m, n, f) in enumerate(zip(masks, spans, fits, strict=True))]
-    all_seeds = seeds[0]
-    for s in seeds[1:]:
-        all_seeds = all_seeds.union(s)
+    seeds = placed(it, ["item"], "iw", masks, spans, fits).withColumnsRenamed({"at": "j", "before": "item_before"})
     sizes = it.agg(F.coalesce(F.sum(F.size("iw")), F.lit(0)).alias("n")).first()["n"] * len(masks)
     small = sizes <= broadcast_seeds
 
-    d = docs.select(F.col(key).alias("key"), words(F.col(text)).alias("dw")).where(F.size("dw") >= min(spans))
-    places = d.withColumn("p", F.explode(F.sequence(F.lit(0), len(masks) * (F.size("dw") - min(spans) + 1) - 1)))
-    at, kind = F.floor(F.col("p") / len(masks)).cast("int"), F.col("p") % len(masks)
-    h = F.lit(None).cast("long")
-    for k, (m, n) in enumerate(zip(masks, spans, strict=True)):
-        h = F.when((kind == k) & (F.col("i") + n <= F.size("dw")), seed(k, m, F.col("dw"), F.col("i"))).otherwise(h)
-    places = places.withColumn("i", at).withColumn("h", h)
-    if small:
-        hits = places.join(F.broadcast(all_seeds), "h").join(F.broadcast(it), "item")
-    else:
-        # Texts come back by what they hold, so that those with a null key, or several with one key, are not lost or mixed up.
-        same = F.col("row") == F.xxhash64("key", "dw")
-        hits = places.select(F.xxhash64("key", "dw").alias("row"), "i", "h").join(all_seeds, "h").select("row", "item", "i", "j").distinct().join(d, same).join(it, "item")
-    found = hits.select("key", "item", F.size("iw").alias("item_words"), best_segment(F.col("dw"), F.col("iw"), F.col("i") - F.col("j")).alias("matched"))
+    # Texts are known by what they hold, so that those with a null key, or several with one key, are not lost or mixed up.
+    d = docs.select(F.col(key).alias("key"), words(F.col(text)).alias("dw")).where(F.size("dw") >= min(spans)).withColumn("row", F.xxhash64("key", "dw"))
+    places = placed(d, ["row"], "dw", masks, spans, [F.lit(True)] * len(masks))
+    # Hits that follow each other on a diagonal say the same: the first of them is enough, however often a text repeats itself.
+    met = places.join(F.broadcast(seeds) if small else seeds, "h").where(~F.coalesce(F.col("before") == F.col("item_before"), F.lit(False)))
+    pairs = met.select("row", "item", (F.col("at") - F.col("j")).alias("shift")).distinct().groupBy("row", "item").agg(F.collect_list("shift").alias("shifts"))
+    pairs = written(pairs, "pairs")
+    few = pairs.agg(F.coalesce(F.sum(F.size("shifts") + 4), F.lit(0)).alias("n")).first()["n"] <= BROADCAST_SHIFTS
+    # Each text comes once to each item that it may hold.
+    both = d.join(F.broadcast(pairs) if few else pairs, "row").join(F.broadcast(it) if small else it, "item")
+    # A diagonal that is too short to beat the best one so far isn't compared.
+    room = lambda shift: F.least(F.size("iw"), F.size("dw") - shift) - F.greatest(F.lit(0), -shift)
+    matched = F.aggregate("shifts", F.lit(0), lambda best, shift: F.when(room(shift) <= best, best).otherwise(F.greatest(best, best_segment(F.col("dw"), F.col("iw"), shift))))
+    found = both.select("key", "item", F.size("iw").alias("item_words"), matched.alias("matched"))
     best = found.where(F.col("matched") >= needed(F.col("item_words"))).groupBy("key", "item").agg(F.max("matched").alias("matched"), F.max("item_words").alias("item_words"))
     return best.select(F.col("key").alias(key), F.col("item").alias("item_id"), "matched", "item_words")
-

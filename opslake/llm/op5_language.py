@@ -89,7 +89,7 @@ class Model:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model | None:
-    """Fits on a sample of about `sample` documents of each language, chosen by a hash of the key; None without any labelled letter.
+    """Fits on a sample of about `sample` documents of each language, chosen by a hash of key and text, so that rows without a key are drawn like others, repeated rows once; None without any labelled letter.
 
     Rows with null text or language, or without a letter, are left out, and those of languages beyond the LANGUAGES most frequent ones.
     """
@@ -99,7 +99,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))])
-    some = rows.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < share[F.col("l")] * (1 << 20)).select("l", "t")
+    some = rows.where(F.pmod(F.xxhash64("k", "t"), F.lit(1 << 20)) < share[F.col("l")] * (1 << 20)).dropDuplicates().select("l", "t")
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -266,6 +266,10 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    # Rows without a key take no part: they aren't packed, where they all would share a bucket.
+    none, alone = F.lit(0).cast("long"), docs.where(F.col(key).isNull()).select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    alone = alone.select(key, F.octet_length("t").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.col("t").cast("binary").alias("kept"))
+    docs = docs.where(F.col(key).isNotNull())
     texts = Texts(docs, key, text)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -277,7 +281,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
                 out += [(i, s, e - s, *_signed(xxhash.xxh3_128_intdigest(raw[s : e + WINDOW - 1]))) for s, e in zip(cut, cut[1:])]
             yield pd.DataFrame(out, columns=["id", "start", "size", "h1", "h2"])
 
-    parsed = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(parse, "id long, start long, size long, h1 long, h2 long")
+    parsed = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(parse, "id long, start long, size long, h1 long, h2 long")
 
     def suffixes(i: int, raw: bytes, start: np.ndarray, size: np.ndarray, old: np.ndarray) -> tuple:
         b, new = np.frombuffer(raw, np.uint8), ~old.astype(bool)
@@ -327,7 +331,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         kept = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
         return [i], [len(raw)], [sum(y - x for x, y in cut)], [len(cut)], [kept]
 
-    return texts.visit(spans, rest, "id long, n_bytes long, n_removed long, n_spans long, kept binary", "left").withColumnRenamed("id", key)
+    return texts.visit(spans, rest, "id long, n_bytes long, n_removed long, n_spans long, kept binary", "left").withColumnRenamed("id", key).unionByName(alone)
 
 
 def _signed(h: int) -> tuple[int, int]:

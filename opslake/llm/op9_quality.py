@@ -123,7 +123,10 @@ def cotrain(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled
     d = docs.select(F.col("doc_id").alias("k"), F.col("text").alias("t"), F.col("source").alias("s"), F.col("lang").alias("g"), F.col("n_chars").cast("double").alias("n"))
     y = labels.select(F.col("doc_id").alias("k"), F.col(label).cast("double").alias("y")).where("y is not null").groupBy("k").agg(F.max("y").alias("y"))
     part = F.pmod(F.xxhash64(F.lit("a"), "k"), F.lit(1 << 20)) < min(1.0, labelled / max(y.count(), 1)) * (1 << 20)
-    known = _vectors(d.join(y.where(part), "k").select("k", "y", "t", "s", "g", "n")).orderBy("k", "t", "m").toPandas()
+    # Where rows share keys, as many as that are too many: of those a part is drawn by key and text.
+    rows = d.select("k").join(y.where(part), "k").count()
+    share = F.pmod(F.xxhash64(F.lit("b"), "k", "t"), F.lit(1 << 20)) < min(1.0, 2 * labelled / max(rows, 1)) * (1 << 20)
+    known = _vectors(d.join(y.where(part), "k").where(share).select("k", "y", "t", "s", "g", "n")).orderBy("k", "t", "m").toPandas()
     width = 16 + HASHED
     prior = float((known["y"].sum() + 1) / (len(known) + 2))
     if known["y"].nunique() < 2 or len(known) < 8:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op9_quality, op10_bpe, queries
+from opslake.llm import op1_chat, op2_decontaminate, op3_toxicity, op4_pii, op5_language, op6_repeats, op9_quality, op10_bpe, queries
 
 from .conftest import prose
 
@@ -512,3 +512,50 @@ def test_chat_sql_and_contract_columns(spark):
     got = sorted(tuple(r) for r in queries.op1_chat_formatting(spark, SF).select("conv_id", "segment", "n_turns", "n_copies", "rendered").collect())
     assert got == want
     assert zlib.crc32(b"7") % 4 == spark.range(7, 8).select(F.crc32(F.col("id").cast("string")) % 4).first()[0]
+
+
+def test_marks_in_pairs_and_triples_have_the_librarys_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), op10_bpe.WordBpe(path)
+    marks = [chr(c) for c in range(0x80, 0x1F000) if unicodedata.combining(chr(c))]
+    newer = [m for m in marks if own.newer_marks.search(m)]
+    assert len(newer) == 108
+    r = random.Random(4)
+    fixed = ["̴", "̣", "̈", "́", "ͅ"]
+    words = ["a" + x for m in marks for f in fixed for x in (m + f, f + m, f + m + f, m + f + "̄")]
+    words += ["e" + "".join(r.choice(newer if r.random() < 0.4 else marks) for _ in range(r.randint(2, 4))) + r.choice(["", "z"]) for _ in range(40_000)]
+    # Whatever has a canonical decomposition, decomposed and with a mark between its parts.
+    parts = [unicodedata.normalize("NFD", chr(c)) for c in range(0x80, 0x2FA20) if unicodedata.decomposition(chr(c)) and "<" not in unicodedata.decomposition(chr(c))]
+    words += parts + [p[0] + r.choice(newer) + p[1:] for p in parts] + [p + r.choice(newer) + p for p in parts]
+    for at in range(0, len(words), 5000):
+        some = words[at : at + 5000]
+        want = [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+        got = [x.tolist() for x in own.encode_batch(some)]
+        assert [w for w, a, b in zip(some, got, want, strict=True) if a != b] == []
+
+
+@pytest.mark.parametrize("n", [600, 20_000])
+def test_overlaps_of_texts_that_repeat_themselves(spark, n):
+    d = spark.createDataFrame([(1, "ha " * n), (2, "ha hi ho " * (n // 3)), (3, "nothing of that kind is in here at all")], "doc_id long, text string")
+    i = spark.createDataFrame([(7, "ha " * (n // 20)), (8, "ha hi ho " * (n // 60)), (9, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in op2_decontaminate.overlaps(d, i).collect()}
+    assert got == {(1, 7): n // 20, (2, 8): n // 60 * 3}
+
+
+def test_languages_are_learned_from_few_rows_of_one_key(spark):
+    rows = [(None, f"the words of row {k} are these", "en") for k in range(3000)] + [(5, "ein und derselbe Satz", "de")] * 3000 + [(k, f"les mots de la ligne {k}", "fr") for k in range(300)]
+    drawn = []
+    kept = op5_language.logistic
+    op5_language.logistic = lambda x, y: drawn.append(len(x)) or kept(x, y, 3)
+    try:
+        assert op5_language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=100) is not None
+    finally:
+        op5_language.logistic = kept
+    assert 60 <= drawn[0] <= 320
+
+
+def test_rows_without_a_key_keep_their_texts(spark):
+    text = "The same line of more than fifty bytes stands in all of these rows here."
+    df = spark.createDataFrame([(None, text), (None, None), (1, text), (2, text), (None, "é")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept).decode()) for r in op6_repeats.removed(df).collect()), key=repr)
+    assert got == sorted([(None, 72, 0, text), (None, 0, 0, ""), (None, 2, 0, "é"), (1, 72, 0, text), (2, 72, 72, "")], key=repr)
