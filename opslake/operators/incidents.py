@@ -103,6 +103,32 @@ def metrics_by_priority(f: DataFrame) -> DataFrame:
     return g.withColumn("compliance", percent(F.col("total") - F.col("breaches"), F.col("total")))
 
 
+# States as texts and as codes.
+RESOLVED, CLOSED, OPEN = ("Resolved", "6"), ("Closed", "7"), ("New", "In Progress", "On Hold", "1", "2", "3")
+
+
+def state_counts(i: DataFrame, *dims: str) -> DataFrame:
+    """Incidents, and resolved, closed and open ones, by the given columns; states may be texts or codes, others (and null) count in the total only."""
+    among = lambda states: F.count_if(F.coalesce(F.col("state").isin(*states), F.lit(False)))
+    return i.groupBy(*dims).agg(F.count("*").alias("total"), among(RESOLVED).alias("resolved_count"), among(CLOSED).alias("closed_count"), among(OPEN).alias("open_count"))
+
+
+#: Columns that may tell the first response, the best one first.
+RESPONSES = ("first_response_time_ts", "response_time_ts", "work_start_ts")
+
+
+def latest_incident(raw: DataFrame, key: str, extracted: str, *ties: str, columns: tuple[str, ...] = RESPONSES, filled: bool = False) -> DataFrame:
+    """The latest record of each incident with first_response_ts and response_minutes.
+
+    The response is the first of the columns that the table has, also where it is null; with `filled` the first of them that has a value in the row.
+    A table with none of them has null responses. Of records extracted together the one with the largest ties counts.
+    """
+    there = [F.col(c) for c in columns if c in raw.columns]
+    response = F.coalesce(*there) if filled and there else there[0] if there else F.lit(None).cast("timestamp_ntz")
+    new = latest(raw, [key], *[F.col(c).desc_nulls_last() for c in (extracted, *ties)]).withColumn("first_response_ts", response)
+    return new.withColumn("response_minutes", F.round(elapsed_minutes(F.col("opened_at"), F.col("first_response_ts")), 2))
+
+
 # The order of priorities in lists.
 PRIORITY_ORDER = ("P0", "P1", "P2", "P3", "P4")
 

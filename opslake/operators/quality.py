@@ -36,6 +36,19 @@ def missing_fields(df: DataFrame, required: list[str]) -> list[str]:
     return sorted(set(required) - set(df.columns))
 
 
+def required_fields(df: DataFrame, required: list[str]) -> DataFrame:
+    """(field, present, filled, distinct_values): each required field, whether the table has it, and its values, from one scan."""
+    there = [c for c in required if c in df.columns]
+    gone = df.sparkSession.createDataFrame([(c,) for c in missing_fields(df, required)], "field string")
+    gone = gone.select("field", F.lit(False).alias("present"), F.lit(0).cast("long").alias("filled"), F.lit(0).cast("long").alias("distinct_values"))
+    if not there:
+        return gone
+    # A row without a value stands for each field, so that fields of an empty table are present too.
+    one = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("v")) for c in there]))
+    rows = df.select(one.alias("x")).select("x.*").unionByName(df.sparkSession.createDataFrame([(c, None) for c in there], "field string, v string"))
+    return rows.groupBy("field").agg(F.lit(True).alias("present"), F.count("v").alias("filled"), F.count_distinct("v").alias("distinct_values")).unionByName(gone)
+
+
 def ingestion_lag(df: DataFrame, event: Column, ingested: Column, batch: Column) -> DataFrame:
     """Records, batches and average delay by hour of ingestion."""
     lag = (F.unix_timestamp(ingested.cast("timestamp")) - F.unix_timestamp(event.cast("timestamp"))) / 60.0

@@ -9,6 +9,7 @@ from opslake.functions.rules import EXCLUDED
 from opslake.operators import discovery
 from opslake.plans.fixtures import fixture, oracle
 from opslake.plans.registry import query
+from opslake.sources import landing
 
 EVENTS = "raw_events"
 quoted = lambda values: ", ".join("'" + v.replace("'", "''") + "'" for v in values)
@@ -129,6 +130,11 @@ def _(spark, d):
     return discovery.summarize(apps(spark, d))
 
 
+@query("report_summary", oracle(f"{MERGED} SELECT count(*) AS total_applications, count(*) FILTER (confidence >= 70) AS high_confidence, count(*) FILTER (confidence >= 40 AND confidence < 70) AS medium_confidence, count(*) FILTER (confidence < 40) AS low_confidence, 30 AS confidence_threshold FROM apps WHERE confidence >= 30", EVENTS))
+def _(spark, d):
+    return landing.report_summary(discovery.ranked(apps(spark, d)))
+
+
 @query("app_search", oracle(f"{MERGED} SELECT app, confidence FROM apps WHERE app LIKE '%pay%'", EVENTS))
 def _(spark, d):
     return discovery.search(apps(spark, d), "PAY").select("app", "confidence")

@@ -31,7 +31,7 @@ SQL = {
         FROM region WHERE r_regionkey < 4""",
     "services": """
         SELECT CONCAT('svc', CAST(n_nationkey AS VARCHAR(9))) AS service, CASE n_nationkey % 3 WHEN 0 THEN 'PLATFORM' WHEN 1 THEN 'VENDOR' ELSE 'APPLICATION' END AS service_type,
-               n_nationkey % 2 = 0 AS is_agent_facing FROM nation WHERE n_nationkey < 18""",
+               n_nationkey % 2 = 0 AS is_agent_facing, CASE n_nationkey % 4 WHEN 0 THEN 'auth' WHEN 1 THEN 'network' WHEN 2 THEN 'storage' END AS platform_component FROM nation WHERE n_nationkey < 18""",
     "locations": """
         SELECT n_nationkey AS location_key, n_name AS country, r_name AS continent FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "raw_events": """

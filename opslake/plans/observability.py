@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opslake.operators import calls, incidents, monitoring, quality, tables
-from opslake.plans.fixtures import fixture, oracle
+from opslake.plans.fixtures import AS_OF, fixture, oracle
 from opslake.plans.operations import FACTS, GEO, OPEN, all_facts, by, latest, now, sla_sql
 from opslake.plans.registry import query, table
-from opslake.sources.landing import incremental_window
+from opslake.sources.landing import in_window, incremental_window, with_metadata
 
 def entities(spark, d):
     s = table(spark, d, "supplier")
@@ -135,6 +135,21 @@ def _(spark, d):
     return quality.field_profile(fixture(spark, d, "incidents"), ["vendor", "service", "priority_raw", "state"])
 
 
+@query("dq_required_fields", oracle(" SELECT 'vendor' AS field, true AS present, count(vendor) AS filled, count(DISTINCT vendor) AS distinct_values FROM incidents UNION ALL SELECT 'priority', true, count(priority), count(DISTINCT priority) FROM incidents UNION ALL SELECT 'resolved_at', true, count(resolved_at), count(DISTINCT resolved_at) FROM incidents UNION ALL SELECT 'category', false, 0, 0", "incidents"))
+def _(spark, d):
+    return quality.required_fields(fixture(spark, d, "incidents"), ["vendor", "category", "priority", "resolved_at"])
+
+
+WINDOW = "TIMESTAMP '1997-01-01 00:00:00'", "TIMESTAMP '1998-07-01 00:00:00'"
+
+
+@query("window_read", oracle(f" SELECT conversation_id, participant_id, start_ts, {AS_OF} AS _ingestion_ts, 'b1' AS _batch_id, {WINDOW[0]} AS _window_start, {WINDOW[1]} AS _window_end, 'search' AS _source_system FROM participants WHERE start_ts >= {WINDOW[0]} AND start_ts < {WINDOW[1]}", "participants"))
+def _(spark, d):
+    start, end = (F.expr(w).cast("timestamp_ntz") for w in WINDOW)
+    rows = in_window(fixture(spark, d, "participants").select("conversation_id", "participant_id", "start_ts"), "start_ts", start, end)
+    return with_metadata(rows, "b1", start, end, "search", now())
+
+
 @query("dq_populated_pct", oracle(" SELECT field, pct AS populated_pct, CASE WHEN pct >= wanted THEN 'PASS' ELSE 'FAIL' END AS verdict FROM (SELECT 'vendor' AS field, 95.0 AS wanted, round(count(vendor) * 100.0 / count(*), 2) AS pct FROM incidents UNION ALL SELECT 'service', 50.0, round(count(service) * 100.0 / count(*), 2) FROM incidents)", "incidents"))
 def _(spark, d):
     return quality.populated(fixture(spark, d, "incidents"), vendor=95, service=50)

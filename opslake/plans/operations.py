@@ -24,7 +24,7 @@ def _facts() -> str:
     for w, e in (("response", "responded_at"), ("resolution", "resolved_at")):
         pct = f"CASE WHEN {w}_target > 0 THEN round(coalesce({MIN('opened_at', e)}, {MIN('opened_at', AS_OF)}) / {w}_target * 100, 2) END"
         cols += f""", round({MIN('opened_at', e)}, 2) AS {w}_minutes, {pct} AS {w}_pct, CASE WHEN {e} IS NOT NULL AND {pct} <= 100 THEN 'MET' WHEN {pct} > 100 THEN 'BREACHED' WHEN {e} IS NULL AND {pct} > 80 THEN 'AT_RISK' ELSE 'IN_PROGRESS' END AS {w}_status"""
-    return f""", f AS (SELECT i.*, response_target, resolution_target, coalesce(service_type, 'OTHER') AS service_type, coalesce(is_agent_facing, false) AS is_agent_facing, CAST(opened_at AS DATE) AS incident_date,
+    return f""", f AS (SELECT i.*, response_target, resolution_target, coalesce(service_type, 'OTHER') AS service_type, coalesce(is_agent_facing, false) AS is_agent_facing, platform_component, CAST(opened_at AS DATE) AS incident_date,
       coalesce(state NOT IN ('Resolved', 'Closed', 'Canceled'), true) AS is_open {cols}
       FROM (SELECT *, row_number() OVER (PARTITION BY incident_number ORDER BY ingestion_ts DESC NULLS LAST, state DESC NULLS LAST) AS rn FROM incidents) i LEFT JOIN targets USING (priority) LEFT JOIN services USING (service) WHERE rn = 1)"""
 
@@ -245,7 +245,7 @@ def sla_sql(dims: str, where: str = "true") -> str:
 
 for _name, _dims, _where in (
     ("gold_sla_summary", ["incident_date", "priority"], "true"),
-    ("platform_impact_daily", ["incident_date", "service", "priority"], "service_type = 'PLATFORM'"),
+    ("platform_impact_daily", ["incident_date", "service", "platform_component", "priority"], "service_type = 'PLATFORM'"),
     ("agent_impact_daily", ["incident_date", "service", "priority"], "is_agent_facing"),
     ("vendor_sla_daily", ["incident_date", "vendor", "priority"], "service_type = 'VENDOR' AND vendor IS NOT NULL"),
 ):
@@ -255,6 +255,26 @@ for _name, _dims, _where in (
         return incidents.sla_by(all_facts(spark, d).where(where), *dims)
 
 
+STATE_CODES = "CASE WHEN incident_number % 2 = 0 THEN CASE state WHEN 'New' THEN '1' WHEN 'In Progress' THEN '2' ELSE '7' END WHEN incident_number % 5 = 0 THEN 'Resolved' WHEN incident_number % 31 <> 0 THEN state END"
+
+
+@query("state_counts", oracle(f" SELECT priority, count(*) AS total, count(*) FILTER (s IN ('Resolved', '6')) AS resolved_count, count(*) FILTER (s IN ('Closed', '7')) AS closed_count, count(*) FILTER (s IN ('New', 'In Progress', 'On Hold', '1', '2', '3')) AS open_count FROM (SELECT *, {STATE_CODES} AS s FROM incidents) GROUP BY 1", "incidents"))
+def _(spark, d):
+    return incidents.state_counts(fixture(spark, d, "incidents").withColumn("state", F.expr(STATE_CODES)), "priority")
+
+
+RESPONSES = "CASE WHEN incident_number % 3 = 0 THEN NULL ELSE responded_at END AS response_time_ts, ingestion_ts AS work_start_ts"
+
+
+@query("latest_incident", oracle(f""" SELECT incident_number, state, response_time_ts AS first_response_ts, round({MIN('opened_at', 'response_time_ts')}, 2) AS response_minutes, coalesce(response_time_ts, work_start_ts) AS any_response_ts
+  FROM (SELECT *, {RESPONSES}, row_number() OVER (PARTITION BY incident_number % 5000 ORDER BY ingestion_ts DESC, incident_number DESC) AS k FROM incidents) WHERE k = 1""", "incidents"))
+def _(spark, d):
+    raw = fixture(spark, d, "incidents").selectExpr("*", *RESPONSES.split(", ")).withColumn("number", F.col("incident_number") % 5000)
+    chosen = incidents.latest_incident(raw, "number", "ingestion_ts", "incident_number")
+    anyway = incidents.latest_incident(raw, "number", "ingestion_ts", "incident_number", filled=True)
+    return chosen.select("incident_number", "state", "first_response_ts", "response_minutes").join(anyway.select("incident_number", F.col("first_response_ts").alias("any_response_ts")), "incident_number")
+
+
 OPEN = f"""SELECT incident_number, priority, service, vendor, round({MIN('opened_at', AS_OF)}, 2) AS time_open, greatest(0.0, response_target - coalesce(response_minutes, {MIN('opened_at', AS_OF)})) AS response_remaining,
   greatest(0.0, resolution_target - {MIN('opened_at', AS_OF)}) AS resolution_remaining, CASE WHEN 'BREACHED' IN (response_status, resolution_status) THEN 'BREACHED' WHEN 'AT_RISK' IN (response_status, resolution_status) THEN 'AT_RISK' ELSE 'HEALTHY' END AS risk FROM f WHERE is_open"""
 

@@ -80,6 +80,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_report(apps: DataFrame, path: str) -> None:
-    """JSON lines with at most 100 sources, 50 hosts and 10 pieces of evidence each, as the report shows them."""
+def report_summary(apps: DataFrame, least: int = 30) -> DataFrame:
+    """One row: the applications of the report, those of high, medium and low confidence, and the threshold."""
+    c = F.col("confidence")
+    counts = apps.agg(F.count("*").alias("total_applications"), F.count_if(c >= 70).alias("high_confidence"), F.count_if((c >= 40) & (c < 70)).alias("medium_confidence"), F.count_if(c < 40).alias("low_confidence"))
+    return counts.withColumn("confidence_threshold", F.lit(least))
+
+
+def write_report(apps: DataFrame, path: str, summary_path: str | None = None, least: int = 30) -> None:
+    """JSON lines with at most 100 sources, 50 hosts and 10 pieces of evidence each, as the report shows them; and the summary block of one line."""
     apps.select("app", "confidence", "event_count", "methods", F.slice("sources", 1, 100).alias("sources"), F.slice("hosts", 1, 50).alias("hosts"), F.slice("evidence", 1, 10).alias("evidence")).write.mode("overwrite").json(path)
+    if summary_path:
+        report_summary(apps, least).coalesce(1).write.mode("overwrite").json(summary_path)
