@@ -6,6 +6,7 @@ language whose codeword has the least summed logistic loss. Texts near a second
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,16 +17,25 @@ from pyspark.sql import functions as F
 
 from opslake.llm.common import bounded_batches
 
-#: Hashed features; bits of a codeword; labelled documents per language, as expected number, that the classifiers are fitted on;
-#: languages that are learned, the most frequent ones of the labels: a column of many stray values doesn't reach the driver.
-WIDTH, BITS, SAMPLE, LANGUAGES = 2048, 15, 800, 200
+#: Hashed features; bits of a codeword at least; labelled documents that the classifiers are fitted on, as expected numbers: of each
+#: language, and of all of them together.
+WIDTH, BITS, SAMPLE, POOL = 2048, 15, 800, 40_000
+#: Values that fewer than one in so many labelled rows have are strays and no languages, so that no more of them reach the driver.
+RARE = 10_000
 #: Below this share of the best over the two best languages a text is ambiguous.
 MARGIN = 0.6
 
 
-def codes(n: int, bits: int = BITS, seed: int = 7) -> np.ndarray:
-    """n codewords of +1 and -1 with a large least distance, the best of many fixed random draws."""
+def codes(n: int, seed: int = 7) -> np.ndarray:
+    """n codewords of +1 and -1 with a large least distance: the best of many fixed random draws.
+
+    Bits grow with the logarithm of n, so that words stay far apart: 14 of 80 bits or more at 250 words. Of many words the first draw
+    is as good as any.
+    """
+    bits = max(BITS, math.ceil(10 * math.log2(n)))
     rng, best, most = np.random.default_rng(seed), None, -1
+    if n > 64:
+        return rng.choice([-1, 1], (n, bits))
     for _ in range(400):
         c = rng.choice([-1, 1], (n, bits))
         apart = (bits - c @ c.T) // 2 + bits * np.eye(n, dtype=int)
@@ -79,8 +89,9 @@ class Model:
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the language, its probability, and whether a second one is near."""
         margin = x @ self.weights[:-1] + self.weights[-1]
-        loss = np.stack([np.logaddexp(0, -c * margin).sum(1) for c in self.code], 1)
-        p = np.exp(loss.min(1, keepdims=True) - loss)
+        # A word c loses sum(log(1 + exp(-c * margin))), and log(1 + exp(-m)) = log(1 + exp(m)) - m: words differ by c * margin / 2 only.
+        gain = margin @ self.code.T.astype(margin.dtype) / 2
+        p = np.exp(gain - gain.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         first = p.argmax(1)
         most = p[np.arange(len(p)), first]
@@ -91,15 +102,20 @@ class Model:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model | None:
     """Fits on a sample of about `sample` documents of each language, chosen by a hash of key and text, so that rows without a key are drawn like others, repeated rows once; None without any labelled letter.
 
-    Rows with null text or language, or without a letter, are left out, and those of languages beyond the LANGUAGES most frequent ones.
+    With more than POOL / sample languages each gets an even part of the POOL. Rows with null text or language, or without a letter,
+    are left out, and those whose language is a stray value (RARE); no other bound on the number of languages.
     """
     bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null and t is not null")
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(LANGUAGES).collect()}
+    # The roll-up's row without a language counts all rows and is the first; no language beyond RARE others can have its share.
+    top = rows.rollup("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("l")).limit(RARE + 1).collect()
+    counts = {r["l"]: r["n"] for r in top if r["l"] is not None and r["n"] * RARE >= top[0]["n"]}
     if not counts:
         return None
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))])
-    some = rows.where(F.pmod(F.xxhash64("k", "t"), F.lit(1 << 20)) < share[F.col("l")] * (1 << 20)).dropDuplicates().select("l", "t")
+    each = min(sample, POOL / len(counts))
+    shares = labelled.sparkSession.createDataFrame([(k, min(1.0, each / n)) for k, n in counts.items()], "l string, share double")
+    some = rows.join(F.broadcast(shares), "l").where(F.pmod(F.xxhash64("k", "t"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    some = some.select("k", "l", "t").dropDuplicates().select("l", "t")
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -339,29 +339,41 @@ def test_language_of_odd_rows(spark):
 
 
 def test_language_against_a_plain_version(spark):
-    """Losses of each language's codeword, bit by bit, and the most frequent languages only."""
+    """Losses of each language's codeword, bit by bit."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400")
     model = op5_language.fit(docs)
     got = {r.doc_id: r for r in op5_language.identify(docs, model).collect()}
     for d in docs.collect():
         x = op5_language.features(d.text)
-        margin = [float(x @ model.weights[:-1, k] + model.weights[-1, k]) for k in range(op5_language.BITS)]
+        margin = [float(x @ model.weights[:-1, k] + model.weights[-1, k]) for k in range(model.code.shape[1])]
         p = [math.exp(-sum(math.log1p(math.exp(-c * m)) for c, m in zip(code, margin, strict=True))) for code in model.code]
         p = sorted(((v / sum(p), lang) for v, lang in zip(p, model.langs, strict=True)), reverse=True)
         assert got[d.doc_id].lang_pred == p[0][1] and abs(got[d.doc_id].score - p[0][0]) < 1e-4
         assert got[d.doc_id].ambiguous == (p[0][0] < op5_language.MARGIN * (p[0][0] + p[1][0])) or abs(p[0][0] / (p[0][0] + p[1][0]) - op5_language.MARGIN) < 1e-4
 
 
-def test_languages_that_are_learned_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(op5_language, "LANGUAGES", 2)
-    df = spark.createDataFrame([(k, "the house is " + "abc"[k % 3] * 5, "abc"[k % 3] if k < 30 else "a") for k in range(32)], "doc_id long, text string, lang string")
-    assert op5_language.fit(df).langs == ["a", "b"]
+def test_stray_values_are_no_languages(spark, monkeypatch):
+    monkeypatch.setattr(op5_language, "RARE", 10)
+    df = spark.createDataFrame([(k, "the house is " + "abc"[k % 3] * 5, "abc"[k % 3] if k < 30 else f"stray{k}") for k in range(60)], "doc_id long, text string, lang string")
+    assert op5_language.fit(df).langs == ["a", "b", "c"]
+
+
+def test_any_number_of_languages_is_learned(spark, monkeypatch):
+    """250 languages of their own words share one pool of documents; nearly all held-out texts are found again."""
+    monkeypatch.setattr(op5_language, "POOL", 2500)
+    words = lambda k, n: " ".join(chr(0x4E00 + 40 * k + x) * 2 for x in random.Random(1000 * k + n).choices(range(40), k=120))
+    df = spark.createDataFrame([(14 * k + n, words(k, n), f"l{k}") for k in range(250) for n in range(14)], "doc_id long, text string, lang string")
+    model = op5_language.fit(df.where("doc_id % 14 < 12"))
+    assert len(model.langs) == 250 and model.code.shape[1] > 5 * op5_language.BITS
+    got = op5_language.identify(df, model).join(df, "doc_id").where("doc_id % 14 >= 12")
+    assert got.where("lang_pred = lang").count() > 0.95 * got.count()
 
 
 def test_codewords_are_apart():
-    for n in (2, 4, 9):
+    for n, least in ((1, 0), (2, 5), (4, 5), (9, 5), (16, 5), (40, 5), (250, 14), (2000, 14)):
         c = op5_language.codes(n)
-        assert all((c[i] != c[j]).sum() >= 3 for i in range(n) for j in range(i))
+        apart = (c.shape[1] - c @ c.T) // 2 + c.shape[1] * np.eye(n, dtype=int)
+        assert c.shape[0] == n and set(np.unique(c)) == {-1, 1} and apart.min() >= least
 
 
 # 9
