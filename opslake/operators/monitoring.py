@@ -96,12 +96,18 @@ def by_severity(df: DataFrame, column: str = "health") -> DataFrame:
 
 
 def host_health(hosts: DataFrame, problems: DataFrame) -> DataFrame:
-    """Health and kind of trouble of each host from its open problems, with the first three titles."""
-    g = problems.groupBy("entity_id").agg(F.count("*").alias("problems"), worst_severity().alias("worst"), F.min("severity").alias("first"), F.array_join(F.slice(F.sort_array(F.collect_set("title")), 1, 3), "; ").alias("titles"))
+    """Health and kind of trouble of each host from its open problems, with the first three titles.
+
+    Any ERROR or AVAILABILITY makes it critical; else any PERFORMANCE or RESOURCE_CONTENTION names the trouble, else the first severity.
+    """
+    any_of = lambda *kinds: F.coalesce(F.bool_or(F.col("severity").isin(*kinds)), F.lit(False))
+    g = problems.groupBy("entity_id").agg(
+        F.count("*").alias("problems"), any_of("ERROR", "AVAILABILITY").alias("down"), any_of("PERFORMANCE", "RESOURCE_CONTENTION").alias("slow"),
+        F.min("severity").alias("first"), F.array_join(F.slice(F.sort_array(F.collect_set("title")), 1, 3), "; ").alias("titles"),
+    )
     j = hosts.join(g, "entity_id", "left")
-    w = F.col("worst")
-    kind = F.when(w.isNull(), "NONE").when(w.isin("ERROR", "AVAILABILITY"), "ERROR").when(w.isin("PERFORMANCE", "RESOURCE_CONTENTION"), "PERFORMANCE").otherwise(F.col("first"))
-    state = F.when(w.isNull(), "HEALTHY").when(w.isin("ERROR", "AVAILABILITY"), "CRITICAL").otherwise("WARNING")
+    kind = F.when(F.col("problems").isNull(), "NONE").when(F.col("down"), "ERROR").when(F.col("slow"), "PERFORMANCE").otherwise(F.coalesce("first", F.lit("UNKNOWN")))
+    state = F.when(F.col("problems").isNull(), "HEALTHY").when(F.col("down"), "CRITICAL").otherwise("WARNING")
     return j.select(*hosts.columns, state.alias("health"), kind.alias("trouble"), F.coalesce("problems", F.lit(0)).alias("problems"), F.coalesce("titles", F.lit("")).alias("titles"))
 
 
@@ -153,6 +159,63 @@ def inventory_summary(inventory: DataFrame) -> DataFrame:
     return inventory.agg(F.count("*").alias("hosts"), F.count_if("found").alias("found"), F.count_if(~F.col("found")).alias("missing"), F.count_if(F.col("agent_status") == "RUNNING").alias("running"), F.round(F.avg("cpu"), 2).alias("avg_cpu"), F.round(F.avg("memory"), 2).alias("avg_memory"))
 
 
+#: Latest measures of a host, by their column.
+HOST_METRICS = ("cpu_usage", "memory_usage", "disk_usage", "host_availability", "cpu_system", "cpu_user", "cpu_idle", "memory_available", "disk_read_throughput", "disk_write_throughput", "network_in", "network_out")
+#: Column to property: those of the agent, then those of the system.
+AGENT = {"agent_version": "agentVersion", "agent_monitoring_mode": "monitoringMode", "agent_state": "state", "agent_auto_update": "autoUpdate", "agent_update_status": "updateStatus"}
+SYSTEM = {"os_type": "osType", "os_version": "osVersion", "os_architecture": "osArchitecture", "hypervisor_type": "hypervisorType", "cloud_type": "cloudType", "cloud_provider": "cloudProvider", "aws_instance_type": "awsInstanceType", "azure_vm_size": "azureVmSize", "cpu_cores": "cpuCores"}
+
+
+def host_report(wanted: DataFrame, known: DataFrame, series: DataFrame, problems: DataFrame) -> DataFrame:
+    """One wide row for each wanted name: identity, health, agent, the latest value of each of HOST_METRICS, system.
+
+    wanted: (hostname). known: (entity_id, hostname, properties map, addresses array). series: (entity_id, metric, ts, value).
+    problems: as from open_problems(). Names are compared without case; empty and null ones are left out, of several spellings the
+    smallest stands, of several known hosts of one name that of the largest id counts. Names that nobody knows stay, with found false
+    and nulls. Absent properties are empty texts; memory without a number, or of 0, is null.
+    Measures and problems of other entities than the known hosts leave before they are grouped.
+    """
+    names = wanted.select(F.trim("hostname").alias("hostname")).where("hostname <> ''").groupBy(F.lower("hostname").alias("key")).agg(F.min("hostname").alias("hostname"))
+    host = known.groupBy(F.lower(F.trim("hostname")).alias("key")).agg(F.max_by(F.struct("entity_id", F.trim("hostname").alias("display_name"), "properties", "addresses"), "entity_id").alias("k"))
+    text = lambda p: F.coalesce(F.try_element_at("properties", F.lit(p)), F.lit(""))
+    memory = F.round(F.nullif(F.expr("try_cast(try_element_at(properties, 'physicalMemory') AS DOUBLE)"), F.lit(0.0)) / 1024**3, 2)
+    flat = names.join(host, "key", "left").select("hostname", "k.*").select(
+        "hostname", "entity_id", "display_name", *[text(p).alias(c) for c, p in (AGENT | SYSTEM).items()], memory.alias("physical_memory_gb"),
+        F.array_join(F.coalesce("addresses", F.array().cast("array<string>")), "; ").alias("ip_addresses"),
+    )
+    found = F.col("entity_id").isNotNull()
+    unknown = lambda c: F.when(found, F.col(c)).alias(c)
+    ids = known.select("entity_id").distinct()
+    health_of = host_health(ids, problems.join(ids, "entity_id", "left_semi")).select("entity_id", F.col("health").alias("health_state"), F.col("problems").alias("open_problems"), F.col("trouble").alias("highest_severity"), F.col("titles").alias("problem_titles"))
+    wide = latest_metrics(series.join(ids, "entity_id", "left_semi"), list(HOST_METRICS))
+    j = agent_status(flat.withColumnsRenamed({"agent_version": "version", "agent_monitoring_mode": "mode", "agent_state": "state"})).withColumnsRenamed({"version": "agent_version", "mode": "agent_monitoring_mode", "state": "agent_state"})
+    j = j.join(health_of, "entity_id", "left").join(wide, "entity_id", "left")
+    return j.select(
+        "hostname", found.alias("found"), "entity_id", "display_name", "health_state", "open_problems", "highest_severity", "problem_titles",
+        *[unknown(c) for c in ("agent_installed", "agent_running", *AGENT)], *HOST_METRICS, *[unknown(c) for c in SYSTEM], "physical_memory_gb", unknown("ip_addresses"),
+    )
+
+
+def host_report_summary(report: DataFrame) -> DataFrame:
+    """(section, measure, value) of a host_report(): hosts found and not; of the found ones their health, agents, versions and averages.
+
+    Averages are of the hosts that have the measure, to two places, null if none has. Versions follow the report, as many rows as there are.
+    """
+    f = F.col("found")
+    n = lambda c: F.count_if(f & c)
+    state, agent, running = F.col("health_state"), F.coalesce("agent_installed", F.lit(False)), F.coalesce("agent_running", F.lit(False))
+    rows = {
+        ("hosts", "checked"): F.count("*"), ("hosts", "found"): F.count_if(f), ("hosts", "not_found"): F.count_if(~f),
+        ("health", "healthy"): n(state == "HEALTHY"), ("health", "warning"): n(state == "WARNING"), ("health", "critical"): n(state == "CRITICAL"),
+        ("agent", "installed"): n(agent), ("agent", "not_installed"): n(~agent), ("agent", "running"): n(running), ("agent", "not_running"): n(agent & ~running),
+        **{("average", m): F.round(F.avg(F.when(f, F.col(m))), 2) for m in ("cpu_usage", "memory_usage", "disk_usage")},
+    }
+    entries = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(m).alias("measure"), v.cast("double").alias("value")) for (s, m), v in rows.items()])
+    totals = report.agg(entries.alias("rows")).select(F.inline("rows"))
+    versions = report.where(f & (F.col("agent_version") != "")).groupBy("agent_version").agg(F.count("*").cast("double").alias("value"))
+    return totals.union(versions.select(F.lit("version"), "agent_version", "value"))
+
+
 def relationship_edges(entities: DataFrame) -> DataFrame:
     """(entity_id, direction, type, related_id) of the relationship maps."""
     sides = [entities.select("entity_id", F.lit(d).alias("direction"), F.explode(c).alias("type", "ids")).select("entity_id", "direction", "type", F.explode("ids").alias("related_id")) for d, c in (("from", "from_relationships"), ("to", "to_relationships"))]

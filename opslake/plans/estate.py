@@ -86,7 +86,7 @@ def hosts(spark, d):
     )
 
 
-@query("host_health", f"WITH {HOSTS}, {PROBLEMS}, g AS (SELECT entity_id, count(*) AS n, {WORST} AS worst, min(severity) AS f, array_to_string(list_sort(list(DISTINCT title))[1:3], '; ') AS titles FROM pb GROUP BY 1) SELECT entity_id, hostname, CASE WHEN worst IS NULL THEN 'HEALTHY' WHEN worst IN ('ERROR', 'AVAILABILITY') THEN 'CRITICAL' ELSE 'WARNING' END AS health, CASE WHEN worst IS NULL THEN 'NONE' WHEN worst IN ('ERROR', 'AVAILABILITY') THEN 'ERROR' WHEN worst IN ('PERFORMANCE', 'RESOURCE_CONTENTION') THEN 'PERFORMANCE' ELSE f END AS trouble, coalesce(n, 0) AS problems, coalesce(titles, '') AS titles FROM hosts LEFT JOIN g USING (entity_id)")
+@query("host_health", f"WITH {HOSTS}, {PROBLEMS}, g AS (SELECT entity_id, count(*) AS n, {WORST} AS worst, bool_or(severity IN ('PERFORMANCE', 'RESOURCE_CONTENTION')) AS slow, min(severity) AS f, array_to_string(list_sort(list(DISTINCT title))[1:3], '; ') AS titles FROM pb GROUP BY 1) SELECT entity_id, hostname, CASE WHEN worst IS NULL THEN 'HEALTHY' WHEN worst IN ('ERROR', 'AVAILABILITY') THEN 'CRITICAL' ELSE 'WARNING' END AS health, CASE WHEN worst IS NULL THEN 'NONE' WHEN worst IN ('ERROR', 'AVAILABILITY') THEN 'ERROR' WHEN slow THEN 'PERFORMANCE' ELSE f END AS trouble, coalesce(n, 0) AS problems, coalesce(titles, '') AS titles FROM hosts LEFT JOIN g USING (entity_id)")
 def _(spark, d):
     return monitoring.host_health(hosts(spark, d).select("entity_id", "hostname"), problems(spark, d))
 
@@ -115,6 +115,53 @@ def _(spark, d):
     return monitoring.host_properties(table(spark, d, "supplier").select(n.alias("entity_id"), props.alias("properties"), addresses.alias("addresses")))
 
 
+#: Measures of the report by the remainder of an event's number, whole numbers as above.
+MEASURED = "map_from_arrays(array(0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11), array(" + ", ".join(f"'{m}'" for m in monitoring.HOST_METRICS) + "))"
+VERSION, MODE = "CASE WHEN s_suppkey % 4 <> 0 THEN '1.' || (s_suppkey % 3) END", "CASE s_suppkey % 5 WHEN 0 THEN 'FULL_STACK' WHEN 1 THEN 'DISCOVERY' END"
+#: Column to the SQL of its property; null where a host lacks it.
+PROPERTIES = {
+    "agent_version": VERSION, "agent_monitoring_mode": MODE, "agent_state": "CASE WHEN s_suppkey % 3 = 0 THEN 'RUNNING' WHEN s_suppkey % 7 <> 0 THEN 'UNKNOWN' END",
+    "agent_auto_update": "CASE WHEN s_suppkey % 2 = 0 THEN 'ENABLED' END", "agent_update_status": "CASE WHEN s_suppkey % 4 = 1 THEN 'OUTDATED' ELSE 'UP2DATE' END",
+    "os_type": "CASE WHEN s_suppkey % 2 = 0 THEN 'LINUX' ELSE 'WINDOWS' END", "os_version": "'v' || s_nationkey", "os_architecture": "CASE WHEN s_nationkey < 20 THEN 'X86' END", "hypervisor_type": "CASE WHEN s_suppkey % 6 = 1 THEN 'KVM' END",
+    "cloud_type": "CASE WHEN s_nationkey % 3 = 0 THEN 'EC2' WHEN s_nationkey % 3 = 1 THEN 'AZURE' END", "cloud_provider": "CASE WHEN s_nationkey % 3 < 2 THEN 'cloud' || (s_nationkey % 3) END",
+    "aws_instance_type": "CASE WHEN s_nationkey % 3 = 0 THEN 'm5.large' END", "azure_vm_size": "CASE WHEN s_nationkey % 3 = 1 THEN 'D2' END", "cpu_cores": "CASE WHEN s_suppkey % 11 <> 0 THEN '' || (s_suppkey % 16 + 1) END",
+}
+MEMORY, ADDRESSES = "s_suppkey % 64 * 1073741824 + s_suppkey * 1000", ("'10.0.0.' || s_nationkey", "'10.0.1.' || s_nationkey")
+REPORT = f"""WITH {PROBLEMS}, want AS (SELECT lower(h) AS k, min(h) AS hostname FROM (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'HOST-' ELSE 'host-' END || (c_custkey % 700) AS h FROM customer) GROUP BY 1),
+  known AS (SELECT s_suppkey AS entity_id, 'Host-' || (s_suppkey % 500) AS display_name, {", ".join(f"coalesce({v}, '') AS {c}" for c, v in PROPERTIES.items())}, round(CASE WHEN s_suppkey % 9 <> 0 THEN {MEMORY} END / 1073741824.0, 2) AS physical_memory_gb, CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE {ADDRESSES[0]} || '; ' || {ADDRESSES[1]} END AS ip_addresses FROM supplier
+    QUALIFY row_number() OVER (PARTITION BY s_suppkey % 500 ORDER BY s_suppkey DESC) = 1),
+  g AS (SELECT entity_id, count(*) AS n, {WORST} AS worst, bool_or(severity IN ('PERFORMANCE', 'RESOURCE_CONTENTION')) AS slow, min(severity) AS f, array_to_string(list_sort(list(DISTINCT title))[1:3], '; ') AS titles FROM pb GROUP BY 1),
+  m AS (SELECT user_id AS entity_id, {", ".join(f"max_by(round(value), struct_pack(ts, v := round(value))) FILTER (event_id % 12 = {k}) AS {c}" for k, c in enumerate(monitoring.HOST_METRICS))} FROM events WHERE value IS NOT NULL GROUP BY 1),
+  r AS (SELECT hostname, display_name IS NOT NULL AS found, known.entity_id, display_name, CASE WHEN display_name IS NULL THEN NULL WHEN worst IS NULL THEN 'HEALTHY' WHEN worst IN ('ERROR', 'AVAILABILITY') THEN 'CRITICAL' ELSE 'WARNING' END AS health_state, CASE WHEN display_name IS NOT NULL THEN coalesce(n, 0) END AS open_problems,
+    CASE WHEN display_name IS NULL THEN NULL WHEN worst IS NULL THEN 'NONE' WHEN worst IN ('ERROR', 'AVAILABILITY') THEN 'ERROR' WHEN slow THEN 'PERFORMANCE' ELSE f END AS highest_severity, CASE WHEN display_name IS NOT NULL THEN coalesce(titles, '') END AS problem_titles,
+    agent_version <> '' OR agent_monitoring_mode IN ('FULL_STACK', 'INFRASTRUCTURE_ONLY') AS agent_installed, agent_state = 'RUNNING' AS agent_running, {", ".join(PROPERTIES)}, {", ".join(monitoring.HOST_METRICS)}, physical_memory_gb, ip_addresses
+    FROM want LEFT JOIN known ON lower(display_name) = k LEFT JOIN g ON g.entity_id = known.entity_id LEFT JOIN m ON m.entity_id = known.entity_id)"""
+
+
+def report(spark, d):
+    c, s, e = (table(spark, d, t) for t in ("customer", "supplier", "events"))
+    wanted = c.select(F.expr("CASE WHEN c_custkey % 2 = 0 THEN 'HOST-' ELSE 'host-' END || (c_custkey % 700)").alias("hostname"))
+    named = {p: PROPERTIES[c] for c, p in (monitoring.AGENT | monitoring.SYSTEM).items()} | {"physicalMemory": f"CAST(CASE WHEN s_suppkey % 9 <> 0 THEN {MEMORY} END AS STRING)"}
+    given = F.filter(F.array(*[F.struct(F.lit(p).alias("k"), F.expr(v).alias("v")) for p, v in named.items()]), lambda x: x["v"].isNotNull())
+    addresses = F.when(F.col("s_suppkey") % 5 != 0, F.array(*[F.expr(a) for a in ADDRESSES]))
+    known = s.select(F.col("s_suppkey").alias("entity_id"), F.expr("'Host-' || (s_suppkey % 500)").alias("hostname"), F.map_from_entries(given).alias("properties"), addresses.alias("addresses"))
+    series = e.select(F.col("user_id").alias("entity_id"), F.expr(f"{MEASURED}[CAST(event_id % 12 AS INT)]").alias("metric"), "ts", F.round("value").alias("value"))
+    return monitoring.host_report(wanted, known, series, problems(spark, d))
+
+
+@query("host_report", f"{REPORT} SELECT * FROM r")
+def _(spark, d):
+    return report(spark, d)
+
+
+COUNTED = {("hosts", "checked"): "true", ("hosts", "found"): "found", ("hosts", "not_found"): "NOT found", **{("health", h.lower()): f"health_state = '{h}'" for h in ("HEALTHY", "WARNING", "CRITICAL")}, ("agent", "installed"): "agent_installed", ("agent", "not_installed"): "found AND NOT agent_installed", ("agent", "running"): "agent_running", ("agent", "not_running"): "agent_installed AND NOT agent_running"}
+
+
+@query("host_report_summary", f"{REPORT} " + " UNION ALL ".join(f"SELECT '{s}' AS section, '{m}' AS measure, CAST(count(*) FILTER ({w}) AS DOUBLE) AS value FROM r" for (s, m), w in COUNTED.items()) + "".join(f" UNION ALL SELECT 'average', '{m}', round(avg({m}), 2) FROM r" for m in ("cpu_usage", "memory_usage", "disk_usage")) + " UNION ALL SELECT 'version', agent_version, CAST(count(*) AS DOUBLE) FROM r WHERE agent_version <> '' GROUP BY 2")
+def _(spark, d):
+    return monitoring.host_report_summary(report(spark, d))
+
+
 # Bronze records and table changes.
 FIELDS = {"number": "incident_number", "u_priority": "priority", "opened": "opened_at", "resolved": "resolved_at", "cmdb_ci": "component"}
 
