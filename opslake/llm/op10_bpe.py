@@ -9,6 +9,7 @@ their own, which look up only the pairs that the last round changed.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 from opslake.llm.common import bounded_batches
 
-#: Words whose ids one Python worker keeps; bytes from which on a word is long, and is not kept.
-KEPT_WORDS, LONG = 200_000, 400
+#: Words whose ids one Python worker keeps; bytes from which on a word is long, and is not kept; characters of the texts that are
+#: divided into words at a time, since words as objects take a dozen times the room of their text. A longer text stands alone.
+KEPT_WORDS, LONG, AT_A_TIME = 200_000, 400, 1 << 20
 NONE = np.int64(1 << 40)
 
 
@@ -172,6 +174,11 @@ class WordBpe:
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; null and empty texts have none."""
+        part = np.cumsum([len(t) if t else 0 for t in texts], dtype=np.int64) // AT_A_TIME
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(texts)]
+        return [ids for lo, hi in itertools.pairwise(cuts) for ids in self.encode_some(texts[lo:hi])]
+
+    def encode_some(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [list(self.pieces(t)) if t else [] for t in texts]
         if len(self.kept) > KEPT_WORDS:
             self.kept.clear()

@@ -472,6 +472,14 @@ def test_bpe_of_very_long_words(library):
             assert own.encode_batch([word])[0].tolist() == library.encode(word, add_special_tokens=False).ids
 
 
+def test_bpe_of_texts_divided_a_few_at_a_time(monkeypatch):
+    texts = [None, "", "a b c", "x" * 50, None, "one two three four five", "Σ é", "y " * 40, ""]
+    t = op10_bpe.WordBpe(BPE)
+    whole = [x.tobytes() for x in t.encode_batch(texts)]
+    monkeypatch.setattr(op10_bpe, "AT_A_TIME", 10)
+    assert [x.tobytes() for x in t.encode_batch(texts)] == whole and t.encode_batch([]) == []
+
+
 def test_bpe_of_odd_rows(spark, library):
     odd = ["", "<|endoftext|>a<|STARTOFTEXT|> <|startoftext|>", "a" * 5000, "퟿ \x00 ​ 'LL don't", "é" * 200, "   "]
     df = spark.createDataFrame([(0, None), *enumerate(odd, 1)], "doc_id long, text string")
