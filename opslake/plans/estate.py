@@ -53,9 +53,8 @@ APP_HEALTH = f"""{MEMBERS}, g AS (SELECT app_id, round(avg(cpu) FILTER (entity_t
 
 
 def app_health(spark, d):
-    of = monitoring.members(covered(spark, d), entities(spark, d))
     whole = wide_metrics(spark, d).select("entity_id", *[F.round(m).alias(m) for m in ("cpu", "memory", "failure_rate")])
-    return monitoring.app_health(of, whole, problems(spark, d), {"HOST": ["cpu", "memory"], "SERVICE": ["failure_rate"]}, {"APPLICATION": ["failure_rate"]})
+    return monitoring.app_health(covered(spark, d), entities(spark, d), whole, problems(spark, d), {"HOST": ["cpu", "memory"], "SERVICE": ["failure_rate"]}, {"APPLICATION": ["failure_rate"]})
 
 
 @query("app_health", f"{APP_HEALTH} SELECT * FROM h")
@@ -65,9 +64,9 @@ def _(spark, d):
 
 @query("app_health_ranked", f"{APP_HEALTH} SELECT app_id, health, row_number() OVER (ORDER BY CASE health WHEN 'CRITICAL' THEN 0 WHEN 'WARNING' THEN 1 WHEN 'UNKNOWN' THEN 2 ELSE 3 END, app_id) AS place FROM h ORDER BY place")
 def _(spark, d):
-    top = monitoring.by_severity(app_health(spark, d)).select("app_id", "health")
     rank = F.when(F.col("health") == "CRITICAL", 0).when(F.col("health") == "WARNING", 1).when(F.col("health") == "UNKNOWN", 2).otherwise(3)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(rank, "app_id")).cast("long"))
+    rows = app_health(spark, d).select("app_id", "health", rank.alias("rank"), F.shiftright("app_id", 16).alias("block"))
+    return monitoring.placed(rows, ["rank", "block"], "app_id").orderBy("place").select("app_id", "health", "place")
 
 
 @query("affected_entities", f"{COVER}, {PROBLEMS} SELECT entity_type, count(*) AS n FROM e WHERE entity_id IN (SELECT entity_id FROM pb) GROUP BY 1")
