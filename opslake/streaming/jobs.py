@@ -76,13 +76,17 @@ def active_incidents(calls: DataFrame, incidents: DataFrame, hours: int = 1, lon
     calls: (call_id, vendor, start_ts, end_ts), incidents: (incident_number, vendor, opened_at, ended_at). Incidents of more than longest_days
     are found by calls until that many days after their opening only: that bounds what both sides have to keep.
     """
-    c = calls.withColumn("_key", F.upper("vendor")).withWatermark("start_ts", late)
-    i = incidents.select("incident_number", F.upper("vendor").alias("_ikey"), "opened_at", "ended_at").withWatermark("opened_at", late)
-    near = (F.col("opened_at") >= F.col("start_ts") - F.expr(f"INTERVAL {longest_days} DAYS")) & (F.col("opened_at") <= F.col("end_ts") + F.expr(f"INTERVAL {hours} HOURS"))
+    pad, longest, block = F.expr(f"INTERVAL {hours} HOURS"), F.expr(f"INTERVAL {longest_days} DAYS"), max(1, longest_days // 4) * 86_400
+    opened, until = F.col("start_ts") - longest, F.least(F.col("end_ts") + pad, F.col("start_ts") + longest)
+    # Both sides meet by vendor and block of days: an incident lies in the block of its opening, a call in each in which its incidents may have been opened.
+    at = lambda ts: F.floor(F.unix_seconds(ts) / block)
+    c = calls.withColumn("_key", F.upper("vendor")).withWatermark("start_ts", late).where(until >= opened).withColumn("_block", F.explode(F.sequence(at(opened), at(until))))
+    i = incidents.select("incident_number", F.upper("vendor").alias("_ikey"), "opened_at", "ended_at", at(F.col("opened_at")).alias("_iblock")).withWatermark("opened_at", late)
+    near = (F.col("opened_at") >= F.col("start_ts") - longest) & (F.col("opened_at") <= F.col("end_ts") + pad)
     # A call's length is bounded too, else its opening side could never be forgotten.
-    short = F.col("opened_at") <= F.col("start_ts") + F.expr(f"INTERVAL {longest_days} DAYS")
-    meanwhile = F.col("ended_at") >= F.col("start_ts") - F.expr(f"INTERVAL {hours} HOURS")
-    return c.join(i, (F.col("_key") == F.col("_ikey")) & near & short & meanwhile).select("call_id", "incident_number")
+    short = F.col("opened_at") <= F.col("start_ts") + longest
+    meanwhile = F.col("ended_at") >= F.col("start_ts") - pad
+    return c.join(i, (F.col("_key") == F.col("_ikey")) & (F.col("_block") == F.col("_iblock")) & near & short & meanwhile).select("call_id", "incident_number")
 
 
 def recompute_days(days: int, ts: str, read: Callable[[], DataFrame], aggregate: Callable[[DataFrame], DataFrame], swap: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
