@@ -16,6 +16,8 @@ from opslake.llm.common import written
 #: (MISMATCH), so it begins with 3 equal words, another one and 2 equal ones; with 4, another one and an equal one; with 5 and
 #: another one; or with 6. One of the masks fits each of these beginnings, so every overlap is met.
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 2, 3, 5), (0, 1, 2, 3, 4))
+#: So many words at the beginning of every mask, also of those for short items, have no gap.
+START = 3
 #: Shorter items are ignored; those below WHOLE words must be met word for word.
 SHORTEST, WHOLE = 5, 10
 #: A segment scores 1 for an equal word and this for another one.
@@ -36,6 +38,10 @@ def seed(mask_id: Column | int, mask: tuple[int, ...], hashes: Column, at: Colum
     return F.xxhash64(F.lit(mask_id), *[F.get(hashes, at + o) for o in mask])
 
 
+def opening(hashes: Column, at: Column) -> Column:
+    return F.xxhash64(*[F.get(hashes, at + o) for o in range(START)])
+
+
 def placed(df: DataFrame, keys: list[str], words_: str, masks: list[tuple[int, ...]], spans: list[int], fits: list[Column]) -> DataFrame:
     """(keys, h, before, at): the hash of each mask at each place that it fits, and that of the same mask one place before. Words aren't carried along."""
 
@@ -88,8 +94,16 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     small = sizes <= broadcast_seeds
 
     # Texts are known by what they hold, so that those with a null key, or several with one key, are not lost or mixed up.
-    d = docs.select(F.col(key).alias("key"), words(F.col(text)).alias("dw")).where(F.size("dw") >= min(spans)).withColumn("row", F.xxhash64("key", "dw"))
-    places = placed(d, ["row"], "dw", masks, spans, [F.lit(True)] * len(masks))
+    d = docs.select(F.col(key).alias("key"), words(F.col(text)).alias("dw")).withColumn("row", F.xxhash64("key", "dw"))
+    at = d.select("row", "dw", F.posexplode_outer("dw").alias("at", "_w")).where(F.col("at") <= F.size("dw") - min(spans))
+    if small:
+        # Every mask begins with the same words: places whose first words begin no seed leave before any mask is hashed.
+        firsts = it.select("iw", F.explode(F.sequence(F.lit(0), F.size("iw") - START)).alias("j")).select(opening(F.col("iw"), F.col("j")).alias("first")).distinct()
+        at = at.withColumn("first", opening(F.col("dw"), F.col("at"))).join(F.broadcast(firsts), "first", "left_semi")
+    hashed = lambda k, place: seed(k, masks[k], F.col("dw"), place)
+    here, back = F.col("at"), F.col("at") - 1
+    each = [F.when(here <= F.size("dw") - spans[k], F.struct(hashed(k, here).alias("h"), F.when(here > 0, hashed(k, back)).alias("before"))) for k in range(len(masks))]
+    places = at.select("row", "at", F.explode(F.array(*each)).alias("_p")).select("row", "at", "_p.h", "_p.before").where("h is not null")
     # Hits that follow each other on a diagonal say the same: the first of them is enough, however often a text repeats itself.
     met = places.join(F.broadcast(seeds) if small else seeds, "h").where(~F.coalesce(F.col("before") == F.col("item_before"), F.lit(False)))
     pairs = met.select("row", "item", (F.col("at") - F.col("j")).alias("shift")).distinct().groupBy("row", "item").agg(F.collect_list("shift").alias("shifts"))

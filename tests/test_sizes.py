@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from opslake.operators import monitoring
@@ -65,3 +66,23 @@ def test_streams_meet_by_days(spark, tmp_path):
     assert {x for x in got if x[0] >= 900} == {(900, 900), (900, 901), (901, 903)}
     # Not all calls of a vendor are compared with all of its incidents: the sides meet by block, too.
     assert "_block#" in joined._jdf.queryExecution().analyzed().toString().split("Join Inner, ", 1)[1].split("\n")[0]
+
+
+def test_places_are_screened_before_masks(spark, monkeypatch):
+    op2 = pytest.importorskip("opslake.llm.op2_decontaminate")
+    r = random.Random(5)
+    text = lambda n: [f"w{r.randrange(40)}" for _ in range(n)]
+    items = [(k, text(n)) for k, n in enumerate([4, 5, 5, 7, 9, 10, 12, 20, 30])]
+    docs = [(None, "one two three four five"), (1, None), (1, ""), (1, "w1 w2")]
+    for k in range(60):
+        passage = list(r.choice(items)[1])
+        if len(passage) > 9:
+            passage[r.randrange(len(passage))] = "other"
+        docs.append((k % 50, " ".join(text(r.randrange(30)) + passage * r.choice([1, 2]) + text(r.randrange(30)))))
+    plans, write = [], op2.written
+    monkeypatch.setattr(op2, "written", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, name))
+    run = lambda **how: sorted(map(tuple, op2.overlaps(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id int, text string"), **how).collect()))
+    got = run()
+    assert got == run(broadcast_seeds=0) and len(got) >= 40
+    assert "LeftSemi" in plans[0] and "LeftSemi" not in plans[1]
+    assert all(m[: op2.START] == tuple(range(op2.START)) for m in op2.MASKS)
