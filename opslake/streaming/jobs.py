@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from opslake.operators import correlation
 from opslake.operators.tables import latest, upsert
 
+#: Days of the blocks by which landed calls and incidents meet.
+BLOCK = 8
+
 
 def daily_counts(events: DataFrame, ts: str, *dims: str, late: str = "2 days") -> DataFrame:
     """Events by day and dimensions; days that are older than the watermark are final."""
@@ -73,7 +77,7 @@ def hourly_lag(records: DataFrame, event: str, ingested: str, batch: str, late:
 def active_incidents(calls: DataFrame, incidents: DataFrame, hours: int = 1, longest_days: int = 15, late: str = "1 day") -> DataFrame:
     """(call_id, incident_number) of two streams: calls with the incidents of their vendor that were active meanwhile, the call widened by some hours.
 
-    calls: (call_id, vendor, start_ts, end_ts), incidents: (incident_number, vendor, opened_at, ended_at). Incidents of more than longest_days
+    For alerts, where a bounded state counts for more than all pairs; landed() and new_pairs() leave none out. calls: (call_id, vendor, start_ts, end_ts), incidents: (incident_number, vendor, opened_at, ended_at). Incidents of more than longest_days
     are found by calls until that many days after their opening only: that bounds what both sides have to keep.
     """
     pad, longest, block = F.expr(f"INTERVAL {hours} HOURS"), F.expr(f"INTERVAL {longest_days} DAYS"), max(1, longest_days // 4) * 86_400
@@ -89,6 +93,27 @@ def active_incidents(calls: DataFrame, incidents: DataFrame, hours: int = 1, lon
     return c.join(i, (F.col("_key") == F.col("_ikey")) & (F.col("_block") == F.col("_iblock")) & near & short & meanwhile).select("call_id", "incident_number")
 
 
+def landed(path: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: a micro-batch's rows go to a folder of their own, batch=N; a batch that is repeated replaces its own rows."""
+    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def new_pairs(calls: DataFrame, incidents: DataFrame, hours: int = 1, since: tuple[int, int] = (-1, -1)) -> DataFrame:
+    """(call_id, incident_number) of two landed streams: calls with all incidents of their vendor that were active meanwhile, the call widened by some hours.
+
+    since: batches of calls and of incidents; what later ones have added is returned, by default all. A pair comes up with the later one of its two rows, however
+    long the incident lasts and however late a row comes in. So nothing is forgotten, no state lies in memory, and pairs, which are far more than rows, aren't kept.
+    calls: (call_id, vendor, start_ts, end_ts, batch), incidents: (incident_number, vendor, opened_at, ended_at, batch).
+    """
+    pad, (seen_calls, seen_incidents) = F.expr(f"INTERVAL {hours} HOURS"), since
+    c = calls.select("batch", "call_id", F.upper("vendor").alias("_vendor"), (F.col("start_ts") - pad).alias("_from"), (F.col("end_ts") + pad).alias("_to"))
+    i = incidents.select("batch", "incident_number", F.upper("vendor").alias("_ivendor"), F.col("opened_at").alias("_opened"), F.col("ended_at").alias("_ended"))
+    of = lambda c, i: correlation.met(c.drop("batch"), i.drop("batch"), BLOCK).select("call_id", "incident_number")
+    batch = F.col("batch")
+    pairs = of(c.where(batch > seen_calls), i)
+    return pairs if seen_calls < 0 else pairs.union(of(c.where(batch <= seen_calls), i.where(batch > seen_incidents)))
+
+
 def recompute_days(days: int, ts: str, read: Callable[[], DataFrame], aggregate: Callable[[DataFrame], DataFrame], swap: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: late rows change old days, so the aggregate of the last days before the batch's newest row is computed anew from the table."""
 
