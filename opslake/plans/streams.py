@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslake.operators import tables
-from opslake.plans.fixtures import BASES, SQL, oracle
+from opslake.plans.fixtures import BASES, oracle, spark_sql
 from opslake.plans.registry import ORACLES, query, table
 from opslake.sources.scratch import folder
 from opslake.sources.store import TableStore
@@ -24,7 +24,7 @@ def stream(spark: SparkSession, d: str, name: str) -> DataFrame:
 def stream_fixture(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A fixture of one table as a stream."""
     (base,) = BASES[name]
-    return spark.sql(SQL[name].replace("VARCHAR(9)", "STRING").replace(f"FROM {base}", f"FROM {{{base}}}"), **{base: stream(spark, d, base)})
+    return spark.sql(spark_sql(name).replace(f"FROM {base}", f"FROM {{{base}}}"), **{base: stream(spark, d, base)})
 
 
 def appended(df: DataFrame, name: str) -> DataFrame:
@@ -103,7 +103,7 @@ def _(spark, d):
 
 @query("stream_snapshot", oracle(" SELECT state, count(*) AS n FROM incidents WHERE state <> 'Closed' GROUP BY 1", "incidents"))
 def _(spark, d):
-    view = lambda: tables.latest(spark.sql(SQL["incidents"].replace("VARCHAR(9)", "STRING").replace("FROM orders", "FROM {orders}"), orders=table(spark, d, "orders")), ["incident_number"], F.desc("ingestion_ts")).where("state <> 'Closed'").groupBy("state").agg(F.count("*").alias("n"))
+    view = lambda: tables.latest(spark.sql(spark_sql("incidents").replace("FROM orders", "FROM {orders}"), orders=table(spark, d, "orders")), ["incident_number"], F.desc("ingestion_ts")).where("state <> 'Closed'").groupBy("state").agg(F.count("*").alias("n"))
     return stored(stream(spark, d, "orders"), "snapshot", lambda store: jobs.snapshots(view, store.swap), "append")
 
 

@@ -28,3 +28,12 @@ def rows(spark, name, d):
 
 def test_rebuild_keeps_participants_without_keys(spark, nulled):
     assert rows(spark, "conversation_rebuild", nulled) == rows(spark, "conversation_rollup", nulled)
+
+
+@pytest.mark.parametrize("name", ["conversation_rebuild", "vendor_by_country", "vendor_by_continent"])
+def test_nulls_as_in_sql(spark, nulled, name):
+    con = duckdb.connect()
+    for t in ("region", "nation", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{nulled}/{t}.parquet'")
+    want = con.execute(__spark_entry__.oracle_sql()[name]).fetchall()
+    assert rows(spark, name, nulled) == sorted((tuple(None if x is None else str(x) for x in r) for r in want), key=repr)
